@@ -68,6 +68,36 @@ FRAMES = {
                case when n_chars >= 1500 then 1 when n_chars >= 600 then 0 end as long_text,
                case when lang = 'en' then 1 when lang = 'de' then 0 end as english
         from {documents} d left join {labels} l on d.doc_id = l.doc_id""",
+    "features": """
+        select c.c_custkey as person_id, c.c_mktsegment as segment, r.r_name as region, c.c_acctbal as balance,
+               nullif(c.c_mktsegment, 'FURNITURE') as setting, a.n_orders, a.n_finished, a.n_urgent,
+               cast(floor(a.largest) as bigint) as Q3_largest, a.Q3_kinds,
+               case when a.n_orders > 10 then 1 else 0 end as f_many,
+               case when c.c_acctbal > 0 then case when a.n_urgent > 1 then 1 else 0 end end as f_urgent,
+               case when a.n_orders is not null then case when a.n_finished > 2 then 1 else 0 end end as f_finished
+        from {customer} c
+        left join {nation} n on c.c_nationkey = n.n_nationkey
+        left join {region} r on n.n_regionkey = r.r_regionkey
+        left join (select o_custkey, count(*) as n_orders, count(*) filter (where o_orderstatus = 'F') as n_finished,
+                          case when max(o_totalprice) < 495000 then count(*) filter (where o_orderpriority = '1-URGENT') end as n_urgent,
+                          max(o_totalprice) as largest, count(distinct nullif(o_orderpriority, '5-LOW')) as Q3_kinds
+                   from {orders} group by o_custkey) a on c.c_custkey = a.o_custkey""",
+    "dated": """
+        select o_custkey as person_id, cast(min(o_orderdate) as date) as first_day, cast(max(o_orderdate) as date) as last_day,
+               cast(max(case when o_orderstatus = 'F' then o_orderdate end) as date) as finished_day
+        from {orders} group by o_custkey""",
+    "homes": """
+        select s_suppkey as home, s_name as name, s_nationkey as area, cast(floor(s_acctbal / 100) as int) as beds_raw
+        from {supplier}""",
+    "deliveries": """
+        select l_suppkey as home, l_shipdate as event_time, l_orderkey as visit, l_linenumber as line,
+               case when l_quantity >= 40 then l_partkey end as last_part, nullif(l_returnflag, 'N') as last_flag
+        from {lineitem}""",
+    "yearly": """
+        select concat('c', cast(o_custkey as string)) as hashed, o_custkey as client, cast(o_custkey % 2 + 1 as int) as provider,
+               cast(extract(year from o_orderdate) - 1996 as int) as wave, count(*) as n_orders, max(o_totalprice) as largest
+        from {orders} where extract(year from o_orderdate) in (1997, 1998)
+        group by o_custkey, extract(year from o_orderdate)""",
     "residents": f"""
         select {_person('c_custkey')} as pseudonhsno,
                concat('H', cast(c_custkey % 97 as string)) as pseudocqcid,

@@ -41,7 +41,7 @@ def prioritise(df: DataFrame, out: str, sources: Sequence[str], missing: str | N
 
 def area_fifth(df: DataFrame, table: DataFrame, area: str, table_area: str, table_decile: str) -> DataFrame:
     """Attach the deprivation decile of the area and its label in fifths."""
-    linked = lookup(df, table, area, table_area, {"IMD_decile": table_decile})
+    linked = lookup(df, table, area, table_area, {table_decile: "IMD_decile"})
     return linked.withColumn("IMD_quintile", decile_to_fifth("IMD_decile"))
 
 

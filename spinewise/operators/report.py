@@ -30,16 +30,16 @@ def row_scores(df: DataFrame, sums: Mapping[str, Sequence[str]] = {}, flags: Map
 
 
 def binary_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per 0/1 column: variable, n (rows that are 1), N (rows known), percent (n of N)."""
+    """Per 0/1 column: variable, n (rows that are 1), known (rows with a value), percent (n of known)."""
     counted = df.agg(
         *[x for i, c in enumerate(columns) for x in (F.count_if(F.col(c) == 1).alias(f"_n{i}"), F.count(c).alias(f"_k{i}"))]
     )
     rows = [[F.lit(c), F.col(f"_n{i}"), F.col(f"_k{i}"), _share(F.col(f"_n{i}"), F.col(f"_k{i}"))] for i, c in enumerate(columns)]
-    return _rows(counted, rows, ["variable", "n", "N", "percent"])
+    return _rows(counted, rows, ["variable", "n", "known", "percent"])
 
 
 def score_table(df: DataFrame, columns: Sequence[str], above_to_null: Mapping[str, float] = {}) -> DataFrame:
-    """Per numeric column: variable, N (rows known), mean, sd. Values above a bound can be left out."""
+    """Per numeric column: variable, known (rows with a value), mean, sd. Values above a bound can be left out."""
     def value(c):
         c, bound = F.col(c).cast("double"), above_to_null.get(c)
         return c if bound is None else if_else(c > bound, F.lit(None), c)
@@ -52,11 +52,11 @@ def _moments(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     for i, (name, v) in enumerate(values.items()):
         aggs += [F.count(v).alias(f"_k{i}"), F.avg(v).alias(f"_m{i}"), F.stddev_samp(v).alias(f"_s{i}")]
         rows.append([F.lit(name), F.col(f"_k{i}"), F.col(f"_m{i}"), F.col(f"_s{i}")])
-    return _rows(df.agg(*aggs), rows, ["variable", "N", "mean", "sd"])
+    return _rows(df.agg(*aggs), rows, ["variable", "known", "mean", "sd"])
 
 
 def condition_table(df: DataFrame, flags: Sequence[str], scores: Sequence[str] = ()) -> DataFrame:
-    """Score rows (N, mean, sd) on top of one row per 0/1 condition (n, N, percent)."""
+    """Score rows (known, mean, sd) on top of one row per 0/1 condition (n, known, percent)."""
     top = [score_table(df, scores)] if scores else []
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*top, binary_table(df, flags)])
 
@@ -77,13 +77,13 @@ def event_share(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def activity_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per count: variable, total_activity, N (all rows), mean, sd, an unknown count being 0."""
+    """Per count: variable, total_activity, known (all rows), mean, sd, an unknown count being 0."""
     aggs, rows = [], []
     for i, c in enumerate(columns):
         v = F.coalesce(F.col(c), F.lit(0)).cast("double")
         aggs += [F.sum(v).alias(f"_t{i}"), F.count(v).alias(f"_k{i}"), F.avg(v).alias(f"_m{i}"), F.stddev_samp(v).alias(f"_s{i}")]
         rows.append([F.lit(c), round_even(f"_t{i}"), F.col(f"_k{i}"), F.col(f"_m{i}"), F.col(f"_s{i}")])
-    return _rows(df.agg(*aggs), rows, ["variable", "total_activity", "N", "mean", "sd"])
+    return _rows(df.agg(*aggs), rows, ["variable", "total_activity", "known", "mean", "sd"])
 
 
 def column_sums(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -94,29 +94,29 @@ def column_sums(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def level_table(df: DataFrame, columns: Sequence[str], unknown: str | None = UNKNOWN) -> DataFrame:
-    """Per variable and level: variable, level, n, N (rows known), percent (n of N).
+    """Per variable and level: variable, level, n, known (rows of the variable with a value), percent.
 
-    A variable with unknown rows also gets a row for them, without N and percent, unless ``unknown``
+    A variable with unknown rows also gets a row for them, without known and percent, unless ``unknown``
     is None.
     """
     long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "variable", "level")
     counts = long.groupBy("variable", "level").agg(F.count(F.lit(1)).alias("n"))
     # One row per named variable, so its size is known before the job runs.
-    known = F.broadcast(counts.groupBy("variable").agg(F.sum(F.when(F.col("level").isNotNull(), F.col("n"))).alias("N")))
+    known = F.broadcast(counts.groupBy("variable").agg(F.sum(F.when(F.col("level").isNotNull(), F.col("n"))).alias("known")))
     if unknown is None:
         counts = counts.where(F.col("level").isNotNull())
-    total = F.when(F.col("level").isNotNull(), F.col("N"))
+    total = F.when(F.col("level").isNotNull(), F.col("known"))
     return counts.join(known, "variable").select(
         "variable",
         F.coalesce(F.col("level"), F.lit(unknown)).alias("level"),
         "n",
-        total.alias("N"),
+        total.alias("known"),
         _share(F.col("n"), total).alias("percent"),
     )
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75), buckets: int = 200) -> DataFrame:
-    """Exact quantiles with linear interpolation: variable, N, and one column p<percent> per prob.
+    """Exact quantiles with linear interpolation: variable, known, and one column p<percent> per prob.
 
     Equal values are counted first. Approximate quantiles then cut the distinct values of each
     variable into ranges of about the same size, ranks are counted inside each range, and the counts
@@ -141,7 +141,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0
         F.col("variable").alias("_variable"),
         F.col("_range").alias("_at"),
         (F.sum("_held").over(by_range) - F.col("_held")).alias("_before"),
-        F.sum("_held").over(Window.partitionBy("variable")).alias("N"),
+        F.sum("_held").over(Window.partitionBy("variable")).alias("known"),
     )
     inside = Window.partitionBy("variable", "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = placed.withColumn("_upto", F.sum("n").over(inside)).join(
@@ -150,12 +150,12 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0
     upto = F.col("_before") + F.col("_upto")
     aggs, out = [], []
     for i, p in enumerate(probs):
-        at = (F.col("N") - 1) * F.lit(float(p))
+        at = (F.col("known") - 1) * F.lit(float(p))
         aggs.append(F.min(F.when(upto > F.floor(at), F.col("value"))).alias(f"_low{i}"))
         aggs.append(F.min(F.when(upto > F.ceil(at), F.col("value"))).alias(f"_high{i}"))
         low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
         out.append((low + (at - F.floor(at)) * (high - low)).alias(f"p{round(100 * p)}"))
-    return ranked.groupBy("variable").agg(F.max("N").alias("N"), *aggs).select("variable", "N", *out)
+    return ranked.groupBy("variable").agg(F.max("known").alias("known"), *aggs).select("variable", "known", *out)
 
 
 def prefix_stats(df: DataFrame, prefix: str, digits: int = 2) -> DataFrame:
@@ -181,8 +181,8 @@ def _strata(df: DataFrame, strata: Sequence[str], carried: Sequence[str]) -> Dat
 def stratified_table(df: DataFrame, outcomes: Mapping[str, str], strata: Sequence[str]) -> DataFrame:
     """Mean and sd of every outcome in every level of every stratum, and overall.
 
-    ``outcomes`` maps a column to its label. Columns: variable, label, stratum, level, N (rows of the
-    level with a known value), mean, sd. All strata and outcomes are counted in one grouping by
+    ``outcomes`` maps a column to its label. Columns: variable, label, stratum, level, known (rows of
+    the level with a value), mean, sd. All strata and outcomes are counted in one grouping by
     stratum and level, which combines on the map side.
     """
     names = [f"_v{i}" for i in range(len(outcomes))]
@@ -195,14 +195,14 @@ def stratified_table(df: DataFrame, outcomes: Mapping[str, str], strata: Sequenc
         F.struct(
             F.lit(c).alias("variable"),
             F.lit(label).alias("label"),
-            F.col(f"{n}_k").alias("N"),
+            F.col(f"{n}_k").alias("known"),
             F.col(f"{n}_m").alias("mean"),
             F.col(f"{n}_s").alias("sd"),
         )
         for (c, label), n in zip(outcomes.items(), names)
     ]
     return counted.select("stratum", "level", F.inline(F.array(*entry))).select(
-        "variable", "label", "stratum", "level", "N", "mean", "sd"
+        "variable", "label", "stratum", "level", "known", "mean", "sd"
     )
 
 
@@ -211,7 +211,7 @@ def stratum_sizes(df: DataFrame, strata: Sequence[str]) -> DataFrame:
     return _strata(df, strata, []).groupBy("stratum", "level").agg(F.count(F.lit(1)).alias("n"))
 
 
-def side_by_side(table: DataFrame, columns: Sequence[tuple[str, str]], values: Sequence[str] = ("N", "mean", "sd")) -> DataFrame:
+def side_by_side(table: DataFrame, columns: Sequence[tuple[str, str]], values: Sequence[str] = ("known", "mean", "sd")) -> DataFrame:
     """A stratified table with one row per variable and a block of columns per (stratum, level)."""
     picks = [
         F.max(F.when((F.col("stratum") == s) & (F.col("level") == lv), F.col(v))).alias(f"{s}: {lv}: {v}")
@@ -242,7 +242,8 @@ def in_level_order(table: DataFrame, c: str, levels: Sequence[str], out: str = "
 
 def dictionary(df: DataFrame) -> DataFrame:
     """One row per column of a table: variable, type."""
-    return df.sparkSession.createDataFrame(df.dtypes, "variable string, type string")
+    entries = [F.struct(F.lit(c).alias("variable"), F.lit(t).alias("type")) for c, t in df.dtypes]
+    return df.sparkSession.range(1).select(F.inline(F.array(*entries)))
 
 
 def mean_sd_text(mean: Column | str, sd: Column | str, digits: int = 2) -> Column:
