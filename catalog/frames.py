@@ -36,6 +36,40 @@ def _clock(seconds: str) -> str:
     return "concat(" + ", ':', ".join(f"lpad(cast(cast({p} as int) as string), 2, '0')" for p in part) + ")"
 
 
+def _ever(test: str) -> str:
+    return f"max(case when {test} then 1 else 0 end)"
+
+
+# Person-level columns of the hospital extract: sums and flags over all orders of the person.
+_HISTORY = {
+    "adm_em_12h": "cast(count(*) filter (where o_orderstatus = 'O') as int)",
+    "adm_el_12h": "cast(nullif(count(*) filter (where o_orderstatus = 'F'), 0) as int)",
+    "adm_avoid_12h": "cast(count(*) filter (where o_orderpriority = '1-URGENT') as int)",
+    "bedsore_12h": _ever("o_totalprice > 490000"),
+    "lrti_12h": "cast(nullif(count(*) filter (where o_orderpriority = '2-HIGH'), 0) as int)",
+    "urti_12h": "cast(count(*) filter (where o_orderpriority = '3-MEDIUM') as int)",
+    "destch_12h": _ever("o_totalprice < 3000"),
+    "c_dementia_h36": _ever("o_totalprice > 485000"),
+    "c_copd_h36": _ever("o_orderpriority = '4-NOT SPECIFIED'"),
+    "e_diab_comp_h36": _ever("o_totalprice between 100000 and 120000"),
+    "e_diab_uncomp_h36": f"case when min(o_totalprice) > 5000 then {_ever('o_totalprice between 120000 and 140000')} end",
+    "e_anaemia_bloodloss_h36": _ever("o_totalprice between 140000 and 150000"),
+    "e_anaemia_deficiency_h36": _ever("o_totalprice between 150000 and 170000"),
+    "e_ht_comp_h36": _ever("o_totalprice between 200000 and 230000"),
+    "e_ht_uncomp_h36": _ever("o_totalprice between 230000 and 290000"),
+    "f_anxdep_h36": _ever("o_totalprice between 300000 and 310000"),
+    "f_delirium_h36": _ever("o_totalprice between 310000 and 320000"),
+    "f_dementia_h36": f"case when min(o_totalprice) > 6000 then {_ever('o_totalprice between 320000 and 330000')} end",
+    "f_dependence_h36": _ever("o_totalprice between 330000 and 350000"),
+    "f_fallsfract_h36": _ever("o_totalprice between 350000 and 380000"),
+    "f_incont_h36": _ever("o_totalprice between 380000 and 390000"),
+    "f_mobprob_h36": _ever("o_totalprice between 390000 and 410000"),
+    "f_pulcers_h36": _ever("o_totalprice between 410000 and 415000"),
+    "f_senility_h36": _ever("o_totalprice between 415000 and 425000"),
+    "nr_elix_h36": "cast(count(distinct o_orderpriority) as int)",
+    "nr_elix_2_h36": "cast(count(distinct o_orderstatus) as int)",
+}
+
 FRAMES = {
     "spine": f"""
         select c_custkey as person_id, c_mktsegment as segment, c_nationkey as area, c_acctbal as balance,
@@ -182,6 +216,47 @@ FRAMES = {
                case when o_totalprice > 430000 then 1 else 0 end as DeathFlag,
                case when o_totalprice > 470000 then 1 end as DeathInHospFlag, o_orderkey as record
         from {{orders}}""",
+    "hospital_extract": f"""
+        select {_person('o_custkey')} as pseudonhsno, o_orderkey as admission, {', '.join(_HISTORY)}
+        from {{orders}} join (select o_custkey as who, {', '.join(f'{v} as {k}' for k, v in _HISTORY.items())}
+                              from {{orders}} group by o_custkey) h on o_custkey = who""",
+    "hospital_demographics": f"""
+        select {_person('c_custkey')} as pseudonhsno, cast(c_nationkey % 10 as int) as ethnicity_sus,
+               case when c_acctbal > 1000 then cast(c_custkey % 2 + 1 as int) end as sex_sus,
+               case when c_acctbal > 500 then {_dmy("date '1910-01-01' + cast((c_custkey * 37) % 14000 as int)")} end as dob_sus,
+               case when c_acctbal > 7500 then {_dmy("date '1998-06-01' + cast(c_custkey % 900 as int)")} end as deathdate_sus
+        from {{customer}} where c_acctbal > 0""",
+    "community_demographics": f"""
+        select {_person('c_custkey')} as Der_Pseudo_NHS_Number,
+               case c_mktsegment when 'BUILDING' then 'A' when 'MACHINERY' then 'M' when 'FURNITURE' then 'S'
+                    when 'HOUSEHOLD' then 'NA_' end as EthnicCategory,
+               case when c_nationkey > 3 then cast(c_nationkey % 2 + 1 as int) end as Gender
+        from {{customer}} where c_acctbal < 9000""",
+    "care_home": """
+        select case when c_nationkey % 2 = 0 then concat('n', cast(c_custkey as string)) end as clientid,
+               case when c_nationkey % 2 = 1 then concat('ab', cast(c_custkey as string)) end as hashedid,
+               concat('r', cast(c_custkey as string)) as residentid, cast(c_nationkey % 2 + 1 as int) as provider, w as wave,
+               case when c_acctbal > 2000 then 1 else 0 end as both_waves,
+               case when c_mktsegment = 'BUILDING' then 'White' when c_mktsegment = 'AUTOMOBILE' then 'Mixed' end as ethnicity_new,
+               case when c_acctbal > 4000 then 'Female' when c_acctbal < 2000 then 'Male' end as gender_new,
+               case when c_nationkey < 5 then 'Yes' when c_nationkey < 20 then 'No' end as dementia,
+               cast(floor(c_acctbal / 100) as double) as barthel_score, case when c_acctbal > 0 then c_acctbal * w end as lengthofstay
+        from (select *, 1 as w from {customer} union all select *, 2 as w from {customer} where c_acctbal > 2000) c""",
+    "areas": """
+        select cast(n_nationkey as string) as LSOA_IMD, cast(n_nationkey % 11 as int) as IMD_decile from {nation}""",
+    "home_spine": "select concat('H', cast(s_suppkey as string)) as pseudocqcid from {supplier}",
+    "survey": """
+        select concat('H', cast(s_suppkey as string)) as pseudocqcid, cast(s_nationkey as string) as RecordedDate,
+               cast(floor(s_acctbal / 10) as double) as Q3_staff, case when s_acctbal > 1000 then cast(floor(s_acctbal / 7) as double) end as Q3_hours
+        from {supplier} where s_acctbal > 0""",
+    "regulator": f"""
+        select concat('H', cast(s_suppkey as string)) as pseudocqcid,
+               {_ymd("date '2000-01-31' + cast(s_suppkey % 3000 as int)")} as Location_HSCA_start_date,
+               {_dmy("date '2010-01-31' + cast(s_suppkey % 3000 as int)")} as Publication_Date,
+               case when s_acctbal > 0 then cast(floor(s_acctbal / 120) as int) end as Care_homes_beds,
+               s_name as Location_Region, case when s_acctbal > 500 then cast(floor(s_acctbal / 500) as double) end as years_since_registration,
+               'Y' as Care_home_, s_name as Location_City
+        from {{supplier}}""",
 }
 TABLES = "region nation customer supplier part orders lineitem events documents labels".split()
 

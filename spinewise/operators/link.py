@@ -27,11 +27,9 @@ def checked_unique(df: DataFrame, key: str, name: str = "table", null_safe: bool
     """
     if not null_safe:
         df = df.where(F.col(key).isNotNull())
-    rest = [c for c in df.columns if c != key]
-    packed = df.groupBy(key).agg(
-        F.any_value(F.struct(F.lit(True).alias("_row"), *rest)).alias("_row"), F.count(F.lit(1)).alias("_n")
-    )
-    return packed.where(_single(key, name)).select(*[c if c == key else F.col(f"_row.{c}") for c in df.columns])
+    values = [F.any_value(c).alias(c) for c in df.columns if c != key]
+    per_key = df.groupBy(key).agg(*values, F.count(F.lit(1)).alias("_n"))
+    return per_key.where(_single(key, name)).select(*df.columns)
 
 
 def _single(key: str, name: str) -> Column:
@@ -67,27 +65,20 @@ def link_to_spine(
 def assemble(frames: Mapping[str, DataFrame], key: str) -> DataFrame:
     """Full outer join of person-level tables: one row for each person found in any of them.
 
-    Each table travels as one struct next to the key and all of them meet in a single grouping, so
-    the work is one exchange whatever the number of tables, and a second row for a person is seen
-    there and fails the job. Tables must not share column names other than the key.
+    The tables are stacked by column name and grouped once by the key, so the work is one exchange
+    whatever the number of tables. A second row for a person in one table is seen there and fails
+    the job. Tables must not share column names other than the key.
     """
-    names = list(frames)
-    types = {n: df.select(F.struct(*[c for c in df.columns if c != key]).alias(n)).schema[n].dataType for n, df in frames.items()}
-    packed = [
-        df.select(
-            key,
-            *[
-                (F.struct(*[c for c in df.columns if c != key]) if n == name else F.lit(None).cast(types[n])).alias(n)
-                for n in names
-            ],
-        )
-        for name, df in frames.items()
-    ]
-    stacked = reduce(DataFrame.unionByName, packed)
+    columns = [c for df in frames.values() for c in df.columns if c != key]
+    if len(set(columns)) < len(columns):
+        raise ValueError(f"columns found in two tables: {sorted({c for c in columns if columns.count(c) > 1})}")
+    marked = [df.withColumn(f"_from_{n}", F.lit(1)) for n, df in frames.items()]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+    counts = [F.count(f"_from_{n}") for n in frames]
     per_person = stacked.groupBy(key).agg(
-        *[F.max(n).alias(n) for n in names], F.greatest(*[F.count(n) for n in names], F.lit(0)).alias("_n")
+        *[F.first(c, ignorenulls=True).alias(c) for c in columns], F.greatest(*counts, F.lit(1)).alias("_n")
     )
-    return per_person.where(_single(key, "assemble")).select(key, *[F.col(f"{n}.{c}") for n in names for c in frames[n].columns if c != key])
+    return per_person.where(_single(key, "assemble")).select(key, *columns)
 
 
 def zero_fill(df: DataFrame, columns: Sequence[str] = (), prefix: str | None = None) -> DataFrame:
