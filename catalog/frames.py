@@ -7,6 +7,7 @@ rows. Missing values and code values come from the contents of the given rows.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,7 +42,7 @@ def _ever(test: str) -> str:
 
 
 # Person-level columns of the hospital extract: sums and flags over all orders of the person.
-_HISTORY = {
+HISTORY = {
     "adm_em_12h": "cast(count(*) filter (where o_orderstatus = 'O') as int)",
     "adm_el_12h": "cast(nullif(count(*) filter (where o_orderstatus = 'F'), 0) as int)",
     "adm_avoid_12h": "cast(count(*) filter (where o_orderpriority = '1-URGENT') as int)",
@@ -217,8 +218,8 @@ FRAMES = {
                case when o_totalprice > 470000 then 1 end as DeathInHospFlag, o_orderkey as record
         from {{orders}}""",
     "hospital_extract": f"""
-        select {_person('o_custkey')} as pseudonhsno, o_orderkey as admission, {', '.join(_HISTORY)}
-        from {{orders}} join (select o_custkey as who, {', '.join(f'{v} as {k}' for k, v in _HISTORY.items())}
+        select {_person('o_custkey')} as pseudonhsno, o_orderkey as admission, {', '.join(HISTORY)}
+        from {{orders}} join (select o_custkey as who, {', '.join(f'{v} as {k}' for k, v in HISTORY.items())}
                               from {{orders}} group by o_custkey) h on o_custkey = who""",
     "hospital_demographics": f"""
         select {_person('c_custkey')} as pseudonhsno, cast(c_nationkey % 10 as int) as ethnicity_sus,
@@ -261,8 +262,15 @@ FRAMES = {
 TABLES = "region nation customer supplier part orders lineitem events documents labels".split()
 
 
+@lru_cache(maxsize=256)
+def _schema(application: str, path: str):
+    return SparkSession.active().read.parquet(path).schema
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read once per application."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark.sparkContext.applicationId, path)).parquet(path)
 
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

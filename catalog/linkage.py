@@ -220,7 +220,7 @@ def _agree(a: str, b: str, test: str) -> str:
     return f"case when {test.format(a=a, b=b)} then 'Different' else 'Same' end"
 
 
-def _shares(table: str, sources: dict[str, str], test: str, known: str, everyone: bool = True) -> dict[str, str]:
+def group_shares(table: str, sources: dict[str, str], test: str, known: str, everyone: bool = True) -> dict[str, str]:
     """Per group of sources, a subquery with level, n and percent, and a total row."""
     groups = {"all": list(sources)} if everyone else {}
     groups |= {f"{a}_{b}": [a, b] for a, b in combinations(sources, 2)}
@@ -236,14 +236,14 @@ def _shares(table: str, sources: dict[str, str], test: str, known: str, everyone
     return out
 
 
-def _side_by_side(parts: dict[str, str]) -> str:
+def side_by_side(parts: dict[str, str]) -> str:
     first, *rest = parts
     cols = ", ".join(f"t{i}.n as n_{n}, t{i}.percent as percent_{n}" for i, n in enumerate(parts))
     joins = " ".join(f"join ({parts[n]}) t{i} on t0.level = t{i}.level" for i, n in enumerate(parts) if i)
     return f"select t0.level, {cols} from ({parts[first]}) t0 {joins}"
 
 
-def _covered(table: str, sources: dict[str, str], levels: list[str] | None) -> str:
+def covered(table: str, sources: dict[str, str], levels: list[str] | None, total: bool = True) -> str:
     listed = (
         "select * from (values " + ", ".join(f"('{x}')" for x in levels) + ") v(level)"
         if levels
@@ -255,7 +255,8 @@ def _covered(table: str, sources: dict[str, str], levels: list[str] | None) -> s
         for s, c in sources.items()
     )
     totals = ", ".join(f"count(*) as n_{s}, count(*) / count(*) as percent_{s}" for s in sources)
-    return f"select l.level, {cols} from ({listed}) l union all select 'Total', {totals} from {table}"
+    bottom = f" union all select 'Total', {totals} from {table}" if total else ""
+    return f"select l.level, {cols} from ({listed}) l{bottom}"
 
 
 _LABELS = "coalesce(nullif(by_label, 'Missing'), nullif(by_length, 'Missing'), nullif(by_language, 'Missing'), 'Missing')"
@@ -308,11 +309,11 @@ CHECKS = {
     "any_source_flag": f"""{with_frames('sources')}
         select doc_id, case when quality = 1 or long_text = 1 or english = 1 then 1
                when quality is null and long_text is null and english is null then null else 0 end as any_good from sources""",
-    "source_coverage": f"{with_frames('sources')} {_covered('sources', VERDICTS, LEVELS)}",
-    "source_coverage_found_levels": f"{with_frames('sources')} {_covered('sources', {'language': 'lang', 'label': 'by_label', 'toxic': 'toxic'}, None)}",
+    "source_coverage": f"{with_frames('sources')} {covered('sources', VERDICTS, LEVELS)}",
+    "source_coverage_found_levels": f"{with_frames('sources')} {covered('sources', {'language': 'lang', 'label': 'by_label', 'toxic': 'toxic'}, None)}",
     "availability_coverage": f"""{with_frames('sources')},
         flags as (select {', '.join(_AVAILABLE.format(c=c) for c in ('quality', 'long_text', 'english'))} from sources)
-        {_covered('flags', {'quality': 'quality', 'length': 'long_text', 'language': 'english'}, ['Available', 'Missing'])}""",
+        {covered('flags', {'quality': 'quality', 'length': 'long_text', 'language': 'english'}, ['Available', 'Missing'])}""",
     "frequency": f"""{with_frames('activity')}
         select priority as level, count(*) as n, count(*) / (select count(*) from activity) as percent from activity group by priority
         union all select 'Total', count(*), count(*) / count(*) from activity""",
@@ -322,12 +323,12 @@ CHECKS = {
                count(*) as Total from activity group by rollup (status)""",
     "pairwise_agreement": f"{with_frames('sources')} "
     + " union all ".join(
-        f"select '{n}' as pair, level, n, percent from ({sql})" for n, sql in _shares("sources", VERDICTS, "{a} <> {b}", _KNOWN, False).items()
+        f"select '{n}' as pair, level, n, percent from ({sql})" for n, sql in group_shares("sources", VERDICTS, "{a} <> {b}", _KNOWN, False).items()
     ),
-    "all_agreement": f"{with_frames('sources')} select * from ({_shares('sources', VERDICTS, '{a} <> {b}', _KNOWN)['all']})",
-    "agreement_report": f"{with_frames('sources')} {_side_by_side(_shares('sources', VERDICTS, '{a} <> {b}', _KNOWN))}",
+    "all_agreement": f"{with_frames('sources')} select * from ({group_shares('sources', VERDICTS, '{a} <> {b}', _KNOWN)['all']})",
+    "agreement_report": f"{with_frames('sources')} {side_by_side(group_shares('sources', VERDICTS, '{a} <> {b}', _KNOWN))}",
     "date_agreement_report": f"""{with_frames('dated')}, {_DATED}
-        {_side_by_side(_shares('dated2', DAYS, 'abs({a} - {b}) > 500', '{c} is not null'))}""",
+        {side_by_side(group_shares('dated2', DAYS, 'abs({a} - {b}) > 500', '{c} is not null'))}""",
     "entity_link": f"""{with_frames('homes', 'deliveries')}, {_NEWEST}
         select h.home, h.name, h.beds_raw, h.area, last_part, last_flag from homes h left join newest using (home)""",
     "capacity_band": f"""{with_frames('homes', 'deliveries', 'activity')}, {_NEWEST}

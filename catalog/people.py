@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.features import WINDOW_TESTS, strict, windowed
-from catalog.frames import frame, with_frames
+from catalog.frames import HISTORY, frame, with_frames
+from catalog.linkage import covered, group_shares, side_by_side
+from catalog.summaries import AGE_BAND, each, exact_age, level_rows, mean_sd, stratum_rows
+from spinewise.functions.recode import AGE_LEVELS, DEPRIVATION_FIFTHS, ETHNICITY_LEVELS, SEX_LEVELS
 from spinewise.plans.final_set import final_set
 from spinewise.plans.person_set import (
     care_home_records,
@@ -84,6 +87,7 @@ def linked(spark, d):
             "flags": cohort_flags(frame(spark, d, "residents"), STUDY),
         },
         frame(spark, d, "areas"),
+        check=["demographics", "community_demographics", "care_home"],
     )
 
 
@@ -93,7 +97,7 @@ def person_set(spark, d):
 
 def report_of(name):
     def run(spark, d):
-        return source_reports(linked(spark, d), STUDY)[name]
+        return source_reports(linked(spark, d), STUDY, [name])[name]
 
     return run
 
@@ -116,7 +120,7 @@ def home_level(spark, d):
 def variables_of(name):
     def run(spark, d):
         report = reporting_frame(final_people(spark, d), STUDY)
-        table = variable_tables(report, CATEGORICAL, CONTINUOUS, STUDY)[name]
+        table = variable_tables(report, CATEGORICAL, CONTINUOUS, STUDY, [name])[name]
         return table.withColumns({c: F.round(c, 6) for c in ("mean", "sd") if c in table.columns})
 
     return run
@@ -124,7 +128,7 @@ def variables_of(name):
 
 def strata_of(name):
     def run(spark, d):
-        table = stratified_tables(stratified_frame(final_people(spark, d)), OUTCOMES)[name]
+        table = stratified_tables(stratified_frame(final_people(spark, d)), OUTCOMES, [name])[name]
         return table.withColumns({c: F.round(c, 6) for c in ("mean", "sd") if c in table.columns})
 
     return run
@@ -363,11 +367,99 @@ BASE = {
 }
 
 
+_FRAILTY = "f_anxdep_h36 f_dependence_h36 f_fallsfract_h36 f_incont_h36 f_mobprob_h36 f_pulcers_h36 f_senility_h36 cogimp_sus".split()
+_COGNITIVE = "f_delirium_h36 + f_dementia_h36 + f_senility_h36"
+BODIES["scored"] = f"""select * replace (barthel_score * 5 as barthel_score, coalesce(IMD_quintile, 'Missing') as IMD_quintile,
+        coalesce(Der_CQC_Service_Type_CHR, 'Missing') as Der_CQC_Service_Type_CHR, coalesce(Client_Funding_Status_ASC, 'Missing') as Client_Funding_Status_ASC),
+        case when {_COGNITIVE} > 0 then 1 when {_COGNITIVE} <= 0 then 0 end as cogimp_sus from final_set"""
+BODIES["report"] = f"select *, {' + '.join(_FRAILTY)} as n_frailty_conditions from scored"
+BODIES["answered"] = """select * replace (case dementia when 'Yes' then 1 when 'No' then 0 end as dementia), try_strptime(dob_final, '%d/%m/%Y')::date as born from final_set"""
+BODIES["combined"] = """select *, case when f_dementia_h36 = 1 or c_dementia_h36 = 1 or dementia = 1 then 1
+        when f_dementia_h36 is null and c_dementia_h36 is null and dementia is null then null else 0 end as dementia_combo from answered"""
+
+
 def check(select: str) -> str:
     """A check over the given frames and the bodies above, each as a common table expression."""
-    order = list(BODIES)
-    parts = ",\n".join(f"{n} as ({BODIES[n]})" for n in order)
+    parts = ",\n".join(f"{n} as ({sql})" for n, sql in BODIES.items())
     return f"{with_frames(*sorted(BASE))},\n{parts}\n{select}"
 
 
+def check_from(extra: str, select: str) -> str:
+    return check("").rstrip() + f",\n{extra}\n{select}"
+
+
+def crossed(rows, columns, levels):
+    cells = ", ".join(f"count(*) filter (where {columns} = '{x}') as \"{x}\"" for x in levels)
+    return f"select case when grouping({rows}) = 1 then 'Total' else {rows} end as {rows}, {cells}, count(*) as Total from attributes group by rollup ({rows})"
+
+
+def availability(sources):
+    flags = ", ".join(f"case when {c} is null then 'Missing' else 'Available' end as {c}" for c in sources.values())
+    return check_from(f"flags as (select {flags} from finals)", covered("flags", sources, ["Available", "Missing"]))
+
+
+ETHNIC = {"sus": "ethnicity_sus", "csds": "ethnicity_csds", "CH": "ethnicity_new"}
+SEXES = {"PDS": "gender_PDS", "CH": "gender_new", "csds": "gender_csds", "sus": "sex_sus"}
+ANSWERS = {"sus": "dementia_sus", "ch": "dementia_num"}
+_UNLIKE, _LISTED, _GIVEN = "{a} <> {b}", "{c} <> 'Missing'", "{c} is not null"
+_FLAGS = [c for c in HISTORY if c.startswith(("c_", "e_", "ec_", "f_"))]
+_ACTIVE = ["adm_em_12h", "adm_el_12h", "adm_avoid_12h", "adm_lrti_12h", "adm_urti_12h", "ngproc_combined", *_COUNTED, "n_frailty_conditions"]
+_STRATA = ["sex_final", "age_cat", "nur_res", "dementia_combo", "IMD_quintile"]
+_ORDER = [*AGE_LEVELS, *DEPRIVATION_FIFTHS]
+_PLACE = f"cast(coalesce(nullif(list_position([{', '.join(f"'{x}'" for x in _ORDER)}], level), 0), {len(_ORDER) + 1}) as int) as ord"
+_AGED = exact_age("combined", "born", "index_date") + f", banded as (select *, {AGE_BAND} as age_cat from aged)"
+
 CHECKS = {n: check(f"select * from {n}") for n in QUERIES if n in BODIES}
+CHECKS |= {
+    "sources_ethnicity_coverage": check(covered("attributes", ETHNIC, ETHNICITY_LEVELS, False)),
+    "sources_ethnicity_agreement": check(side_by_side(group_shares("attributes", ETHNIC, _UNLIKE, _LISTED))),
+    "sources_ethnicity_crosstab": check(crossed("ethnicity_sus", "ethnicity_csds", ETHNICITY_LEVELS)),
+    "sources_sex_coverage": check(covered("attributes", SEXES, SEX_LEVELS)),
+    "sources_sex_agreement": check(side_by_side(group_shares("attributes", SEXES, _UNLIKE, _LISTED))),
+    "sources_sex_crosstab_community": check(crossed("gender_PDS", "gender_csds", SEX_LEVELS)),
+    "sources_sex_crosstab_hospital": check(crossed("gender_PDS", "sex_sus", SEX_LEVELS)),
+    "sources_birth_coverage": availability({"pds": "dob_pds", "sus": "dob_sus", "final": "dob_final"}),
+    "sources_birth_agreement": check(side_by_side(group_shares("attributes", {"sus": "dob_sus", "pds": "dob_pds"}, _UNLIKE, _GIVEN))),
+    "sources_death_coverage": availability({"chr": "dod_chr", "pds": "dod_pds", "sus": "dod_sus", "final": "dod_final"}),
+    "sources_death_agreement": check(
+        side_by_side(group_shares("attributes", {"sus": "dod_sus", "pds": "dod_pds", "chr": "dod_chr"}, "abs({a} - {b}) > 30", _GIVEN))
+    ),
+    "sources_dementia_coverage": check(covered("attributes", ANSWERS, None)),
+    "sources_dementia_agreement": check(side_by_side(group_shares("attributes", ANSWERS, _UNLIKE, _GIVEN))),
+    "report_conditions": check(
+        each(
+            [f"select '{c}' as variable, count({c}) as known, null as n, null as percent, {mean_sd(c)} from report" for c in ("nr_elix_h36", "nr_elix_2_h36")]
+            + [f"select '{c}', count({c}), {where(f'{c} = 1')}, {where(f'{c} = 1')} / count({c}), null, null from report" for c in _FLAGS]
+        )
+    ),
+    "report_event_share": check(
+        each([f"select '{c}_binary' as category, count(*) as total_n, {where(f'{c} >= 1')} as happened, {where(f'{c} >= 1')} / count(*) as percent from report" for c in _ACTIVE])
+    ),
+    "report_activity": check(
+        each([f"select '{c}' as variable, cast(sum(coalesce({c}, 0)) as double) as total_activity, count(*) as known, {mean_sd(f'coalesce({c}, 0)')} from report" for c in _ACTIVE])
+    ),
+    "report_levels": check(each([level_rows(c, "report") for c in CATEGORICAL])),
+    "report_scores": check(f"select 'barthel_score' as variable, count(barthel_score) as known, {mean_sd('barthel_score')} from report"),
+    "report_length_of_stay": check(
+        f"select 'lengthofstay' as variable, count(lengthofstay) as known, {mean_sd('lengthofstay')} from report where lengthofstay <= {STUDY.longest_stay}"
+    ),
+    "report_survey": check(
+        "select " + ", ".join(f"round_even(avg({c}), 2) as {c}_mean, round_even(stddev_samp({c}), 2) as {c}_sd, count(*) - count({c}) as {c}_na_count" for c in ("Q3_staff", "Q3_hours")) + " from report"
+    ),
+    "report_quantiles": check(
+        each([f"select '{c}' as variable, count({c}) as known, {', '.join(f'quantile_cont(cast({c} as double), {p}) as p{round(100 * p)}' for p in (0.25, 0.5, 0.75))} from report" for c in CONTINUOUS])
+    ),
+    "strata_means": check_from(
+        _AGED + ", tables as (" + each([stratum_rows(s, OUTCOMES, "banded") for s in (*_STRATA, "Overall")]) + ")", f"select *, {_PLACE} from tables"
+    ),
+    "strata_sizes": check_from(
+        _AGED + ", tables as (" + each([f"select '{s}' as stratum, coalesce(cast({s} as string), '(Missing)') as level, count(*) as n from banded group by {s}" for s in _STRATA])
+        + " union all select 'Overall', 'Overall', count(*) from banded)",
+        f"select *, {_PLACE} from tables",
+    ),
+    "strata_event_counts": check(
+        "select case when grouping(level) = 1 then 'Overall' else level end as label, "
+        + ", ".join(f"case when count({c}) = count(*) then {where(f'{c} > 0')} end as {c}" for c in OUTCOMES if c.startswith("n_"))
+        + " from (select *, coalesce(IMD_quintile, '(Missing)') as level from final_set) group by grouping sets ((level), ())"
+    ),
+}

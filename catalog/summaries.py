@@ -142,84 +142,90 @@ QUERIES = {
 }
 
 
-def _each(rows: list[str]) -> str:
+def each(rows: list[str]) -> str:
     return " union all ".join(rows)
 
 
-def _mean_sd(v: str) -> str:
+def mean_sd(v: str) -> str:
     return f"round(avg({v}), 6) as mean, round(stddev_samp({v}), 6) as sd"
 
 
-def _level(c: str) -> str:
+def level_rows(c: str, table: str = "features") -> str:
     return f"""select '{c}' as variable, coalesce(cast({c} as string), 'Unknown') as level, count(*) as n,
-        case when {c} is not null then (select count({c}) from features) end as known,
-        case when {c} is not null then count(*) / (select count({c}) from features) end as percent from features group by {c}"""
+        case when {c} is not null then (select count({c}) from {table}) end as known,
+        case when {c} is not null then count(*) / (select count({c}) from {table}) end as percent from {table} group by {c}"""
 
 
-def _stratum(s: str, outcomes: dict[str, str]) -> str:
-    level = f"coalesce({s}, '(Missing)')" if s != "Overall" else "'Overall'"
-    return _each(
+def stratum_rows(s: str, outcomes: dict[str, str], table: str = "features") -> str:
+    level = f"coalesce(cast({s} as string), '(Missing)')" if s != "Overall" else "'Overall'"
+    return each(
         [
-            f"""select '{v}' as variable, '{label}' as label, '{s}' as stratum, {level} as level, count({v}) as known, {_mean_sd(v)}
-            from features group by {level}"""
+            f"""select '{v}' as variable, '{label}' as label, '{s}' as stratum, {level} as level, count({v}) as known, {mean_sd(v)}
+            from {table} group by {level}"""
             for v, label in outcomes.items()
         ]
     )
 
 
-_AGE = """spans as (select *, year(index_wave1) - year(birth) as span from spine),
-    whole as (select *, span - case when cast(birth + to_years(cast(span as int)) as date) > index_wave1 then 1 else 0 end as years from spans),
-    aged as (select *, years + (index_wave1 - cast(birth + to_years(cast(years as int)) as date))
-        / (cast(birth + to_years(cast(years + 1 as int)) as date) - cast(birth + to_years(cast(years as int)) as date)) as exact from whole)"""
+def exact_age(table: str, birth: str, at: str) -> str:
+    """Common table expressions ending in ``aged``, which adds the age as whole years and a fraction."""
+    start = "cast({b} + to_years(cast({y} as int)) as date)"
+    last, following = start.format(b=birth, y="years"), start.format(b=birth, y="years + 1")
+    return f"""spans as (select *, year({at}) - year({birth}) as span from {table}),
+    whole as (select *, span - case when {start.format(b=birth, y='span')} > {at} then 1 else 0 end as years from spans),
+    aged as (select *, years + ({at} - {last}) / ({following} - {last}) as exact from whole)"""
+
+
+AGE_BAND = "case when round_even(exact, 0) < 65 then '<65' when round_even(exact, 0) <= 79 then '65-79' when exact is not null then '>=80' end"
 
 CHECKS = {
     "row_score": f"""{with_frames('features')},
         flagged as (select *, case when f_urgent + f_finished > 0 then 1 when f_urgent + f_finished <= 0 then 0 end as any_two from features)
         select person_id, any_two, f_many + f_urgent + any_two as n_conditions from flagged""",
     "binary_table": f"{with_frames('features')} "
-    + _each([f"select '{c}' as variable, count(*) filter (where {c} = 1) as n, count({c}) as known, count(*) filter (where {c} = 1) / count({c}) as percent from features" for c in FLAGS]),
+    + each([f"select '{c}' as variable, count(*) filter (where {c} = 1) as n, count({c}) as known, count(*) filter (where {c} = 1) / count({c}) as percent from features" for c in FLAGS]),
     "condition_table": f"{with_frames('features')} "
-    + _each(
-        [f"select '{c}' as variable, count({c}) as known, null as n, null as percent, {_mean_sd(c)} from features" for c in ("Q3_kinds", "balance")]
+    + each(
+        [f"select '{c}' as variable, count({c}) as known, null as n, null as percent, {mean_sd(c)} from features" for c in ("Q3_kinds", "balance")]
         + [f"select '{c}', count({c}), count(*) filter (where {c} = 1), count(*) filter (where {c} = 1) / count({c}), null, null from features" for c in FLAGS]
     ),
     "event_share": f"{with_frames('features')} "
-    + _each([f"select '{c}_binary' as category, count(*) as total_n, count(*) filter (where {c} >= 1) as happened, count(*) filter (where {c} >= 1) / count(*) as percent from features" for c in COUNTS]),
+    + each([f"select '{c}_binary' as category, count(*) as total_n, count(*) filter (where {c} >= 1) as happened, count(*) filter (where {c} >= 1) / count(*) as percent from features" for c in COUNTS]),
     "activity_table": f"{with_frames('features')} "
-    + _each([f"select '{c}' as variable, cast(sum(coalesce({c}, 0)) as double) as total_activity, count(*) as known, {_mean_sd(f'coalesce({c}, 0)')} from features" for c in COUNTS]),
+    + each([f"select '{c}' as variable, cast(sum(coalesce({c}, 0)) as double) as total_activity, count(*) as known, {mean_sd(f'coalesce({c}, 0)')} from features" for c in COUNTS]),
     "column_sums": f"{with_frames('features')} "
-    + _each([f"select '{c}' as variable, cast(sum({c}) as double) as value from features" for c in [*COUNTS, "Q3_largest", "Q3_kinds", *FLAGS]]),
-    "level_table": f"{with_frames('features')} " + _each([_level(c) for c in ("segment", "setting", "f_urgent", "n_urgent")]),
+    + each([f"select '{c}' as variable, cast(sum({c}) as double) as value from features" for c in [*COUNTS, "Q3_largest", "Q3_kinds", *FLAGS]]),
+    "level_table": f"{with_frames('features')} " + each([level_rows(c) for c in ("segment", "setting", "f_urgent", "n_urgent")]),
     "level_table_known": f"{with_frames('activity')} "
-    + _each(
+    + each(
         [
             f"select '{c}' as variable, {c} as level, count(*) as n, (select count({c}) from activity) as known, count(*) / (select count({c}) from activity) as percent from activity where {c} is not null group by {c}"
             for c in ("status", "priority")
         ]
     ),
     "quantiles": f"""{with_frames('activity')}, noted as (select amount, cast(nullif(event_id % 1000, 7) as double) as event_id from activity) """
-    + _each(
+    + each(
         [
             f"select '{c}' as variable, count({c}) as known, {', '.join(f'round(quantile_cont({c}, {p}), 6) as p{round(100 * p)}' for p in (0.25, 0.5, 0.75))} from noted"
             for c in ("amount", "event_id")
         ]
     ),
     "score_table": f"{with_frames('features')} "
-    + _each([f"select '{n}' as variable, count({v}) as known, {_mean_sd(v)} from features" for n, v in (("balance", "case when balance > 7000 then null else balance end"), ("Q3_kinds", "Q3_kinds"), ("n_urgent", "n_urgent"))]),
+    + each([f"select '{n}' as variable, count({v}) as known, {mean_sd(v)} from features" for n, v in (("balance", "case when balance > 7000 then null else balance end"), ("Q3_kinds", "Q3_kinds"), ("n_urgent", "n_urgent"))]),
     "prefix_stats": f"{with_frames('features')} select "
     + ", ".join(f"round_even(avg({c}), 2) as {c}_mean, round_even(stddev_samp({c}), 2) as {c}_sd, count(*) - count({c}) as {c}_na_count" for c in ("Q3_largest", "Q3_kinds"))
     + " from features",
-    "age_band": f"""{with_frames('spine')}, {_AGE}
+    "age_band": f"""{with_frames('spine')}, {exact_age('spine', 'birth', 'index_wave1')}
         select person_id, cast(round_even(exact, 0) as int) as age,
-               case when round_even(exact, 0) < 65 then '<65' when round_even(exact, 0) <= 79 then '65-79' else '>=80' end as age_cat from aged""",
+               {AGE_BAND} as age_cat from aged""",
     "stratified_table": f"{with_frames('features')}, tables as ("
-    + _each([_stratum(s, OUTCOMES) for s in (*STRATA, "Overall")])
+    + each([stratum_rows(s, OUTCOMES) for s in (*STRATA, "Overall")])
     + f""") select *, cast(coalesce(nullif(list_position([{', '.join(f"'{s}'" for s in SEGMENTS)}], level), 0), {len(SEGMENTS) + 1}) as int) as ord from tables""",
     "stratum_sizes": f"{with_frames('features')} "
-    + _each([f"select '{s}' as stratum, coalesce({s}, '(Missing)') as level, count(*) as n from features group by {s}" for s in STRATA])
+    + each([f"select '{s}' as stratum, coalesce({s}, '(Missing)') as level, count(*) as n from features group by {s}" for s in STRATA])
     + " union all select 'Overall', 'Overall', count(*) from features",
     "side_by_side": f"{with_frames('features')} "
-    + _each(
+    + each(
         [
             f"select '{v}' as variable, '{label}' as label, "
             + ", ".join(

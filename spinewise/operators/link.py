@@ -27,9 +27,10 @@ def checked_unique(df: DataFrame, key: str, name: str = "table", null_safe: bool
     """
     if not null_safe:
         df = df.where(F.col(key).isNotNull())
-    values = [F.any_value(c).alias(c) for c in df.columns if c != key]
-    per_key = df.groupBy(key).agg(*values, F.count(F.lit(1)).alias("_n"))
-    return per_key.where(_single(key, name)).select(*df.columns)
+    columns = df.columns
+    values = [F.expr(f"any_value(`{c}`) as `{c}`") for c in columns if c != key]
+    per_key = df.groupBy(key).agg(*values, F.expr("count(1) as _n"))
+    return per_key.where(_single(key, name)).select(*columns)
 
 
 def _single(key: str, name: str) -> Column:
@@ -43,23 +44,23 @@ def link_to_spine(
     sources: Mapping[str, tuple[DataFrame, str]],
     key: str,
     null_safe: bool = False,
-    unique: bool = True,
+    check: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left-join every named source to the spine on the person key, keeping the spine's rows.
 
     ``sources`` maps a name to the table and its key column. A column already present gets the name
-    of its source as suffix. A source with two rows for one person fails the job unless ``unique``
-    is off.
+    of its source as suffix. A source with two rows for one person fails the job; ``check`` limits
+    that test to the sources named, the others having one row per person by the way they were made.
     """
-    linked = spine
+    linked, taken = spine, list(spine.columns)
     for name, (df, source_key) in sources.items():
-        if unique:
+        if check is None or name in check:
             df = checked_unique(df, source_key, name, null_safe)
-        taken = set(linked.columns)
-        clashes = {c: f"{c}_{name}" for c in df.columns if c in taken and c != source_key}
-        df = df.withColumnsRenamed(clashes).withColumnRenamed(source_key, "_key")
-        linked = linked.join(df, equal_keys(F.col(key), F.col("_key"), null_safe), "left").drop("_key")
-    return linked
+        new = {c: f"{c}_{name}" if c in taken else c for c in df.columns if c != source_key}
+        df = df.select(F.col(source_key).alias(f"_key_{name}"), *[F.col(f"`{c}`").alias(n) for c, n in new.items()])
+        linked = linked.join(df, equal_keys(F.col(key), F.col(f"_key_{name}"), null_safe), "left")
+        taken += new.values()
+    return linked.select(*[F.col(f"`{c}`") for c in taken])
 
 
 def assemble(frames: Mapping[str, DataFrame], key: str) -> DataFrame:
@@ -74,10 +75,9 @@ def assemble(frames: Mapping[str, DataFrame], key: str) -> DataFrame:
         raise ValueError(f"columns found in two tables: {sorted({c for c in columns if columns.count(c) > 1})}")
     marked = [df.withColumn(f"_from_{n}", F.lit(1)) for n, df in frames.items()]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
-    counts = [F.count(f"_from_{n}") for n in frames]
-    per_person = stacked.groupBy(key).agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in columns], F.greatest(*counts, F.lit(1)).alias("_n")
-    )
+    values = [F.expr(f"any_value(`{c}`, true) as `{c}`") for c in columns]
+    most = F.expr(f"greatest(1, {', '.join(f'count(_from_{n})' for n in frames)}) as _n")
+    per_person = stacked.groupBy(key).agg(*values, most)
     return per_person.where(_single(key, "assemble")).select(key, *columns)
 
 

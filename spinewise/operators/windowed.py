@@ -16,8 +16,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,7 +69,7 @@ class Measure:
 
 
 def row_count(name: str, spans=None) -> Measure:
-    return Measure(name, "count", F.lit(True), spans=spans)
+    return Measure(name, "count", spans=spans)
 
 
 def count_where(name: str, test: Column, strict: bool = False, spans=None) -> Measure:
@@ -130,7 +128,7 @@ def _per_day(events: DataFrame, key: str, date: str, measures: Sequence[Measure]
     for i, m in enumerate(measures):
         if m.kind == "sum":
             parts.append(F.coalesce(F.sum(m.value), F.lit(0)).alias(f"_hit{i}"))
-        else:
+        elif m.value is not None:
             parts.append(F.count_if(m.value).alias(f"_hit{i}"))
         if m.strict:
             parts.append(F.count_if(m.value.isNull()).alias(f"_unknown{i}"))
@@ -142,6 +140,12 @@ def _in_span(span: Span) -> Column:
     return inside if span.where is None else inside & span.where
 
 
+def _flagged(df: DataFrame, spine: DataFrame, key: str, spine_key: str, spans: Sequence[Span], carried: Sequence[str]) -> DataFrame:
+    """The carried columns and, per span, whether the row's day lies in it for its person."""
+    flags = [_in_span(s).alias(f"_in{i}") for i, s in enumerate(spans)]
+    return _with_anchors(df, spine, key, spine_key, spans).select(key, *carried, *flags)
+
+
 def _with_anchors(df: DataFrame, spine: DataFrame, key: str, spine_key: str, spans: Sequence[Span]) -> DataFrame:
     """Attach the anchors; people outside the spine stay, since a fixed window needs no anchor."""
     if all(not s.anchored and s.where is None for s in spans):
@@ -175,48 +179,44 @@ def window_features(
 
     additive = [m for m in measures if m.kind != "distinct"]
     daily = _per_day(events, key, date, additive)
-    joined = _with_anchors(daily, spine, key, spine_key, spans)
+    flagged = _flagged(daily, spine, key, spine_key, spans, [c for c in daily.columns if c not in (key, "_day")])
 
     sums = []
     for s, span in enumerate(spans):
-        inside = _in_span(span)
-        sums.append(F.sum(F.when(inside, F.col("_rows"))).alias(f"_rows_{s}"))
+        parts = ["_rows"]
         for i, m in enumerate(additive):
-            if not m.wanted(span):
-                continue
-            sums.append(F.sum(F.when(inside, F.col(f"_hit{i}"))).alias(f"_hit{i}_{s}"))
-            if m.strict:
-                sums.append(F.sum(F.when(inside, F.col(f"_unknown{i}"))).alias(f"_unknown{i}_{s}"))
-    totals = joined.groupBy(key).agg(*sums)
+            if m.wanted(span):
+                parts += [f"_hit{i}"] * (m.value is not None) + [f"_unknown{i}"] * m.strict
+        sums += [F.expr(f"sum(if(_in{s}, {p}, null)) as {p}_{s}") for p in parts]
+    totals = flagged.groupBy(key).agg(*sums)
 
     base = [s for s, span in enumerate(spans) if keep in ("any", span.suffix)]
-    totals = totals.where(reduce(or_, [F.col(f"_rows_{s}").isNotNull() for s in base]))
+    totals = totals.where(" or ".join(f"_rows_{s} is not null" for s in base))
 
     for m in measures:
         if m.kind == "distinct":
             counted = _distinct_in_spans(events, spine, key, spine_key, date, spans, m)
             totals = totals.join(counted, key, "left")
 
+    place = {id(m): i for i, m in enumerate(additive)}
     out = [F.col(key)]
     for s, span in enumerate(spans):
-        index = {id(m): i for i, m in enumerate(additive)}
-        for m in measures:
-            if not m.wanted(span):
-                continue
-            name = m.name + span.suffix
-            if m.kind == "distinct":
-                out.append(F.col(name))
-                continue
-            i = index[id(m)]
-            hits = F.col(f"_hit{i}_{s}")
-            if m.kind == "any":
-                hits = (hits > 0).cast("int")
-            if m.strict:
-                hits = F.when(F.col(f"_unknown{i}_{s}") == 0, hits)
-            out.append(hits.alias(name))
+        out += [_final(m, place.get(id(m)), s, m.name + span.suffix) for m in measures if m.wanted(span)]
     return totals.select(*out)
 
 
+def _final(m: Measure, i: int | None, s: int, name: str) -> Column:
+    """The measure from its sums over the days of window ``s``."""
+    if m.kind == "distinct":
+        return F.col(name)
+    hits = f"_rows_{s}" if m.value is None else f"_hit{i}_{s}"
+    if m.kind == "any":
+        hits = f"cast({hits} > 0 as int)"
+    if m.strict:
+        hits = f"if(_unknown{i}_{s} = 0, {hits}, null)"
+    return F.expr(hits).alias(name)
+
+
 def _distinct_in_spans(events, spine, key, spine_key, date, spans, measure: Measure) -> DataFrame:
     """Distinct values per person and window, null for a window without an event.
 
@@ -227,16 +227,13 @@ def _distinct_in_spans(events, spine, key, spine_key, date, spans, measure: Meas
     values = events.select(
         F.col(key), F.col(date).cast("date").alias("_day"), measure.value.alias("_value")
     ).distinct()
-    flagged = _with_anchors(values, spine, key, spine_key, spans).select(
-        key, "_value", *[_in_span(s).alias(f"_in{i}") for i, s in enumerate(spans)]
-    )
-    flagged = flagged.where(reduce(or_, [F.col(f"_in{i}") for i in range(len(spans))]))
+    flagged = _flagged(values, spine, key, spine_key, spans, ["_value"])
+    places = range(len(spans))
     per_value = (
-        flagged.repartition(key, "_value")
+        flagged.where(" or ".join(f"_in{i}" for i in places))
+        .repartition(key, "_value")
         .groupBy(key, "_value")
-        .agg(*[F.max(F.col(f"_in{i}")).alias(f"_in{i}") for i in range(len(spans))])
-    )
-    counted = per_value.groupBy(key).agg(*[F.count_if(f"_in{i}").alias(f"_n{i}") for i in range(len(spans))])
-    return counted.select(
-        key, *[F.nullif(F.col(f"_n{i}"), F.lit(0)).alias(measure.name + s.suffix) for i, s in enumerate(spans)]
+        .agg(*[F.expr(f"max(_in{i}) as _in{i}") for i in places])
     )
+    counted = per_value.groupBy(key).agg(*[F.expr(f"count_if(_in{i}) as _n{i}") for i in places])
+    return counted.select(key, *[F.expr(f"nullif(_n{i}, 0)").alias(measure.name + s.suffix) for i, s in enumerate(spans)])

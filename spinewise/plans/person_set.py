@@ -14,6 +14,7 @@ from spinewise.functions.recode import (
     ETHNICITY_LEVELS,
     HOSPITAL_ETHNICITY,
     MISSING,
+    NURSING_TYPE,
     SEX,
     SEX_LEVELS,
     any_source_flag,
@@ -28,8 +29,8 @@ from spinewise.operators.agreement import (
     source_coverage,
     within_days,
 )
-from spinewise.operators.harmonise import area_fifth, available, nursing_type, prioritise
-from spinewise.operators.link import Provider, assemble, link_to_spine, waves_wide, zero_fill, zero_to_null
+from spinewise.operators.harmonise import area_fifth, available, prioritise
+from spinewise.operators.link import Provider, assemble, link_to_spine, waves_wide, zero_fill
 from spinewise.plans.study import ENTITY, PERSON, PERSON_ALT, Study
 
 # Columns of the hospital extract kept per person, and the counts that are 0 if unknown.
@@ -136,15 +137,22 @@ def care_home_records(residents: DataFrame, records: DataFrame) -> DataFrame:
     )
 
 
-def link_people(residents: DataFrame, sources: Mapping[str, DataFrame], areas: DataFrame) -> DataFrame:
+def link_people(
+    residents: DataFrame, sources: Mapping[str, DataFrame], areas: DataFrame, check: Sequence[str] | None = None
+) -> DataFrame:
     """Every source on the list of residents, with counts filled, dementia flag and area fifth.
 
-    The key of a source is whichever of the two person-id names it has.
+    The key of a source is whichever of the two person-id names it has. ``check`` names the sources
+    to be tested for one row per person (all of them by default).
     """
     keyed = {n: (df, PERSON if PERSON in df.columns else PERSON_ALT) for n, df in sources.items()}
-    linked = link_to_spine(residents.select(PERSON), keyed, PERSON)
-    linked = zero_to_null(zero_fill(linked, ZERO_IF_UNKNOWN), ["adm_avoid_12h"])
-    linked = linked.withColumn("dementia_sus", either_flag("f_dementia_h36", "c_dementia_h36"))
+    linked = link_to_spine(residents.select(PERSON), keyed, PERSON, check=check)
+    linked = zero_fill(linked, ZERO_IF_UNKNOWN).withColumns(
+        {
+            "adm_avoid_12h": F.nullif("adm_avoid_12h", F.lit(0)),
+            "dementia_sus": either_flag("f_dementia_h36", "c_dementia_h36"),
+        }
+    )
     return area_fifth(linked, areas, "LSOA_PDS", "LSOA_IMD", "IMD_decile")
 
 
@@ -205,11 +213,10 @@ def finalise(linked: DataFrame, study: Study = Study()) -> DataFrame:
             "dementia_final": any_source_flag(_pick(dementia_columns(), DEMENTIA_ORDER)),
             "CH_admission_flag": F.col("CH_admission_flag").cast("int"),
             "wave": F.col("wave").cast("int"),
+            "nur_res": recode("Der_CQC_Service_Type_CHR", NURSING_TYPE),
         }
     ).drop("ethnicity_sus", "EthnicCategory", "gender_PDS", "Gender", "sex_sus", "dob_sus", "DOB_yr_mth_PDS")
-    person = nursing_type(person, "Der_CQC_Service_Type_CHR")
-    person = available(person, {"dob_available": "dob_final", "dod_available": "dod_final"})
-    return zero_fill(person, prefix="n_")
+    return zero_fill(available(person, {"dob_available": "dob_final", "dod_available": "dod_final"}), prefix="n_")
 
 
 def attribute(linked: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
@@ -217,8 +224,8 @@ def attribute(linked: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     return linked.select(PERSON, *[c.alias(n) for n, c in columns.items()])
 
 
-def source_reports(linked: DataFrame, study: Study = Study()) -> dict[str, DataFrame]:
-    """Coverage of each attribute by source, agreement between sources, and the crosstabs."""
+def source_reports(linked: DataFrame, study: Study = Study(), only: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Coverage of each attribute by source, agreement between sources, and the crosstabs, by name."""
     ethnicity, sex = attribute(linked, ethnicity_columns()), attribute(linked, sex_columns())
     birth = prioritise(attribute(linked, birth_columns()), "dob_final", BIRTH_ORDER, None)
     death = prioritise(attribute(linked, death_columns(study)), "dod_final", DEATH_ORDER, None)
@@ -228,20 +235,22 @@ def source_reports(linked: DataFrame, study: Study = Study()) -> dict[str, DataF
     births = {"sus": "dob_sus", "pds": "dob_pds"}
     deaths = {"sus": "dod_sus", "pds": "dod_pds", "chr": "dod_chr"}
     answers = {"sus": "dementia_sus", "ch": "dementia_num"}
-    return {
-        "ethnicity_coverage": source_coverage(ethnicity, ethnic, ETHNICITY_LEVELS, total=False),
-        "ethnicity_agreement": agreement_report(ethnicity, ethnic),
-        "ethnicity_crosstab": crosstab(ethnicity, "ethnicity_sus", "ethnicity_csds", ETHNICITY_LEVELS),
-        "sex_coverage": source_coverage(sex, sexes, SEX_LEVELS),
-        "sex_agreement": agreement_report(sex, sexes),
-        "sex_crosstab_community": crosstab(sex, "gender_PDS", "gender_csds", SEX_LEVELS),
-        "sex_crosstab_hospital": crosstab(sex, "gender_PDS", "sex_sus", SEX_LEVELS),
-        "birth_coverage": availability_coverage(birth, {"pds": "dob_pds", "sus": "dob_sus", "final": "dob_final"}),
-        "birth_agreement": agreement_report(birth, births, missing=None),
-        "death_coverage": availability_coverage(
+    apart = within_days(study.tolerance_days)
+    tables = {
+        "ethnicity_coverage": lambda: source_coverage(ethnicity, ethnic, ETHNICITY_LEVELS, total=False),
+        "ethnicity_agreement": lambda: agreement_report(ethnicity, ethnic),
+        "ethnicity_crosstab": lambda: crosstab(ethnicity, "ethnicity_sus", "ethnicity_csds", ETHNICITY_LEVELS),
+        "sex_coverage": lambda: source_coverage(sex, sexes, SEX_LEVELS),
+        "sex_agreement": lambda: agreement_report(sex, sexes),
+        "sex_crosstab_community": lambda: crosstab(sex, "gender_PDS", "gender_csds", SEX_LEVELS),
+        "sex_crosstab_hospital": lambda: crosstab(sex, "gender_PDS", "sex_sus", SEX_LEVELS),
+        "birth_coverage": lambda: availability_coverage(birth, {"pds": "dob_pds", "sus": "dob_sus", "final": "dob_final"}),
+        "birth_agreement": lambda: agreement_report(birth, births, missing=None),
+        "death_coverage": lambda: availability_coverage(
             death, {"chr": "dod_chr", "pds": "dod_pds", "sus": "dod_sus", "final": "dod_final"}
         ),
-        "death_agreement": agreement_report(death, deaths, difference=within_days(study.tolerance_days), missing=None),
-        "dementia_coverage": source_coverage(dementia, answers),
-        "dementia_agreement": agreement_report(dementia, answers, missing=None),
+        "death_agreement": lambda: agreement_report(death, deaths, difference=apart, missing=None),
+        "dementia_coverage": lambda: source_coverage(dementia, answers),
+        "dementia_agreement": lambda: agreement_report(dementia, answers, missing=None),
     }
+    return {n: tables[n]() for n in (tables if only is None else only)}

@@ -77,25 +77,30 @@ def reporting_frame(final: DataFrame, study: Study = Study()) -> DataFrame:
     )
 
 
-def variable_tables(frame: DataFrame, categorical: Sequence[str], continuous: Sequence[str], study: Study = Study()) -> dict[str, DataFrame]:
-    """The one-row-per-variable tables.
+def variable_tables(
+    frame: DataFrame,
+    categorical: Sequence[str],
+    continuous: Sequence[str],
+    study: Study = Study(),
+    only: Sequence[str] | None = None,
+) -> dict[str, DataFrame]:
+    """The one-row-per-variable tables, by name.
 
     ``categorical`` and ``continuous`` name the remaining variables; see ``remaining_variables``.
     """
-    conditions = [c for p in CONDITION_PREFIXES for c in with_prefix(frame, p)]
+    conditions = list(dict.fromkeys(c for p in CONDITION_PREFIXES for c in with_prefix(frame, p)))
     activity = [*ACTIVITY, *[c for c in with_prefix(frame, "n_") if c not in ACTIVITY]]
     tables = {
-        "conditions": condition_table(frame, list(dict.fromkeys(conditions)), present(frame, CONDITION_SCORES)),
-        "event_share": event_share(frame, activity),
-        "activity": activity_table(frame, activity),
-        "levels": level_table(frame, categorical),
-        "scores": score_table(frame, present(frame, CARE_HOME_SCORES)),
-        "length_of_stay": score_table(frame, ["lengthofstay"], {"lengthofstay": study.longest_stay}),
-        "survey": prefix_stats(frame, "Q3_"),
+        "conditions": lambda: condition_table(frame, conditions, present(frame, CONDITION_SCORES)),
+        "event_share": lambda: event_share(frame, activity),
+        "activity": lambda: activity_table(frame, activity),
+        "levels": lambda: level_table(frame, categorical),
+        "quantiles": lambda: quantiles(frame, continuous),
+        "scores": lambda: score_table(frame, present(frame, CARE_HOME_SCORES)),
+        "length_of_stay": lambda: score_table(frame, ["lengthofstay"], {"lengthofstay": study.longest_stay}),
+        "survey": lambda: prefix_stats(frame, "Q3_"),
     }
-    if continuous:
-        tables["quantiles"] = quantiles(frame, continuous)
-    return tables
+    return {n: tables[n]() for n in (tables if only is None else only)}
 
 
 def remaining_variables(frame: DataFrame) -> list[str]:
@@ -112,11 +117,13 @@ def stratified_frame(final: DataFrame) -> DataFrame:
     return age_band(born, "_born", "index_date").drop("_born")
 
 
-def stratified_tables(frame: DataFrame, outcomes: Mapping[str, str]) -> dict[str, DataFrame]:
+def stratified_tables(frame: DataFrame, outcomes: Mapping[str, str], only: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Mean and sd of the outcomes by stratum, the size of each stratum, and people with events."""
     order = [x for c in STRATA for x in LEVEL_ORDER.get(c, [])]
-    return {
-        "means": in_level_order(stratified_table(frame, outcomes, STRATA), "level", order),
-        "sizes": in_level_order(stratum_sizes(frame, STRATA), "level", order),
-        "event_counts": event_counts_by(frame, [c for c in outcomes if c.startswith("n_")], "IMD_quintile"),
+    counts = [c for c in outcomes if c.startswith("n_")]
+    tables = {
+        "means": lambda: in_level_order(stratified_table(frame, outcomes, STRATA), "level", order),
+        "sizes": lambda: in_level_order(stratum_sizes(frame, STRATA), "level", order),
+        "event_counts": lambda: event_counts_by(frame, counts, "IMD_quintile"),
     }
+    return {n: tables[n]() for n in (tables if only is None else only)}
