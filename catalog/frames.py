@@ -32,11 +32,6 @@ def _ymd(day: str) -> str:
     return f"cast(cast({day} as date) as string)"
 
 
-def _clock(seconds: str) -> str:
-    part = [f"floor(({seconds}) / 3600)", f"floor((({seconds}) % 3600) / 60)", f"(({seconds}) % 60)"]
-    return "concat(" + ", ':', ".join(f"lpad(cast(cast({p} as int) as string), 2, '0')" for p in part) + ")"
-
-
 def _ever(test: str) -> str:
     return f"max(case when {test} then 1 else 0 end)"
 
@@ -162,8 +157,8 @@ FRAMES = {
         from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey""",
     "emergency": f"""
         select {_person('o_custkey')} as pseudonhsno, cast(l_orderkey as string) as uid,
-               {_dmy('l_shipdate')} as arrdate_ec,
-               case when l_quantity < 50 then {_clock('(l_partkey * 7919) % 86400')} end as arrtime_ec,
+               cast(l_shipdate as date) as arrdate_ec,
+               case when l_quantity < 50 then concat(lpad(cast(l_partkey % 24 as string), 2, '0'), ':0', cast(l_linenumber - 1 as string), ':00') end as arrtime_ec,
                case when l_discount > 0.005 then cast(l_quantity * 30 as int) end as tnrdur_ec,
                case when l_tax > 0.075 then 0 else 1 end as cntnondupe,
                case when l_quantity < 49 then case when l_returnflag = 'A' then 1 else 0 end end as cntunplan,

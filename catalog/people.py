@@ -244,7 +244,7 @@ BODIES = {
     "inpatient_any": _inpatient("full"),
     "community_features": f"select * from {windowed('community', 'residents', ALT, PERSON, 'Contact_Date', THREE, COMMUNITY, ALT)}",
     "emergency_features": "select * from "
-    + windowed("(select * from emergency where cntnondupe = 1)", "residents", PERSON, PERSON, _DATE.format(c="arrdate_ec"), THREE, EMERGENCY, PERSON),
+    + windowed("(select * from emergency where cntnondupe = 1)", "residents", PERSON, PERSON, "arrdate_ec", THREE, EMERGENCY, PERSON),
     "outpatient_features": f"select * from {windowed('(select * from outpatient where cntnondupe_op = 1)', 'residents', PERSON, PERSON, 'appdate_op', THREE, OUTPATIENT, PERSON)}",
     "ambulance_features": f"select * from {windowed('ambulance', 'residents', ALT, PERSON, 'call_date', {'_5m': PERIOD, '_wave': WAVE}, AMBULANCE, ALT)}",
     "social_care_record": f"""select {ALT}, Accommodation_Status as Accommodation_Status_ASC, Client_Funding_Status as Client_Funding_Status_ASC,

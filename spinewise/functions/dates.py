@@ -7,20 +7,25 @@ from pyspark.sql import functions as F
 
 from spinewise.functions.missing import col, if_else
 
-# Date layouts accepted for each field order, after separators are made '/'.
+# The usual date layout of each field order, and others accepted once separators are '/'.
+USUAL_LAYOUT = {"dmy": "dd/MM/yyyy", "ymd": "yyyy-MM-dd"}
 DATE_LAYOUTS = {
     "dmy": ["d/M/yyyy", "d/MMM/yyyy", "d/MMMM/yyyy", "ddMMyyyy"],
     "ymd": ["yyyy/M/d", "yyyy/MMM/d", "yyyy/MMMM/d", "yyyyMMdd"],
 }
 # Timestamp layouts accepted, after separators are made '/', ' ' and ':'.
 TIMESTAMP_LAYOUTS = ["yyyy/M/d H:m:s[.SSSSSS]", "yyyyMMddHHmmss"]
-DAY_SECONDS = 24 * 3600
 
 
 def parse_date(c: Column | str, order: str = "dmy") -> Column:
-    """Text to date in day-month-year or year-month-day order; anything else becomes null."""
-    text = F.regexp_replace(F.trim(col(c).cast("string")), r"[^0-9A-Za-z]+", "/")
-    return F.coalesce(*[F.try_to_date(text, layout) for layout in DATE_LAYOUTS[order]])
+    """Text to date in day-month-year or year-month-day order; anything else becomes null.
+
+    The usual layout is tried on the text as it is, so the common case costs one parse.
+    """
+    raw = col(c).cast("string")
+    text = F.regexp_replace(F.trim(raw), r"[^0-9A-Za-z]+", "/")
+    others = [F.try_to_date(text, layout) for layout in DATE_LAYOUTS[order]]
+    return F.coalesce(F.try_to_date(raw, USUAL_LAYOUT[order]), *others)
 
 
 def parse_date_as(c: Column | str, layout: str) -> Column:
@@ -47,11 +52,10 @@ def format_dmy(c: Column | str) -> Column:
 
 
 def seconds_of_day(c: Column | str) -> Column:
-    """'HH:mm:ss' text to seconds since midnight; null if it is not a time of day."""
-    c = col(c).cast("string")
-    part = [F.try_element_at(F.split(c, ":"), F.lit(i)).try_cast("int") for i in (1, 2, 3)]
-    seconds = part[0] * 3600 + part[1] * 60 + F.coalesce(part[2], F.lit(0))
-    return F.when(c.rlike(r"^\d{1,2}:\d{2}(:\d{2})?$") & (seconds < DAY_SECONDS), seconds)
+    """'HH:mm:ss' or 'H:mm:ss' text to seconds since midnight; null if it is not a time of day."""
+    text = F.lpad(col(c).cast("string"), 8, "0")
+    hours, minutes, seconds = [F.substring(text, i, 2).cast("int") for i in (1, 4, 7)]
+    return F.when(text.rlike(r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d$"), hours * 3600 + minutes * 60 + seconds)
 
 
 def out_of_hours_by_hour(ts: Column | str) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spinewise.functions.missing import col, count_if_strict, if_else, round_even, row_any, row_sum
@@ -115,13 +115,14 @@ def level_table(df: DataFrame, columns: Sequence[str], unknown: str | None = UNK
     )
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75), buckets: int = 200) -> DataFrame:
+def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75), buckets: int = 64) -> DataFrame:
     """Exact quantiles with linear interpolation: variable, known, and one column p<percent> per prob.
 
-    Equal values are counted first. Approximate quantiles then cut the distinct values of each
-    variable into ranges of about the same size, ranks are counted inside each range, and the counts
-    of the ranges before it are added. So no task sees all the values of a variable, and the
-    approximation decides only where the cuts lie.
+    Equal values are counted first. Approximate quantiles cut the distinct values of each variable
+    into ranges, and the rows in each range are counted. Only the ranges that hold a wanted rank are
+    then ranked value by value. So no task sees all the values of a variable, and the approximation
+    decides only where the cuts lie: each range travels with its bounds and the exact number of rows
+    before it.
     """
     long = (
         df.select(*[F.col(c).cast("double").alias(c) for c in columns])
@@ -129,33 +130,42 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0
         .where(F.col("value").isNotNull())
     )
     counts = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranges = _ranges(counts, buckets)
+    wanted = [f"{edge}((known - 1) * {float(p)}D)" for p in probs for edge in ("floor", "ceil")]
+    holding = ranges.where(" or ".join(f"({t} >= _before and {t} < _before + _held)" for t in wanted))
+
+    # At most two ranges per variable and prob.
+    inside = (
+        counts.join(F.broadcast(holding.withColumnRenamed("variable", "_variable")), F.col("variable") == F.col("_variable"))
+        .where("(_low is null or value > _low) and (_high is null or value <= _high)")
+        .withColumn("_upto", F.expr("_before + sum(n) over (partition by variable, _range order by value rows unbounded preceding)"))
+    )
+    aggs, out = [], []
+    for i, p in enumerate(probs):
+        at = f"((known - 1) * {float(p)}D)"
+        aggs += [F.expr(f"min(if(_upto > {edge}{at}, value, null)) as _{edge}{i}") for edge in ("floor", "ceil")]
+        out.append(F.expr(f"_floor{i} + ({at} - floor{at}) * (_ceil{i} - _floor{i})").alias(f"p{round(100 * p)}"))
+    return inside.groupBy("variable").agg(F.max("known").alias("known"), *aggs).select("variable", "known", *out)
+
+
+def _ranges(counts: DataFrame, buckets: int) -> DataFrame:
+    """Ranges ``_low < value <= _high`` of each variable with the rows held and the rows before."""
     cuts = [i / buckets for i in range(1, buckets)]
-    # Both broadcast tables are bounded by the arguments: a row per variable, and per variable and range.
     edges = counts.groupBy("variable").agg(F.percentile_approx("value", cuts, 100 * buckets).alias("_edges"))
-    placed = counts.join(F.broadcast(edges), "variable").select(
-        "variable", "value", "n", F.size(F.filter("_edges", lambda e: e < F.col("value"))).alias("_range")
-    )
-    by_range = Window.partitionBy("variable").orderBy("_range")
-    ranges = placed.groupBy("variable", "_range").agg(F.sum("n").alias("_held"))
-    ranges = ranges.select(
-        F.col("variable").alias("_variable"),
-        F.col("_range").alias("_at"),
-        (F.sum("_held").over(by_range) - F.col("_held")).alias("_before"),
-        F.sum("_held").over(Window.partitionBy("variable")).alias("known"),
+    # One row per variable.
+    placed = counts.join(F.broadcast(edges), "variable").withColumn("_range", F.expr("size(filter(_edges, e -> e < value))"))
+    held = placed.groupBy("variable", "_range").agg(
+        F.expr("any_value(if(_range > 0, get(_edges, _range - 1), null)) as _low"),
+        F.expr("any_value(get(_edges, _range)) as _high"),
+        F.sum("n").alias("_held"),
     )
-    inside = Window.partitionBy("variable", "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.withColumn("_upto", F.sum("n").over(inside)).join(
-        F.broadcast(ranges), (F.col("variable") == F.col("_variable")) & (F.col("_range") == F.col("_at"))
+    # At most as many rows per variable as there are ranges.
+    return held.withColumns(
+        {
+            "_before": F.expr("sum(_held) over (partition by variable order by _range) - _held"),
+            "known": F.expr("sum(_held) over (partition by variable)"),
+        }
     )
-    upto = F.col("_before") + F.col("_upto")
-    aggs, out = [], []
-    for i, p in enumerate(probs):
-        at = (F.col("known") - 1) * F.lit(float(p))
-        aggs.append(F.min(F.when(upto > F.floor(at), F.col("value"))).alias(f"_low{i}"))
-        aggs.append(F.min(F.when(upto > F.ceil(at), F.col("value"))).alias(f"_high{i}"))
-        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
-        out.append((low + (at - F.floor(at)) * (high - low)).alias(f"p{round(100 * p)}"))
-    return ranked.groupBy("variable").agg(F.max("known").alias("known"), *aggs).select("variable", "known", *out)
 
 
 def prefix_stats(df: DataFrame, prefix: str, digits: int = 2) -> DataFrame:

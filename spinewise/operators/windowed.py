@@ -123,16 +123,18 @@ def _within_bounds(events: DataFrame, spine: DataFrame, date: str, spans: Sequen
 
 
 def _per_day(events: DataFrame, key: str, date: str, measures: Sequence[Measure]) -> DataFrame:
-    """One row per person and day: rows, and per measure its hits (or sum) and its unknown rows."""
-    parts = [F.count(F.lit(1)).alias("_rows")]
-    for i, m in enumerate(measures):
-        if m.kind == "sum":
-            parts.append(F.coalesce(F.sum(m.value), F.lit(0)).alias(f"_hit{i}"))
-        elif m.value is not None:
-            parts.append(F.count_if(m.value).alias(f"_hit{i}"))
-        if m.strict:
-            parts.append(F.count_if(m.value.isNull()).alias(f"_unknown{i}"))
-    return events.groupBy(F.col(key), F.col(date).cast("date").alias("_day")).agg(*parts)
+    """One row per person and day: rows, and per measure its hits (or sum) and its known rows.
+
+    The values are projected first, so that each is worked out once per event.
+    """
+    valued = [(i, m) for i, m in enumerate(measures) if m.value is not None]
+    values = [m.value.alias(f"_v{i}") for i, m in valued]
+    slim = events.select(key, F.col(date).cast("date").alias("_day"), *values)
+    parts = ["count(1) as _rows"]
+    for i, m in valued:
+        hits = f"coalesce(sum(_v{i}), 0)" if m.kind == "sum" else f"count_if(_v{i})"
+        parts += [f"{hits} as _hit{i}"] + [f"count(_v{i}) as _known{i}"] * m.strict
+    return slim.groupBy(key, "_day").agg(*[F.expr(p) for p in parts])
 
 
 def _in_span(span: Span) -> Column:
@@ -186,7 +188,7 @@ def window_features(
         parts = ["_rows"]
         for i, m in enumerate(additive):
             if m.wanted(span):
-                parts += [f"_hit{i}"] * (m.value is not None) + [f"_unknown{i}"] * m.strict
+                parts += [f"_hit{i}"] * (m.value is not None) + [f"_known{i}"] * m.strict
         sums += [F.expr(f"sum(if(_in{s}, {p}, null)) as {p}_{s}") for p in parts]
     totals = flagged.groupBy(key).agg(*sums)
 
@@ -213,7 +215,7 @@ def _final(m: Measure, i: int | None, s: int, name: str) -> Column:
     if m.kind == "any":
         hits = f"cast({hits} > 0 as int)"
     if m.strict:
-        hits = f"if(_unknown{i}_{s} = 0, {hits}, null)"
+        hits = f"if(_known{i}_{s} = _rows_{s}, {hits}, null)"
     return F.expr(hits).alias(name)
 
 
