@@ -178,7 +178,7 @@ FRAMES = {
                case when o_totalprice < 20000 then null when o_orderstatus = 'F' then 1 else 0 end as ngproc_op
         from {{orders}}""",
     "ambulance": f"""
-        select {_person('user_id')} as Der_Pseudo_NHS_Number, cast(ts as date) - 9600 as call_date,
+        select {_person('user_id')} as Der_Pseudo_NHS_Number, cast(ts as date) - 9800 + cast(event_id % 500 as int) as call_date,
                substr(cast(ts as string), 1, 19) as time_call_connected,
                case when value > 15 then substr(cast(ts as string), 1, 19) end as time_resource_arrived_on_scene,
                case event_type when 'error' then 'ZZZZZ' when 'click' then 'ED' when 'view' then ''
