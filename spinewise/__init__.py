@@ -1 +1,74 @@
 """Cohort linkage and reporting on Spark DataFrames."""
+
+from spinewise.operators.agreement import (
+    agreement_counts,
+    agreement_report,
+    all_source_agreement,
+    availability_coverage,
+    crosstab,
+    distinct_rows,
+    frequency,
+    link_checks,
+    pairwise_agreement,
+    source_coverage,
+    tally,
+    within_days,
+)
+from spinewise.operators.asof import asof_filled, asof_record, asof_ties, latest_filled
+from spinewise.operators.harmonise import (
+    age_band,
+    anchor_flag,
+    area_fifth,
+    available,
+    date_disagreement,
+    harmonise,
+    nursing_type,
+    prioritise,
+)
+from spinewise.operators.link import (
+    Provider,
+    assemble,
+    checked_unique,
+    duplicate_keys,
+    entity_link,
+    link_to_spine,
+    lookup,
+    natural_left_join,
+    waves_wide,
+    zero_fill,
+    zero_to_null,
+)
+from spinewise.operators.report import (
+    activity_table,
+    binary_table,
+    column_sums,
+    condition_table,
+    dictionary,
+    event_counts_by,
+    event_share,
+    in_level_order,
+    level_table,
+    prefix_stats,
+    quantiles,
+    row_scores,
+    score_table,
+    side_by_side,
+    stratified_table,
+    stratum_sizes,
+)
+from spinewise.operators.windowed import (
+    Measure,
+    Span,
+    anchor_to_date,
+    any_where,
+    between_anchors,
+    count_where,
+    distinct_values,
+    fixed_period,
+    look_back,
+    row_count,
+    total,
+    window_features,
+)
+
+__all__ = [name for name in dir() if not name.startswith("_") and name not in ("operators", "functions")]

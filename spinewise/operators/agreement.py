@@ -14,7 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spinewise.functions.missing import known_in_all
+from spinewise.functions.missing import known_in_all, n_distinct
 from spinewise.functions.recode import MISSING, availability, differs
 
 TOTAL = "Total"
@@ -214,12 +214,11 @@ def link_checks(df: DataFrame, keys: Sequence[str] = (), known: Sequence[str] =
     ``rows``; ``distinct_<k>`` per key, a missing key counting as one; ``known_<c>`` and
     ``missing_<c>`` per column; and one count per named test.
     """
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs = [F.count(F.lit(1)).alias("rows"), *[n_distinct(k).alias(f"distinct_{k}") for k in keys]]
     for c in known:
         aggs += [F.count(c).alias(f"known_{c}"), F.count_if(F.col(c).isNull()).alias(f"missing_{c}")]
     aggs += [F.count_if(test).alias(name) for name, test in tests.items()]
-    counts = df.agg(*aggs)
-    return counts.withColumns({f"distinct_{k}": distinct_rows(df, [k]).scalar() for k in keys})
+    return df.agg(*aggs)
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:

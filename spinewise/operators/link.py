@@ -160,8 +160,9 @@ def entity_link(
 ) -> tuple[DataFrame, DataFrame]:
     """The entity table with every source attached, and the people with their entity's columns.
 
-    An entity may hold a large share of the people. The entity table gets an exchange of its own, so
-    that both sides of the join to people are plain shuffles and Spark can split such an entity.
+    An entity may hold a large share of the people. Spark splits such an entity if both sides of the
+    join come straight from a shuffle. The entity table is spread by another value of the key first,
+    since it would otherwise arrive already grouped by key from the joins that made it.
     """
     entity_level = link_to_spine(checked_unique(entities, key, "entities"), sources, key)
-    return entity_level, people.join(entity_level.repartition(key), key, "left")
+    return entity_level, people.join(entity_level.repartition(F.xxhash64(key)), key, "left")

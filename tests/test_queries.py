@@ -66,3 +66,58 @@ def test_reports_share_one_scan(spark):
     for name in ("agreement_report", "source_coverage", "pairwise_agreement"):
         plan = plan_of(queries()[name](spark, SMALL))
         assert plan.count("documents.parquet") == 1
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Thresholds low enough that the skew of a small table counts as skew."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k in settings:
+        spark.conf.unset(k)
+
+
+def final_plan(df) -> str:
+    """The plan after it ran, with what Spark changed on the way."""
+    df._jdf.queryExecution().toRdd().count()
+    return plan_of(df)
+
+
+def test_a_hot_person_is_split_where_values_meet_the_spine(spark, small_partitions):
+    from pyspark.sql import functions as F
+
+    from spinewise.operators.windowed import distinct_values, look_back, window_features
+
+    who = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500)
+    events = spark.range(0, 60000, 1, 16).select(
+        who.alias("who"), F.expr("date'2023-01-01' + cast(id % 30 as int)").alias("day"), F.col("id").alias("visit")
+    )
+    spine = spark.range(0, 500, 1, 4).select(F.col("id").alias("who"), F.lit("2023-02-01").cast("date").alias("index"))
+    got = window_features(events, spine, "who", "day", [look_back("index")], [distinct_values("n", "visit")])
+    assert "skew=true" in final_plan(got)
+    counts = {r.who: r.n for r in got.collect()}
+    assert counts[0] == 20000 + 80 and sum(counts.values()) == 60000
+
+
+def test_a_hot_entity_is_split_where_people_meet_it(spark, small_partitions):
+    from pyspark.sql import functions as F
+
+    from spinewise.operators.link import entity_link
+
+    people = spark.range(0, 60000, 1, 16).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 200).alias("home"), F.sha2(F.col("id").cast("string"), 256).alias("note")
+    )
+    homes = spark.range(0, 200, 1, 2).select(F.col("id").alias("home"))
+    beds = homes.withColumn("beds", F.col("home") % 60)
+    _, linked = entity_link(people, homes, {"beds": (beds, "home")}, "home")
+    assert "skew=true" in final_plan(linked)
+    assert linked.count() == 60000
