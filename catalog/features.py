@@ -113,7 +113,7 @@ def anchor_flags(spark, d):
 def window_features_all(spark, d):
     spine = frame(spark, d, "spine")
     features = _measured("", "_5m", "_wave")(spark, d)
-    linked = link_to_spine(spine.select("person_id", "segment"), {"activity": (features, "person_id")}, "person_id")
+    linked = link_to_spine(spine.select("person_id", "segment"), {"activity": (features, "person_id")}, "person_id", check=[])
     return zero_fill(linked, prefix="n_")
 
 

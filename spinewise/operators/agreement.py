@@ -57,29 +57,18 @@ def source_coverage(
     counts = stacked.groupBy("level").agg(
         *[F.count_if(F.col("_column") == c).alias(f"n_{s}") for s, c in sources.items()]
     )
-    sums = counts.agg(*[F.sum(f"n_{s}").alias(f"n_{s}") for s in sources])
-    shared = counts.select(
-        "level",
-        *[
-            x
-            for s in sources
-            for x in (
-                F.col(f"n_{s}"),
-                _share(F.col(f"n_{s}"), sums.select(f"n_{s}").scalar()).alias(f"percent_{s}"),
-            )
-        ],
-    )
+    # Every row has one level in every source, so all sources share one total.
+    rows = df.agg(F.count(F.lit(1)).alias("_all"))
+    shared = counts.select("level", *_with_shares([(f"n_{s}", F.col(f"n_{s}"), rows.scalar()) for s in sources]))
     if not total:
         return shared
-    bottom = sums.select(
-        F.lit(TOTAL).alias("level"),
-        *[
-            x
-            for s in sources
-            for x in (F.col(f"n_{s}"), _share(F.col(f"n_{s}"), F.col(f"n_{s}")).alias(f"percent_{s}"))
-        ],
-    )
-    return shared.unionByName(bottom)
+    everything = [(f"n_{s}", F.col("_all"), F.col("_all")) for s in sources]
+    return shared.unionByName(rows.select(F.lit(TOTAL).alias("level"), *_with_shares(everything)))
+
+
+def _with_shares(cells: Sequence[tuple[str, Column, Column]]) -> list[Column]:
+    """Per (n_<source>, count, total): the count and its share as percent_<source>."""
+    return [x for n, c, t in cells for x in (c.alias(n), _share(c, t).alias("percent" + n.removeprefix("n")))]
 
 
 def _coverage_of_levels(df, sources, levels, total) -> DataFrame:

@@ -29,6 +29,13 @@ def _ready(history: DataFrame, key: str, start: str) -> DataFrame:
     )
 
 
+def _until_last(history: DataFrame, spine: DataFrame, start: str, anchor: str) -> DataFrame:
+    """Leave out records later than every anchor; the bound is a scalar subquery and reaches the scan."""
+    dtype = dict(history.dtypes)[start]
+    last = spine.agg(F.max(F.col(anchor).cast("date"))).scalar()
+    return history.where(F.col(start) <= (last.cast(dtype) if dtype.startswith("timestamp") else last))
+
+
 def _at_anchor(daily: DataFrame, spine: DataFrame, key: str, spine_key: str, anchor: str) -> DataFrame:
     anchors = spine.select(F.col(spine_key).alias("_person"), F.col(anchor).cast("date").alias("_anchor"))
     return daily.join(
@@ -79,7 +86,7 @@ def asof_filled(
     if spine is None:
         found = ready.where(F.col("_day") <= F.col(anchor).cast("date")).groupBy(key).agg(*best)
     else:
-        daily = ready.groupBy(key, "_day").agg(*best)
+        daily = _until_last(ready, spine, start, anchor).groupBy(key, "_day").agg(*best)
         near = _at_anchor(daily, spine, key, spine_key or key, anchor)
         kept = [f"_fill_{c}" for c in filled] + (["_latest"] if exempt else [])
         found = near.groupBy(key).agg(*[F.min(c).alias(c) for c in kept])
@@ -107,7 +114,7 @@ def asof_ties(
         latest = valid.groupBy(key).agg(F.max(start).alias("_latest"))
         source = valid
     else:
-        daily = ready.groupBy(key, "_day").agg(F.max(start).alias("_start"))
+        daily = _until_last(ready, spine, start, anchor).groupBy(key, "_day").agg(F.max(start).alias("_start"))
         near = _at_anchor(daily, spine, key, spine_key or key, anchor)
         latest = near.groupBy(key).agg(F.max("_start").alias("_latest"))
         source = ready

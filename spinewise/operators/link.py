@@ -137,7 +137,8 @@ def waves_wide(
     """
     parts = []
     for p in providers:
-        mine = people.where(p.people)
+        everyone = people.where(p.people)
+        mine = everyone.where(F.col(p.person_key).isNotNull())
         rows = records.where(p.records)
         if p.record_id is not None:
             rows = rows.withColumn(p.record_key, p.record_id)
@@ -147,7 +148,9 @@ def waves_wide(
                 cut = checked_unique(cut, p.record_key, f"wave {number}")
             cut = add_suffix(cut, suffix, keep=[p.record_key]).withColumnRenamed(p.record_key, "_key")
             mine = mine.join(cut, F.col(p.person_key) == F.col("_key"), "left").drop("_key")
+        # People without an id match nothing; they stay out of the joins, where they would pile up.
         parts.append(mine.drop(*p.drop_people))
+        parts.append(everyone.where(F.col(p.person_key).isNull()).drop(*p.drop_people))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return lead_with(stacked, *lead) if lead else stacked
 

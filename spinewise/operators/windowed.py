@@ -122,19 +122,30 @@ def _within_bounds(events: DataFrame, spine: DataFrame, date: str, spans: Sequen
     )
 
 
-def _per_day(events: DataFrame, key: str, date: str, measures: Sequence[Measure]) -> DataFrame:
-    """One row per person and day: rows, and per measure its hits (or sum) and its known rows.
+def _slim(events: DataFrame, key: str, date: str, measures: Sequence[Measure]) -> DataFrame:
+    """Person, day and the value of each measure, so that a value is worked out once per event."""
+    values = [m.value.alias(f"_v{i}") for i, m in enumerate(measures) if m.value is not None]
+    return events.select(key, F.col(date).cast("date").alias("_day"), *values)
 
-    The values are projected first, so that each is worked out once per event.
-    """
-    valued = [(i, m) for i, m in enumerate(measures) if m.value is not None]
-    values = [m.value.alias(f"_v{i}") for i, m in valued]
-    slim = events.select(key, F.col(date).cast("date").alias("_day"), *values)
+
+def _per_day(events: DataFrame, key: str, date: str, measures: Sequence[Measure]) -> DataFrame:
+    """One row per person and day: rows, and per measure its hits (or sum) and its known rows."""
     parts = ["count(1) as _rows"]
-    for i, m in valued:
-        hits = f"coalesce(sum(_v{i}), 0)" if m.kind == "sum" else f"count_if(_v{i})"
-        parts += [f"{hits} as _hit{i}"] + [f"count(_v{i}) as _known{i}"] * m.strict
-    return slim.groupBy(key, "_day").agg(*[F.expr(p) for p in parts])
+    for i, m in enumerate(measures):
+        if m.value is not None:
+            hits = f"coalesce(sum(_v{i}), 0)" if m.kind == "sum" else f"count_if(_v{i})"
+            parts += [f"{hits} as _hit{i}"] + [f"count(_v{i}) as _known{i}"] * m.strict
+    return _slim(events, key, date, measures).groupBy(key, "_day").agg(*[F.expr(p) for p in parts])
+
+
+def _per_event(events: DataFrame, key: str, date: str, measures: Sequence[Measure]) -> DataFrame:
+    """The columns of ``_per_day`` for every event by itself."""
+    parts = ["1L as _rows"]
+    for i, m in enumerate(measures):
+        if m.value is not None:
+            hits = f"coalesce(_v{i}, 0)" if m.kind == "sum" else f"if(_v{i}, 1L, 0L)"
+            parts += [f"{hits} as _hit{i}"] + [f"if(_v{i} is null, 0L, 1L) as _known{i}"] * m.strict
+    return _slim(events, key, date, measures).select(key, "_day", *[F.expr(p) for p in parts])
 
 
 def _in_span(span: Span) -> Column:
@@ -166,6 +177,7 @@ def window_features(
     keep: str = "any",
     spine_key: str | None = None,
     prune: bool = True,
+    collapse: bool = True,
 ) -> DataFrame:
     """Per person, every measure in every window it is wanted for.
 
@@ -173,6 +185,10 @@ def window_features(
     the suffix given as ``keep``. The measures of a window in which a person has no event are null,
     not 0. ``date`` is a date or timestamp column. ``prune`` derives the first and last useful day
     from the spine and filters the events by them. Events without a person are left out.
+
+    ``collapse=False`` skips the step to one row per person and day. That saves a shuffle where the
+    spine is small enough for Spark to broadcast; elsewhere a person with very many events would
+    reach the join with all of them.
     """
     spine_key = spine_key or key
     events = events.where(F.col(key).isNotNull())
@@ -180,7 +196,7 @@ def window_features(
         events = _within_bounds(events, spine, date, spans)
 
     additive = [m for m in measures if m.kind != "distinct"]
-    daily = _per_day(events, key, date, additive)
+    daily = (_per_day if collapse else _per_event)(events, key, date, additive)
     flagged = _flagged(daily, spine, key, spine_key, spans, [c for c in daily.columns if c not in (key, "_day")])
 
     sums = []

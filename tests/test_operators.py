@@ -98,9 +98,9 @@ def test_one_person_with_a_third_of_all_rows_against_brute_force(spark):
     spans = [windowed.look_back("index_wave1"), windowed.fixed_period("2023-06-01", "2023-10-31"), windowed.between_anchors("index_wave1", "index_wave2")]
     measures = [windowed.row_count("n"), windowed.count_where("hit", F.col("flag") == 1, strict=True), windowed.distinct_values("codes", "code")]
     expected = brute(data, people, [(INDEX - timedelta(365), INDEX, True), (date(2023, 6, 1), date(2023, 10, 31), False), (INDEX, SECOND, True)])
-    for threshold in ("-1", "10485760"):
+    for threshold, collapse in (("-1", True), ("10485760", True), ("10485760", False)):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-        got = windowed.window_features(events(spark, data), anchors, "who", "day", spans, measures)
+        got = windowed.window_features(events(spark, data), anchors, "who", "day", spans, measures, collapse=collapse)
         assert {r[0]: tuple(r)[1:] for r in got.collect()} == expected
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -188,7 +188,7 @@ def test_zero_fill_skips_absent_columns(spark):
 
 
 def test_waves_side_by_side(spark):
-    people = spark.createDataFrame([("p1", "N", "n1", None), ("p2", "P", None, "AB"), ("p3", "N", "n3", None)], "who string, prov string, idn string, idp string")
+    people = spark.createDataFrame([("p1", "N", "n1", None), ("p2", "P", None, "AB"), ("p3", "N", "n3", None), ("p4", "N", None, None)], "who string, prov string, idn string, idp string")
     recs = spark.createDataFrame(
         [("n1", None, 1, 1, 10), ("n1", None, 1, 2, 11), (None, "ab", 2, 2, 20), ("n9", None, 1, 1, 99)],
         "client string, hashed string, provider int, wave int, score int",
@@ -202,7 +202,7 @@ def test_waves_side_by_side(spark):
         wave="wave", lead=["prov", "who"],
     )
     assert got.columns == ["prov", "who", "idn", "idp", "score", "score_w2"]
-    assert rows(got.select("who", "score", "score_w2")) == [("p1", 10, 11), ("p2", None, 20), ("p3", None, None)]
+    assert rows(got.select("who", "score", "score_w2")) == [("p1", 10, 11), ("p2", None, 20), ("p3", None, None), ("p4", None, None)]
 
 
 def test_entity_link_keeps_people_of_a_hot_entity(spark):
