@@ -17,6 +17,7 @@ from spinewise.plans.reports import (
     variable_tables,
 )
 from spinewise.plans.study import Study
+from spinewise.sources import tables
 
 INDEX, SECOND = date(2023, 3, 1), date(2023, 8, 1)
 
@@ -190,7 +191,7 @@ def test_social_care_record(spark, residents):
 
 
 @pytest.fixture(scope="module")
-def pipeline(spark, residents, inpatient):
+def pipeline(spark, residents, inpatient, tmp_path_factory):
     flags = "c_dementia_h36 e_diab_comp_h36 e_diab_uncomp_h36 e_anaemia_bloodloss_h36 e_anaemia_deficiency_h36 e_ht_comp_h36 e_ht_uncomp_h36 f_anxdep_h36 f_delirium_h36 f_dementia_h36 f_dependence_h36 f_fallsfract_h36 f_incont_h36 f_mobprob_h36 f_pulcers_h36 f_senility_h36 nr_elix_h36 nr_elix_2_h36".split()
     counts = "adm_em_12h adm_el_12h adm_avoid_12h bedsore_12h lrti_12h urti_12h destch_12h".split()
     extract = inpatient.where("pseudonhsno in ('a', 'b')")
@@ -240,12 +241,19 @@ def pipeline(spark, residents, inpatient):
         },
         areas,
     )
-    person = finalise(linked)
+
+    def stage(df, name):
+        path = str(tmp_path_factory.mktemp("stages") / name)
+        tables.write_frame(df, path)
+        return tables.read_frame(spark, path)
+
+    linked = stage(linked, "linked")
+    person = stage(finalise(linked), "person")
     homes = spark.createDataFrame([("h1",), ("h2",)], "pseudocqcid string")
     survey = spark.createDataFrame([("h1", "2023", 3.0), ("h3", "2023", 9.0)], "pseudocqcid string, RecordedDate string, Q3_a double")
     regulator = spark.createDataFrame([("h1", "2010-01-01", "01/02/2020", 24, 10.5, "x"), ("h2", "bad", None, None, None, "x")], "pseudocqcid string, Location_HSCA_start_date string, Publication_Date string, Care_homes_beds int, years_since_registration double, Care_home_ string")
     level, final = final_set(person, homes, survey, regulator, presets.residency_per_home(residency))
-    return linked.cache(), person.cache(), level.cache(), final.cache()
+    return linked, person, stage(level, "homes"), stage(final, "final")
 
 
 def test_person_set(pipeline):
@@ -268,16 +276,16 @@ def test_person_set(pipeline):
 
 def test_source_reports(pipeline):
     linked, *_ = pipeline
-    tables = {n: t.collect() for n, t in source_reports(linked).items()}
-    sex = {r.level: r for r in tables["sex_coverage"]}
+    made = {n: t.collect() for n, t in source_reports(linked).items()}
+    sex = {r.level: r for r in made["sex_coverage"]}
     assert (sex["Male"].n_PDS, sex["Female"].n_PDS, sex["Missing"].n_PDS, sex["Total"].n_PDS) == (1, 1, 2, 4)
-    ethnicity = {r.level: r for r in tables["ethnicity_coverage"]}
+    ethnicity = {r.level: r for r in made["ethnicity_coverage"]}
     assert ethnicity["Asian or Asian British"].n_sus == 0 and "Total" not in ethnicity
-    death = {r.level: r for r in tables["death_coverage"]}
+    death = {r.level: r for r in made["death_coverage"]}
     assert (death["Available"].n_sus, death["Available"].n_pds, death["Available"].n_chr, death["Available"].n_final) == (1, 1, 1, 1)
-    agreed = {r.level: r for r in tables["death_agreement"]}
+    agreed = {r.level: r for r in made["death_agreement"]}
     assert (agreed["Same"].n_all, agreed["Total"].n_all) == (1, 1)
-    birth = {r.level: r for r in tables["birth_agreement"]}
+    birth = {r.level: r for r in made["birth_agreement"]}
     assert (birth["Same"].n_sus_pds, birth["Different"].n_sus_pds) == (1, 0)
 
 
@@ -296,16 +304,16 @@ def test_reports(pipeline):
     a = {r.pseudonhsno: r for r in frame.collect()}["a"]
     assert (a.barthel_score, a.cogimp_sus, a.n_frailty_conditions) == (50.0, 1, 8)
     assert "IMD_quintile" in remaining_variables(frame) and "n_cs_appts" not in remaining_variables(frame)
-    tables = variable_tables(frame, ["IMD_quintile", "sex_final"], ["Years_Since_Reg_CQC"])
-    stay = tables["length_of_stay"].collect()[0]
+    made = variable_tables(frame, ["IMD_quintile", "sex_final"], ["Years_Since_Reg_CQC"])
+    stay = made["length_of_stay"].collect()[0]
     assert (stay.known, stay.mean) == (1, 100.0)
-    conditions = {r.variable: r for r in tables["conditions"].collect()}
+    conditions = {r.variable: r for r in made["conditions"].collect()}
     assert (conditions["c_dementia_h36"].n, conditions["c_dementia_h36"].known) == (1, 2)
     assert conditions["nr_elix_h36"].mean == 0.5
-    assert {r.total_n for r in tables["event_share"].collect()} == {4}
-    assert rows(tables["levels"].where("variable = 'IMD_quintile' and level = 'Missing'").select("n", "percent")) == [(2, 0.5)]
-    assert tables["survey"].collect()[0].Q3_a_na_count == 2
-    assert tables["quantiles"].collect()[0].p50 == 10.5
+    assert {r.total_n for r in made["event_share"].collect()} == {4}
+    assert rows(made["levels"].where("variable = 'IMD_quintile' and level = 'Missing'").select("n", "percent")) == [(2, 0.5)]
+    assert made["survey"].collect()[0].Q3_a_na_count == 2
+    assert made["quantiles"].collect()[0].p50 == 10.5
     only = variable_tables(frame, [], [], only=["survey"])
     assert list(only) == ["survey"]
 
@@ -314,10 +322,10 @@ def test_stratified_reports(pipeline):
     frame = stratified_frame(pipeline[3])
     got = {r.pseudonhsno: (r.age_cat, r.dementia_combo) for r in frame.collect()}
     assert got == {"a": (">=80", 1), "b": (None, 1), "c": (None, None), "d": (None, None)}
-    tables = stratified_tables(frame, {"n_cs_appts": "Appointments", "nr_elix_h36": "Conditions"})
-    means = {(r.variable, r.stratum, r.level): (r.known, r.mean) for r in tables["means"].collect()}
+    made = stratified_tables(frame, {"n_cs_appts": "Appointments", "nr_elix_h36": "Conditions"})
+    means = {(r.variable, r.stratum, r.level): (r.known, r.mean) for r in made["means"].collect()}
     assert means["n_cs_appts", "Overall", "Overall"] == (4, 0.25) and means["nr_elix_h36", "nur_res", "(Missing)"] == (0, None)
-    counts = {r.label: r.n_cs_appts for r in tables["event_counts"].collect()}
+    counts = {r.label: r.n_cs_appts for r in made["event_counts"].collect()}
     assert counts["Overall"] == 1 and counts["Most deprived fifth"] == 1 and counts["(Missing)"] == 0
 
 
