@@ -7,8 +7,8 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from catalog.frames import frame, load, with_frames
-from spinewise.functions.dates import cap_date
-from spinewise.functions.recode import any_source_flag, bed_capacity, differs, either_flag, recode, years_registered
+from spinewise.functions.dates import cap_date, out_of_hours_by_hour
+from spinewise.functions.recode import any_source_flag, bed_capacity, differs, either_flag, years_registered
 from spinewise.operators.agreement import (
     agreement_report,
     all_source_agreement,
@@ -121,6 +121,16 @@ def level_frequency(spark, d):
     return frequency(frame(spark, d, "activity"), "priority")
 
 
+def valid_frequency(spark, d):
+    return source_coverage(frame(spark, d, "sources"), {"quality": "quality", "length": "long_text"}, valid=True)
+
+
+def out_of_hours_check(spark, d):
+    """Calls marked out of hours though their hour lies well inside the day: none are expected."""
+    hour, marked = F.hour("event_time"), out_of_hours_by_hour("event_time")
+    return link_checks(frame(spark, d, "calls"), known=["value"], n_out_of_hours=marked, n_to_check=marked & (hour < 18) & (hour > 8))
+
+
 def crosstab_totals(spark, d):
     a = frame(spark, d, "activity").select("status", F.col("priority"))
     return crosstab(a, "status", "priority", ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"])
@@ -199,6 +209,8 @@ QUERIES = {
     "source_coverage_found_levels": coverage_of_found,
     "availability_coverage": availability,
     "frequency": level_frequency,
+    "frequency_valid": valid_frequency,
+    "out_of_hours_check": out_of_hours_check,
     "crosstab_totals": crosstab_totals,
     "pairwise_agreement": pairs,
     "all_agreement": everyone,
@@ -243,7 +255,7 @@ def side_by_side(parts: dict[str, str]) -> str:
     return f"select t0.level, {cols} from ({parts[first]}) t0 {joins}"
 
 
-def covered(table: str, sources: dict[str, str], levels: list[str] | None, total: bool = True) -> str:
+def covered(table: str, sources: dict[str, str], levels: list[str] | None, total: bool = True, valid: bool = False) -> str:
     listed = (
         "select * from (values " + ", ".join(f"('{x}')" for x in levels) + ") v(level)"
         if levels
@@ -255,6 +267,12 @@ def covered(table: str, sources: dict[str, str], levels: list[str] | None, total
         for s, c in sources.items()
     )
     totals = ", ".join(f"count(*) as n_{s}, count(*) / count(*) as percent_{s}" for s in sources)
+    if valid:
+        cols += "".join(
+            f", case when l.level is not null then (select count(*) filter (where cast({c} as string) = l.level) / count({c}) from {table}) end as valid_percent_{s}"
+            for s, c in sources.items()
+        )
+        totals += "".join(f", count({c}) / count({c}) as valid_percent_{s}" for s, c in sources.items())
     bottom = f" union all select 'Total', {totals} from {table}" if total else ""
     return f"select l.level, {cols} from ({listed}) l{bottom}"
 
@@ -317,6 +335,12 @@ CHECKS = {
     "frequency": f"""{with_frames('activity')}
         select priority as level, count(*) as n, count(*) / (select count(*) from activity) as percent from activity group by priority
         union all select 'Total', count(*), count(*) / count(*) from activity""",
+    "frequency_valid": f"{with_frames('sources')} {covered('sources', {'quality': 'quality', 'length': 'long_text'}, None, valid=True)}",
+    "out_of_hours_check": f"""{with_frames('calls')},
+        marked as (select *, hour(event_time) >= 18 or hour(event_time) < 8 as outside from calls)
+        select count(*) as rows, count(value) as known_value, count(*) - count(value) as missing_value,
+               count(*) filter (where outside) as n_out_of_hours,
+               count(*) filter (where outside and hour(event_time) < 18 and hour(event_time) > 8) as n_to_check from marked""",
     "crosstab_totals": f"""{with_frames('activity')}
         select case when grouping(status) = 1 then 'Total' else status end as status,
                {', '.join(f"count(*) filter (where priority = '{x}') as " + f'"{x}"' for x in ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED'))},

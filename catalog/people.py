@@ -155,7 +155,7 @@ QUERIES = {
     **{f"sources_{n}": report_of(n) for n in (
         "ethnicity_coverage", "ethnicity_agreement", "ethnicity_crosstab", "sex_coverage", "sex_agreement",
         "sex_crosstab_community", "sex_crosstab_hospital", "birth_coverage", "birth_agreement", "death_coverage",
-        "death_agreement", "dementia_coverage", "dementia_agreement",
+        "death_agreement", "birth_checks", "death_checks", "dementia_coverage", "dementia_agreement",
     )},
     "home_level": home_level,
     "final_set": final_people,
@@ -167,7 +167,9 @@ QUERIES = {
 
 BACK, PERIOD, WAVE = WINDOW_TESTS[""], WINDOW_TESTS["_5m"], WINDOW_TESTS["_wave"]
 SINCE = f"day between index_wave1 and date '{STUDY.period_end}'"
-AM, FALLS, INJURY = "('1048031000000100', '1048021000000102', '1048041000000109', '1048051000000107')", "('161898004', '430576002', '54670004', '75941004', '240871000000104', '429482004')", "('54670004', '75941004', '240871000000104', '429482004')"
+AM = "('1048031000000100', '1048021000000102', '1048041000000109', '1048051000000107')"
+FALLS = "('161898004', '430576002', '54670004', '75941004', '240871000000104', '429482004')"
+INJURY = "('54670004', '75941004', '240871000000104', '429482004')"
 TWO = ("_5m", "_wave")
 LOOK = ("",)
 
@@ -398,6 +400,10 @@ def availability(sources):
     return check_from(f"flags as (select {flags} from finals)", covered("flags", sources, ["Available", "Missing"]))
 
 
+def known_missing(*columns):
+    return "count(*) as rows, " + ", ".join(f"count({c}) as known_{c}, count(*) - count({c}) as missing_{c}" for c in columns)
+
+
 ETHNIC = {"sus": "ethnicity_sus", "csds": "ethnicity_csds", "CH": "ethnicity_new"}
 SEXES = {"PDS": "gender_PDS", "CH": "gender_new", "csds": "gender_csds", "sus": "sex_sus"}
 ANSWERS = {"sus": "dementia_sus", "ch": "dementia_num"}
@@ -424,7 +430,9 @@ CHECKS |= {
     "sources_death_agreement": check(
         side_by_side(group_shares("attributes", {"sus": "dod_sus", "pds": "dod_pds", "chr": "dod_chr"}, "abs({a} - {b}) > 30", _GIVEN))
     ),
-    "sources_dementia_coverage": check(covered("attributes", ANSWERS, None)),
+    "sources_birth_checks": check("select " + known_missing("dob_pds", "dob_sus") + ", count(*) filter (where dob_sus <> dob_pds) as n_dob_disagree from attributes"),
+    "sources_death_checks": check("select " + known_missing("dod_pds", "dod_sus", "dod_chr") + " from attributes"),
+    "sources_dementia_coverage": check(covered("attributes", ANSWERS, None, valid=True)),
     "sources_dementia_agreement": check(side_by_side(group_shares("attributes", ANSWERS, _UNLIKE, _GIVEN))),
     "report_conditions": check(
         each(

@@ -45,10 +45,12 @@ def source_coverage(
     sources: Mapping[str, str],
     levels: Sequence[str] | None = None,
     total: bool = True,
+    valid: bool = False,
 ) -> DataFrame:
     """Rows per level and share for several sources side by side: level, n_<source>, percent_<source>.
 
-    Rows outside ``levels`` count in the total. A null is a level of its own.
+    Rows outside ``levels`` count in the total. A null is a level of its own. With ``valid``, and
+    where no levels are given, valid_percent_<source> is the share among known rows.
     """
     if levels is not None:
         return _coverage_of_levels(df, sources, levels, total)
@@ -57,18 +59,26 @@ def source_coverage(
     counts = stacked.groupBy("level").agg(
         *[F.count_if(F.col("_column") == c).alias(f"n_{s}") for s, c in sources.items()]
     )
-    # Every row has one level in every source, so all sources share one total.
-    rows = df.agg(F.count(F.lit(1)).alias("_all"))
-    shared = counts.select("level", *_with_shares([(f"n_{s}", F.col(f"n_{s}"), rows.scalar()) for s in sources]))
+    # The totals come from the counts, whose shuffle Spark reuses. All sources share one total, since
+    # every row has one level in every source.
+    first = next(iter(sources))
+    parts = [F.expr(f"coalesce(sum(n_{first}), 0) as rows")]
+    parts += [F.expr(f"coalesce(sum(if(level is null, 0, n_{s})), 0) as known_{s}") for s in sources]
+    totals = counts.agg(F.struct(*parts).alias("totals")).scalar().alias("_totals")
+    rows = F.col("_totals.rows")
+    cells, bottom = [], []
+    for s in sources:
+        n, known = F.col(f"n_{s}"), F.col(f"_totals.known_{s}")
+        cells += [n, _share(n, rows).alias(f"percent_{s}")]
+        bottom += [rows.alias(f"n_{s}"), _share(rows, rows).alias(f"percent_{s}")]
+        if valid:
+            cells.append(F.when(F.col("level").isNotNull(), _share(n, known)).alias(f"valid_percent_{s}"))
+            bottom.append(_share(known, known).alias(f"valid_percent_{s}"))
+    shared = counts.select("*", totals).select("level", *cells)
     if not total:
         return shared
-    everything = [(f"n_{s}", F.col("_all"), F.col("_all")) for s in sources]
-    return shared.unionByName(rows.select(F.lit(TOTAL).alias("level"), *_with_shares(everything)))
-
-
-def _with_shares(cells: Sequence[tuple[str, Column, Column]]) -> list[Column]:
-    """Per (n_<source>, count, total): the count and its share as percent_<source>."""
-    return [x for n, c, t in cells for x in (c.alias(n), _share(c, t).alias("percent" + n.removeprefix("n")))]
+    last = df.sparkSession.range(1).select(totals).select(F.lit(TOTAL).alias("level"), *bottom)
+    return shared.unionByName(last)
 
 
 def _coverage_of_levels(df, sources, levels, total) -> DataFrame:

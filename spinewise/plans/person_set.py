@@ -26,6 +26,7 @@ from spinewise.operators.agreement import (
     agreement_report,
     availability_coverage,
     crosstab,
+    link_checks,
     source_coverage,
     within_days,
 )
@@ -250,7 +251,11 @@ def source_reports(linked: DataFrame, study: Study = Study(), only: Sequence[str
             death, {"chr": "dod_chr", "pds": "dod_pds", "sus": "dod_sus", "final": "dod_final"}
         ),
         "death_agreement": lambda: agreement_report(death, deaths, difference=apart, missing=None),
-        "dementia_coverage": lambda: source_coverage(dementia, answers),
+        "birth_checks": lambda: link_checks(
+            birth, known=["dob_pds", "dob_sus"], n_dob_disagree=F.col("dob_sus") != F.col("dob_pds")
+        ),
+        "death_checks": lambda: link_checks(death, known=DEATH_ORDER),
+        "dementia_coverage": lambda: source_coverage(dementia, answers, valid=True),
         "dementia_agreement": lambda: agreement_report(dementia, answers, missing=None),
     }
     return {n: tables[n]() for n in (tables if only is None else only)}

@@ -13,6 +13,8 @@ from spinewise.operators.report import dictionary
 
 # Fixed value: the name given to the row-name column of files written with one.
 ROW_NAMES = "X"
+# The columns of a variable list.
+VARIABLE_COLUMNS = ["label", "variables", "filter1", "filter2", "filter3"]
 
 
 def read_csv(
@@ -58,11 +60,15 @@ def read_lookup(spark: SparkSession, path: str, columns: Mapping[str, str], type
     return typed(df.select(*[F.col(f"`{c}`").alias(n) for c, n in columns.items()]), types or {})
 
 
-def read_variables(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """A variable list as (variable, label) pairs; the first two columns of the file, label first."""
+def read_variables(spark: SparkSession, path: str, where: str | None = None) -> list[tuple[str, str]]:
+    """A variable list as (variable, label) pairs, of the rows where a test on its columns holds.
+
+    The columns are, by place, label, variables, filter1, filter2 and filter3.
+    """
     df = read_csv(spark, path)
-    label, variable = df.columns[:2]
-    return [(r[0], r[1]) for r in df.select(variable, label).collect()]
+    named = df.toDF(*[*VARIABLE_COLUMNS, *df.columns[len(VARIABLE_COLUMNS) :]][: len(df.columns)])
+    chosen = named if where is None else named.where(where)
+    return [(r.variables, r.label) for r in chosen.select("variables", "label").collect()]
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

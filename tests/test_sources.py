@@ -66,6 +66,7 @@ def test_variable_list_drives_a_selection(spark, tmp_path):
     path = write(tmp_path / "v.csv", "label,variables,filter1\nOne,n_a,1\nTwo,n_b,\nThree,n_z,\n")
     listed = tables.read_variables(spark, path)
     assert listed == [("n_a", "One"), ("n_b", "Two"), ("n_z", "Three")]
+    assert tables.read_variables(spark, path, "filter1 is not null") == [("n_a", "One")]
     df = spark.sql("select 'p' as who, 1 as n_a, 2 as n_b, 3 as other")
     assert tables.select_listed(df, [v for v, _ in listed], "who").columns == ["who", "n_a", "n_b"]
 
