@@ -121,3 +121,17 @@ def test_a_hot_entity_is_split_where_people_meet_it(spark, small_partitions):
     _, linked = entity_link(people, homes, {"beds": (beds, "home")}, "home")
     assert "skew=true" in final_plan(linked)
     assert linked.count() == 60000
+
+
+def test_a_hot_area_is_split_where_people_meet_the_lookup(spark, small_partitions):
+    from pyspark.sql import functions as F
+
+    from spinewise.operators.link import lookup
+
+    people = spark.range(0, 60000, 1, 16).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 200).alias("area"), F.sha2(F.col("id").cast("string"), 256).alias("note")
+    )
+    areas = spark.range(0, 200, 1, 2).select(F.col("id").alias("code"), (F.col("id") % 10).alias("value"))
+    linked = lookup(people, areas, "area", "code", {"value": "decile"})
+    assert "skew=true" in final_plan(linked)
+    assert linked.where("decile is not null").count() == 60000
