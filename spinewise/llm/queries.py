@@ -7,14 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from spinewise.llm.common import read
+from spinewise.llm.licenses import license_digest
 from spinewise.llm.sharding import shard_digest
 
 
+def op7_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest(read(spark, sf_dir, "documents"))
+
+
 def op9_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_license_rules": op7_license_rules,
     "op9_external_shuffle": op9_external_shuffle,
 }
 
