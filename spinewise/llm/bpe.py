@@ -16,17 +16,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spinewise.llm.common import slices
+
 #: Bytes from which a word is contracted in place instead of as one more generation of rows.
 LONG_WORD = 1000
 #: Words of one query.
-WORDS = 100_000
-#: Where a blank inside a run of white space is not the run's last character, blanks are no places to cut.
+WORDS = 12_000
+#: A text may be cut before any blank, as no match spans that place, but for one inside a run of white space.
 _ODD = re.compile(r"\s (?:\s|\Z)")
 _CUT = re.compile(r"(?<=\S)(?= )|(?= \S)")
 
+#: A chunk of these is one word, or a word and a mark: letters of blocks that hold no other character.
+_SIMPLE = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[.,]?$"
+
 _LEAST = """
     select w, (best & 16777215)::int as p0, (best >> 24)::int as m
     from (select r.w, min((x.m << 24) | r.p) as best
@@ -55,11 +61,11 @@ with recursive s(w, p, t, n, q) using key (w, p) as (
     union
     select * from (
         with c as ({_LEAST.format(rows="recurring.s")}),
-        both as (select r.w, r.p, c.m, y.n, y.q, y.p as gone
+        halves as (select r.w, r.p, c.m, y.n, y.q, y.p as gone
                  from c join recurring.s r on r.w = c.w and r.p = c.p0
                  join recurring.s y on y.w = r.w and y.p = r.q)
-        select w, p, m, n, q from both
-        union all select w, gone, -1, -1, -1 from both
+        select w, p, m, n, q from halves
+        union all select w, gone, -1, -1, -1 from halves
         union all select r.w, r.p, r.t, c.m, r.q from c join recurring.s r on r.w = c.w and r.q = c.p0 and r.t >= 0)
 )
 select w, list(t order by p) as ids from s where t >= 0 group by w order by w
@@ -82,7 +88,8 @@ class BytePairs:
         self.ranks = load_ranks(rank_file)
         self.split = regex.compile(pattern).findall
         self.limit = limit
-        self.chunks: dict[str, bytes] = {}
+        self.seen: dict[str, int] = {}
+        self.store: list[bytes] = []
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = [
             (left << 16 | right, rank)
@@ -117,44 +124,91 @@ class BytePairs:
             word = np.repeat(np.arange(len(part), dtype=np.int32), length)
             place = (np.arange(len(data)) - np.repeat(ends - length, length)).astype(np.int32)
             self.con.register("symbols", pa.table({"w": word, "p": place, "t": token, "n": following}))
-            ids = self.con.execute(query).to_arrow_table().column("ids").combine_chunks()
+            ids = self.con.sql(query).to_arrow_table().column("ids").combine_chunks()
             flat = np.asarray(ids.values).astype("<u2").tobytes()
             bounds = (np.asarray(ids.offsets) * 2).tolist()
             for i, b, e in zip(part, bounds, bounds[1:], strict=False):
                 out[i] = flat[b:e]
         return out
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The place of each word in the store of words seen; new ones are encoded and added."""
+        new = [w for w in set(words) if w not in self.seen]
+        if new:
+            self.seen.update(zip(new, range(len(self.seen), len(self.seen) + len(new)), strict=True))
+            self.store += self.words(new)
+        return np.array([self.seen[w] for w in words], np.int64)
+
+    def _split(self, pieces: pa.Array, others: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers of all chunks, end to end, and how many each has: of the pieces with a blank before, then of the others.
+
+        Latin letters with a point or comma at most need no pattern: a word, and the mark as another one.
+        """
+        if len(self.seen) > self.limit:
+            self.seen, self.store = {}, []
+        spaced = pc.binary_join_element_wise("", pieces, " ")
+        simple = np.asarray(pc.match_substring_regex(pieces, _SIMPLE))
+        marked = np.asarray(pc.match_substring_regex(pieces, "[.,]$")) & simple
+        odd = [self.split(c) for c in spaced.filter(pa.array(~simple)).to_pylist()] + others
+        counts = np.ones(len(pieces) + len(others), np.int64)
+        counts[: len(pieces)][marked] = 2
+        rest = np.concatenate([~simple, np.ones(len(others), bool)])
+        counts[rest] = [len(own) for own in odd]
+        begins = np.cumsum(counts) - counts
+        out = np.zeros(int(counts.sum()), np.int64)
+        known = spaced.filter(pa.array(simple))
+        marks = pc.utf8_slice_codeunits(spaced.filter(pa.array(marked)), -1)
+        out[begins[: len(pieces)][simple]] = self._numbers(pc.utf8_rtrim(known, ".,").to_pylist())
+        out[begins[: len(pieces)][marked] + 1] = self._numbers(marks.to_pylist())
+        places = np.repeat(begins[rest] - np.cumsum(counts[rest]) + counts[rest], counts[rest]) + np.arange(counts[rest].sum())
+        out[places] = self._numbers([w for own in odd for w in own])
+        return out, counts
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, two bytes an id; null and empty texts have none."""
-        cut = [_chunks(t) if t else [] for t in texts]
-        if len(self.chunks) > self.limit:
-            self.chunks.clear()
-        new = list({c for own in cut for c in own if c not in self.chunks})
-        split = [self.split(c) for c in new]
-        distinct = list({w for own in split for w in own})
-        ids = dict(zip(distinct, self.words(distinct), strict=True))
-        self.chunks.update((c, b"".join([ids[w] for w in own])) for c, own in zip(new, split, strict=True))
-        return [b"".join([self.chunks[c] for c in own]) for own in cut]
+        raw = texts.fill_null("")
+        odd = {i: _CUT.split(t) for i, t in enumerate(raw.to_pylist()) if _ODD.search(t)}
+        if odd:
+            raw = pc.if_else(pc.is_in(pa.array(range(len(raw))), pa.array(odd, pa.int64())), "", raw)
+        plain = pc.split_pattern(raw, " ")
+        begins = np.asarray(plain.offsets).astype(np.int64)
+        pieces = plain.values.dictionary_encode()
+        firsts = plain.values.take(pa.array(begins[:-1])).to_pylist()
+        # Every piece but a text's first has the blank before it; codes count the distinct ones, then the firsts.
+        codes = np.asarray(pieces.indices).astype(np.int64)
+        codes[begins[:-1]] = len(pieces.dictionary) + np.arange(len(raw))
+        whole = [[w for c in odd[i] for w in self.split(c)] if i in odd else self.split(f) for i, f in enumerate(firsts)]
+        numbers, counts = self._split(pieces.dictionary, whole)
+        size = np.array([len(b) for b in self.store], np.int64) // 2
+        ids = np.frombuffer(b"".join(self.store), "<u2")
+        for places, per in ((numbers, counts), (codes, np.diff(begins))):  # words to chunks, chunks to texts
+            ids, length = _gathered(ids, size, places)
+            ends = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(per)])]
+            size = np.diff(ends)
+        flat, bounds = ids.tobytes(), (2 * ends).tolist()
+        return [flat[b:e] for b, e in zip(bounds, bounds[1:], strict=False)]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes that the ids of each text stand for."""
-        length = np.array([len(b) // 2 for b in ids], np.int64)
-        token = np.frombuffer(b"".join(ids), "<u2").astype(np.int32)
-        text = np.repeat(np.arange(len(ids), dtype=np.int32), length)
-        self.con.register("tokens", pa.table({"d": text, "p": np.arange(len(token)), "t": token}))
-        found = self.con.execute(_DECODE).to_arrow_table()
-        out = [b""] * len(ids)
-        for d, piece in zip(found.column("d").to_pylist(), found.column("bytes").to_pylist(), strict=True):
-            out[d] = piece.encode("latin-1")
+        out = []
+        for at in range(0, len(ids), 512):
+            part = ids[at : at + 512]
+            length = np.array([len(b) // 2 for b in part], np.int64)
+            token = np.frombuffer(b"".join(part), "<u2").astype(np.int32)
+            text = np.repeat(np.arange(len(part), dtype=np.int32), length)
+            self.con.register("tokens", pa.table({"d": text, "p": np.arange(len(token)), "t": token}))
+            found = self.con.sql(_DECODE).to_arrow_table()
+            texts = dict(zip(found.column("d").to_pylist(), found.column("bytes").to_pylist(), strict=True))
+            out += [texts.get(d, "").encode("latin-1") for d in range(len(part))]
         return out
 
 
-def _chunks(text: str) -> list[str]:
-    """The text cut before blanks at places that no match of the split pattern spans."""
-    if _ODD.search(text):
-        return _CUT.split(text)
-    first, *others = text.split(" ")
-    return [first, *[" " + o for o in others]] if first else [" " + o for o in others]
+def _gathered(values: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of `values` (their sizes one after the other) at `places`, end to end, and the length of each."""
+    begins, times = np.cumsum(sizes) - sizes, sizes[places]
+    ends = np.cumsum(times)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(begins[places] - (ends - times), times) + np.arange(total)], times
 
 
 def _in_tasks(frame: DataFrame, rank_file: str, pattern: str, schema: str, work) -> DataFrame:
@@ -164,9 +218,8 @@ def _in_tasks(frame: DataFrame, rank_file: str, pattern: str, schema: str, work)
         pairs = None
         for batch in batches:
             pairs = pairs or BytePairs(rank_file, pattern)
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                columns = work(pairs, part.column(1).to_pylist())
+            for part in slices(batch, 1, 8192, 16 << 20):
+                columns = work(pairs, part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns.values()], names=["doc_id", *columns])
 
     return frame.mapInArrow(run, f"doc_id long, {schema}")
@@ -185,15 +238,18 @@ def bpe_encode(docs: DataFrame, rank_file: str, pattern: str, key: str = "doc_id
 
 def bpe_decode(encoded: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     """(doc_id, bytes): the bytes that the ids of each row of bpe_encode stand for."""
-    return _in_tasks(encoded.select("doc_id", "ids"), rank_file, pattern, "bytes binary", lambda pairs, ids: {"bytes": pa.array(pairs.decode(ids), pa.binary())})
+    return _in_tasks(encoded.select("doc_id", "ids"), rank_file, pattern, "bytes binary", lambda pairs, ids: {"bytes": pa.array(pairs.decode(ids.to_pylist()), pa.binary())})
+
+
+_NUMERALS = [str(i) for i in range(1 << 16)]
 
 
 def bpe_digest(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     """Number and hash of the ids of each text, and hash of what they decode to; both ways in one task."""
 
-    def digest(pairs: BytePairs, texts: list[str | None]) -> dict[str, pa.Array]:
+    def digest(pairs: BytePairs, texts: pa.Array) -> dict[str, pa.Array]:
         ids = pairs.encode(texts)
-        decimal = [" ".join(map(str, np.frombuffer(b, "<u2").tolist())) for b in ids]
+        decimal = [" ".join(map(_NUMERALS.__getitem__, np.frombuffer(b, "<u2").tolist())) for b in ids]
         return {
             "n_tokens": pa.array([len(b) // 2 for b in ids], pa.int64()),
             "ids_sha256": pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decimal]),

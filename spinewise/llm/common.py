@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -95,6 +98,18 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return out
 
 
+def slices(batch: pa.RecordBatch, column: int, rows: int = 2048, nbytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of so many rows and bytes of one text or binary column at most; a longer value is a part alone."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + nbytes, side="right"))), batch.num_rows)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def joined_bytes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """All texts as one byte array, and where each begins (with the end of the last); null counts as empty."""
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]

@@ -6,9 +6,38 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spinewise.llm.bpe import bpe_digest
 from spinewise.llm.common import read
 from spinewise.llm.licenses import license_digest
+from spinewise.llm.packing import pack, piece_digest
 from spinewise.llm.sharding import shard_digest
+from spinewise.llm.token_files import token_file_digest
+from spinewise.llm.topk import exact_top_k
+
+
+def vocabulary(name: str) -> str:
+    """Where a file of the public tokenizers stands; it is read by the driver's and the executors' installed package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe_digest(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(read(spark, sf_dir, "embeddings"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_digest(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digest(pack(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")))
 
 
 def op7_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +49,10 @@ def op9_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op2_exact_top_k": op2_exact_top_k,
+    "op5_token_files": op5_token_files,
+    "op6_packing": op6_packing,
     "op7_license_rules": op7_license_rules,
     "op9_external_shuffle": op9_external_shuffle,
 }
