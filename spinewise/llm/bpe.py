@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spinewise.llm.common import slices
+from spinewise.llm.tokens import WordEncoder, gathered
 
 #: Bytes from which a word is contracted in place instead of as one more generation of rows.
 LONG_WORD = 1000
@@ -30,9 +31,6 @@ WORDS = 12_000
 _ODD = re.compile(r"\s (?:\s|\Z)")
 _CUT = re.compile(r"(?<=\S)(?= )|(?= \S)")
 
-#: A chunk of these is one word, or a word and a mark: letters of blocks that hold no other character.
-_SIMPLE = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[.,]?$"
-
 _LEAST = """
     select w, (best & 16777215)::int as p0, (best >> 24)::int as m
     from (select r.w, min((x.m << 24) | r.p) as best
@@ -78,18 +76,18 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in (line.split() for line in f if line.strip())}
 
 
-class BytePairs:
+class BytePairs(WordEncoder):
     """The merge table and vocabulary of a rank file in an in-process database, one for each task."""
 
+    blank = " "
+
     def __init__(self, rank_file: str, pattern: str, memory: str = "300MB", limit: int = 400_000):
         import duckdb
         import regex
 
+        super().__init__(limit)
         self.ranks = load_ranks(rank_file)
-        self.split = regex.compile(pattern).findall
-        self.limit = limit
-        self.seen: dict[str, int] = {}
-        self.store: list[bytes] = []
+        self.findall = regex.compile(pattern).findall
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = [
             (left << 16 | right, rank)
@@ -107,86 +105,40 @@ class BytePairs:
         self.con.execute(f"create table {name} as select * from given")
         self.con.unregister("given")
 
-    def words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word, two bytes an id; a word that is itself a token is that token."""
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, end to end, and how many each has; a word that is itself a token is that token."""
         raw = [w.encode() for w in words]
-        out: list[bytes | None] = [np.array([self.ranks[r]], "<u2").tobytes() if r in self.ranks else None for r in raw]
-        todo = [i for i, done in enumerate(out) if done is None]
-        short, long = [i for i in todo if len(raw[i]) < LONG_WORD], [i for i in todo if len(raw[i]) >= LONG_WORD]
-        parts = [(short[at : at + WORDS], _GENERATIONS) for at in range(0, len(short), WORDS)] + [([i], _IN_PLACE) for i in long]
+        whole = np.array([self.ranks.get(r, -1) for r in raw], np.int64)
+        length = np.array([len(r) for r in raw], np.int64)
+        short, long = np.flatnonzero((whole < 0) & (length < LONG_WORD)), np.flatnonzero((whole < 0) & (length >= LONG_WORD))
+        ids, sizes, order = [whole[whole >= 0]], [np.ones((whole >= 0).sum(), np.int64)], [np.flatnonzero(whole >= 0)]
+        parts = [(short[at : at + WORDS], _GENERATIONS) for at in range(0, len(short), WORDS)] + [(long[i : i + 1], _IN_PLACE) for i in range(len(long))]
         for part, query in parts:
-            length = np.array([len(raw[i]) for i in part])
             data = np.frombuffer(b"".join([raw[i] for i in part]), np.uint8)
-            ends = np.cumsum(length)
+            ends = np.cumsum(length[part])
             token = self.single[data]
             following = np.append(token[1:], -1).astype(np.int32)
             following[ends - 1] = -1
-            word = np.repeat(np.arange(len(part), dtype=np.int32), length)
-            place = (np.arange(len(data)) - np.repeat(ends - length, length)).astype(np.int32)
+            word = np.repeat(np.arange(len(part), dtype=np.int32), length[part])
+            place = (np.arange(len(data)) - np.repeat(ends - length[part], length[part])).astype(np.int32)
             self.con.register("symbols", pa.table({"w": word, "p": place, "t": token, "n": following}))
-            ids = self.con.sql(query).to_arrow_table().column("ids").combine_chunks()
-            flat = np.asarray(ids.values).astype("<u2").tobytes()
-            bounds = (np.asarray(ids.offsets) * 2).tolist()
-            for i, b, e in zip(part, bounds, bounds[1:], strict=False):
-                out[i] = flat[b:e]
-        return out
-
-    def _numbers(self, words: list[str]) -> np.ndarray:
-        """The place of each word in the store of words seen; new ones are encoded and added."""
-        new = [w for w in set(words) if w not in self.seen]
-        if new:
-            self.seen.update(zip(new, range(len(self.seen), len(self.seen) + len(new)), strict=True))
-            self.store += self.words(new)
-        return np.array([self.seen[w] for w in words], np.int64)
-
-    def _split(self, pieces: pa.Array, others: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers of all chunks, end to end, and how many each has: of the pieces with a blank before, then of the others.
-
-        Latin letters with a point or comma at most need no pattern: a word, and the mark as another one.
-        """
-        if len(self.seen) > self.limit:
-            self.seen, self.store = {}, []
-        spaced = pc.binary_join_element_wise("", pieces, " ")
-        simple = np.asarray(pc.match_substring_regex(pieces, _SIMPLE))
-        marked = np.asarray(pc.match_substring_regex(pieces, "[.,]$")) & simple
-        odd = [self.split(c) for c in spaced.filter(pa.array(~simple)).to_pylist()] + others
-        counts = np.ones(len(pieces) + len(others), np.int64)
-        counts[: len(pieces)][marked] = 2
-        rest = np.concatenate([~simple, np.ones(len(others), bool)])
-        counts[rest] = [len(own) for own in odd]
-        begins = np.cumsum(counts) - counts
-        out = np.zeros(int(counts.sum()), np.int64)
-        known = spaced.filter(pa.array(simple))
-        marks = pc.utf8_slice_codeunits(spaced.filter(pa.array(marked)), -1)
-        out[begins[: len(pieces)][simple]] = self._numbers(pc.utf8_rtrim(known, ".,").to_pylist())
-        out[begins[: len(pieces)][marked] + 1] = self._numbers(marks.to_pylist())
-        places = np.repeat(begins[rest] - np.cumsum(counts[rest]) + counts[rest], counts[rest]) + np.arange(counts[rest].sum())
-        out[places] = self._numbers([w for own in odd for w in own])
-        return out, counts
-
-    def encode(self, texts: pa.Array) -> list[bytes]:
-        """The ids of each text, two bytes an id; null and empty texts have none."""
-        raw = texts.fill_null("")
-        odd = {i: _CUT.split(t) for i, t in enumerate(raw.to_pylist()) if _ODD.search(t)}
+            found = self.con.sql(query).to_arrow_table().column("ids").combine_chunks()
+            ids.append(np.asarray(found.flatten()))
+            sizes.append(np.diff(np.asarray(found.offsets)))
+            order.append(part)
+        back = np.empty(len(words), np.int64)
+        back[np.concatenate(order)] = np.arange(len(words))
+        sizes = np.concatenate(sizes).astype(np.int64)
+        return gathered(np.concatenate(ids).astype(self.dtype), sizes, back)[0], sizes[back]
+
+    def split(self, chunk: str) -> list[str]:
+        return self.findall(chunk)
+
+    def ready(self, texts: pa.Array) -> tuple[pa.Array, dict[int, list[str]]]:
+        odd = {i: _CUT.split(t) for i, t in enumerate(texts.to_pylist()) if _ODD.search(t)}
         if odd:
-            raw = pc.if_else(pc.is_in(pa.array(range(len(raw))), pa.array(odd, pa.int64())), "", raw)
-        plain = pc.split_pattern(raw, " ")
-        begins = np.asarray(plain.offsets).astype(np.int64)
-        pieces = plain.values.dictionary_encode()
-        firsts = plain.values.take(pa.array(begins[:-1])).to_pylist()
-        # Every piece but a text's first has the blank before it; codes count the distinct ones, then the firsts.
-        codes = np.asarray(pieces.indices).astype(np.int64)
-        codes[begins[:-1]] = len(pieces.dictionary) + np.arange(len(raw))
-        whole = [[w for c in odd[i] for w in self.split(c)] if i in odd else self.split(f) for i, f in enumerate(firsts)]
-        numbers, counts = self._split(pieces.dictionary, whole)
-        size = np.array([len(b) for b in self.store], np.int64) // 2
-        ids = np.frombuffer(b"".join(self.store), "<u2")
-        for places, per in ((numbers, counts), (codes, np.diff(begins))):  # words to chunks, chunks to texts
-            ids, length = _gathered(ids, size, places)
-            ends = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(per)])]
-            size = np.diff(ends)
-        flat, bounds = ids.tobytes(), (2 * ends).tolist()
-        return [flat[b:e] for b, e in zip(bounds, bounds[1:], strict=False)]
+            texts = pc.if_else(pc.is_in(pa.array(range(len(texts))), pa.array(odd, pa.int64())), "", texts)
+        return texts, odd
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes that the ids of each text stand for."""
@@ -203,14 +155,6 @@ class BytePairs:
         return out
 
 
-def _gathered(values: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs of `values` (their sizes one after the other) at `places`, end to end, and the length of each."""
-    begins, times = np.cumsum(sizes) - sizes, sizes[places]
-    ends = np.cumsum(times)
-    total = int(ends[-1]) if len(ends) else 0
-    return values[np.repeat(begins[places] - (ends - times), times) + np.arange(total)], times
-
-
 def _in_tasks(frame: DataFrame, rank_file: str, pattern: str, schema: str, work) -> DataFrame:
     """`work(pairs, column values)` over parts of the second column; the first is passed on."""
 

@@ -10,22 +10,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spinewise.llm.common import running_offsets, staged
-from spinewise.llm.tokens import ChunkEncoder
-
-BATCH_TEXTS = 256
+from spinewise.llm.common import running_offsets, slices, staged
+from spinewise.llm.tokens import FileEncoder
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """First pass, written to the shared folder: ids of each text with `end_id`, and the ids before it in its task."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, before, task = ChunkEncoder(tokenizer), 0, TaskContext.get().partitionId()
+        encoder, before, task = FileEncoder(tokenizer), 0, TaskContext.get().partitionId()
         last = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_TEXTS):
-                part = batch.slice(at, BATCH_TEXTS)
-                ids = [b + last for b in encoder.encode(part.column(1).to_pylist())]
+            for part in slices(batch, 1, 8192, 16 << 20):
+                ids = [b + last for b in encoder.encode(part.column(1))]
                 counts = np.array([len(b) // encoder.dtype.itemsize for b in ids], np.int64)
                 ends = before + np.cumsum(counts)
                 columns = [part.column(0), pa.array([task] * len(ids), pa.int32()), pa.array(ends - counts), pa.array(counts), pa.array(ids, pa.binary())]
@@ -55,8 +52,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1, k
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(0, batch.num_rows, BATCH_TEXTS):
-                part = batch.slice(row, BATCH_TEXTS)
+            for part in slices(batch, 3):
                 at, n = (np.asarray(part.column(c), np.int64) for c in (1, 2))
                 windows = (at + n - 1) // length - at // length + 1
                 doc = np.repeat(np.arange(len(n)), windows)

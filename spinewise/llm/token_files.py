@@ -18,11 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spinewise.llm.common import mix, new_path, running_offsets, staged
-from spinewise.llm.tokens import ChunkEncoder
+from spinewise.llm.common import mix, new_path, running_offsets, slices, staged
+from spinewise.llm.tokens import FileEncoder
 
 #: Bits of a level for each key that reaches it; more bits, fewer levels.
 SPREAD = 2.0
+#: Bytes of text of a shard; a larger one has fewer distinct words to encode for each byte.
+SHARD_BYTES = 48 << 20
 #: Stands for a null key.
 NULL_KEY = np.uint64(1 << 63)
 
@@ -127,9 +129,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     leaves one file. Null keys come first; null texts are the end id alone; an empty table has no file.
     Keys are longs; the smallest long stands for null and is no key of its own.
     """
-    spark = docs.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(-(-total // SHARD_BYTES), min(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     order = [F.col("doc_id"), F.xxhash64("text")]
     rows = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
@@ -139,15 +141,14 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         store, folder = FileSystem.from_uri(path)
         task = TaskContext.get()
         shard, own = task.partitionId(), f"{folder}/_part-{task.taskAttemptId()}"
-        encoder, keys, counts, ids_file = ChunkEncoder(tokenizer), [], [], None
+        encoder, keys, counts, ids_file = FileEncoder(tokenizer), [], [], None
         last = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
             if ids_file is None and batch.num_rows:
                 store.create_dir(folder, recursive=True)
                 ids_file = store.open_output_stream(f"{own}.ids")
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [b + last for b in encoder.encode(part.column(1).to_pylist())]
+            for part in slices(batch, 1, 8192, 16 << 20):
+                ids = [b + last for b in encoder.encode(part.column(1))]
                 ids_file.write(b"".join(ids))
                 n = np.array([len(b) // encoder.dtype.itemsize for b in ids], np.int64)
                 keys.append(keys_of(part.column(0)))
