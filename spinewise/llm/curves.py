@@ -169,6 +169,7 @@ def nearest(
     blocks = F.expr(f"sequence(greatest(pos - r, 0L) div {BLOCK}, (pos + r) div {BLOCK})")
     candidates = rows.where("role = 0").withColumn("grp", F.explode(groups))
     queries = rows.where("role = 1").withColumn("block", F.explode(blocks))
+    queries = queries.select(*[F.col(c).alias(c) for c in queries.columns])  # columns of its own, apart from the candidates'
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})

@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spinewise.llm.bpe import bpe_digest
 from spinewise.llm.common import read
+from spinewise.llm.curves import nearest
 from spinewise.llm.licenses import license_digest
+from spinewise.llm.ngram_join import jaccard_components
 from spinewise.llm.packing import pack, piece_digest
+from spinewise.llm.quality import resample
+from spinewise.llm.secrets import secret_digest
 from spinewise.llm.sharding import shard_digest
 from spinewise.llm.token_files import token_file_digest
 from spinewise.llm.topk import exact_top_k
@@ -32,6 +36,14 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(read(spark, sf_dir, "embeddings"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(read(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -48,13 +60,25 @@ def op9_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(read(spark, sf_dir, "documents"))
 
 
+def op8_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read(spark, sf_dir, "embeddings"))
+
+
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_top_k": op2_exact_top_k,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_secret_scan": op4_secret_scan,
     "op5_token_files": op5_token_files,
     "op6_packing": op6_packing,
     "op7_license_rules": op7_license_rules,
+    "op8_hilbert_neighbours": op8_hilbert_neighbours,
     "op9_external_shuffle": op9_external_shuffle,
+    "op10_importance_resampling": op10_importance_resampling,
 }
 
 CHECKS: dict[str, str] = {}

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spinewise.llm.common import slices
@@ -173,10 +173,13 @@ def secret_digest(docs: DataFrame) -> DataFrame:
     found = scan_secrets(docs)
     # Spans are in order already, so arrays of them stay in order when filtered.
     written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    of = {kind: F.filter("spans", lambda s, kind=kind: s["kind"] == kind) for kind in KINDS}
+
+    def of(kind: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
     return found.select(
         "doc_id",
-        *[F.size(of[kind]).cast("long").alias(f"n_{kind}") for kind in KINDS],
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in KINDS],
         F.sha2(written(F.filter("spans", lambda s: s["kind"] != "novel")), 256).alias("base_sha256"),
         written(F.col("spans")).alias("spans"),
     )
