@@ -195,6 +195,7 @@ def nearest(
         return pd.concat(out)
 
     keys = ["dim", "curve", "block", "grp"]
+    candidates, queries = candidates.repartition(tasks, *keys), queries.repartition(tasks, *keys)
     found = candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(score, "query_id long, id long, score double")
     best = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))

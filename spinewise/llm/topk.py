@@ -123,7 +123,9 @@ def _searched(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         query, row, score = tree.search(np.stack(right["v"].to_numpy()), ids, np.where(np.isnan(floor), -np.inf, floor), k)
         return pd.DataFrame({"query_id": ids[query], "id": tree.ids[row], "score": score})
 
-    keys = ["dim", "shard", "block"]
+    # Little data and much work: as many tasks as there may be, not as many as the bytes call for.
+    keys, tasks = ["dim", "shard", "block"], int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    candidates, queries = candidates.repartition(tasks, *keys), queries.repartition(tasks, *keys)
     return candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(search, "query_id long, id long, score double")
 
 
