@@ -125,9 +125,8 @@ FRAMES = {
         from {lineitem}""",
     "yearly": """
         select concat('c', cast(o_custkey as string)) as hashed, o_custkey as client, cast(o_custkey % 2 + 1 as int) as provider,
-               cast(extract(year from o_orderdate) - 1996 as int) as wave, count(*) as n_orders, max(o_totalprice) as largest
-        from {orders} where extract(year from o_orderdate) in (1997, 1998)
-        group by o_custkey, extract(year from o_orderdate)""",
+               cast(extract(year from o_orderdate) % 2 + 1 as int) as wave, count(*) as n_orders, max(o_totalprice) as largest
+        from {orders} group by o_custkey, extract(year from o_orderdate) % 2""",
     "residents": f"""
         select {_person('c_custkey')} as pseudonhsno,
                concat('H', cast(c_custkey % 97 as string)) as pseudocqcid,
@@ -221,30 +220,31 @@ FRAMES = {
                case when c_acctbal > 1000 then cast(c_custkey % 2 + 1 as int) end as sex_sus,
                case when c_acctbal > 500 then {_dmy("date '1910-01-01' + cast((c_custkey * 37) % 14000 as int)")} end as dob_sus,
                case when c_acctbal > 7500 then {_dmy("date '1998-06-01' + cast(c_custkey % 900 as int)")} end as deathdate_sus
-        from {{customer}} where c_acctbal > 0""",
+        from {{customer}} join (select distinct o_custkey as who from {{orders}}) o on c_custkey = who""",
     "community_demographics": f"""
         select {_person('c_custkey')} as Der_Pseudo_NHS_Number,
                case c_mktsegment when 'BUILDING' then 'A' when 'MACHINERY' then 'M' when 'FURNITURE' then 'S'
                     when 'HOUSEHOLD' then 'NA_' end as EthnicCategory,
                case when c_nationkey > 3 then cast(c_nationkey % 2 + 1 as int) end as Gender
-        from {{customer}} where c_acctbal < 9000""",
+        from {{customer}} join (select distinct user_id as who from {{events}}) e on c_custkey = who""",
     "care_home": """
         select case when c_nationkey % 2 = 0 then concat('n', cast(c_custkey as string)) end as clientid,
                case when c_nationkey % 2 = 1 then concat('ab', cast(c_custkey as string)) end as hashedid,
                concat('r', cast(c_custkey as string)) as residentid, cast(c_nationkey % 2 + 1 as int) as provider, w as wave,
-               case when c_acctbal > 2000 then 1 else 0 end as both_waves,
+               case when ways = 2 then 1 else 0 end as both_waves,
                case when c_mktsegment = 'BUILDING' then 'White' when c_mktsegment = 'AUTOMOBILE' then 'Mixed' end as ethnicity_new,
                case when c_acctbal > 4000 then 'Female' when c_acctbal < 2000 then 'Male' end as gender_new,
                case when c_nationkey < 5 then 'Yes' when c_nationkey < 20 then 'No' end as dementia,
                cast(floor(c_acctbal / 100) as double) as barthel_score, case when c_acctbal > 0 then c_acctbal * w end as lengthofstay
-        from (select *, 1 as w from {customer} union all select *, 2 as w from {customer} where c_acctbal > 2000) c""",
+        from {customer} c join (select who, w, cast(count(*) over (partition by who) as int) as ways
+                                from (select distinct o_custkey as who, cast(extract(year from o_orderdate) % 2 + 1 as int) as w from {orders}) x) o on c_custkey = who""",
     "areas": """
         select cast(n_nationkey as string) as LSOA_IMD, cast(n_nationkey % 11 as int) as IMD_decile from {nation}""",
     "home_spine": "select concat('H', cast(s_suppkey as string)) as pseudocqcid from {supplier}",
     "survey": """
         select concat('H', cast(s_suppkey as string)) as pseudocqcid, cast(s_nationkey as string) as RecordedDate,
                cast(floor(s_acctbal / 10) as double) as Q3_staff, case when s_acctbal > 1000 then cast(floor(s_acctbal / 7) as double) end as Q3_hours
-        from {supplier} where s_acctbal > 0""",
+        from {supplier}""",
     "regulator": f"""
         select concat('H', cast(s_suppkey as string)) as pseudocqcid,
                {_ymd("date '2000-01-31' + cast(s_suppkey % 3000 as int)")} as Location_HSCA_start_date,

@@ -56,8 +56,8 @@ def waves(spark, d):
 def assemble_full(spark, d):
     orders = frame(spark, d, "activity").groupBy("person_id").agg(F.count(F.lit(1)).alias("n_orders"), F.max("priority").alias("priority"))
     calls = frame(spark, d, "calls").groupBy("person_id").agg(F.count(F.lit(1)).alias("n_calls"), F.max("kind").alias("kind"))
-    spine = frame(spark, d, "spine").where("balance > 0").select("person_id", "segment")
-    return assemble({"orders": orders.where("n_orders > 8"), "calls": calls, "spine": spine}, "person_id")
+    spine = frame(spark, d, "spine").select("person_id", "segment")
+    return assemble({"orders": orders, "calls": calls, "spine": spine}, "person_id")
 
 
 def any_flag(spark, d):
@@ -274,6 +274,12 @@ def covered(table: str, sources: dict[str, str], levels: list[str] | None, total
         )
         totals += "".join(f", count({c}) / count({c}) as valid_percent_{s}" for s, c in sources.items())
     bottom = f" union all select 'Total', {totals} from {table}" if total else ""
+    if levels:  # whatever is counted in no row above, worked out from what is known in all
+        inside = ", ".join(f"'{x}'" for x in levels)
+        for level, test in (("'(not listed)'", f"cast({{c}} as string) not in ({inside})"), ("null", "{c} is null")):
+            n = {s: f"(select count(*) from {table} where {test.format(c=c)})" for s, c in sources.items()}
+            cells = ", ".join(f"{n[s]} as n_{s}, {n[s]} / (select count(*) from {table}) as percent_{s}" for s in sources)
+            bottom += f" union all select {level}, {cells} where {' + '.join(n.values())} > 0"
     return f"select l.level, {cols} from ({listed}) l{bottom}"
 
 
@@ -298,9 +304,9 @@ CHECKS = {
              left join yearly b on concat('C', cast(s.person_id as string)) = upper(b.hashed) and b.wave = 2 and b.provider = 2
         where s.person_id % 2 = 1""",
     "assemble_full": f"""{with_frames('activity', 'calls', 'spine')}
-        select * from (select person_id, count(*) as n_orders, max(priority) as priority from activity group by person_id having count(*) > 8) a
+        select * from (select person_id, count(*) as n_orders, max(priority) as priority from activity group by person_id) a
         full join (select person_id, count(*) as n_calls, max(kind) as kind from calls group by person_id) b using (person_id)
-        full join (select person_id, segment from spine where balance > 0) c using (person_id)""",
+        full join (select person_id, segment from spine) c using (person_id)""",
     "any_flag": f"""{with_frames('sources')}
         select doc_id, {_OR.format(a='quality', b='long_text')} as either, {_OR.format(a='english', b='toxic')} as second from sources""",
     "natural_join": """select r_regionkey, n_nationkey, s_suppkey, s_name, s_acctbal, n_name, r_name
@@ -344,7 +350,8 @@ CHECKS = {
     "crosstab_totals": f"""{with_frames('activity')}
         select case when grouping(status) = 1 then 'Total' else status end as status,
                {', '.join(f"count(*) filter (where priority = '{x}') as " + f'"{x}"' for x in ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED'))},
-               count(*) as Total from activity group by rollup (status)""",
+               count(*) filter (where priority not in ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED')) as "(not listed)",
+               count(*) filter (where priority is null) as "(unknown)", count(*) as Total from activity group by rollup (status)""",
     "pairwise_agreement": f"{with_frames('sources')} "
     + " union all ".join(
         f"select '{n}' as pair, level, n, percent from ({sql})" for n, sql in group_shares("sources", VERDICTS, "{a} <> {b}", _KNOWN, False).items()

@@ -327,7 +327,7 @@ def _capped(c):
     return f"case when {c} >= date '{STUDY.after_end}' then null else {c} end"
 
 
-BODIES["attributes"] = f"""select *, case e_sus when 1 then 'White' when 2 then 'Mixed' when 3 then 'Asian' when 4 then 'Black or Black British' when 5 then 'Other' else 'Missing' end as ethnicity_sus,
+BODIES["attributes"] = f"""select *, case e_sus when 1 then 'White' when 2 then 'Mixed' when 3 then 'Asian or Asian British' when 4 then 'Black or Black British' when 5 then 'Other' else 'Missing' end as ethnicity_sus,
         case when EthnicCategory in ('A', 'B', 'C') then 'White' when EthnicCategory in ('M', 'P') then 'Black or Black British'
              when EthnicCategory = 'S' then 'Other' else 'Missing' end as ethnicity_csds,
         coalesce(e_new, 'Missing') as ethnicity_new, coalesce(g_new, 'Missing') as gender_new,
@@ -392,6 +392,8 @@ def check_from(extra: str, select: str) -> str:
 
 def crossed(rows, columns, levels):
     cells = ", ".join(f"count(*) filter (where {columns} = '{x}') as \"{x}\"" for x in levels)
+    listed = ", ".join(f"'{x}'" for x in levels)
+    cells += f", count(*) filter (where {columns} not in ({listed})) as \"(not listed)\", count(*) filter (where {columns} is null) as \"(unknown)\""
     return f"select case when grouping({rows}) = 1 then 'Total' else {rows} end as {rows}, {cells}, count(*) as Total from attributes group by rollup ({rows})"
 
 

@@ -17,7 +17,7 @@ MISSING = "Missing"
 HOSPITAL_ETHNICITY = {
     1: "White",
     2: "Mixed",
-    3: "Asian",
+    3: "Asian or Asian British",
     4: "Black or Black British",
     5: "Other",
     0: "Missing",

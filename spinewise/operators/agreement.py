@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import partial, reduce
 from itertools import combinations
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,8 @@ from spinewise.functions.missing import known_in_all, n_distinct
 from spinewise.functions.recode import MISSING, availability, differs
 
 TOTAL = "Total"
+#: What is known but not in a list of levels, and, as a column, what is unknown.
+NOT_LISTED, UNKNOWN = "(not listed)", "(unknown)"
 
 
 def _rows(wide: DataFrame, rows: Sequence[Sequence[Column]], names: Sequence[str]) -> DataFrame:
@@ -49,8 +51,8 @@ def source_coverage(
 ) -> DataFrame:
     """Rows per level and share for several sources side by side: level, n_<source>, percent_<source>.
 
-    Rows outside ``levels`` count in the total. A null is a level of its own. With ``valid``, and
-    where no levels are given, valid_percent_<source> is the share among known rows.
+    Counts add up to the rows: what is not in ``levels`` has a row of its own, and so has null, wherever
+    there is any. With ``valid``, and where no levels are given, valid_percent_<source> is the share among known rows.
     """
     if levels is not None:
         return _coverage_of_levels(df, sources, levels, total)
@@ -82,25 +84,27 @@ def source_coverage(
 
 
 def _coverage_of_levels(df, sources, levels, total) -> DataFrame:
+    tests = [lambda c, level=level: c.eqNullSafe(F.lit(level)) for level in levels]
+    tests += [lambda c: c.isNotNull() & ~c.isin(list(levels)), lambda c: c.isNull()]
     counted = df.agg(
         F.count(F.lit(1)).alias("_all"),
-        *[
-            F.count_if(F.col(c).eqNullSafe(F.lit(level))).alias(f"_{i}_{j}")
-            for i, c in enumerate(sources.values())
-            for j, level in enumerate(levels)
-        ],
+        *[F.count_if(test(F.col(c))).alias(f"_{i}_{j}") for i, c in enumerate(sources.values()) for j, test in enumerate(tests)],
     )
-    names = ["level", *[x for s in sources for x in (f"n_{s}", f"percent_{s}")]]
+    names = ["level", *[x for s in sources for x in (f"n_{s}", f"percent_{s}")], "_shown"]
+    shown = [F.lit(True)] * len(levels) + [
+        reduce(or_, [F.col(f"_{i}_{j}") > 0 for i in range(len(sources))]) for j in (len(levels), len(levels) + 1)
+    ]
     rows = [
         [
             F.lit(level),
             *[x for i in range(len(sources)) for x in (F.col(f"_{i}_{j}"), _share(F.col(f"_{i}_{j}"), F.col("_all")))],
+            shown[j],
         ]
-        for j, level in enumerate(levels)
+        for j, level in enumerate([*levels, NOT_LISTED, None])
     ]
     if total:
-        rows.append([F.lit(TOTAL), *[x for _ in sources for x in (F.col("_all"), _share(F.col("_all"), F.col("_all")))]])
-    return _rows(counted, rows, names)
+        rows.append([F.lit(TOTAL), *[x for _ in sources for x in (F.col("_all"), _share(F.col("_all"), F.col("_all")))], F.lit(True)])
+    return _rows(counted, rows, names).where("_shown").drop("_shown")
 
 
 def availability_coverage(df: DataFrame, sources: Mapping[str, str], total: bool = True) -> DataFrame:
@@ -112,15 +116,19 @@ def availability_coverage(df: DataFrame, sources: Mapping[str, str], total: bool
 def crosstab(df: DataFrame, rows: str, cols: str, col_levels: Sequence[str], total: str = TOTAL) -> DataFrame:
     """Two-way counts, one row per level of ``rows`` and a total row, one column per column level.
 
-    The last column counts all rows of the level. Null row levels are shown as null.
+    The last column counts all rows of the level, and what is not in ``col_levels`` or null has a column
+    each, so that the columns add up to it. Null row levels are shown as null.
     """
+    c = F.col(cols)
     counted = df.rollup(rows).agg(
         F.grouping(rows).alias("_total"),
-        *[F.count_if(F.col(cols).eqNullSafe(F.lit(level))).alias(str(level)) for level in col_levels],
+        *[F.count_if(c.eqNullSafe(F.lit(level))).alias(str(level)) for level in col_levels],
+        F.count_if(c.isNotNull() & ~c.isin(list(col_levels))).alias(NOT_LISTED),
+        F.count_if(c.isNull()).alias(UNKNOWN),
         F.count(F.lit(1)).alias(total),
     )
     label = F.when(F.col("_total") == 1, total).otherwise(F.col(rows).cast("string"))
-    return counted.select(label.alias(rows), *[str(level) for level in col_levels], total)
+    return counted.select(label.alias(rows), *[str(level) for level in col_levels], f"`{NOT_LISTED}`", f"`{UNKNOWN}`", total)
 
 
 Difference = Callable[[str, str], Column]

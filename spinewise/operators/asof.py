@@ -1,19 +1,22 @@
 """The record valid at a date, with or without gaps filled from older records.
 
-The history is collapsed to one candidate per person and day before it meets the spine, so a person
-with a very long history sends no more rows to the join than there are days. The candidate of a day
-is exact because the anchor is a date: a record counts for the first midnight at or after it.
+A spine of no more rows than a fixed bound is broadcast and met by the records where they are read, so
+records of other people and later ones go before anything is shuffled. With a larger spine the history is
+collapsed to one candidate per person and day before the join, so that a person with a very long history
+sends no more rows than there are days. The candidate of a day is exact because the anchor is a date: a
+record counts for the first midnight at or after it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spinewise.functions.dates import ceil_day
 from spinewise.functions.missing import col
+from spinewise.operators.windowed import fits
 
 
 def _newest_first(df: DataFrame, start: str) -> Column:
@@ -36,10 +39,12 @@ def _until_last(history: DataFrame, spine: DataFrame, start: str, anchor: str) -
     return history.where(F.col(start) <= (last.cast(dtype) if dtype.startswith("timestamp") else last))
 
 
-def _at_anchor(daily: DataFrame, spine: DataFrame, key: str, spine_key: str, anchor: str) -> DataFrame:
+def _at_anchor(daily: DataFrame, spine: DataFrame, key: str, spine_key: str, anchor: str, small: bool = False) -> DataFrame:
     anchors = spine.select(F.col(spine_key).alias("_person"), F.col(anchor).cast("date").alias("_anchor"))
     return daily.join(
-        anchors, (F.col(key) == F.col("_person")) & (F.col("_day") <= F.col("_anchor")), "inner"
+        F.broadcast(anchors) if small else anchors,
+        (F.col(key) == F.col("_person")) & (F.col("_day") <= F.col("_anchor")),
+        "inner",
     )
 
 
@@ -78,13 +83,18 @@ def asof_filled(
     Columns named in ``exempt`` are taken from the latest record as they are.
     """
     ready = _ready(history, key, start)
-    rank = [_newest_first(history, start).alias("_age"), *[F.col(t).alias(f"_tie_{t}") for t in tiebreak]]
+    rank = [_newest_first(history, start).alias("_age")]
+    for t in tiebreak:  # a minimum takes null first, and a missing tiebreak is to lose
+        rank += [F.col(t).isNull().alias(f"_no_{t}"), F.col(t).alias(f"_tie_{t}")]
     filled = [c for c in columns if c not in exempt]
     best = [F.min(F.when(F.col(c).isNotNull(), F.struct(*rank, F.col(c)))).alias(f"_fill_{c}") for c in filled]
     if exempt:
         best.append(F.min(F.struct(*rank, *[F.col(c) for c in exempt])).alias("_latest"))
     if spine is None:
         found = ready.where(F.col("_day") <= F.col(anchor).cast("date")).groupBy(key).agg(*best)
+    elif fits(spine, spine_key or key):
+        bounded = _until_last(ready, spine, start, anchor)
+        found = _at_anchor(bounded, spine, key, spine_key or key, anchor, small=True).groupBy(key).agg(*best)
     else:
         daily = _until_last(ready, spine, start, anchor).groupBy(key, "_day").agg(*best)
         near = _at_anchor(daily, spine, key, spine_key or key, anchor)
@@ -111,16 +121,12 @@ def asof_ties(
     ready = _ready(history, key, start)
     if spine is None:
         valid = ready.where(F.col("_day") <= F.col(anchor).cast("date"))
-        latest = valid.groupBy(key).agg(F.max(start).alias("_latest"))
-        source = valid
     else:
-        daily = _until_last(ready, spine, start, anchor).groupBy(key, "_day").agg(F.max(start).alias("_start"))
-        near = _at_anchor(daily, spine, key, spine_key or key, anchor)
-        latest = near.groupBy(key).agg(F.max("_start").alias("_latest"))
-        source = ready
-    latest = latest.withColumnRenamed(key, "_person")
-    same = (F.col(key) == F.col("_person")) & (F.col(start) == F.col("_latest"))
-    return source.join(latest, same, "inner").select(key, *columns)
+        bounded = _until_last(ready, spine, start, anchor)
+        valid = _at_anchor(bounded, spine, key, spine_key or key, anchor, fits(spine, spine_key or key))
+    # Spark keeps the first rank of every task's rows before it shuffles them.
+    newest = Window.partitionBy(key).orderBy(F.desc(start))
+    return valid.withColumn("_rank", F.rank().over(newest)).where("_rank = 1").select(key, *columns)
 
 
 def latest_filled(

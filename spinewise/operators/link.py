@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spinewise.functions.missing import equal_keys
-from spinewise.functions.names import add_suffix, lead_with, present, with_prefix
+from spinewise.functions.names import lead_with, present, with_prefix
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
@@ -45,14 +46,17 @@ def link_to_spine(
     key: str,
     null_safe: bool = False,
     check: Sequence[str] | None = None,
+    unique_spine: bool = False,
 ) -> DataFrame:
     """Left-join every named source to the spine on the person key, keeping the spine's rows.
 
     ``sources`` maps a name to the table and its key column. A column already present gets the name
     of its source as suffix. A source with two rows for one person fails the job; ``check`` limits
     that test to the sources named, the others having one row per person by the way they were made.
+    So does a second spine row of one key, or without a key; ``unique_spine=True`` says that it was tested.
     """
-    linked, taken = spine, list(spine.columns)
+    linked = spine if unique_spine else checked_unique(spine, key, "spine", null_safe=True)
+    taken = list(spine.columns)
     for name, (df, source_key) in sources.items():
         if check is None or name in check:
             df = checked_unique(df, source_key, name, null_safe)
@@ -68,12 +72,13 @@ def assemble(frames: Mapping[str, DataFrame], key: str) -> DataFrame:
 
     The tables are stacked by column name and grouped once by the key, so the work is one exchange
     whatever the number of tables. A second row for a person in one table is seen there and fails
-    the job. Tables must not share column names other than the key.
+    the job. Rows without a key are nobody's and left out. Tables must not share column names other
+    than the key.
     """
     columns = [c for df in frames.values() for c in df.columns if c != key]
     if len(set(columns)) < len(columns):
         raise ValueError(f"columns found in two tables: {sorted({c for c in columns if columns.count(c) > 1})}")
-    marked = [df.withColumn(f"_from_{n}", F.lit(1)) for n, df in frames.items()]
+    marked = [df.where(F.col(key).isNotNull()).withColumn(f"_from_{n}", F.lit(1)) for n, df in frames.items()]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
     values = [F.expr(f"any_value(`{c}`, true) as `{c}`") for c in columns]
     most = F.expr(f"greatest(1, {', '.join(f'count(_from_{n})' for n in frames)}) as _n")
@@ -82,8 +87,10 @@ def assemble(frames: Mapping[str, DataFrame], key: str) -> DataFrame:
 
 
 def zero_fill(df: DataFrame, columns: Sequence[str] = (), prefix: str | None = None) -> DataFrame:
-    """Null becomes 0 in the named columns the frame has, and in all columns with the prefix."""
+    """Null becomes 0 in the named columns the frame has, and in all columns with the prefix; absent ones are warned of."""
     wanted = present(df, columns)
+    if absent := [c for c in columns if c not in wanted]:
+        warnings.warn(f"zero_fill: no such columns: {', '.join(absent)}", stacklevel=2)
     if prefix is not None:
         wanted += [c for c in with_prefix(df, prefix, ignore_case=False) if c not in wanted]
     return df.fillna(0, subset=wanted) if wanted else df
@@ -133,25 +140,43 @@ def waves_wide(
 ) -> DataFrame:
     """Records of several waves side by side, one row per person, the providers' rows stacked.
 
-    ``waves`` gives the number of each wave and the suffix of its columns.
+    ``waves`` gives the number of each wave and the suffix of its columns. People and records are read
+    once: one grouping by provider and id lays the waves side by side, and one join brings them to the people.
     """
-    parts = []
-    for p in providers:
-        everyone = people.where(p.people)
-        mine = everyone.where(F.col(p.person_key).isNotNull())
-        rows = records.where(p.records)
-        if p.record_id is not None:
-            rows = rows.withColumn(p.record_key, p.record_id)
-        for number, suffix in waves:
-            cut = rows.where(F.col(wave) == number).drop(wave, *p.drop.get(number, ()))
-            if unique:
-                cut = checked_unique(cut, p.record_key, f"wave {number}")
-            cut = add_suffix(cut, suffix, keep=[p.record_key]).withColumnRenamed(p.record_key, "_key")
-            mine = mine.join(cut, F.col(p.person_key) == F.col("_key"), "left").drop("_key")
-        # People without an id match nothing; they stay out of the joins, where they would pile up.
-        parts.append(mine.drop(*p.drop_people))
-        parts.append(everyone.where(F.col(p.person_key).isNull()).drop(*p.drop_people))
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    kept = {
+        (i, number): [c for c in records.columns if c not in (wave, p.record_key, *p.drop.get(number, ()))]
+        for i, p in enumerate(providers)
+        for number, _ in waves
+    }
+    ids = [F.col(p.record_key) if p.record_id is None else p.record_id for p in providers]
+    owners = [F.when(p.records, F.struct(F.lit(i).alias("_p"), k.cast("string").alias("_key"))) for i, (p, k) in enumerate(zip(providers, ids, strict=True))]
+    owned = records.select("*", F.inline(F.array_compact(F.array(*owners)))).where(F.col("_key").isNotNull())
+    values, counts = [], []
+    for number, suffix in waves:
+        here = F.col(wave) == number
+        columns = dict.fromkeys(c for i in range(len(providers)) for c in kept[i, number])
+        values += [F.any_value(F.when(here, F.col(c)), F.lit(True)).alias(c + suffix) for c in columns]
+        counts.append(F.count_if(here).alias(f"_n{number}"))
+    wide = owned.groupBy("_p", "_key").agg(*values, *counts)
+    if unique:
+        for number, _ in waves:
+            wide = wide.withColumn("_n", F.col(f"_n{number}")).where(_single("_key", f"wave {number}")).drop("_n")
+    wide = wide.drop(*[f"_n{number}" for number, _ in waves]).withColumnsRenamed({"_p": "_wp", "_key": "_wkey"})
+
+    asked = [F.when(p.people, F.struct(F.lit(i).alias("_p"), F.col(p.person_key).cast("string").alias("_key"))) for i, p in enumerate(providers)]
+    everyone = people.select("*", F.inline(F.array_compact(F.array(*asked))))
+    # People without an id match nothing; they stay out of the join, where they would pile up.
+    met = everyone.where(F.col("_key").isNotNull()).join(wide, (F.col("_p") == F.col("_wp")) & (F.col("_key") == F.col("_wkey")), "left")
+    whole = met.unionByName(everyone.where(F.col("_key").isNull()), allowMissingColumns=True)
+    has = {
+        i: [c for c in people.columns if c not in p.drop_people] + [c + suffix for number, suffix in waves for c in kept[i, number]]
+        for i, p in enumerate(providers)
+    }
+    out = []
+    for c in dict.fromkeys(c for i in has for c in has[i]):
+        within = [i for i in has if c in has[i]]
+        out.append(F.col(c) if len(within) == len(providers) else F.when(F.col("_p").isin(within), F.col(c)).alias(c))
+    stacked = whole.select(*out)
     return lead_with(stacked, *lead) if lead else stacked
 
 

