@@ -28,7 +28,7 @@ class Rule(NamedTuple):
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
 # Words of which a text with any license notice holds at least one.
-MASTER = ["licen", "copyright", "redistribution", "public domain", "creative", " cc by", "cc0", "warranty", "free software", "gpl", "what the fuck"]
+MASTER = ["licen", "copyright", "redistribution", "public domain", "creative", " cc by", "cc0", "warranty", "free software", "gpl", "what the fuck", "hereby granted", "endorse or promote", "advertising materials", "all rights reserved"]
 
 # License families: label, regex of the name, keyword, versions ("" for none).
 FAMILIES = [
@@ -126,17 +126,20 @@ def _version(v: str) -> str:
 def _rules() -> list[Rule]:
     """Every family in every version by four forms of notice, then the terms of creative commons and the sentences."""
     out = [Rule(0, label, keyword, regex, 1.0) for label, keyword, regex in SENTENCES]
-    grant = r"(?:licensed|released|distributed|available|published|provided|covered) under (?:the )?(?:terms of (?:the )?)?"
+    terms = r"under (?:the )?(?:terms of (?:the )?)?"
+    grant = r"(?:released|distributed|available|published|provided|covered)"
     for label, name, keyword, versions in FAMILIES:
         for v in versions:
             full, tail = f"{label}-{v}" if v else label, _version(v)
             forms = [
-                (1, rf"{grant}{name}(?: licen[sc]e)?{tail}", 0.95),
+                (1, rf"licen[sc]ed {terms}{name}(?: licen[sc]e)?{tail}", 0.95),
+                (1, rf"{grant} {terms}{name} licen[sc]e{tail}", 0.95),
                 (2, rf"{name} licen[sc]e{tail}", 0.8),
             ]
             if label in ("gpl", "lgpl", "agpl"):
-                forms.append((2, rf"{name}(?: licen[sc]e)?{tail} or (?:at your option )?any later version", 0.9))
-                forms.append((2, rf"{name}{tail}", 0.7))
+                short = "gpl" in name
+                forms.append((2, rf"{name}{'(?: licen[sc]e)?' if short else ' licen[sc]e'}{tail} or (?:at your option )?any later version", 0.9))
+                forms += [(2, rf"{name}{tail}", 0.7)] * short
             for tier, regex, weight in forms:
                 out.append(Rule(tier, f"{full}-or-later" if "later" in regex else full, keyword, regex, weight))
             out.append(Rule(1, full, "spdx", rf"spdx license identifier {re.sub('[-.]', ' ', full)}(?: only)?", 1.0))
@@ -163,6 +166,8 @@ def _rules() -> list[Rule]:
 
 
 RULES = _rules()
+#: More characters than any rule can match.
+LONGEST = 2000
 
 # What parts words: all of ASCII but digits and letters (capitals are folded before).
 GAPS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
@@ -182,10 +187,11 @@ def _spaces(text: Column) -> Column:
 def _found(words: Column, rule: Column) -> Column:
     """All places of one rule: the words are cut where a match begins, so each cut tells how many came before."""
     parts = F.split(words, F.concat(F.lit("(?= (?:"), rule["regex"], F.lit(") )")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,less_end:int,tier:int,label:string,weight:double>>").alias("spans"))
+    start = F.struct(F.lit(0).alias("at"), F.lit(1).alias("char"), F.array().cast("array<struct<start:int,less_end:int,tier:int,label:string,weight:double>>").alias("spans"))
 
     def step(so_far: Column, part: Column) -> Column:
-        match = F.regexp_substr(F.concat(part, F.lit(" ")), F.concat(F.lit("^ (?:"), rule["regex"], F.lit(")(?= )")))
+        # From the whole text, as a match may go on past the place where the next one begins.
+        match = F.regexp_substr(F.substr(words, so_far["char"], F.lit(LONGEST)), F.concat(F.lit("^ (?:"), rule["regex"], F.lit(")(?= )")))
         span = F.struct(
             so_far["at"].alias("start"),
             (-(so_far["at"] + _spaces(match))).alias("less_end"),
@@ -194,7 +200,7 @@ def _found(words: Column, rule: Column) -> Column:
             rule["weight"].alias("weight"),
         )
         spans = F.when(match.isNull(), so_far["spans"]).otherwise(F.concat(so_far["spans"], F.array(span)))
-        return F.struct((so_far["at"] + _spaces(part)).alias("at"), spans.alias("spans"))
+        return F.struct((so_far["at"] + _spaces(part)).alias("at"), (so_far["char"] + F.char_length(part)).alias("char"), spans.alias("spans"))
 
     return F.aggregate(parts, start, step, lambda s: s["spans"])
 
