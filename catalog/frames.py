@@ -235,6 +235,11 @@ FRAMES = {
                case when c_mktsegment = 'BUILDING' then 'White' when c_mktsegment = 'AUTOMOBILE' then 'Mixed' end as ethnicity_new,
                case when c_acctbal > 4000 then 'Female' when c_acctbal < 2000 then 'Male' end as gender_new,
                case when c_nationkey < 5 then 'Yes' when c_nationkey < 20 then 'No' end as dementia,
+               cast(c_custkey % 25 as double) as waterlow_recent, cast(c_custkey % 23 as double) as braden_recent,
+               case when c_nationkey > 3 then cast(c_custkey % 10 as double) end as iaged_score,
+               cast(c_custkey % 100 as double) / 100 as ascot_scrqol, cast(c_custkey % 97 as double) / 100 as icecap_qol,
+               case when c_acctbal > 500 then cast(c_custkey % 101 as double) end as eq5d_vas,
+               cast(c_custkey % 89 as double) / 100 as UK_crosswalk, cast(c_custkey % 51 as double) / 50 as ascot_mascore_p,
                cast(floor(c_acctbal / 100) as double) as barthel_score, case when c_acctbal > 0 then c_acctbal * w end as lengthofstay
         from {customer} c join (select who, w, cast(count(*) over (partition by who) as int) as ways
                                 from (select distinct o_custkey as who, cast(extract(year from o_orderdate) % 2 + 1 as int) as w from {orders}) x) o on c_custkey = who""",

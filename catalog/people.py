@@ -33,7 +33,7 @@ from spinewise.plans.presets import (
     residency_record,
     social_care_record,
 )
-from spinewise.plans.reports import reporting_frame, stratified_frame, stratified_tables, variable_tables
+from spinewise.plans.reports import CARE_HOME_SCORES, STRATA_LEVELS, reporting_frame, stratified_frame, stratified_tables, variable_tables
 from spinewise.plans.study import PERSON, Study
 
 STUDY = Study(period_start="1998-01-01", period_end="1998-05-31", after_end="2000-01-01", longest_stay=9000)
@@ -120,7 +120,9 @@ def home_level(spark, d):
 def variables_of(name):
     def run(spark, d):
         report = reporting_frame(final_people(spark, d), STUDY)
-        table = variable_tables(report, CATEGORICAL, CONTINUOUS, STUDY, [name])[name]
+        listed = (None, None) if name.startswith("remaining_") else (CATEGORICAL, CONTINUOUS)
+        name_of = name.removeprefix("remaining_")
+        table = variable_tables(report, *listed, STUDY, [name_of])[name_of]
         return table.withColumns({c: F.round(c, 6) for c in ("mean", "sd") if c in table.columns})
 
     return run
@@ -129,13 +131,30 @@ def variables_of(name):
 def strata_of(name):
     def run(spark, d):
         table = stratified_tables(stratified_frame(final_people(spark, d)), OUTCOMES, [name])[name]
-        return table.withColumns({c: F.round(c, 6) for c in ("mean", "sd") if c in table.columns})
+        return table.withColumns({c: F.round(f"`{c}`", 6) for c in table.columns if c.endswith(("mean", "sd"))})
 
     return run
 
 
 CATEGORICAL = ["IMD_quintile", "sex_final", "nur_res", "ethnicity_final", "registered_bed_capacity", "service_reg_yrs"]
 CONTINUOUS = ["n_cs_appts", "Years_Since_Reg_CQC"]
+# Text forms of all that is in none of the other tables, for the check alone: the query finds them itself.
+REMAINING_LEVELS = [
+    "adm_bedsore_12h", "adm_lrti_12h", "adm_urti_12h", "discharge_ch_12h", "death_hosp_postindex", "deathdate_sus",
+    "diabetes_combined", "anaemia_combined", "hypertension_combined", "ngproc_combined", "Accommodation_Status_ASC",
+    "Client_Funding_Status_ASC", "Service_Component_ASC", "Service_Type_ASC", "index_date", "practice_code_PDS",
+    "CCG_residence_PDS", "date_of_death_PDS", "LSOA_PDS", "Der_Start_Date_CHR", "Der_End_Date_CHR", "Der_CQC_Location_CHR",
+    "Der_CQC_Service_Type_CHR", "CCG_Of_Residence_CHR", "YearMonthDeath_YYYYMM_CHR", "CareHomeIndicator_CHR",
+    "DeathFlag_CHR", "DeathInHospFlag_CHR", "Provider", "both_waves", "ethnicity_new", "gender_new", "dementia",
+    "ethnicity_new_w2", "gender_new_w2", "dementia_w2", "CH_admission_flag", "wave", "dementia_sus", "IMD_decile",
+    "IMD_quintile", "dod_final", "dob_final", "ethnicity_final", "sex_final", "dementia_final", "nur_res", "dob_available",
+    "dod_available", "RecordedDate_WF", "Location_HSCA_start_date_CQC", "Publication_Date_CQC", "Care_homes_beds_CQC",
+    "Location_Region_CQC", "Der_CQC_Service_Type_CHRCH", "CCG_Of_Residence_CHRCH", "CareHomeIndicator_CHRCH",
+    "registered_bed_capacity", "service_reg_yrs", "cogimp_sus",
+]
+REMAINING_NUMBERS = [
+    *[f"{c}_w2" for c in CARE_HOME_SCORES], *CARE_HOME_SCORES, "lengthofstay", "lengthofstay_w2", "Q3_staff", "Q3_hours", "Years_Since_Reg_CQC",
+]
 OUTCOMES = {"n_ED_attendances": "ED attendances", "n_cs_appts": "Community appointments", "nr_elix_h36": "Conditions"}
 QUERIES = {
     "cohort_flags": lambda spark, d: cohort_flags(frame(spark, d, "residents"), STUDY),
@@ -159,21 +178,26 @@ QUERIES = {
     )},
     "home_level": home_level,
     "final_set": final_people,
-    **{f"report_{n}": variables_of(n) for n in ("conditions", "event_share", "activity", "levels", "scores", "length_of_stay", "survey", "quantiles")},
-    **{f"strata_{n}": strata_of(n) for n in ("means", "sizes", "event_counts")},
+    **{f"report_{n}": variables_of(n) for n in ("conditions", "event_share", "activity", "levels", "scores", "length_of_stay", "survey", "quantiles", "remaining_levels", "remaining_quantiles")},
+    **{f"strata_{n}": strata_of(n) for n in ("means", "sizes", "event_counts", "merged")},
 }
 
 # --- checks -----------------------------------------------------------------------------------
 
 BACK, PERIOD, WAVE = WINDOW_TESTS[""], WINDOW_TESTS["_5m"], WINDOW_TESTS["_wave"]
 SINCE = f"day between index_wave1 and date '{STUDY.period_end}'"
-AM = "('1048031000000100', '1048021000000102', '1048041000000109', '1048051000000107')"
-FALLS = "('161898004', '430576002', '54670004', '75941004', '240871000000104', '429482004')"
-INJURY = "('54670004', '75941004', '240871000000104', '429482004')"
+# Codes of arrival by ambulance, complaints of a fall, and injuries by a fall.
+AM = ["1048031000000100", "1048021000000102", "1048041000000109", "1048051000000107"]
+FALLS = ["161898004", "430576002", "54670004", "75941004", "240871000000104", "429482004"]
+INJURY = ["54670004", "75941004", "240871000000104", "429482004"]
 TWO = ("_5m", "_wave")
 LOOK = ("",)
 
 
+def one_of(c, codes):
+    return f"{c} in ({', '.join(repr(x) for x in codes)})"
+
+
 def where(test):
     return f"count(*) filter (where {test})"
 
@@ -204,8 +228,8 @@ EMERGENCY = [
     ("n_ED_seenunplan", strict("cntseenunplan = 1"), None),
     ("n_out_of_hours_ED_attendances", strict("(cast(arrtime_ec as time) > time '18:00:00' or cast(arrtime_ec as time) < time '08:00:00')"), None),
     ("n_long_ED_attendances", strict("tnrdur_ec >= 720"), None),
-    ("n_ED_attendances_via_ambulance", where(f"arrmode_ec in {AM}"), None),
-    ("n_ED_attendances_for_falls", where(f"coalesce(chief_ec in {FALLS}, false) or coalesce(injmech_ec in {INJURY}, false)"), None),
+    ("n_ED_attendances_via_ambulance", where(one_of("arrmode_ec", AM)), None),
+    ("n_ED_attendances_for_falls", where(f"coalesce({one_of('chief_ec', FALLS)}, false) or coalesce({one_of('injmech_ec', INJURY)}, false)"), None),
     ("n_ED_attendances_ngproc", strict("ngproc_ec = 1"), LOOK),
 ]
 OUTPATIENT = [
@@ -271,7 +295,7 @@ BODIES["residency_per_home"] = f"""select Der_CQC_Location_CHR as Der_CQC_Locati
                  row_number() over (partition by Der_CQC_Location_CHR order by Der_Start_Date_CHR desc, {PERSON} desc) as place
           from ({BODIES['residency_record']})
           window w as (partition by Der_CQC_Location_CHR order by Der_Start_Date_CHR desc, {PERSON} desc rows between current row and unbounded following)) where place = 1"""
-_RECORD = ["ethnicity_new", "gender_new", "dementia", "barthel_score", "lengthofstay"]
+_RECORD = ["ethnicity_new", "gender_new", "dementia", *CARE_HOME_SCORES, "lengthofstay"]
 
 def _provider(code, number, key, record, upper):
     first = ", ".join(f"a.{c}" for c in ["residentid", "both_waves", *_RECORD])
@@ -296,9 +320,28 @@ BODIES["hospital_set"] = f"""select *, {_OR.format(a='e_diab_comp_h36', b='e_dia
     full join inpatient_any using ({PERSON}) full join emergency_features using ({PERSON})
     full join outpatient_features using ({PERSON}) full join hospital_demographics using ({PERSON})"""
 
-_ZERO = """n_ambulance_call_outs_5m n_ED_attendances n_cs_appts n_ED_attendances_5m adm_el_12h adm_em_12h adm_bedsore_12h adm_lrti_12h
-    adm_urti_12h discharge_ch_12h n_admissions_5m n_elective_admissions_5m n_emergency_admissions_5m n_avoidable_emergency_admissions_5m
-    n_admissions_wave n_elective_admissions_wave n_emergency_admissions_wave n_avoidable_emergency_admissions_wave n_OP_appts""".split()
+# Counts that are 0 where a person has no record.
+_ZERO = [
+    "n_ambulance_call_outs_5m",
+    "n_ED_attendances",
+    "n_cs_appts",
+    "n_ED_attendances_5m",
+    "adm_el_12h",
+    "adm_em_12h",
+    "adm_bedsore_12h",
+    "adm_lrti_12h",
+    "adm_urti_12h",
+    "discharge_ch_12h",
+    "n_admissions_5m",
+    "n_elective_admissions_5m",
+    "n_emergency_admissions_5m",
+    "n_avoidable_emergency_admissions_5m",
+    "n_admissions_wave",
+    "n_elective_admissions_wave",
+    "n_emergency_admissions_wave",
+    "n_avoidable_emergency_admissions_wave",
+    "n_OP_appts",
+]
 BODIES["linked"] = f"""select r.{PERSON}, h.* exclude ({PERSON}) replace ({', '.join(f'coalesce({c}, 0) as {c}' for c in _ZERO if 'cs_' not in c and 'ambulance' not in c)},
             nullif(adm_avoid_12h, 0) as adm_avoid_12h),
         a.* exclude ({ALT}) replace (coalesce(n_ambulance_call_outs_5m, 0) as n_ambulance_call_outs_5m),
@@ -369,7 +412,17 @@ BASE = {
 }
 
 
-_FRAILTY = "f_anxdep_h36 f_dependence_h36 f_fallsfract_h36 f_incont_h36 f_mobprob_h36 f_pulcers_h36 f_senility_h36 cogimp_sus".split()
+# Flags that add up to the number of frailty conditions.
+_FRAILTY = [
+    "f_anxdep_h36",
+    "f_dependence_h36",
+    "f_fallsfract_h36",
+    "f_incont_h36",
+    "f_mobprob_h36",
+    "f_pulcers_h36",
+    "f_senility_h36",
+    "cogimp_sus",
+]
 _COGNITIVE = "f_delirium_h36 + f_dementia_h36 + f_senility_h36"
 BODIES["scored"] = f"""select * replace (barthel_score * 5 as barthel_score, coalesce(IMD_quintile, 'Missing') as IMD_quintile,
         coalesce(Der_CQC_Service_Type_CHR, 'Missing') as Der_CQC_Service_Type_CHR, coalesce(Client_Funding_Status_ASC, 'Missing') as Client_Funding_Status_ASC),
@@ -402,6 +455,11 @@ def availability(sources):
     return check_from(f"flags as (select {flags} from finals)", covered("flags", sources, ["Available", "Missing"]))
 
 
+def quantile_rows(c):
+    cells = ", ".join(f"quantile_cont(cast({c} as double), {p}) as p{round(100 * p)}" for p in (0.25, 0.5, 0.75))
+    return f"select '{c}' as variable, count({c}) as known, {cells} from report having count({c}) > 0"
+
+
 def known_missing(*columns):
     return "count(*) as rows, " + ", ".join(f"count({c}) as known_{c}, count(*) - count({c}) as missing_{c}" for c in columns)
 
@@ -449,19 +507,35 @@ CHECKS |= {
         each([f"select '{c}' as variable, cast(sum(coalesce({c}, 0)) as double) as total_activity, count(*) as known, {mean_sd(f'coalesce({c}, 0)')} from report" for c in _ACTIVE])
     ),
     "report_levels": check(each([level_rows(c, "report") for c in CATEGORICAL])),
-    "report_scores": check(f"select 'barthel_score' as variable, count(barthel_score) as known, {mean_sd('barthel_score')} from report"),
+    "report_scores": check(each([f"select '{c}' as variable, count({c}) as known, {mean_sd(c)} from report" for c in CARE_HOME_SCORES])),
+    "report_remaining_levels": check(each([level_rows(c, "report") for c in REMAINING_LEVELS])),
+    "report_remaining_quantiles": check(each([quantile_rows(c) for c in REMAINING_NUMBERS])),
     "report_length_of_stay": check(
         f"select 'lengthofstay' as variable, count(lengthofstay) as known, {mean_sd('lengthofstay')} from report where lengthofstay <= {STUDY.longest_stay}"
     ),
     "report_survey": check(
         "select " + ", ".join(f"round_even(avg({c}), 2) as {c}_mean, round_even(stddev_samp({c}), 2) as {c}_sd, count(*) - count({c}) as {c}_na_count" for c in ("Q3_staff", "Q3_hours")) + " from report"
     ),
-    "report_quantiles": check(
-        each([f"select '{c}' as variable, count({c}) as known, {', '.join(f'quantile_cont(cast({c} as double), {p}) as p{round(100 * p)}' for p in (0.25, 0.5, 0.75))} from report" for c in CONTINUOUS])
-    ),
+    "report_quantiles": check(each([quantile_rows(c) for c in CONTINUOUS])),
     "strata_means": check_from(
         _AGED + ", tables as (" + each([stratum_rows(s, OUTCOMES, "banded") for s in (*_STRATA, "Overall")]) + ")", f"select *, {_PLACE} from tables"
     ),
+    "strata_merged": check_from(
+        _AGED.rstrip(),
+        each(
+            [
+                f"select '{v}' as variable, '{label}' as label, "
+                + ", ".join(
+                    f'count({v}) filter (where {test}) as "{s}: {lv}: known", round(avg({v}) filter (where {test}), 6) as "{s}: {lv}: mean", '
+                    f'round(stddev_samp({v}) filter (where {test}), 6) as "{s}: {lv}: sd"'
+                    for s, lv in STRATA_LEVELS
+                    for test in ["true" if s == "Overall" else f"coalesce(cast({s} as string), '(Missing)') = '{lv}'"]
+                )
+                + " from banded"
+                for v, label in OUTCOMES.items()
+            ]
+        ),
+    ),
     "strata_sizes": check_from(
         _AGED + ", tables as (" + each([f"select '{s}' as stratum, coalesce(cast({s} as string), '(Missing)') as level, count(*) as n from banded group by {s}" for s in _STRATA])
         + " union all select 'Overall', 'Overall', count(*) from banded)",

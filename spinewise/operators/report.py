@@ -222,9 +222,17 @@ def stratum_sizes(df: DataFrame, strata: Sequence[str]) -> DataFrame:
 
 
 def side_by_side(table: DataFrame, columns: Sequence[tuple[str, str]], values: Sequence[str] = ("known", "mean", "sd")) -> DataFrame:
-    """A stratified table with one row per variable and a block of columns per (stratum, level)."""
+    """A stratified table with one row per variable and a block of columns per (stratum, level).
+
+    A level that nobody has shows 0 known and no mean.
+    """
+
+    def pick(s: str, lv: str, v: str) -> Column:
+        found = F.max(F.when((F.col("stratum") == s) & (F.col("level") == lv), F.col(v)))
+        return F.coalesce(found, F.lit(0)) if v == "known" else found
+
     picks = [
-        F.max(F.when((F.col("stratum") == s) & (F.col("level") == lv), F.col(v))).alias(f"{s}: {lv}: {v}")
+        pick(s, lv, v).alias(f"{s}: {lv}: {v}")
         for s, lv in columns
         for v in values
     ]

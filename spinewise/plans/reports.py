@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from spinewise.functions.dates import parse_date_as
 from spinewise.functions.names import present, with_prefix, without
-from spinewise.functions.recode import AGE_LEVELS, DEPRIVATION_FIFTHS, MISSING, YES_NO, any_source_flag, recode
+from spinewise.functions.recode import AGE_LEVELS, DEPRIVATION_FIFTHS, MISSING, SEX_LEVELS, YES_NO, any_source_flag, recode
 from spinewise.operators.harmonise import age_band
 from spinewise.operators.report import (
+    MISSING_LEVEL,
+    OVERALL,
     activity_table,
     condition_table,
     event_counts_by,
@@ -22,6 +24,7 @@ from spinewise.operators.report import (
     quantiles,
     row_scores,
     score_table,
+    side_by_side,
     stratified_table,
     stratum_sizes,
 )
@@ -61,10 +64,26 @@ CARE_HOME_SCORES = [
     "UK_crosswalk",
     "ascot_mascore_p",
 ]
+IDS = ["pseudonhsno", "pseudocqcid", "ClientID_N", "ClientID_P", "ClientID_PCS", "clientid", "clientid_w2", "hashedid", "residentid"]
 STRATA = ["sex_final", "age_cat", "nur_res", "dementia_combo", "IMD_quintile"]
 DEMENTIA_SOURCES = ["f_dementia_h36", "c_dementia_h36", "dementia"]
+NURSING_LEVELS = ["Nursing", "Residential"]
 LEVEL_ORDER = {"age_cat": AGE_LEVELS, "IMD_quintile": DEPRIVATION_FIFTHS}
 
+#: Blocks of the merged table: every level of every stratum, what is unknown, and all together.
+STRATA_LEVELS = [
+    (s, lv)
+    for s, levels in (
+        ("sex_final", SEX_LEVELS),
+        ("age_cat", [*AGE_LEVELS, MISSING_LEVEL]),
+        ("nur_res", [*NURSING_LEVELS, MISSING_LEVEL]),
+        ("dementia_combo", ["0", "1", MISSING_LEVEL]),
+        ("IMD_quintile", [*DEPRIVATION_FIFTHS, MISSING_LEVEL]),
+        (OVERALL, [OVERALL]),
+    )
+    for lv in levels
+]
+
 
 def reporting_frame(final: DataFrame, study: Study = Study()) -> DataFrame:
     """The final set with the score scaled, missing levels named, and the frailty scores added."""
@@ -77,36 +96,47 @@ def reporting_frame(final: DataFrame, study: Study = Study()) -> DataFrame:
     )
 
 
+def required(frame: DataFrame, variables: Sequence[str]) -> list[str]:
+    """The same variables; an error names those that the frame lacks."""
+    if absent := [c for c in variables if c not in frame.columns]:
+        raise ValueError(f"no such variables: {', '.join(absent)}")
+    return list(variables)
+
+
 def variable_tables(
     frame: DataFrame,
-    categorical: Sequence[str],
-    continuous: Sequence[str],
+    categorical: Sequence[str] | None,
+    continuous: Sequence[str] | None,
     study: Study = Study(),
     only: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """The one-row-per-variable tables, by name.
 
-    ``categorical`` and ``continuous`` name the remaining variables; see ``remaining_variables``.
+    ``categorical`` and ``continuous`` name the variables of the level and quantile tables; None stands for
+    all that remain, see ``remaining_variables``. A variable that the frame lacks raises an error.
     """
+    levels, numbers = remaining_variables(frame)
+    categorical, continuous = levels if categorical is None else categorical, numbers if continuous is None else continuous
     conditions = list(dict.fromkeys(c for p in CONDITION_PREFIXES for c in with_prefix(frame, p)))
     activity = [*ACTIVITY, *[c for c in with_prefix(frame, "n_") if c not in ACTIVITY]]
     tables = {
         "conditions": lambda: condition_table(frame, conditions, present(frame, CONDITION_SCORES)),
         "event_share": lambda: event_share(frame, activity),
         "activity": lambda: activity_table(frame, activity),
-        "levels": lambda: level_table(frame, categorical),
-        "quantiles": lambda: quantiles(frame, continuous),
-        "scores": lambda: score_table(frame, present(frame, CARE_HOME_SCORES)),
+        "levels": lambda: level_table(frame, required(frame, categorical)),
+        "quantiles": lambda: quantiles(frame, required(frame, continuous)),
+        "scores": lambda: score_table(frame, required(frame, CARE_HOME_SCORES)),
         "length_of_stay": lambda: score_table(frame, ["lengthofstay"], {"lengthofstay": study.longest_stay}),
         "survey": lambda: prefix_stats(frame, "Q3_"),
     }
     return {n: tables[n]() for n in (tables if only is None else only)}
 
 
-def remaining_variables(frame: DataFrame) -> list[str]:
-    """Variables in none of the other tables, as candidates for the level table."""
+def remaining_variables(frame: DataFrame) -> tuple[list[str], list[str]]:
+    """Variables in none of the other tables, without ids: those for the level table, and the measured ones."""
     taken = [c for p in ["n_", *CONDITION_PREFIXES] for c in with_prefix(frame, p)]
-    return without(frame, [*NOT_IN_LEVEL_TABLE, *CONDITION_SCORES, *taken])
+    left, kinds = without(frame, [*NOT_IN_LEVEL_TABLE, *CONDITION_SCORES, *IDS, *taken]), dict(frame.dtypes)
+    return [c for c in left if kinds[c] != "double"], [c for c in left if kinds[c] == "double"]
 
 
 def stratified_frame(final: DataFrame) -> DataFrame:
@@ -125,5 +155,6 @@ def stratified_tables(frame: DataFrame, outcomes: Mapping[str, str], only: Seque
         "means": lambda: in_level_order(stratified_table(frame, outcomes, STRATA), "level", order),
         "sizes": lambda: in_level_order(stratum_sizes(frame, STRATA), "level", order),
         "event_counts": lambda: event_counts_by(frame, counts, "IMD_quintile"),
+        "merged": lambda: side_by_side(stratified_table(frame, outcomes, STRATA), STRATA_LEVELS),
     }
     return {n: tables[n]() for n in (tables if only is None else only)}

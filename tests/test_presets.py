@@ -10,6 +10,7 @@ from spinewise.plans import presets
 from spinewise.plans.final_set import final_set
 from spinewise.plans.person_set import care_home_records, finalise, hospital_set, link_people, source_reports
 from spinewise.plans.reports import (
+    CARE_HOME_SCORES,
     remaining_variables,
     reporting_frame,
     stratified_frame,
@@ -303,8 +304,14 @@ def test_reports(pipeline):
     frame = reporting_frame(final)
     a = {r.pseudonhsno: r for r in frame.collect()}["a"]
     assert (a.barthel_score, a.cogimp_sus, a.n_frailty_conditions) == (50.0, 1, 8)
-    assert "IMD_quintile" in remaining_variables(frame) and "n_cs_appts" not in remaining_variables(frame)
+    levels, numbers = remaining_variables(frame)
+    assert "IMD_quintile" in levels and "Years_Since_Reg_CQC" in numbers and "pseudonhsno" not in levels
+    assert not {"n_cs_appts", "c_dementia_h36"} & {*levels, *numbers}
+    with pytest.raises(ValueError, match="braden_recent"):
+        variable_tables(frame, ["IMD_quintile"], [], only=["scores"])
+    frame = frame.withColumns({c: F.lit(1.0) for c in CARE_HOME_SCORES if c not in frame.columns})
     made = variable_tables(frame, ["IMD_quintile", "sex_final"], ["Years_Since_Reg_CQC"])
+    assert {r.variable for r in made["scores"].collect()} == set(CARE_HOME_SCORES)
     stay = made["length_of_stay"].collect()[0]
     assert (stay.known, stay.mean) == (1, 100.0)
     conditions = {r.variable: r for r in made["conditions"].collect()}
@@ -316,6 +323,8 @@ def test_reports(pipeline):
     assert made["quantiles"].collect()[0].p50 == 10.5
     only = variable_tables(frame, [], [], only=["survey"])
     assert list(only) == ["survey"]
+    everything = variable_tables(frame, None, None, only=["levels", "quantiles"])
+    assert {r.variable for r in everything["levels"].select("variable").distinct().collect()} == set(levels)
 
 
 def test_stratified_reports(pipeline):
