@@ -85,3 +85,10 @@ def test_lineage_is_cut_only_where_a_folder_is_set(spark, tmp_path):
         spark.conf.unset("spark.checkpoint.dir")
         assert cut is not df and rows(cut) == rows(df)
         assert any(tmp_path.iterdir())
+
+
+def test_values_that_do_not_fit_are_counted(spark):
+    df = spark.createDataFrame([("1", "x", "2023-01-01"), ("two", "x", "01/02/2023"), (None, "x", ""), ("3", "y", None)], "a string, b string, c string")
+    got = {tuple(r) for r in tables.misfits(df, {"a": "int", "c": "date"}).collect()}
+    assert got == {("a", 3, 1), ("c", 2, 1)}
+    assert tables.misfits(df, {}).count() == 0
