@@ -30,6 +30,11 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[child], nodes[parent[child]]
 
 
+def _spread(frame: DataFrame) -> DataFrame:
+    """Dealt by another value than the join's key; with both sides straight from a shuffle Spark may split a hot node."""
+    return frame.repartition(F.xxhash64("u"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the least node of the component of every node that has a link (a, b), roots included.
 
@@ -42,10 +47,10 @@ def components(links: DataFrame) -> DataFrame:
     edges = staged(edges, "links")
     while True:
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = _spread(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         edges = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        edges = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", "m")).distinct()
+        edges = edges.join(_spread(least), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", "m")).distinct()
         edges = staged(edges, "links")
         more = edges.groupBy("u").count().where("count > 1").limit(1).count()
         if not more and not edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count():

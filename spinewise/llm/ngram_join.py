@@ -7,6 +7,8 @@
 3. In each candidate component a tree is built over the sets: a leaf holds a few, a node the OR of their token
    bitmaps and the range of their sizes. Walking the tree against itself drops node pairs whose sizes do not
    fit, whose bitmaps cannot overlap enough, or whose sets are all linked already; the rest are compared.
+   A component too large for one task is first walked with bitmaps alone, which are a small part of the sets,
+   by pairs of blocks; what may still be linked then is a set of much smaller components.
 4. The links found are the components.
 """
 
@@ -23,9 +25,13 @@ from spinewise.llm.common import joined_bytes, mix, run_hashes, runs, slices, st
 from spinewise.llm.components import components, forest
 
 #: Sets of a leaf; children of a node.
-LEAF, FANOUT = 16, 4
+LEAF, FANOUT = 8, 4
+#: Bits of a bitmap for each element of the largest set: so many that a leaf's OR is far from full.
+TREE_BITS = 16
 #: Sets, and elements in all, of a block of a candidate component; larger components are done by pairs of blocks.
 BLOCK_SETS, BLOCK_ELEMENTS = 1024, 2_000_000
+#: Sets of a block when only bitmaps are compared, and bits of a bitmap for each element, a power of two at least.
+SKETCH_SETS, SKETCH_BITS = 4096, 2
 #: Signatures that a task gathers before it sends them on.
 FLUSH = 1_000_000
 #: Bits of the filter that keeps sets out that have no candidate; when it is full it only filters less.
@@ -159,10 +165,11 @@ def candidate_links(rows: DataFrame, n: int, levels: Levels) -> DataFrame:
             sig = np.concatenate([h[0] for h in held]).view(np.int64) if held else np.zeros(0, np.int64)
             node = np.repeat(np.array([h[1] for h in held], np.int64), [len(h[0]) for h in held])
             heads, a, b = _stars(sig, node)
+            heads.sort()  # rows of one node together, which the shuffle's compression likes
             a, b = forest(a, b)
             spread = mix(a.view(np.uint64)).view(np.int64)
-            columns = [np.concatenate([sig[heads], spread]), np.concatenate([node[heads], a]), np.concatenate([node[heads], b])]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["sig", "a", "b"])
+            columns = [np.concatenate([sig[heads], spread]), np.concatenate([node[heads], a]), np.concatenate([np.zeros(len(heads), np.int64), b ^ a])]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["sig", "a", "x"])
 
         for batch in batches:
             for part in slices(batch, 0):
@@ -186,9 +193,9 @@ def candidate_links(rows: DataFrame, n: int, levels: Levels) -> DataFrame:
             sig, one, other = (np.asarray(batch.column(c), np.int64) for c in range(3))
             if not len(sig):
                 continue
-            link = one != other  # links among the texts of one task
+            link = other != 0  # links among the texts of one task: the second column is the other node, xored
             a.append(one[link])
-            b.append(other[link])
+            b.append(one[link] ^ other[link])
             sig, node = sig[~link], one[~link]
             if len(sig):
                 head = np.ones(len(sig), bool)
@@ -208,7 +215,7 @@ def candidate_links(rows: DataFrame, n: int, levels: Levels) -> DataFrame:
         x, y = forest(np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64),) * 2
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
 
-    sent = rows.select("text").mapInArrow(emit, "sig long, a long, b long")
+    sent = rows.select("text").mapInArrow(emit, "sig long, a long, x long")
     return sent.repartition("sig").sortWithinPartitions("sig").mapInArrow(gather, "a long, b long")
 
 
@@ -234,9 +241,10 @@ def _filter_places(node: np.ndarray, bits: int) -> list[np.ndarray]:
     return [one & np.uint64(bits - 1), (one >> np.uint64(32)) & np.uint64(bits - 1)]
 
 
-def _candidate_sets(rows: DataFrame, named: DataFrame, n: int) -> DataFrame:
-    """(node, size, items) of the nodes in `named` (and few others): their sets, made again from the texts."""
+def _texts_of(rows: DataFrame, named: DataFrame, n: int, schema: str, columns) -> DataFrame:
+    """`columns(sets)` of the nodes in `named` (and few others), made again from the texts; a task gives a node once."""
     words = _filter_words(named, FILTER_BITS)
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -250,33 +258,53 @@ def _candidate_sets(rows: DataFrame, named: DataFrame, n: int) -> DataFrame:
                 new = [i for i in np.flatnonzero(hit) if len(sets[i]) and not (node[i] in seen or seen.add(node[i]))]
                 if len(seen) > FLUSH:
                     seen.clear()
-                columns = [pa.array(node[new], pa.int64()), pa.array([len(sets[i]) for i in new], pa.int64()), pa.array([sets[i].tobytes() for i in new], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "size", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[new], pa.int64()), *columns([sets[i] for i in new])], names=["node", *names])
 
-    return rows.select("text").mapInArrow(run, "node long, size long, items binary")
+    return rows.select("text").mapInArrow(run, f"node long, {schema}")
+
+
+def _bitmap(own: np.ndarray, width: int) -> np.ndarray:
+    bits = np.zeros(width // 64, np.uint64)
+    place = own & np.uint64(width - 1)
+    np.bitwise_or.at(bits, place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63)))
+    return bits
+
+
+def _width(size: int, bits: int) -> int:
+    return min(1 << 16, 1 << max(9, (bits * size - 1).bit_length()))
+
+
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """The bitmap of fewer bits that the same elements have."""
+    return np.bitwise_or.reduce(bits.reshape(-1, width // 64), axis=0)
 
 
 class SignatureTree:
-    """Sets in leaves; above them, nodes with the OR of token bitmaps and the range of sizes."""
+    """Sets in leaves; above them, nodes with the OR of token bitmaps and the range of sizes.
 
-    def __init__(self, sets: list[np.ndarray], num: int, den: int):
+    Without the sets themselves, what cannot be ruled out counts as linked.
+    """
+
+    def __init__(self, sizes: np.ndarray, bitmaps: list[np.ndarray], least: np.ndarray, sets: list[np.ndarray] | None, num: int, den: int):
         self.num, self.den = num, den
-        self.sizes = np.array([len(s) for s in sets], np.int64)
-        width = 1 << max(9, int(4 * self.sizes.max() - 1).bit_length())
-        width = min(width, 1 << 16)
         # Alike sets tend to have the same least hash, so this order puts them into one leaf.
-        order = np.lexsort((self.sizes, np.array([s[0] for s in sets], np.uint64)))
-        self.sets, self.sizes, self.order = [sets[i] for i in order], self.sizes[order], order
-        self.bits = np.zeros((len(sets), width // 64), np.uint64)
-        for row, s in zip(self.bits, self.sets, strict=True):
-            place = s & np.uint64(width - 1)
-            np.bitwise_or.at(row, place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63)))
+        self.order = np.lexsort((sizes, least))
+        self.sizes = sizes[self.order]
+        self.sets = [sets[i] for i in self.order] if sets else None
+        width = 64 * min(len(b) for b in bitmaps)
+        self.bits = np.stack([_folded(bitmaps[i], width) for i in self.order])
         # Elements that share a bit with another one of their set: so many more may be common than bits are.
         self.shared = self.sizes - np.bitwise_count(self.bits).sum(1).astype(np.int64)
         self.levels = [self._group(self.bits, self.sizes, self.sizes, self.shared, LEAF)]
         while len(self.levels[-1][0]) > 1:
             self.levels.append(self._group(*self.levels[-1], FANOUT))
 
+    @classmethod
+    def of(cls, sets: list[np.ndarray], num: int, den: int) -> SignatureTree:
+        sizes = np.array([len(s) for s in sets], np.int64)
+        width = _width(int(sizes.max()), TREE_BITS)
+        return cls(sizes, [_bitmap(s, width) for s in sets], np.array([s[0] for s in sets], np.uint64), sets, num, den)
+
     @staticmethod
     def _group(bits, low, high, shared, by):
         at = np.arange(0, len(low), by)
@@ -284,7 +312,7 @@ class SignatureTree:
 
     def _rows(self, level: int, i: int) -> slice:
         span = LEAF * FANOUT**level
-        return slice(i * span, min((i + 1) * span, len(self.sets)))
+        return slice(i * span, min((i + 1) * span, len(self.sizes)))
 
     def needed(self, a, b):
         """The least overlap of linked sets of a and b elements."""
@@ -295,12 +323,18 @@ class SignatureTree:
         bits, low, high, shared = self.levels[level]
         fits = (high[i] * self.den >= self.num * low[j]) & (high[j] * self.den >= self.num * low[i])
         j = j[fits]
-        overlap = np.bitwise_count(bits[i] & bits[j]).sum(1) + np.minimum(shared[i], shared[j])
-        return j[overlap >= self.needed(low[i], low[j])]
+        spare, needed = np.minimum(shared[i], shared[j]), self.needed(low[i], low[j])
+        fits = np.bitwise_count(bits[i] & bits[j]).sum(1) + spare >= needed
+        if level == 0 and fits.any():
+            # No set of the one leaf has more in common with the OR of the other than this.
+            j, spare, needed = j[fits], spare[fits], needed[fits]
+            own = self.bits[self._rows(0, i)]
+            fits = np.bitwise_count(own[:, None, :] & bits[j][None, :, :]).sum(2).max(0) + spare >= needed
+        return j[fits]
 
     def links(self) -> list[tuple[int, int]]:
         """Pairs of positions (of the sets as given) that connect all linked sets: no more than it takes."""
-        label = np.arange(len(self.sets))
+        label = np.arange(len(self.sizes))
         out: list[tuple[int, int]] = []
         top = len(self.levels) - 1
         pairs = [(top, 0, 0)]
@@ -331,24 +365,28 @@ class SignatureTree:
         for p, q in zip(x.tolist(), y.tolist(), strict=True):
             if label[p] == label[q]:
                 continue
-            common = len(np.intersect1d(self.sets[p], self.sets[q], assume_unique=True))
-            if common * self.den >= self.num * (len(self.sets[p]) + len(self.sets[q]) - common):
+            if self.sets is None or self._linked(self.sets[p], self.sets[q]):
                 label[label == label[q]] = label[p]
                 out.append((p, q))
 
 
-def _block_keys(members: DataFrame) -> DataFrame:
-    """(node, size, items, key): every member under the keys of all pairs of blocks that it is in.
+    def _linked(self, one: np.ndarray, other: np.ndarray) -> bool:
+        common = len(np.intersect1d(one, other, assume_unique=True))
+        return common * self.den >= self.num * (len(one) + len(other) - common)
+
+
+def _block_keys(members: DataFrame, sets: int, elements: int) -> DataFrame:
+    """(node, key): every member (node, size, class, root) under the keys of all pairs of blocks that it is in.
 
     A component of one block has one key. In a larger one, blocks are the sets of a size class dealt by hash;
     a block is paired with those of its class and of the next, as linked sets are no further apart.
     """
     counts = members.groupBy("root", "class").agg(F.count(F.lit(1)).alias("sets"), F.sum("size").alias("elements"))
     whole = counts.groupBy("root").agg(F.sum("sets").alias("s"), F.sum("elements").alias("e"))
-    blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("elements") / BLOCK_ELEMENTS)).cast("int")
+    blocks = F.greatest(F.ceil(F.col("sets") / sets), F.ceil(F.col("elements") / elements)).cast("int")
     order = Window.partitionBy("root").orderBy("class")
     near = lambda step: F.coalesce(F.when(F.lag("class", step).over(order) == F.col("class") - step, F.lag("blocks", step).over(order)), F.lit(0))
-    large = counts.withColumn("blocks", blocks).join(whole, "root").withColumn("large", (F.col("s") > BLOCK_SETS) | (F.col("e") > BLOCK_ELEMENTS))
+    large = counts.withColumn("blocks", blocks).join(whole, "root").withColumn("large", (F.col("s") > sets) | (F.col("e") > elements))
     large = large.select("root", "class", "blocks", "large", near(1).alias("below"), near(-1).alias("above"))
     dealt = members.join(large, ["root", "class"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     name = lambda c, i, j: F.struct(F.col("root").alias("root"), c.cast("int").alias("class"), i.cast("int").alias("low"), j.cast("int").alias("high"))
@@ -358,36 +396,75 @@ def _block_keys(members: DataFrame) -> DataFrame:
     above = F.transform(upto(F.col("above")), lambda j: name(c, own, shift + j))  # the higher class is told by the shift
     below = F.transform(upto(F.col("below")), lambda j: name(c - 1, j, shift + own))
     keys = F.when(F.col("large"), F.concat(within, above, below)).otherwise(F.array(name(F.lit(-1), F.lit(0), F.lit(0))))
-    return dealt.select("node", "items", F.explode(keys).alias("key")).select("node", "items", F.xxhash64("key").alias("key"))
+    return dealt.select("node", F.explode(keys).alias("key")).select("node", F.xxhash64("key").alias("key"))
 
 
-def tree_links(members: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): links that connect all linked nodes; members are (node, size, items, class, root)."""
+def _tree_links(keyed: DataFrame, tree) -> DataFrame:
+    """(a, b): links that connect what is linked under each key; `tree` makes the tree of the rows (key, node, ...) of one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, np.ndarray]] = []
+        held: list[tuple] = []
         last = None
 
         def settle() -> pa.RecordBatch:
-            found = SignatureTree([s for _, s in held], num, den).links() if len(held) > 1 else []
+            found = tree([h[1:] for h in held]).links()
             pairs = [[held[i][0] for i, _ in found], [held[j][0] for _, j in found]]
             return pa.RecordBatch.from_arrays([pa.array(p, pa.int64()) for p in pairs], names=["a", "b"])
 
         for batch in batches:
-            keys, node, items = (batch.column(c) for c in range(3))
-            for key, name, raw in zip(keys.to_pylist(), node.to_pylist(), items, strict=True):
+            for key, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if key != last:
                     if len(held) > 1:
                         yield settle()
                     held, last = [], key
-                held.append((name, np.frombuffer(raw.as_py(), np.uint64)))
+                held.append(tuple(row))
         if len(held) > 1:
             yield settle()
 
-    keyed = _block_keys(members).select("key", "node", "items")
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
+def _sketch_links(rows: DataFrame, members: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Links of all that bitmaps alone cannot rule out, by pairs of blocks."""
+    names = "size long, least long, bits binary"
+
+    def sketch(sets: list[np.ndarray]) -> list[pa.Array]:
+        least = np.array([s[0] for s in sets], np.uint64).view(np.int64)
+        bits = [_bitmap(s, _width(len(s), SKETCH_BITS)).tobytes() for s in sets]
+        return [pa.array([len(s) for s in sets], pa.int64()), pa.array(least, pa.int64()), pa.array(bits, pa.binary())]
+
+    def tree(held: list[tuple]) -> SignatureTree:
+        bitmaps = [np.frombuffer(h[2], np.uint64) for h in held]
+        return SignatureTree(np.array([h[0] for h in held], np.int64), bitmaps, np.array([h[1] for h in held], np.int64), None, num, den)
+
+    sketches = _texts_of(rows, members, n, names, sketch).dropDuplicates(["node"])
+    keyed = sketches.join(_block_keys(members, SKETCH_SETS, SKETCH_SETS * 4096), "node").select("key", "node", "size", "least", "bits")
+    return _tree_links(keyed, tree)
+
+
+def _set_links(rows: DataFrame, members: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Links that connect all linked sets of each candidate component."""
+    sets = _texts_of(rows, members, n, "items binary", lambda own: [pa.array([s.tobytes() for s in own], pa.binary())]).dropDuplicates(["node"])
+    keyed = sets.join(_block_keys(members, BLOCK_SETS, BLOCK_ELEMENTS), "node").select("key", "node", "items")
+    return _tree_links(keyed, lambda held: SignatureTree.of([np.frombuffer(h[0], np.uint64) for h in held], num, den))
+
+
+def _candidates(rows: DataFrame, known: DataFrame, n: int, levels: Levels) -> DataFrame:
+    """(node, size, class, root): candidate components, those too large for one task made smaller by bitmaps."""
+    tops = F.array(*[F.lit(t) for t in levels.tops])
+    sizes = known.groupBy("node").agg(F.first("n_shingles").alias("size"))
+    sizes = sizes.withColumn("class", F.size(F.filter(tops, lambda t: t < F.col("size"))))
+    found = staged(components(candidate_links(rows, n, levels)).join(sizes, "node"), "candidates")
+    whole = found.groupBy("root").agg(F.count(F.lit(1)).alias("s"), F.sum("size").alias("e"))
+    large = whole.where((F.col("s") > BLOCK_SETS) | (F.col("e") > BLOCK_ELEMENTS)).select("root")
+    if not large.limit(1).count():
+        return found
+    wide = staged(found.join(large, "root", "left_semi"), "large-candidates")
+    finer = components(_sketch_links(rows, wide, n, levels.num, levels.den))
+    finer = wide.drop("root").join(finer, "node").select("node", "size", "class", "root")
+    return staged(found.join(large, "root", "left_anti").select("node", "size", "class", "root").union(finer), "candidates")
+
+
 def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): every row with its set size and the smallest doc_id it is connected to.
 
@@ -402,12 +479,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     """
     rows, levels = _rows(docs, key, text), Levels(num, den)
     known = staged(nodes(rows, n), "set-nodes")
-    named = components(candidate_links(rows, n, levels))
-    named = staged(named, "candidates")
-    sets = _candidate_sets(rows, named, n).join(named, "node").dropDuplicates(["node"])
-    tops = F.array(*[F.lit(t) for t in levels.tops])
-    members = staged(sets.withColumn("class", F.size(F.filter(tops, lambda t: t < F.col("size")))), "candidate-sets")
-    linked = components(tree_links(members, num, den))
+    linked = components(_set_links(rows, _candidates(rows, known, n, levels), n, num, den))
     firsts = known.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
     firsts = firsts.join(linked, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     least = firsts.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -81,4 +81,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_importance_resampling": op10_importance_resampling,
 }
 
-CHECKS: dict[str, str] = {}
+_TOP_K = """
+    with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as double)) as q from embeddings
+               where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    scored as (select a.vec_id as query_id, b.vec_id, cast(list_dot_product(a.q, b.q) as bigint) as score
+               from v a join v b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q))
+    select query_id, rank, vec_id, score
+    from (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from scored)
+    where rank <= 20"""
+
+_JACCARD = """
+    with recursive worded as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+        from documents),
+    sets as (
+        select doc_id, list_distinct(case when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                                          when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from worded),
+    shingles as (select doc_id, len(s) as n, unnest(s) as shingle from sets),
+    links as (
+        select a.doc_id as a, b.doc_id as b from shingles a join shingles b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+        group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+    reach(a, b) as (select doc_id, doc_id from sets union select r.a, l.b from reach r join links l on r.b = l.a)
+    select doc_id, cast(len(s) as bigint) as n_shingles, (select min(b) from reach where a = doc_id) as component_id from sets"""
+
+#: The other operators give ids of tokenizers, places in a hash order, or samples; tests hold them against brute force.
+CHECKS: dict[str, str] = {"op2_exact_top_k": _TOP_K, "op3_ngram_jaccard": _JACCARD}
