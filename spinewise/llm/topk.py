@@ -125,7 +125,8 @@ def _searched(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     # Little data and much work: as many tasks as there may be, not as many as the bytes call for.
     keys, tasks = ["dim", "shard", "block"], int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    candidates, queries = candidates.repartition(tasks, *keys), queries.repartition(tasks, *keys)
+    own = [F.col(c).alias(c) for c in queries.columns]  # columns of their own, apart from the candidates'
+    candidates, queries = candidates.repartition(tasks, *keys), queries.select(*own).repartition(tasks, *keys)
     return candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(search, "query_id long, id long, score double")
 
 
@@ -141,6 +142,8 @@ def exact_top_k(
     scale: int = 64,
     key: str = "vec_id",
     vector: str = "embedding",
+    shard_rows: int = SHARD_ROWS,
+    query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """The k highest integer inner products of every query (ids divisible by `query_step`) with all other rows.
 
@@ -154,12 +157,11 @@ def exact_top_k(
     lengths do not meet. Rows of one id are each a candidate. Fewer than k candidates give all of them.
     An empty table gives an empty result; other columns of the input are left out.
     """
-    spark = vectors.sparkSession
     whole = quantised(vectors, scale, key, vector)
-    shards = max(1, -(-vectors.count() // SHARD_ROWS))
+    shards = max(1, -(-vectors.count() // shard_rows))
     placed = whole.withColumn("shard", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(shards)))
     asked = placed.where(F.col("id") % query_step == 0).dropDuplicates(["id", "dim"])
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    blocks = max(1, -(-asked.count() // query_block))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(blocks)))
     candidates = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
     first = staged(_searched(candidates, asked.withColumn("floor", F.lit(None).cast("double")), k), "top-k-home")
