@@ -143,7 +143,7 @@ def test_bitmaps_alone_rule_out_no_link(bits):
         sets += [np.unique(base[rng.random(len(base)) > 0.07]) for _ in range(4)]
     sets = [s for s in sets if len(s)]
     bitmaps = [ngram_join._bitmap(s, ngram_join._width(len(s), bits)) for s in sets]
-    tree = SignatureTree(np.array([len(s) for s in sets]), bitmaps, np.array([s[0] for s in sets]), None, 85, 100)
+    tree = SignatureTree(np.array([len(s) for s in sets]), bitmaps, np.array([s[0] for s in sets]), None, 85, 100, 8)
     label = list(range(len(sets)))
     for i, j in tree.links():
         label = [label[j] if x == label[i] else x for x in label]
