@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spinewise.llm.common import slices
+from spinewise.llm.common import per_process, slices
 from spinewise.llm.tokens import WordEncoder, gathered
 
 #: Bytes from which a word is contracted in place instead of as one more generation of rows.
@@ -81,7 +81,7 @@ class BytePairs(WordEncoder):
 
     blank = " "
 
-    def __init__(self, rank_file: str, pattern: str, memory: str = "300MB", limit: int = 400_000):
+    def __init__(self, rank_file: str, pattern: str, memory: str = "200MB", limit: int = 300_000):
         import duckdb
         import regex
 
@@ -159,10 +159,9 @@ def _in_tasks(frame: DataFrame, rank_file: str, pattern: str, schema: str, work)
     """`work(pairs, column values)` over parts of the second column; the first is passed on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = None
+        pairs = per_process(("byte pairs", rank_file, pattern), lambda: BytePairs(rank_file, pattern))
         for batch in batches:
-            pairs = pairs or BytePairs(rank_file, pattern)
-            for part in slices(batch, 1, 8192, 16 << 20):
+            for part in slices(batch, 1, 4096, 6 << 20):
                 columns = work(pairs, part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns.values()], names=["doc_id", *columns])
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
 #: ASCII letters whose case is folded; other letters are left as they are.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -58,6 +62,17 @@ def running_offsets(frame: DataFrame, key: str, value: str, out: str, block: int
     return joined.select(key, (F.col("_inner") + F.col("_outer")).cast("long").alias(out))
 
 
+def per_process(key: tuple, make: Callable[[], T]) -> T:
+    """What `make` gives, made once in a Python worker, which Spark uses for many tasks.
+
+    Functions reach the worker by value, each time with globals of their own, so this is kept beside the modules.
+    """
+    held = sys.modules.setdefault("_spinewise_per_process", types.ModuleType("_spinewise_per_process")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: spreads every input bit over the whole word."""
     v = values.astype(np.uint64, copy=True)
@@ -98,7 +113,7 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return out
 
 
-def slices(batch: pa.RecordBatch, column: int, rows: int = 2048, nbytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int, rows: int = 2048, nbytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in parts of so many rows and bytes of one text or binary column at most; a longer value is a part alone."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
     ends = np.cumsum(sizes)

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spinewise.llm.common import running_offsets, slices, staged
+from spinewise.llm.common import per_process, running_offsets, slices, staged
 from spinewise.llm.tokens import FileEncoder
 
 
@@ -18,10 +18,10 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id",
     """First pass, written to the shared folder: ids of each text with `end_id`, and the ids before it in its task."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, before, task = FileEncoder(tokenizer), 0, TaskContext.get().partitionId()
+        encoder, before, task = per_process(("encoder", tokenizer), lambda: FileEncoder(tokenizer)), 0, TaskContext.get().partitionId()
         last = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
-            for part in slices(batch, 1, 8192, 16 << 20):
+            for part in slices(batch, 1, 4096, 6 << 20):
                 ids = [b + last for b in encoder.encode(part.column(1))]
                 counts = np.array([len(b) // encoder.dtype.itemsize for b in ids], np.int64)
                 ends = before + np.cumsum(counts)

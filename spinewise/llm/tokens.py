@@ -33,7 +33,7 @@ class WordEncoder:
     blank = ""  # stands before every chunk but a text's first
     dtype = np.dtype("<u2")
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 300_000):
         self.limit = limit
         self.forget()
 
@@ -118,7 +118,7 @@ class FileEncoder(WordEncoder):
     That is true of word_bpe files, which also fold case and end each word with a token of its own kind.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
