@@ -151,21 +151,18 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0
 def _ranges(counts: DataFrame, buckets: int) -> DataFrame:
     """Ranges ``_low < value <= _high`` of each variable with the rows held and the rows before."""
     cuts = [i / buckets for i in range(1, buckets)]
-    edges = counts.groupBy("variable").agg(F.percentile_approx("value", cuts, 100 * buckets).alias("_edges"))
+    # The sum makes this branch need the same columns as the others, so that all share one exchange of the counts.
+    edges = counts.groupBy("variable").agg(F.percentile_approx("value", cuts, 100 * buckets).alias("_edges"), F.sum("n").alias("known"))
     # One row per variable.
     placed = counts.join(F.broadcast(edges), "variable").withColumn("_range", F.expr("size(filter(_edges, e -> e < value))"))
     held = placed.groupBy("variable", "_range").agg(
         F.expr("any_value(if(_range > 0, get(_edges, _range - 1), null)) as _low"),
         F.expr("any_value(get(_edges, _range)) as _high"),
+        F.expr("any_value(known) as known"),
         F.sum("n").alias("_held"),
     )
     # At most as many rows per variable as there are ranges.
-    return held.withColumns(
-        {
-            "_before": F.expr("sum(_held) over (partition by variable order by _range) - _held"),
-            "known": F.expr("sum(_held) over (partition by variable)"),
-        }
-    )
+    return held.withColumn("_before", F.expr("sum(_held) over (partition by variable order by _range) - _held"))
 
 
 def prefix_stats(df: DataFrame, prefix: str, digits: int = 2) -> DataFrame:

@@ -92,6 +92,13 @@ def test_reports_share_one_scan(spark):
         assert plan.count("documents.parquet") == 1
 
 
+def test_quantiles_share_one_count_of_the_values(spark):
+    df = queries()["quantiles"](spark, SMALL)
+    df._jdf.queryExecution().toRdd().count()
+    plan = plan_of(df).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan.*orders\.parquet", plan)) == 1 and "ReusedExchange" in plan
+
+
 @pytest.fixture
 def small_partitions(spark):
     """Thresholds low enough that the skew of a small table counts as skew."""
