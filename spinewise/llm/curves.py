@@ -107,6 +107,8 @@ def nearest(
     on a Hilbert curve; Spark sorts every ordering by ranges. A query is compared, in double precision, with the
     rows at most max(`least`, `share` of all rows) places away on any curve, and the best are kept. Random
     directions in 64 dimensions leave neighbours far apart on a curve, so the share sets the recall.
+    A query is scored in the block of each curve where it stands first; the k-th score found there is the
+    floor below which the other blocks of its windows send nothing.
 
     Vectors need not have one norm: a component is added under which nearness orders inner products.
     The scale of the grid is fitted on a sample of 2,048 rows; every row is indexed and can be found.
@@ -168,8 +170,16 @@ def nearest(
     groups = F.expr(f"sequence(greatest(block * {BLOCK} - r, 0L) div {GROUP}, ((block + 1) * {BLOCK} + r) div {GROUP})")
     blocks = F.expr(f"sequence(greatest(pos - r, 0L) div {BLOCK}, (pos + r) div {BLOCK})")
     candidates = rows.where("role = 0").withColumn("grp", F.explode(groups))
-    queries = rows.where("role = 1").withColumn("block", F.explode(blocks))
-    queries = queries.select(*[F.col(c).alias(c) for c in queries.columns])  # columns of its own, apart from the candidates'
+    queries = rows.where("role = 1").withColumn("home", F.col("block"))
+    first = staged(_scored(candidates, queries.withColumn("floor", F.lit(None).cast("double")), k, tasks), "curve-homes")
+    floors = _best(first, k).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+    others = queries.withColumn("block", F.explode(blocks)).where("block <> home").join(floors, "id", "left")
+    found = first.union(_scored(candidates, others, k, tasks))
+    return _best(found, k).select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def _scored(candidates: DataFrame, queries: DataFrame, k: int, tasks: int) -> DataFrame:
+    """(query_id, id, score): of each block and group, a query's k best that reach its floor."""
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
@@ -177,7 +187,9 @@ def nearest(
             return empty
         x, q = (np.frombuffer(b"".join(f["v"]), "<f8").reshape(len(f), -1) for f in (left, right))
         ids, asked, at, centre, r = left["id"].to_numpy(), right["id"].to_numpy(), left["pos"].to_numpy(), right["pos"].to_numpy(), right["r"].to_numpy()
-        out = []
+        floor = right["floor"].to_numpy(dtype=float, na_value=-np.inf)
+        floor = np.where(np.isnan(floor), -np.inf, floor)
+        out = [empty]
         for b in range(0, len(q), 512):
             some = slice(b, b + 512)
             products = q[some] @ x.T
@@ -185,19 +197,24 @@ def nearest(
             products[away | (asked[some, None] == ids)] = -np.inf
             # A margin keeps what rounding could put on either side of the k-th.
             kth = np.partition(products, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(products), -np.inf)
-            i, j = np.nonzero((products >= (kth - 1e-9 * np.abs(kth))[:, None]) & (products > -np.inf))
+            kth = np.maximum(kth, floor[some])
+            i, j = np.nonzero((products >= np.where(kth > -np.inf, kth - 1e-9 * np.abs(kth), kth)[:, None]) & (products > -np.inf))
             exact = (q[some][i] * x[j]).sum(1)
             best = np.lexsort((ids[j], -exact, i))
             i, j, exact = i[best], j[best], exact[best]
-            first = np.searchsorted(i, i)  # of equal scores the smaller ids, k of a query
-            top = np.arange(len(i)) - first < k
+            before = np.searchsorted(i, i)  # of equal scores the smaller ids, k of a query
+            top = np.arange(len(i)) - before < k
             out.append(pd.DataFrame({"query_id": asked[some][i[top]], "id": ids[j[top]], "score": exact[top]}))
         return pd.concat(out)
 
     keys = ["dim", "curve", "block", "grp"]
-    candidates, queries = candidates.repartition(tasks, *keys), queries.repartition(tasks, *keys)
-    found = candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(score, "query_id long, id long, score double")
-    best = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
-    best = best.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
-    return best.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+    own = [F.col(c).alias(c) for c in queries.columns]  # columns of their own, apart from the candidates'
+    candidates, queries = candidates.repartition(tasks, *keys), queries.select(*own).repartition(tasks, *keys)
+    return candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(score, "query_id long, id long, score double")
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """The k best of each query; a row found on several curves counts once."""
+    once = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
+    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
