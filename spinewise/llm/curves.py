@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spinewise.llm.common import staged
 
@@ -118,6 +119,8 @@ def nearest(
     rows of another id count once. An empty table gives an empty result; other columns are left out.
     """
     spark = vectors.sparkSession
+    # What was a float stays one on its way, and is a double again when products are made.
+    kind = "<f4" if isinstance(vectors.schema[vector].dataType.elementType, T.FloatType) else "<f8"
     usable = _usable(vectors, key, vector)
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     stats = {r["dim"]: r for r in usable.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("norm")).collect()}
@@ -134,7 +137,7 @@ def nearest(
                 x, ids, own = np.stack(rows["v"].to_numpy()), rows["id"].to_numpy(), fitted[dim]
                 asked = ids % query_step == 0
                 for role, some, at in ((0, np.ones(len(ids), bool), own.candidates(x)), (1, asked, own.queries(x[asked]))):
-                    raw = [v.tobytes() for v in np.ascontiguousarray(x[some], "<f8")]
+                    raw = [v.tobytes() for v in np.ascontiguousarray(x[some], kind)]
                     for curve, keys in enumerate(own.keys(at)):
                         yield pd.DataFrame({"dim": dim, "curve": curve, "key": keys, "role": role, "id": ids[some], "v": raw})
 
@@ -171,21 +174,21 @@ def nearest(
     blocks = F.expr(f"sequence(greatest(pos - r, 0L) div {BLOCK}, (pos + r) div {BLOCK})")
     candidates = rows.where("role = 0").withColumn("grp", F.explode(groups))
     queries = rows.where("role = 1").withColumn("home", F.col("block"))
-    first = staged(_scored(candidates, queries.withColumn("floor", F.lit(None).cast("double")), k, tasks), "curve-homes")
+    first = staged(_scored(candidates, queries.withColumn("floor", F.lit(None).cast("double")), k, tasks, kind), "curve-homes")
     floors = _best(first, k).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
     others = queries.withColumn("block", F.explode(blocks)).where("block <> home").join(floors, "id", "left")
-    found = first.union(_scored(candidates, others, k, tasks))
+    found = first.union(_scored(candidates, others, k, tasks, kind))
     return _best(found, k).select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
-def _scored(candidates: DataFrame, queries: DataFrame, k: int, tasks: int) -> DataFrame:
+def _scored(candidates: DataFrame, queries: DataFrame, k: int, tasks: int, kind: str) -> DataFrame:
     """(query_id, id, score): of each block and group, a query's k best that reach its floor."""
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         if left.empty or right.empty:
             return empty
-        x, q = (np.frombuffer(b"".join(f["v"]), "<f8").reshape(len(f), -1) for f in (left, right))
+        x, q = (np.frombuffer(b"".join(f["v"]), kind).astype(float).reshape(len(f), -1) for f in (left, right))
         ids, asked, at, centre, r = left["id"].to_numpy(), right["id"].to_numpy(), left["pos"].to_numpy(), right["pos"].to_numpy(), right["r"].to_numpy()
         floor = right["floor"].to_numpy(dtype=float, na_value=-np.inf)
         floor = np.where(np.isnan(floor), -np.inf, floor)
