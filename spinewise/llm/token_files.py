@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spinewise.llm.common import mix, new_path, running_offsets, slices, staged
+from spinewise.llm.common import mix, new_path, per_process, running_offsets, slices, staged
 from spinewise.llm.tokens import FileEncoder
 
 #: Bits of a level for each key that reaches it; more bits, fewer levels.
@@ -141,13 +141,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         store, folder = FileSystem.from_uri(path)
         task = TaskContext.get()
         shard, own = task.partitionId(), f"{folder}/_part-{task.taskAttemptId()}"
-        encoder, keys, counts, ids_file = FileEncoder(tokenizer), [], [], None
+        encoder, keys, counts, ids_file = per_process(("encoder", tokenizer), lambda: FileEncoder(tokenizer)), [], [], None
         last = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
             if ids_file is None and batch.num_rows:
                 store.create_dir(folder, recursive=True)
                 ids_file = store.open_output_stream(f"{own}.ids")
-            for part in slices(batch, 1, 8192, 16 << 20):
+            for part in slices(batch, 1, 4096, 6 << 20):
                 ids = [b + last for b in encoder.encode(part.column(1))]
                 ids_file.write(b"".join(ids))
                 n = np.array([len(b) // encoder.dtype.itemsize for b in ids], np.int64)
@@ -189,7 +189,9 @@ def read_token_files(wanted: DataFrame, path: str) -> DataFrame:
                 out.append(np.frombuffer(f.read(n * index.width), f"<u{index.width}").astype("<u4").tobytes())
         return pa.table([pa.array([shard] * len(out), pa.int32()), doc_ids.take(pa.array(which)), pa.array(begins), pa.array(out, pa.binary())], names=["shard", "doc_id", "before", "ids"])
 
-    distinct = wanted.select("shard", "doc_id").distinct()
+    # So many partitions that the files are read by as many tasks, however small the list of keys is.
+    tasks = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = wanted.select("shard", "doc_id").distinct().repartition(tasks, "shard")
     return distinct.groupBy("shard").applyInArrow(read, "shard int, doc_id long, before long, ids binary")
 
 
@@ -197,7 +199,8 @@ def token_file_digest(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataF
     path = new_path(docs.sparkSession, "token-files")
     manifest = write_token_files(docs, path, tokenizer, end_id)
     totals = manifest.groupBy("shard").agg(F.sum("n").alias("total"))
-    found = read_token_files(manifest, path).join(running_offsets(totals, "shard", "total", "base"), "shard")
+    # One row for each shard.
+    found = read_token_files(manifest, path).join(F.broadcast(running_offsets(totals, "shard", "total", "base")), "shard")
     return found.select(
         "doc_id",
         (F.col("base") + F.col("before")).alias("start"),
