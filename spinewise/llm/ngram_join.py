@@ -30,6 +30,8 @@ LEAF, FANOUT = 8, 4
 TREE_BITS = 16
 #: Sets, and elements in all, of a block of a candidate component; larger components are done by pairs of blocks.
 BLOCK_SETS, BLOCK_ELEMENTS = 1024, 2_000_000
+#: Sets of a leaf when only bitmaps are compared: their ORs are full, so larger leaves are walked faster.
+SKETCH_LEAF = 64
 #: Sets of a block when only bitmaps are compared, and bits of a bitmap for each element, a power of two at least.
 SKETCH_SETS, SKETCH_BITS = 4096, 2
 #: Signatures that a task gathers before it sends them on.
@@ -285,8 +287,8 @@ class SignatureTree:
     Without the sets themselves, what cannot be ruled out counts as linked.
     """
 
-    def __init__(self, sizes: np.ndarray, bitmaps: list[np.ndarray], least: np.ndarray, sets: list[np.ndarray] | None, num: int, den: int):
-        self.num, self.den = num, den
+    def __init__(self, sizes: np.ndarray, bitmaps: list[np.ndarray], least: np.ndarray, sets: list[np.ndarray] | None, num: int, den: int, leaf: int):
+        self.num, self.den, self.leaf = num, den, leaf
         # Alike sets tend to have the same least hash, so this order puts them into one leaf.
         self.order = np.lexsort((sizes, least))
         self.sizes = sizes[self.order]
@@ -295,7 +297,7 @@ class SignatureTree:
         self.bits = np.stack([_folded(bitmaps[i], width) for i in self.order])
         # Elements that share a bit with another one of their set: so many more may be common than bits are.
         self.shared = self.sizes - np.bitwise_count(self.bits).sum(1).astype(np.int64)
-        self.levels = [self._group(self.bits, self.sizes, self.sizes, self.shared, LEAF)]
+        self.levels = [self._group(self.bits, self.sizes, self.sizes, self.shared, leaf)]
         while len(self.levels[-1][0]) > 1:
             self.levels.append(self._group(*self.levels[-1], FANOUT))
 
@@ -303,7 +305,7 @@ class SignatureTree:
     def of(cls, sets: list[np.ndarray], num: int, den: int) -> SignatureTree:
         sizes = np.array([len(s) for s in sets], np.int64)
         width = _width(int(sizes.max()), TREE_BITS)
-        return cls(sizes, [_bitmap(s, width) for s in sets], np.array([s[0] for s in sets], np.uint64), sets, num, den)
+        return cls(sizes, [_bitmap(s, width) for s in sets], np.array([s[0] for s in sets], np.uint64), sets, num, den, LEAF)
 
     @staticmethod
     def _group(bits, low, high, shared, by):
@@ -311,7 +313,7 @@ class SignatureTree:
         return np.bitwise_or.reduceat(bits, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.maximum.reduceat(shared, at)
 
     def _rows(self, level: int, i: int) -> slice:
-        span = LEAF * FANOUT**level
+        span = self.leaf * FANOUT**level
         return slice(i * span, min((i + 1) * span, len(self.sizes)))
 
     def needed(self, a, b):
@@ -421,7 +423,9 @@ def _tree_links(keyed: DataFrame, tree) -> DataFrame:
         if len(held) > 1:
             yield settle()
 
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+    # Little data and much work: as many tasks as there may be, not as many as the bytes call for.
+    tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return keyed.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
 def _sketch_links(rows: DataFrame, members: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -435,7 +439,7 @@ def _sketch_links(rows: DataFrame, members: DataFrame, n: int, num: int, den: in
 
     def tree(held: list[tuple]) -> SignatureTree:
         bitmaps = [np.frombuffer(h[2], np.uint64) for h in held]
-        return SignatureTree(np.array([h[0] for h in held], np.int64), bitmaps, np.array([h[1] for h in held], np.int64), None, num, den)
+        return SignatureTree(np.array([h[0] for h in held], np.int64), bitmaps, np.array([h[1] for h in held], np.int64), None, num, den, SKETCH_LEAF)
 
     sketches = _texts_of(rows, members, n, names, sketch).dropDuplicates(["node"])
     keyed = sketches.join(_block_keys(members, SKETCH_SETS, SKETCH_SETS * 4096), "node").select("key", "node", "size", "least", "bits")
