@@ -47,7 +47,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1, k
     """
     first = tokenised(docs, tokenizer, end_id, key, text)
     totals = first.groupBy("task").agg(F.sum("n").alias("total"))
-    placed = first.join(running_offsets(totals, "task", "total", "base"), "task")
+    # One row for each task of the first pass, a few bytes each, so its size is bounded by the number of input splits.
+    placed = first.join(F.broadcast(running_offsets(totals, "task", "total", "base")), "task")
     placed = placed.select("doc_id", (F.col("base") + F.col("before")).alias("at"), "n", "ids")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
