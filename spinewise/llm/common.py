@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import tempfile
 import types
@@ -73,6 +75,13 @@ def per_process(key: tuple, make: Callable[[], T]) -> T:
     return held[key]
 
 
+def release() -> None:
+    """Give back to the system what the allocators of a Python worker would keep from one task to the next."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: spreads every input bit over the whole word."""
     v = values.astype(np.uint64, copy=True)

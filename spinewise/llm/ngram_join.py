@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spinewise.llm.common import joined_bytes, mix, run_hashes, runs, slices, staged
+from spinewise.llm.common import joined_bytes, mix, release, run_hashes, runs, slices, staged
 from spinewise.llm.components import components, forest
 
 #: Sets of a leaf; children of a node.
@@ -188,6 +188,7 @@ def candidate_links(rows: DataFrame, n: int, levels: Levels) -> DataFrame:
                 if len(seen) > FLUSH:
                     seen.clear()
         yield flush()
+        release()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, last, leader, size = [], [], None, 0, 0
@@ -261,6 +262,7 @@ def _texts_of(rows: DataFrame, named: DataFrame, n: int, schema: str, columns) -
                 if len(seen) > FLUSH:
                     seen.clear()
                 yield pa.RecordBatch.from_arrays([pa.array(node[new], pa.int64()), *columns([sets[i] for i in new])], names=["node", *names])
+        release()
 
     return rows.select("text").mapInArrow(run, f"node long, {schema}")
 
@@ -422,6 +424,7 @@ def _tree_links(keyed: DataFrame, tree) -> DataFrame:
                 held.append(tuple(row))
         if len(held) > 1:
             yield settle()
+        release()
 
     # Little data and much work: as many tasks as there may be, not as many as the bytes call for.
     tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spinewise.llm.common import per_process, running_offsets, slices, staged
+from spinewise.llm.common import per_process, release, running_offsets, slices, staged
 from spinewise.llm.tokens import FileEncoder
 
 
@@ -28,6 +28,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id",
                 columns = [part.column(0), pa.array([task] * len(ids), pa.int32()), pa.array(ends - counts), pa.array(counts), pa.array(ids, pa.binary())]
                 before = int(ends[-1])
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "task", "before", "n", "ids"])
+        release()
 
     schema = "doc_id long, task int, before long, n long, ids binary"
     return staged(docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(encode, schema), "packed-ids")

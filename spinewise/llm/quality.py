@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spinewise.llm.common import joined_bytes, mix, run_hashes, runs, slices, staged
+from spinewise.llm.common import joined_bytes, mix, release, run_hashes, runs, slices, staged
 
 #: Buckets that words and pairs of words are hashed to.
 BUCKETS = 10_000
@@ -77,6 +77,7 @@ def bucket_counts(docs: DataFrame, text: str, buckets: int) -> np.ndarray:
                 total += np.bincount(ngrams(part.column(0).to_pylist(), buckets)[1], minlength=buckets)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
+        release()
 
     summed = docs.select(F.col(text).alias("text")).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     out = np.zeros(buckets, np.int64)
@@ -94,6 +95,7 @@ def _keyed(docs: DataFrame, model: Model, key: str, text: str) -> DataFrame:
                 n, mean = mean_ratio(part.column(1).to_pylist(), model.ratio)
                 keys = mean / model.temperature + gumbel(part.column(0), model.seed)
                 yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, (n, mean, keys))], names=["doc_id", "n_ngrams", "score", "key"])
+        release()
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(score, "doc_id long, n_ngrams long, score double, key double")
@@ -197,5 +199,6 @@ def keep_chosen(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
             for part in slices(batch, body):
                 _, mean = mean_ratio(part.column(body).to_pylist(), model.ratio)
                 yield part.filter(pa.array(mean / model.temperature + gumbel(part.column(at), model.seed) >= model.kth))
+        release()
 
     return docs.mapInArrow(chosen, docs.schema)
