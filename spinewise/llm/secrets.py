@@ -1,16 +1,19 @@
 """Secret scan: fixed patterns, and strings near sensitive words that a primed compressor finds new.
 
-Candidates of the second kind are long runs of letters and digits soon after a word such as "token". Their
-novelty is the number of bytes that zstandard, primed with a dictionary of code and identifiers, needs for the
-surrounding text with the candidate, less what it needs without; an identifier or a repeat costs little, a key
-about as many bytes as it has.
+Candidates of the second kind are long runs of letters and digits with a word such as "token" anywhere in their
+surroundings, before or after them and over line ends, and all runs that adjoin such a run. Their novelty is the
+number of bytes that zstandard, primed with a dictionary of code and identifiers, needs for the surrounding text
+with the candidate, less what it needs without; an identifier or a repeat costs little, a key about as many bytes
+as it has. Lines of a block are also priced in the surroundings of the block, where its other lines do not help.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -49,9 +52,15 @@ application/json text/html utf-8 http https www com org net example localhost 12
 the and that with from this have will your for are was not you all can has but its our their what which when where
 """.strip()
 
-#: A candidate: so many characters at least, of which so many digits; within so many characters after the sensitive word.
+#: A candidate: so many characters at least, of which so many digits; its surroundings are so many characters on either side.
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-DIGITS, NEAR, AROUND = 2, 64, 256
+DIGITS, AROUND = 2, 256
+#: What may stand between adjoining runs: signs, white space and written line ends, or dots with short parts between them.
+_LINK = re.compile(r"[\W_]*(?:\\[nrt][\W_]*)*|\.(?:[A-Za-z0-9+/_=-]*\.)+")
+_PART = re.compile(r"[A-Za-z0-9+/_=-]+")
+_LINE = re.compile(r"\n|\\(?=n)")
+#: The short last line of a block of lines.
+_LAST = re.compile(r"""["',;+\x20\t\r]*(?:\n|\\n|\\r\\n)["'\x20\t#>*]*([A-Za-z0-9+/_=-]{1,15})(?=["',;+\x20\t\r]*(?:\n|\\n|\\r|\Z))""")
 #: Bytes needed for each character from which a candidate is reported.
 NOVELTY = 0.7
 
@@ -67,29 +76,60 @@ class Scanner:
         plain = zstandard.ZstdCompressionParameters.from_level(12, write_content_size=False, write_checksum=False, write_dict_id=False)
         self.pack = zstandard.ZstdCompressor(dict_data=dictionary, compression_params=plain).compress
 
-    def marginal(self, text: str, start: int, end: int) -> float:
-        """Bytes for each character that the candidate adds to its surroundings."""
-        before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
+    def marginal(self, text: str, start: int, end: int, whole: tuple[int, int] | None = None) -> float:
+        """Bytes for each character that the candidate adds to its surroundings, or to those of the whole it is of."""
+        first, last = whole or (start, end)
+        before, after = text[max(0, first - AROUND) : first], text[last : last + AROUND]
         # The candidate comes last, so the text on both its sides is known when it is packed.
         around = (before + after).encode("utf-8", "replace")
         return (len(self.pack(around + text[start:end].encode())) - len(self.pack(around))) / (end - start)
 
+    def blocks(self, text: str) -> Iterator[list[tuple[int, int]]]:
+        """Adjoining runs, of which one at least has a sensitive word in its surroundings."""
+        words = [m.span() for m in self.near.finditer(text)]
+        block, sensitive, w = [], False, 0
+        for m in _RUN.finditer(text):
+            start, end = m.span()
+            if block and not _LINK.fullmatch(text, block[-1][1], start):
+                if sensitive:
+                    yield block
+                block, sensitive = [], False
+            while w < len(words) and words[w][1] < start - AROUND:
+                w += 1
+            block.append((start, end))
+            sensitive |= w < len(words) and words[w][0] <= end + AROUND
+        if sensitive:
+            yield block
+
     def novel(self, text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        out, seen = [], set()
-        for word in self.near.finditer(text):
-            line = text.find("\n", word.end(), word.end() + NEAR)
-            limit = line if line >= 0 else min(len(text), word.end() + NEAR)
-            at = word.end()
-            while m := _RUN.search(text, at, min(len(text), limit + 15)):
-                start, end = _RUN.match(text, m.start()).span()
-                at = end
-                if start in seen or any(s < end and start < e for s, e in taken):
-                    continue
-                seen.add(start)
-                run = m.group()
+        taken = sorted(taken)
+        reach = list(accumulate((e for _, e in taken), max))
+        out = []
+
+        def free(start: int, end: int) -> bool:
+            i = bisect_left(taken, (end,))
+            return not i or reach[i - 1] <= start
+
+        for block in self.blocks(text):
+            found, whole = [], (block[0][0], block[-1][1])
+
+            def new(start: int, end: int, whole: tuple[int, int] = whole) -> bool:
+                return self.marginal(text, start, end) >= self.novelty or ((start, end) != whole and self.marginal(text, start, end, whole) >= self.novelty)
+
+            for start, end in block:
+                run = text[start:end]
                 letters = any(c.isalpha() for c in run)
-                if letters and sum(c.isdigit() for c in run) >= DIGITS and self.marginal(text, start, end) >= self.novelty:
-                    out.append((start, end))
+                if letters and sum(c.isdigit() for c in run) >= DIGITS and free(start, end) and new(start, end):
+                    found.append((start, end))
+            # Short parts are priced with the run before them: those between dots, and the last line of several.
+            short = []
+            for (start, end), (after, _) in zip(block, block[1:], strict=False):
+                short += [(start, m.start(), m.end()) for m in _PART.finditer(text, end, after) if text[end] == text[after - 1] == "."]
+            if len(block) > 1 and _LINE.search(text, block[-2][1], block[-1][0]) and (last := _LAST.match(text, block[-1][1])):
+                short.append((block[-1][0], *last.span(1)))
+            priced = dict(found)
+            found += [(s, e) for start, s, e in short if start in priced and free(s, e) and new(start, e)]
+            out += found
         return sorted(out)
 
     def spans(self, text: str, kinds: list[str]) -> list[tuple[int, int, int]]:

@@ -1,5 +1,6 @@
 """License and secret scans against plain versions."""
 
+import base64
 import hashlib
 import random
 import re
@@ -145,6 +146,54 @@ def test_novelty_tells_keys_from_names():
         assert scanner.marginal(around + name, len(around), len(around) + len(name)) < 0.6
 
 
+def base64_lines(n, width=64, seed=5):
+    text = base64.b64encode(random.Random(seed).randbytes(n)).decode()
+    return [text[i : i + width] for i in range(0, len(text), width)]
+
+
+def novel_parts(text):
+    return [text[s:e] for s, e, k in Scanner().spans(text, KINDS) if KINDS[k] == "novel"]
+
+
+KEY = "aB3dE6gH9jK2mN5pQ8sTuV1wXy7Z"
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        (f"token:\n  {KEY}\nand more", [KEY]),
+        (f"{KEY} is what the token is", [KEY]),
+        (f"the token is written below{'.' * 9} as it was sent to all of us in the last week of the month:\n\n{KEY}", [KEY]),
+        (f"token {KEY}, {KEY[::-1]}, {KEY.swapcase()}", [KEY, KEY[::-1], KEY.swapcase()]),
+        (f"{KEY} {'is a value that nothing names ' * 20} token", []),
+    ],
+)
+def test_sensitive_words_count_anywhere_in_the_surroundings(text, want):
+    assert novel_parts(text) == want
+
+
+def test_all_lines_of_a_key_block_and_all_parts_of_a_signed_token():
+    for seed in range(20):
+        lines = base64_lines(1190, seed=seed)
+        assert len(lines) > 20 and len(lines[-1]) < 64
+        for eol in ("\n", "\r\n", "\n    ", '"\n "'):
+            found = novel_parts(f"-----BEGIN RSA PRIVATE KEY-----{eol}{eol.join(lines)}{eol}-----END RSA PRIVATE KEY-----")
+            assert found == lines
+        # With line ends written out, their letter is part of the run that follows.
+        text = "\\n".join(["-----BEGIN RSA PRIVATE KEY-----", *lines, "-----END RSA PRIVATE KEY-----"])
+        assert novel_parts(text) == [f"n{line}" for line in lines]
+    lines = base64_lines(1157)
+    assert len(lines[-1]) < 16 and novel_parts("\n".join(["private key", *lines, "-----END"])) == lines
+    parts = [base64.urlsafe_b64encode(random.Random(i).randbytes(n)).decode().rstrip("=") for i, n in enumerate((36, 60, 32))]
+    assert novel_parts(f"Authorization: Bearer {'.'.join(parts)} and no more") == parts
+
+
+def test_a_key_block_is_masked(spark):
+    text = "\n".join(["see", "-----BEGIN PRIVATE KEY-----", *base64_lines(1190), "-----END PRIVATE KEY-----"])
+    got = redact_secrets(documents(spark, [(1, text)])).collect()[0].text.split("\n")
+    assert got == ["see", "-----BEGIN PRIVATE KEY-----", *["<secret>"] * len(base64_lines(1190)), "-----END PRIVATE KEY-----"]
+
+
 def test_redaction_keeps_rows_columns_and_other_text(spark):
     df = documents(spark, [*SECRETS, (None, None), (8, None), (9, ""), (8, None)])
     kept = redact_secrets(df, length="n_chars")
