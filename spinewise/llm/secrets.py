@@ -1,6 +1,6 @@
 """Secret scan: fixed patterns, and strings near sensitive words that a primed compressor finds new.
 
-Candidates of the second kind are long runs of letters and digits with a word such as "token" anywhere in their
+Candidates of the second kind are long runs of letters, digits and signs of keys with a word such as "token" anywhere in their
 surroundings, before or after them and over line ends, and all runs that adjoin such a run. Their novelty is the
 number of bytes that zstandard, primed with a dictionary of code and identifiers, needs for the surrounding text
 with the candidate, less what it needs without; an identifier or a repeat costs little, a key about as many bytes
@@ -51,10 +51,19 @@ application/json text/html utf-8 http https www com org net example localhost 12
 0123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 2019 2020 2021 2022 2023 2024 2025
 the and that with from this have will your for are was not you all can has but its our their what which when where
 """.strip()
-
-#: A candidate: so many characters at least, of which so many digits; its surroundings are so many characters on either side.
+# Plain text that fills up short surroundings. Few letters are not packed at all, and then a name costs
+# as many bytes as a key.
+PLAIN = " ".join("""
+Every morning the old man walked down to the harbour, looked at the boats and asked the fishermen about their catch. Most
+of them knew him well; some had sailed under him when they were young. He would sit on a low wall, fill his pipe, and talk
+of storms, of far islands, and of ships that nobody else remembered. Towards noon, when the sun grew hot, he went back up
+the hill through narrow streets, bought bread and a little fruit, and slept until the bells woke him. "There is no hurry,"
+he used to say, "as long as somebody listens." In winter he stayed at home, mended nets and wrote long letters to friends.
+""".split())
+
+#: A candidate: so many characters at least, of any kind; its surroundings are so many characters on either side.
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-DIGITS, AROUND = 2, 256
+AROUND = 256
 #: What may stand between adjoining runs: signs, white space and written line ends, or dots with short parts between them.
 _LINK = re.compile(r"[\W_]*(?:\\[nrt][\W_]*)*|\.(?:[A-Za-z0-9+/_=-]*\.)+")
 _PART = re.compile(r"[A-Za-z0-9+/_=-]+")
@@ -81,7 +90,7 @@ class Scanner:
         first, last = whole or (start, end)
         before, after = text[max(0, first - AROUND) : first], text[last : last + AROUND]
         # The candidate comes last, so the text on both its sides is known when it is packed.
-        around = (before + after).encode("utf-8", "replace")
+        around = (PLAIN[: 2 * AROUND - len(before + after)] + before + after).encode("utf-8", "replace")
         return (len(self.pack(around + text[start:end].encode())) - len(self.pack(around))) / (end - start)
 
     def blocks(self, text: str) -> Iterator[list[tuple[int, int]]]:
@@ -117,9 +126,7 @@ class Scanner:
                 return self.marginal(text, start, end) >= self.novelty or ((start, end) != whole and self.marginal(text, start, end, whole) >= self.novelty)
 
             for start, end in block:
-                run = text[start:end]
-                letters = any(c.isalpha() for c in run)
-                if letters and sum(c.isdigit() for c in run) >= DIGITS and free(start, end) and new(start, end):
+                if free(start, end) and new(start, end):
                     found.append((start, end))
             # Short parts are priced with the run before them: those between dots, and the last line of several.
             short = []
