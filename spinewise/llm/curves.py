@@ -115,13 +115,15 @@ def nearest(
     The scale of the grid is fitted on a sample of 2,048 rows; every row is indexed and can be found.
 
     Ids null, vectors null, zero or with null or non-finite components take no part; vectors of different
-    lengths do not meet; ties go to the smaller id; rows of the query's id are not its neighbours; repeated
-    rows of another id count once. An empty table gives an empty result; other columns are left out.
+    lengths do not meet; ties go to the smaller id; rows of the query's id are not its neighbours. Rows with the
+    same id and vector are one row from the start; an id's different vectors have places on the curves each, and
+    the best for a query takes one of its k places. An empty table gives an empty result; other columns are left out.
     """
     spark = vectors.sparkSession
     # What was a float stays one on its way, and is a double again when products are made.
     kind = "<f4" if isinstance(vectors.schema[vector].dataType.elementType, T.FloatType) else "<f8"
-    usable = _usable(vectors, key, vector)
+    rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).distinct()
+    usable = _usable(staged(rows, "vectors"), "id", "v")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     stats = {r["dim"]: r for r in usable.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("norm")).collect()}
     sample = usable.orderBy(F.xxhash64("id")).limit(SAMPLE).collect()
@@ -182,7 +184,7 @@ def nearest(
 
 
 def _scored(candidates: DataFrame, queries: DataFrame, k: int, tasks: int, kind: str) -> DataFrame:
-    """(query_id, id, score): of each block and group, a query's k best that reach its floor."""
+    """(query_id, id, score): of each block and group, a query's k best ids that reach its floor."""
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
@@ -192,19 +194,33 @@ def _scored(candidates: DataFrame, queries: DataFrame, k: int, tasks: int, kind:
         ids, asked, at, centre, r = left["id"].to_numpy(), right["id"].to_numpy(), left["pos"].to_numpy(), right["pos"].to_numpy(), right["r"].to_numpy()
         floor = right["floor"].to_numpy(dtype=float, na_value=-np.inf)
         floor = np.where(np.isnan(floor), -np.inf, floor)
+        by_id = np.argsort(ids, kind="stable")
+        heads = np.flatnonzero(np.diff(ids[by_id], prepend=ids[by_id[0]] - 1))
+        repeated = len(heads) < len(ids)
+        if repeated:
+            x, ids, at = x[by_id], ids[by_id], at[by_id]
         out = [empty]
         for b in range(0, len(q), 512):
             some = slice(b, b + 512)
             products = q[some] @ x.T
             away = np.abs(centre[some, None] - at) > r[some, None]
             products[away | (asked[some, None] == ids)] = -np.inf
-            # A margin keeps what rounding could put on either side of the k-th.
-            kth = np.partition(products, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(products), -np.inf)
+            best = products
+            # Margins keep what rounding could put on either side of an id's best row and of the k-th id.
+            if repeated:
+                best = np.maximum.reduceat(products, heads, axis=1)
+                products[products < np.repeat(best - 1e-9 * np.abs(best), np.diff(heads, append=len(ids)), axis=1)] = -np.inf
+            kth = np.partition(best, -k, axis=1)[:, -k] if len(heads) > k else np.full(len(products), -np.inf)
             kth = np.maximum(kth, floor[some])
             i, j = np.nonzero((products >= np.where(kth > -np.inf, kth - 1e-9 * np.abs(kth), kth)[:, None]) & (products > -np.inf))
             exact = (q[some][i] * x[j]).sum(1)
-            best = np.lexsort((ids[j], -exact, i))
-            i, j, exact = i[best], j[best], exact[best]
+            if repeated and len(i):
+                order = np.lexsort((-exact, ids[j], i))
+                i, j, exact = i[order], j[order], exact[order]
+                first = np.concatenate([[True], (i[1:] != i[:-1]) | (ids[j[1:]] != ids[j[:-1]])])
+                i, j, exact = i[first], j[first], exact[first]
+            order = np.lexsort((ids[j], -exact, i))
+            i, j, exact = i[order], j[order], exact[order]
             before = np.searchsorted(i, i)  # of equal scores the smaller ids, k of a query
             top = np.arange(len(i)) - before < k
             out.append(pd.DataFrame({"query_id": asked[some][i[top]], "id": ids[j[top]], "score": exact[top]}))

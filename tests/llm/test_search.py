@@ -96,3 +96,39 @@ def test_recall_and_scores_of_the_curves(spark):
     assert np.mean(hits) >= 0.9
     y = x.astype(np.float32).astype(float)
     assert all(abs(score - y[q] @ y[i]) < 1e-9 for q in got for i, score in got[q])
+
+
+def exact_by_id(rows, k, step):
+    """Brute force, an id counted once by its best row."""
+    x = [(i, np.array(v, np.float32).astype(float)) for i, v in rows]
+    out = {}
+    for q, v in x:
+        if q % step == 0:
+            best = out.setdefault(q, {})
+            for i, w in x:
+                if i != q:
+                    best[i] = max(best.get(i, -np.inf), float(v @ w))
+    return {q: sorted(best, key=lambda i: (-best[i], i))[:k] for q, best in out.items()}
+
+
+@pytest.mark.parametrize("noise", [0.0, 0.001])
+def test_repeats_of_a_good_row_take_one_place(spark, noise):
+    """25 rows of one id, alike or nearly so, that are the best for every query."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 8)) + 2
+    best = np.full(8, 9.0)
+    rows = rows_of(x) + [(1001, [float(c) for c in best + noise * rng.normal(size=8)]) for _ in range(25)]
+    got, want = by_query(nearest(vectors(spark, rows), query_step=50, share=1.0)), exact_by_id(rows, 20, 50)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == want
+    assert all(len(v) == 20 and v[0][0] == 1001 for v in got.values())
+    lookup = {}
+    for i, v in rows:
+        lookup.setdefault(i, []).append(np.array(v, np.float32).astype(float))
+    assert all(abs(score - max(lookup[q][0] @ w for w in lookup[i])) < 1e-9 for q in got for i, score in got[q])
+
+
+def test_an_id_with_a_third_of_all_rows_uses_up_no_window(spark):
+    rng = np.random.default_rng(7)
+    rows = rows_of(rng.normal(size=(1000, 16)))
+    plain = by_query(nearest(vectors(spark, rows), query_step=50))
+    assert by_query(nearest(vectors(spark, rows + [rows[1]] * 500), query_step=50)) == plain
