@@ -36,6 +36,7 @@ class Model(NamedTuple):
     kth: float  # the smallest key among the chosen
     temperature: float
     seed: int
+    held: float  # share of the good labelled documents at or above the cut, each scored without its own counts
 
 
 def ngrams(texts: list[str | None], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
@@ -101,6 +102,31 @@ def _keyed(docs: DataFrame, model: Model, key: str, text: str) -> DataFrame:
     return rows.mapInArrow(score, "doc_id long, n_ngrams long, score double, key double")
 
 
+def smooth(counts: np.ndarray) -> np.ndarray:
+    return np.log((counts + 0.5) / (counts.sum() + 0.5 * len(counts)))
+
+
+def held_out_scores(sample: DataFrame, target: np.ndarray, raw: np.ndarray) -> DataFrame:
+    """(score, good) of the labelled documents, those that are good without their own counts in the target model."""
+    logs = smooth(raw)
+    model = smooth(target) - logs if target.sum() else np.zeros(len(raw))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 0):
+                texts, good = part.column(0).to_pylist(), np.asarray(part.column(1), bool)
+                n, mean = mean_ratio(texts, model)
+                for i in np.flatnonzero(good & (n > 0)):
+                    own = ngrams([texts[i]], len(raw))[1]
+                    bucket, times = np.unique(own, return_counts=True)
+                    left = target.sum() - len(own) + 0.5 * len(target)
+                    mean[i] = (times * (np.log((target[bucket] - times + 0.5) / left) - logs[bucket])).sum() / len(own)
+                yield pa.RecordBatch.from_arrays([pa.array(mean), pa.array(good)], names=["score", "good"])
+        release()
+
+    return sample.select("text", (F.col("good") == 1).alias("good")).mapInArrow(score, "score double, good boolean")
+
+
 def kth_largest(frame: DataFrame, column: str, k: int) -> float:
     """The k-th largest value of a column, by histograms of ever narrower ranges; -inf for k beyond the rows.
 
@@ -142,7 +168,8 @@ def fit(
 
     The raw model counts the n-grams of all documents; the target model those of at most `labelled` labelled
     documents that are good. The cut is the mean log ratio that best tells the good from the bad among those
-    labelled; k is the number of all documents at or above it. Without labels of both kinds the cut is below all.
+    labelled, each good one scored by the model without its own counts, as an unlabelled one would be; k is the
+    number of all documents at or above it. Without labels of both kinds the cut is below all.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     chosen = labels.select(F.col(key).cast("long").alias("doc_id"), F.col(good).alias("good")).where("doc_id is not null and good is not null")
@@ -150,11 +177,12 @@ def fit(
     sample = staged(rows.join(F.broadcast(chosen), "doc_id"), "labelled")
     raw = bucket_counts(rows, "text", buckets)
     target = bucket_counts(sample.where("good = 1"), "text", buckets)
-    smooth = lambda c: np.log((c + 0.5) / (c.sum() + 0.5 * len(c)))
     ratio = smooth(target) - smooth(raw) if target.sum() else np.zeros(buckets)
-    model = Model(ratio, float("-inf"), 0, float("-inf"), temperature, seed)
-    known = _keyed(sample, model, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("score", "good").collect()
-    model = model._replace(cut=best_cut(np.array([r["score"] for r in known]), np.array([r["good"] == 1 for r in known], bool)))
+    known = held_out_scores(sample, target, raw).collect()
+    scores, is_good = np.array([r["score"] for r in known]), np.array([r["good"] for r in known], bool)
+    cut = best_cut(scores, is_good)
+    held = float((scores[is_good] >= cut).mean()) if is_good.any() else 0.0
+    model = Model(ratio, cut, 0, float("-inf"), temperature, seed, held)
     scored = staged(_keyed(rows, model, "doc_id", "text"), "scored")
     k = scored.where(F.col("score") >= F.lit(model.cut)).count()
     return model._replace(k=k, kth=kth_largest(scored, "key", k)), scored

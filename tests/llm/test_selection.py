@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from spinewise.llm.common import running_offsets
-from spinewise.llm.quality import LOSS, best_cut, gumbel, keep_chosen, kth_largest, mean_ratio, ngrams, resample
+from spinewise.llm.quality import LOSS, best_cut, fit, gumbel, keep_chosen, kth_largest, mean_ratio, ngrams, resample, smooth
 from spinewise.llm.sharding import external_shuffle, permutation, shard_digest
 
 MASK = (1 << 64) - 1
@@ -136,6 +136,27 @@ def test_resampling_equals_a_plain_version(spark):
     assert sorted(r.doc_id for r in resample(df, known).collect()) == want
 
 
+def test_the_cut_is_made_on_documents_left_out_of_the_model(spark):
+    """Few labels and many words: the good ones score as unlabelled ones do, and those are kept."""
+    rng = np.random.default_rng(5)
+    text = lambda kind: " ".join(f"{kind}{j}" for j in rng.integers(0, 3000, 60))
+    rows = [(i, text("bad" if i % 4 == 0 else "good")) for i in range(1200)]
+    labels = [(i, int(i % 4 > 0), 0) for i in range(60)]
+    df, known = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model, scored = fit(df, known)
+    clean = [r.score for r in scored.where("doc_id >= 60 and doc_id % 4 > 0").collect()]
+    # Plain version: the model fitted anew without each good document.
+    texts = [t for _, t in rows]
+    raw = smooth(np.bincount(ngrams(texts)[1], minlength=10_000))
+    good = [i for i in range(60) if i % 4]
+    target = lambda ids: np.bincount(ngrams([texts[i] for i in ids])[1], minlength=10_000)
+    want = [mean_ratio([texts[i]], smooth(target([j for j in good if j != i])) - raw)[1][0] for i in good]
+    bad = mean_ratio([texts[i] for i in range(0, 60, 4)], smooth(target(good)) - raw)[1]
+    cut = best_cut(np.array([*want, *bad]), np.array([True] * len(want) + [False] * len(bad)))
+    assert model.cut == pytest.approx(cut) and model.held == np.mean(np.array(want) >= model.cut)
+    assert np.mean(np.array(clean) >= model.cut) >= 0.95
+
+
 def test_gumbel_draws_have_the_right_mean_and_spread():
     import pyarrow as pa
 
