@@ -12,9 +12,12 @@ from spinewise.llm.curves import nearest
 from spinewise.llm.licenses import license_digest
 from spinewise.llm.ngram_join import jaccard_components
 from spinewise.llm.packing import pack, piece_digest
+from spinewise.llm.prefix_trie import prefix_trie
 from spinewise.llm.quality import resample
 from spinewise.llm.secrets import secret_digest
 from spinewise.llm.sharding import shard_digest
+from spinewise.llm.simhash import simhash_components
+from spinewise.llm.spelling import spelling_variants
 from spinewise.llm.token_files import token_file_digest
 from spinewise.llm.topk import exact_top_k
 
@@ -68,6 +71,18 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(read(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_top_k": op2_exact_top_k,
@@ -79,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hilbert_neighbours": op8_hilbert_neighbours,
     "op9_external_shuffle": op9_external_shuffle,
     "op10_importance_resampling": op10_importance_resampling,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_simhash": op12_simhash,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _TOP_K = """
@@ -104,5 +122,66 @@ _JACCARD = """
     reach(a, b) as (select doc_id, doc_id from sets union select r.a, l.b from reach r join links l on r.b = l.a)
     select doc_id, cast(len(s) as bigint) as n_shingles, (select min(b) from reach where a = doc_id) as component_id from sets"""
 
-#: The other operators give ids of tokenizers, places in a hash order, or samples; tests hold them against brute force.
-CHECKS: dict[str, str] = {"op2_exact_top_k": _TOP_K, "op3_ngram_jaccard": _JACCARD}
+#: One step of crc32 (the reflected polynomial 0xEDB88320) over a byte, from a table made by the same rule.
+_CRC_TABLE = """
+    crc_table as (select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, (c & 1) * 3988292384)) order by i) as t
+                  from (select unnest(range(256)) as i))"""
+
+
+def _crc32(hexed: str) -> str:
+    """crc32 of the bytes given as hexadecimal text, `t` being the table."""
+    byte = f"cast('0x' || substr({hexed}, 2 * i + 1, 2) as bigint)"
+    steps = f"list_transform(range(length({hexed}) // 2), lambda i: {byte})"
+    return f"xor(list_reduce(list_prepend(4294967295, {steps}), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295)"
+
+
+_TRIE = f"""
+    with recursive {_CRC_TABLE},
+    own as (select conv_id, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) order by turn nulls first) as s
+            from conversations where conv_id is not null group by conv_id),
+    head as (select conv_id, s, {_crc32("hex(cast(conv_id as varchar))")} % 4 as h from own, crc_table),
+    built as (select a.conv_id, list_concat(case when b.conv_id is null then [] else b.s[1:a.h] end, a.s[a.h + 1:]) as s
+              from head a left join own b on a.conv_id - a.conv_id % 20 = b.conv_id),
+    rows as (select conv_id, s, len(s) as size, unnest(range(len(s) + 1)) as depth from built),
+    paths as (select conv_id, depth, size, md5(cast(s[1:depth] as varchar) || len(to_json(s[1:depth]))) as path,
+                     case when depth > 0 then len(regexp_extract_all(s[depth].x, '[^\\x20\\x09-\\x0D]+')) else 0 end as words from rows),
+    nodes as (select path, depth, min(conv_id) as conv_id, count(*) as n_convs, min(words) as words,
+                     sha256(coalesce(string_agg(case when size = depth then conv_id end, ',' order by conv_id), '')) as ends_sha256
+              from paths group by path, depth),
+    links as (select distinct a.path, a.depth, b.path as above from paths a join paths b on a.conv_id = b.conv_id and b.depth = a.depth - 1),
+    children as (select above as path, depth - 1 as depth, count(*) as n from links group by all),
+    under as (select distinct a.path as top, a.depth as top_depth, b.path, b.depth
+              from paths a join paths b on a.conv_id = b.conv_id and b.depth >= a.depth),
+    sums as (select u.top, u.top_depth, count(*) filter (coalesce(c.n, 0) = 0) as n_leaves, sum((x.n_convs - 1) * x.words) as saved
+             from under u join nodes x on u.path = x.path and u.depth = x.depth
+             left join children c on u.path = c.path and u.depth = c.depth group by all)
+    select x.conv_id, x.depth, p.conv_id as parent_conv_id, x.n_convs, cast(coalesce(c.n, 0) as bigint) as n_children,
+           s.n_leaves, cast(s.saved as bigint) as saved_tokens, x.ends_sha256
+    from nodes x join sums s on x.path = s.top and x.depth = s.top_depth
+    left join children c on x.path = c.path and x.depth = c.depth
+    left join links l on x.path = l.path and x.depth = l.depth
+    left join nodes p on l.above = p.path and x.depth - 1 = p.depth"""
+
+_VARIANTS = f"""
+    with recursive {_CRC_TABLE},
+    runs as (select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) as w
+             from documents),
+    counted as (select doc_id, w, count(*) as n from runs where length(w) >= 7 group by all),
+    hashed as (select *, {_crc32("hex(coalesce(cast(doc_id as varchar), '') || ':' || w)")} as h from counted, crc_table),
+    kept as (select case when h % 31 = 0 then substr(w, 1, cast(h % length(w) as bigint)) || substr(w, cast(h % length(w) as bigint) + 2) else w end as word, n from hashed),
+    words as (select word, cast(sum(n) as bigint) as n from kept where length(word) >= 7 group by word having sum(n) >= 2),
+    cuts as (select word, n, i, substr(word, 1, i) || substr(word, i + 2) as cut from (select word, n, unnest(range(length(word))) as i from words)),
+    near as (select a.word, b.word as other, b.n as m from cuts a join cuts b on a.cut = b.cut and a.i = b.i and a.word <> b.word
+             union select a.word, b.word, b.n from cuts a join words b on a.cut = b.word
+             union select b.word, a.word, a.n from cuts a join words b on a.cut = b.word),
+    counts as (select word, count(*) as n_near from near group by word),
+    best as (select word, other, m from near qualify row_number() over (partition by word order by m desc, other) = 1),
+    forms as (select w.word, w.n, coalesce(c.n_near, 0) as n_near, case when b.m >= 10 * w.n then b.other end as form, case when b.m >= 10 * w.n then b.m end as form_n
+              from words w left join counts c using (word) left join best b using (word)),
+    follow(word, here, up) as (select word, word, form from forms
+                             union all select f.word, f.up, g.form from follow f join forms g on f.up = g.word where f.up is not null)
+    select f.word, f.form, r.here as root, f.n, cast(f.n_near as bigint) as n_near, cast(f.form_n as bigint) as form_n
+    from forms f join follow r on f.word = r.word and r.up is null"""
+
+#: The other operators give ids of tokenizers, places in a hash order, hashes that SQL lacks, or samples; tests hold them against brute force.
+CHECKS: dict[str, str] = {"op2_exact_top_k": _TOP_K, "op3_ngram_jaccard": _JACCARD, "op11_prefix_trie": _TRIE, "op13_spelling_variants": _VARIANTS}
