@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 from catalog.frames import frame, with_frames
 from spinewise.functions.dates import out_of_hours_by_hour, out_of_hours_by_time, seconds_of_day
 from spinewise.functions.missing import count_if_strict, is_in, max_strict, sum_strict
-from spinewise.operators.asof import asof_filled, asof_record, asof_ties, latest_filled
+from spinewise.operators.asof import asof_filled, asof_record, asof_ties, asof_waves, latest_filled
 from spinewise.operators.harmonise import anchor_flag
 from spinewise.operators.link import link_to_spine, zero_fill
 from spinewise.operators.windowed import (
+    about_distinct,
+    add_partials,
     anchor_to_date,
     any_where,
     between_anchors,
     count_where,
+    day_partials,
     distinct_values,
+    features_from_partials,
     fixed_period,
     look_back,
     row_count,
@@ -64,7 +68,7 @@ def windowed(events: str, spine: str, event_key: str, spine_key: str, day: str,
 
     ``measures`` gives (name, expression, suffixes or None).
     """
-    joined = f"(select e.*, s.* exclude ({spine_key}), e.{event_key} as {key}_, {day} as day from {events} e left join {spine} s on e.{event_key} = s.{spine_key})"
+    joined = f"(select e.*, s.* exclude ({spine_key}), e.{event_key} as {key}_, {day} as day from {events} e join {spine} s on e.{event_key} = s.{spine_key})"
     ctes = {}
     for i, (suffix, test) in enumerate(spans.items()):
         cols = [f"{x} as {n}{suffix}" for n, x, only in measures if only is None or suffix in only]
@@ -199,6 +203,36 @@ def asof_with_ties(spark, d):
     )
 
 
+def asof_both_waves(spark, d):
+    """The records at both index dates from one read of the history."""
+    return asof_waves(
+        frame(spark, d, "activity"), frame(spark, d, "spine"), "person_id", "event_time",
+        {"_w1": "index_wave1", "_w2": "index_wave2"}, ["event_id", "status", "priority"], ["event_id"], exempt=["event_id", "status"],
+    )
+
+
+def asof_ties_both_waves(spark, d):
+    anchors = {"one": "index_wave1", "two": "index_wave2"}
+    return asof_ties(frame(spark, d, "activity"), frame(spark, d, "spine"), "person_id", "event_time", anchors, ["event_id", "status"])
+
+
+def partials_of_months(spark, d):
+    """The windows answered from sums by person and day, made of the events in three parts by their dates."""
+    activity, spine = frame(spark, d, "services"), frame(spark, d, "spine")
+    measures_ = [row_count("n_rows"), distinct_values("n_services", "service"), total("visits", F.col("visit") % 10, strict=True)]
+    parts = [day_partials(activity.where(F.month("event_time") % 3 == i), "person_id", "event_time", measures_) for i in range(3)]
+    whole = add_partials("person_id", add_partials("person_id", *parts[:2]), parts[2])
+    return features_from_partials(whole, spine, "person_id", spans("", "_5m", "_wave"), measures_)
+
+
+def about_distinct_services(spark, d):
+    """Estimated numbers of services, within three percent of the exact ones (and one)."""
+    services, spine = frame(spark, d, "services"), frame(spark, d, "spine")
+    got = window_features(services, spine, "person_id", "event_time", spans("", "_5m"), [distinct_values("n", "visit"), about_distinct("about", "visit")])
+    near = lambda s: (F.abs(F.col(f"about{s}") - F.col(f"n{s}")) <= 0.03 * F.col(f"n{s}") + 1).alias(f"near{s}")
+    return got.select("person_id", "n", "n_5m", near(""), near("_5m"))
+
+
 def asof_with_gaps_filled(spark, d):
     history = frame(spark, d, "activity").withColumn("state", F.nullif("status", F.lit("P")))
     return asof_filled(
@@ -226,6 +260,10 @@ QUERIES = {
     "asof_one": asof_one,
     "asof_ties": asof_with_ties,
     "asof_filled": asof_with_gaps_filled,
+    "asof_waves": asof_both_waves,
+    "asof_ties_waves": asof_ties_both_waves,
+    "features_from_partials": partials_of_months,
+    "about_distinct": about_distinct_services,
     "latest_filled": latest_per_entity,
 }
 
@@ -302,6 +340,32 @@ CHECKS = {
             from {_VALID}
             window w as (partition by person_id order by event_time desc, event_id rows between current row and unbounded following))
         select person_id, event_id, state, priority, status from filled where place = 1""",
+    "asof_waves": f"""{with_frames('activity', 'spine')},
+        valid as (select a.*, w.wave from activity a join (select person_id, 'w1' as wave, index_wave1 as anchor from spine union all select person_id, 'w2', index_wave2 from spine) w
+                  on a.person_id = w.person_id and a.event_time <= w.anchor),
+        filled as (select person_id, wave, event_id, status, first_value(priority ignore nulls) over w as priority,
+                          row_number() over (partition by person_id, wave order by event_time desc, event_id) as place
+                   from valid window w as (partition by person_id, wave order by event_time desc, event_id rows between current row and unbounded following)),
+        one as (select * from filled where place = 1)
+        select person_id, a.event_id as event_id_w1, a.status as status_w1, a.priority as priority_w1, b.event_id as event_id_w2, b.status as status_w2, b.priority as priority_w2
+        from (select * from one where wave = 'w1') a full join (select * from one where wave = 'w2') b using (person_id)""",
+    "asof_ties_waves": f"""{with_frames('activity', 'spine')}
+        select a.person_id, w.wave, event_id, status
+        from activity a join (select person_id, 'one' as wave, index_wave1 as anchor from spine union all select person_id, 'two', index_wave2 from spine) w
+        on a.person_id = w.person_id and a.event_time <= w.anchor qualify rank() over (partition by a.person_id, w.wave order by event_time desc) = 1""",
+    "features_from_partials": f"""{with_frames('services', 'spine')} select * from """
+    + windowed(
+        "services", "spine", "person_id", "person_id", "cast(event_time as date)", _ALL,
+        [
+            ("n_rows", "count(*)", None),
+            ("n_services", "count(distinct service) + cast(max(case when service is null then 1 else 0 end) as bigint)", None),
+            ("visits", "cast(sum(visit % 10) as bigint)", None),
+        ],
+        "person_id",
+    ),
+    "about_distinct": f"""{with_frames('services', 'spine')}, counted as (select * from """
+    + windowed("services", "spine", "person_id", "person_id", "cast(event_time as date)", {s: WINDOW_TESTS[s] for s in ("", "_5m")}, [("n", "count(distinct visit)", None)], "person_id")
+    + ") select *, n is not null or null as near, n_5m is not null or null as near_5m from counted",
     "latest_filled": f"""{with_frames('services')},
         filled as (select service, last_value(case when visit % 2 = 0 then visit end ignore nulls) over w as late, person_id,
                row_number() over (partition by service order by event_time desc, visit desc, person_id desc) as place

@@ -6,6 +6,9 @@ are moved into the years they cover.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from catalog.features import WINDOW_TESTS, strict, windowed
@@ -13,12 +16,15 @@ from catalog.frames import HISTORY, frame, with_frames
 from catalog.linkage import covered, group_shares, side_by_side
 from catalog.summaries import AGE_BAND, each, exact_age, level_rows, mean_sd, stratum_rows
 from spinewise.functions.recode import AGE_LEVELS, DEPRIVATION_FIFTHS, ETHNICITY_LEVELS, SEX_LEVELS
-from spinewise.plans.final_set import final_set
+from spinewise.operators.report import in_words
+from spinewise.plans.final_set import final_checks, final_set
 from spinewise.plans.person_set import (
+    care_home_checks,
     care_home_records,
     finalise,
     hospital_set,
     link_people,
+    linked_checks,
     source_reports,
 )
 from spinewise.plans.presets import (
@@ -34,7 +40,10 @@ from spinewise.plans.presets import (
     social_care_record,
 )
 from spinewise.plans.reports import CARE_HOME_SCORES, STRATA_LEVELS, reporting_frame, stratified_frame, stratified_tables, variable_tables
-from spinewise.plans.study import PERSON, Study
+from spinewise.plans.study import PERSON, PERSON_ALT, Study
+from spinewise.sources.store import StageStore
+from spinewise.sources.stages import new_path
+from spinewise.sources.tables import read_variables, write_csv
 
 STUDY = Study(period_start="1998-01-01", period_end="1998-05-31", after_end="2000-01-01", longest_stay=9000)
 
@@ -95,26 +104,62 @@ def person_set(spark, d):
     return finalise(linked(spark, d), STUDY)
 
 
+@lru_cache(maxsize=8)
+def _stored(application: str, d: str) -> StageStore:
+    """The stages of a folder's study, each written once: sources and linked set by person, final set, homes."""
+    spark = SparkSession.active()
+    store, residents = StageStore(spark), frame(spark, d, "residents")
+    store.put("residents", residents, PERSON)
+    store.put("hospital", hospital(spark, d), PERSON)
+    store.put("ambulance", measured(ambulance_features, "ambulance")(spark, d), PERSON_ALT)
+    store.put("social_care", social_care(spark, d), PERSON_ALT)
+    store.put("demographics", demographic_one(spark, d), PERSON)
+    store.put("community_demographics", frame(spark, d, "community_demographics"), PERSON_ALT)
+    store.put("residency", residency_with_order(spark, d), PERSON)
+    store.put("care_home", care_home(spark, d), PERSON, care_home_checks())
+    store.put("community", measured(community_features, "community")(spark, d), PERSON_ALT)
+    store.put("flags", cohort_flags(residents, STUDY), PERSON)
+    store.put("linked", linked_from(store, frame(spark, d, "areas")), PERSON, linked_checks())
+    store.put("people", finalise(store.get("linked"), STUDY), PERSON)
+    homes = residency_per_home(store.get("residency"))
+    home_level, people = final_set(store.get("people"), frame(spark, d, "home_spine"), frame(spark, d, "survey"), frame(spark, d, "regulator"), homes)
+    store.put("homes", home_level)
+    store.put("final", people, checks=final_checks())
+    return store
+
+
+def stored(spark, d) -> StageStore:
+    return _stored(spark.sparkContext.applicationId, d)
+
+
+def linked_from(store, areas):
+    """The link over stored stages: all sources have the spine's partitioning."""
+    sources = {n: store.get(n) for n in SOURCES}
+    return link_people(store.get("residents"), sources, areas, check=["demographics", "community_demographics", "care_home"])
+
+
+def person_set_stored(spark, d):
+    return finalise(linked_from(stored(spark, d), frame(spark, d, "areas")), STUDY)
+
+
 def report_of(name):
     def run(spark, d):
-        return source_reports(linked(spark, d), STUDY, [name])[name]
+        return source_reports(stored(spark, d).get("linked"), STUDY, [name])[name]
 
     return run
 
 
-def final(spark, d):
-    homes = residency_per_home(residency_with_order(spark, d))
-    return final_set(
-        person_set(spark, d), frame(spark, d, "home_spine"), frame(spark, d, "survey"), frame(spark, d, "regulator"), homes
-    )
-
-
 def final_people(spark, d):
-    return final(spark, d)[1]
+    return stored(spark, d).get("final")
 
 
 def home_level(spark, d):
-    return final(spark, d)[0]
+    return stored(spark, d).get("homes")
+
+
+def stage_counts(spark, d):
+    """What the writes of the stages counted, without another look at them."""
+    return stored(spark, d).counts()
 
 
 def variables_of(name):
@@ -128,14 +173,31 @@ def variables_of(name):
     return run
 
 
-def strata_of(name):
+def strata_of(name, outcomes=None):
     def run(spark, d):
-        table = stratified_tables(stratified_frame(final_people(spark, d)), OUTCOMES, [name])[name]
+        people = stratified_frame(final_people(spark, d))
+        table = stratified_tables(people, outcomes(spark, people) if outcomes else OUTCOMES, [name])[name]
         return table.withColumns({c: F.round(f"`{c}`", 6) for c in table.columns if c.endswith(("mean", "sd"))})
 
     return run
 
 
+def listed_outcomes(spark, people):
+    """A variable list in a file: every count and score with its label, those of the table marked in the first filter."""
+    path = new_path(spark, "variables-csv")
+    entries = [(f"Label of {v}" if v.startswith("n_") else None, v, "1" if v in LISTED else None, None, None) for v in [*LISTED, "lengthofstay", "no_such_column"]]
+    write_csv(spark.createDataFrame(entries, "label string, variables string, `Filter 1` string, `Filter 2` string, `Filter 3` string"), path)
+    return read_variables(spark, path).filled("filter1")
+
+
+def printed(name):
+    def run(spark, d):
+        report = reporting_frame(final_people(spark, d), STUDY)
+        return in_words(variable_tables(report, CATEGORICAL, CONTINUOUS, STUDY, [name])[name])
+
+    return run
+
+
 CATEGORICAL = ["IMD_quintile", "sex_final", "nur_res", "ethnicity_final", "registered_bed_capacity", "service_reg_yrs"]
 CONTINUOUS = ["n_cs_appts", "Years_Since_Reg_CQC"]
 # Text forms of all that is in none of the other tables, for the check alone: the query finds them itself.
@@ -155,6 +217,8 @@ REMAINING_LEVELS = [
 REMAINING_NUMBERS = [
     *[f"{c}_w2" for c in CARE_HOME_SCORES], *CARE_HOME_SCORES, "lengthofstay", "lengthofstay_w2", "Q3_staff", "Q3_hours", "Years_Since_Reg_CQC",
 ]
+#: Sources in the order in which they are linked.
+SOURCES = ["hospital", "ambulance", "social_care", "demographics", "community_demographics", "residency", "care_home", "community", "flags"]
 OUTCOMES = {"n_ED_attendances": "ED attendances", "n_cs_appts": "Community appointments", "nr_elix_h36": "Conditions"}
 QUERIES = {
     "cohort_flags": lambda spark, d: cohort_flags(frame(spark, d, "residents"), STUDY),
@@ -171,6 +235,8 @@ QUERIES = {
     "care_home_records": care_home,
     "hospital_set": hospital,
     "person_set": person_set,
+    "person_set_stored": person_set_stored,
+    "stage_counts": stage_counts,
     **{f"sources_{n}": report_of(n) for n in (
         "ethnicity_coverage", "ethnicity_agreement", "ethnicity_crosstab", "sex_coverage", "sex_agreement",
         "sex_crosstab_community", "sex_crosstab_hospital", "birth_coverage", "birth_agreement", "death_coverage",
@@ -180,6 +246,9 @@ QUERIES = {
     "final_set": final_people,
     **{f"report_{n}": variables_of(n) for n in ("conditions", "event_share", "activity", "levels", "scores", "length_of_stay", "survey", "quantiles", "remaining_levels", "remaining_quantiles")},
     **{f"strata_{n}": strata_of(n) for n in ("means", "sizes", "event_counts", "merged")},
+    "strata_listed": strata_of("means", listed_outcomes),
+    "strata_printed": strata_of("printed", listed_outcomes),
+    **{f"printed_{n}": printed(n) for n in ("conditions", "event_share", "activity", "scores")},
 }
 
 # --- checks -----------------------------------------------------------------------------------
@@ -475,7 +544,40 @@ _ORDER = [*AGE_LEVELS, *DEPRIVATION_FIFTHS]
 _PLACE = f"cast(coalesce(nullif(list_position([{', '.join(f"'{x}'" for x in _ORDER)}], level), 0), {len(_ORDER) + 1}) as int) as ord"
 _AGED = exact_age("combined", "born", "index_date") + f", banded as (select *, {AGE_BAND} as age_cat from aged)"
 
+#: All counts and scores that the variable list marks for the stratified table.
+LISTED = [*_COUNTED, "nr_elix_h36", "nr_elix_2_h36", *CARE_HOME_SCORES]
+_BLOCKS = [(s, lv) for s, levels in STRATA_LEVELS.items() for lv in levels]
+
+
+def _entries(strata, table):
+    """Rows (stratum, level, entry) with an entry for each listed variable, from one grouping a stratum."""
+    entry = ", ".join(
+        f"{{variable: '{v}', label: '{f'Label of {v}' if v.startswith('n_') else v}', known: count({v}), mean: avg({v}), sd: stddev_samp({v})}}" for v in LISTED
+    )
+    return each(
+        [
+            f"select '{s}' as stratum, {'$$Overall$$' if s == 'Overall' else f'coalesce(cast({s} as varchar), $$(Missing)$$)'} as level, unnest([{entry}]) as x"
+            f" from {table}" + ("" if s == "Overall" else f" group by {s}")
+            for s in strata
+        ]
+    )
+
+
+def _text(value, digits=2):
+    return f"cast(cast(round(cast({value} as decimal(38, 10)), {digits}) as decimal(38, {digits})) as varchar)"
+
+
+def _shown(mean, sd):
+    return f"case when {mean} is not null then {_text(mean)} || ' (' || coalesce({_text(sd)}, 'NA') || ')' end"
+
+
+def _percent(share):
+    p = f"({share} * 100)"
+    return f"case when {p} >= 10 then {_text(p, 0)} || '%' when {p} >= 0.1 then {_text(p, 1)} || '%' when {p} > 0 then '<0.1%' when {p} = 0 then '0%' end"
+
+
 CHECKS = {n: check(f"select * from {n}") for n in QUERIES if n in BODIES}
+CHECKS["person_set_stored"] = CHECKS["person_set"]
 CHECKS |= {
     "sources_ethnicity_coverage": check(covered("attributes", ETHNIC, ETHNICITY_LEVELS, False)),
     "sources_ethnicity_agreement": check(side_by_side(group_shares("attributes", ETHNIC, _UNLIKE, _LISTED))),
@@ -528,7 +630,7 @@ CHECKS |= {
                 + ", ".join(
                     f'count({v}) filter (where {test}) as "{s}: {lv}: known", round(avg({v}) filter (where {test}), 6) as "{s}: {lv}: mean", '
                     f'round(stddev_samp({v}) filter (where {test}), 6) as "{s}: {lv}: sd"'
-                    for s, lv in STRATA_LEVELS
+                    for s, lv in _BLOCKS
                     for test in ["true" if s == "Overall" else f"coalesce(cast({s} as string), '(Missing)') = '{lv}'"]
                 )
                 + " from banded"
@@ -547,3 +649,53 @@ CHECKS |= {
         + " from (select *, coalesce(IMD_quintile, '(Missing)') as level from final_set) group by grouping sets ((level), ())"
     ),
 }
+_STAGES = {
+    "residents": "residents", "hospital": "hospital_set", "ambulance": "ambulance_features", "social_care": "social_care_record",
+    "demographics": "demographic_record_one", "community_demographics": "community_demographics", "residency": "residency_record",
+    "care_home": "care_home_records", "community": "community_features", "flags": "cohort_flags", "linked": "linked", "people": "person_set",
+    "homes": "home_level", "final": "final_set",
+}
+_COUNTS = [
+    *[
+        ("care_home", f"n_{code}{suffix}", f"count(*) filter (where Provider = '{code}' and {column} is not null)", "care_home_records")
+        for code in ("N", "P")
+        for suffix, column in (("_wave1", "residentid"), ("_wave2", "lengthofstay_w2"))
+    ],
+    ("linked", "n_hospital", "count(adm_em_12h)", "linked"),
+    ("linked", "n_social_care", "count(*) filter (where Service_Type_ASC is not null)", "linked"),
+    ("linked", "n_demographics", "count(index_date)", "linked"),
+    ("linked", "n_residency", "count(Der_Start_Date_CHR)", "linked"),
+    ("linked", "n_area", "count(IMD_decile)", "linked"),
+    ("final", "n_survey", "count(RecordedDate_WF)", "final_set"),
+    ("final", "n_regulator", "count(Publication_Date_CQC)", "final_set"),
+    ("final", "n_home", "count(pseudocqcid)", "final_set"),
+]
+_LONG = _AGED.replace("banded as (", "banded as materialized (") + f", long as (select stratum, level, x.* from ({_entries([*_STRATA, 'Overall'], 'banded')}))"
+CHECKS |= {
+    "strata_listed": check_from(_LONG, f"select variable, label, stratum, level, known, round(mean, 6) as mean, round(sd, 6) as sd, {_PLACE} from long"),
+    "strata_printed": check_from(
+        _LONG,
+        "select variable, label, "
+        + ", ".join(
+            f"coalesce(max(case when stratum = '{s}' and level = '{lv}' then known end), 0) as \"{s}: {lv}: known\", "
+            f"max(case when stratum = '{s}' and level = '{lv}' then {_shown('mean', 'sd')} end) as \"{s}: {lv}: text\""
+            for s, lv in _BLOCKS
+        )
+        + " from long group by variable, label",
+    ),
+    **{
+        f"printed_{n}": f"select {name} as variable, {known} as known, {shown} as shown from ({CHECKS[f'report_{n}']})"
+        for n, name, known, shown in (
+            ("conditions", "variable", "known", f"coalesce({_shown('mean', 'sd')}, {_percent('percent')})"),
+            ("event_share", "replace(category, '_binary', '')", "total_n", _percent("percent")),
+            ("activity", "variable", "known", _shown("mean", "sd")),
+            ("scores", "variable", "known", _shown("mean", "sd")),
+        )
+    },
+    "stage_counts": check(
+        each(
+            [f"select '{stage}' as stage, 'rows' as measure, count(*) as value from {table}" for stage, table in _STAGES.items()]
+            + [f"select '{stage}' as stage, '{measure}' as measure, {value} as value from {table}" for stage, measure, value, table in _COUNTS]
+        )
+    ),
+}

@@ -19,8 +19,10 @@ from spinewise.operators.report import (
     condition_table,
     event_counts_by,
     event_share,
+    complete_rows,
     in_level_order,
     level_table,
+    missing_causes,
     prefix_stats,
     quantiles,
     row_scores,
@@ -121,7 +123,20 @@ def fifths(spark, d):
     return ordered.select("level", "ord", "known", round_even("mean", 2).alias("mean"))
 
 
+CAUSES = ["region", "setting", "n_orders", "n_urgent", "f_urgent", "Q3_kinds"]
+
+
+def causes(spark, d):
+    return missing_causes(frame(spark, d, "features"), CAUSES)
+
+
+def complete(spark, d):
+    return complete_rows(frame(spark, d, "features"), CAUSES)[0].select("person_id", *CAUSES)
+
+
 QUERIES = {
+    "missing_causes": causes,
+    "complete_rows": complete,
     "row_score": scores,
     "binary_table": binary,
     "condition_table": conditions,
@@ -179,6 +194,11 @@ def exact_age(table: str, birth: str, at: str) -> str:
 AGE_BAND = "case when round_even(exact, 0) < 65 then '<65' when round_even(exact, 0) <= 79 then '65-79' when exact is not null then '>=80' end"
 
 CHECKS = {
+    "missing_causes": f"""{with_frames('features')},
+        caused as (select coalesce({', '.join(f"case when {c} is null then '{c}' end" for c in CAUSES)}, '(complete)') as variable from features),
+        listed as (select unnest(['(complete)', {', '.join(f"'{c}'" for c in CAUSES)}]) as variable)
+        select l.variable, count(c.variable) as n from listed l left join caused c on l.variable = c.variable group by l.variable""",
+    "complete_rows": f"{with_frames('features')} select person_id, {', '.join(CAUSES)} from features where {' and '.join(f'{c} is not null' for c in CAUSES)}",
     "row_score": f"""{with_frames('features')},
         flagged as (select *, case when f_urgent + f_finished > 0 then 1 when f_urgent + f_finished <= 0 then 0 end as any_two from features)
         select person_id, any_two, f_many + f_urgent + any_two as n_conditions from flagged""",

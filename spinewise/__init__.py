@@ -14,7 +14,7 @@ from spinewise.operators.agreement import (
     tally,
     within_days,
 )
-from spinewise.operators.asof import asof_filled, asof_record, asof_ties, latest_filled
+from spinewise.operators.asof import asof_filled, asof_record, asof_ties, asof_waves, latest_filled
 from spinewise.operators.harmonise import (
     age_band,
     anchor_flag,
@@ -22,32 +22,33 @@ from spinewise.operators.harmonise import (
     available,
     date_disagreement,
     harmonise,
-    nursing_type,
     prioritise,
 )
 from spinewise.operators.link import (
     Provider,
     assemble,
     checked_unique,
-    duplicate_keys,
     entity_link,
     link_to_spine,
     lookup,
     natural_left_join,
     waves_wide,
     zero_fill,
-    zero_to_null,
 )
 from spinewise.operators.report import (
     activity_table,
     binary_table,
     column_sums,
+    complete_rows,
     condition_table,
     dictionary,
     event_counts_by,
     event_share,
+    found_levels,
     in_level_order,
+    in_words,
     level_table,
+    missing_causes,
     prefix_stats,
     quantiles,
     row_scores,
@@ -56,14 +57,19 @@ from spinewise.operators.report import (
     stratified_table,
     stratum_sizes,
 )
+from spinewise.operators.varlist import Variable, VariableList
 from spinewise.operators.windowed import (
     Measure,
     Span,
+    about_distinct,
+    add_partials,
     anchor_to_date,
     any_where,
     between_anchors,
     count_where,
+    day_partials,
     distinct_values,
+    features_from_partials,
     fixed_period,
     look_back,
     row_count,

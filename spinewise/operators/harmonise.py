@@ -68,10 +68,6 @@ def age_band(df: DataFrame, birth: str, at: str, out: str = "age_cat", age: str
     return df.withColumn(out, age_group(years))
 
 
-def nursing_type(df: DataFrame, service: str, out: str = "nur_res") -> DataFrame:
-    return df.withColumn(out, recode(service, NURSING_TYPE))
-
-
 def available(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """'Available' or 'Missing' per column; ``columns`` maps a new name to the column."""
     return df.withColumns({out: availability(c) for out, c in columns.items()})

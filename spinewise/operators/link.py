@@ -14,11 +14,6 @@ from spinewise.functions.missing import equal_keys
 from spinewise.functions.names import lead_with, present, with_prefix
 
 
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys held by more than one row, with the number of rows."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-
-
 def checked_unique(df: DataFrame, key: str, name: str = "table", null_safe: bool = False) -> DataFrame:
     """The same rows; the job fails if a key is held by more than one of them.
 
@@ -96,10 +91,6 @@ def zero_fill(df: DataFrame, columns: Sequence[str] = (), prefix: str | None = N
     return df.fillna(0, subset=wanted) if wanted else df
 
 
-def zero_to_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.nullif(F.col(c), F.lit(0)) for c in columns})
-
-
 def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, values: Mapping[str, str]) -> DataFrame:
     """Add columns of a lookup table, ``values`` mapping its names to the new ones."""
     picked = table.select(F.col(table_key).alias("_key"), *[F.col(v).alias(n) for v, n in values.items()])

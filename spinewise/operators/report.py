@@ -10,17 +10,25 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from spinewise.functions.missing import col, count_if_strict, if_else, round_even, row_any, row_sum
 from spinewise.functions.names import with_prefix
 from spinewise.functions.recode import at_least_one
 from spinewise.operators.agreement import _rows, _share
+from spinewise.sources.stages import staged
 
 UNKNOWN = "Unknown"
 MISSING_LEVEL = "(Missing)"
 OVERALL = "Overall"
+COMPLETE = "(complete)"
+#: Distinct values that are ranked one by one.
+MOST_RANKED = 10_000
+# What is added to the name of a column that was made of another.
+MARKS = ["_binary", "_colsum"]
+#: Levels of a stratum, at most: each is a block of columns.
+MOST_LEVELS = 200
 
 
 def row_scores(df: DataFrame, sums: Mapping[str, Sequence[str]] = {}, flags: Mapping[str, Sequence[str]] = {}) -> DataFrame:
@@ -115,54 +123,98 @@ def level_table(df: DataFrame, columns: Sequence[str], unknown: str | None = UNK
     )
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75), buckets: int = 64) -> DataFrame:
+def quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float] = (0.25, 0.5, 0.75),
+    buckets: int = 64,
+    most: int = MOST_RANKED,
+) -> DataFrame:
     """Exact quantiles with linear interpolation: variable, known, and one column p<percent> per prob.
 
-    Equal values are counted first. Approximate quantiles cut the distinct values of each variable
-    into ranges, and the rows in each range are counted. Only the ranges that hold a wanted rank are
-    then ranked value by value. So no task sees all the values of a variable, and the approximation
-    decides only where the cuts lie: each range travels with its bounds and the exact number of rows
-    before it.
+    Equal values are counted first, and the counts written once. A range of each variable that holds a wanted rank is cut
+    into ``buckets`` ranges by approximate quantiles, and only those that hold a wanted rank go on, until each has
+    ``most`` distinct values at most; those are ranked one by one. So no task ranks more values than that,
+    and the approximation decides only where the cuts lie: each range travels with its bounds and the exact number of
+    rows before it. A range is a row on the driver, two for each variable and prob at most. NaN is unknown, like null.
     """
-    long = (
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([], list(columns), "variable", "value")
-        .where(F.col("value").isNotNull())
-    )
-    counts = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranges = _ranges(counts, buckets)
+    value = F.when(~F.isnan("value"), F.col("value"))
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "variable", "value")
+    long = long.select("variable", value.alias("value")).where(F.col("value").isNotNull())
+    counts = staged(long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    spark = df.sparkSession
     wanted = [f"{edge}((known - 1) * {float(p)}D)" for p in probs for edge in ("floor", "ceil")]
-    holding = ranges.where(" or ".join(f"({t} >= _before and {t} < _before + _held)" for t in wanted))
-
-    # At most two ranges per variable and prob.
-    inside = (
-        counts.join(F.broadcast(holding.withColumnRenamed("variable", "_variable")), F.col("variable") == F.col("_variable"))
-        .where("(_low is null or value > _low) and (_high is null or value <= _high)")
-        .withColumn("_upto", F.expr("_before + sum(n) over (partition by variable, _range order by value rows unbounded preceding)"))
-    )
+    holds = " or ".join(f"({t} >= _before and {t} < _before + _held)" for t in wanted)
+    whole = counts.groupBy("variable").agg(F.min("value").alias("_low"), F.max("value").alias("_high"), F.sum("n").alias("known"), F.count(F.lit(1)).alias("_distinct"))
+    names = ["variable", "_low", "_high", "known", "_before", "_held", "_distinct"]
+    schema = "variable string, _low double, _high double, known long, _before long, _held long, _distinct long"
+    ranges = whole.select("variable", "_low", "_high", "known", F.lit(0).cast("long").alias("_before"), F.col("known").alias("_held"), "_distinct").collect()
+
+    def inside(some) -> DataFrame:
+        # At most two ranges for each variable and prob, both ends in.
+        held = F.broadcast(spark.createDataFrame([tuple(r) for r in some], schema).withColumnRenamed("variable", "_variable"))
+        return counts.join(held, (F.col("variable") == F.col("_variable")) & F.col("value").between(F.col("_low"), F.col("_high"))).drop("_variable")
+
+    while wide := [r for r in ranges if r["_distinct"] > most]:
+        cut = _cut(inside(wide), buckets).where(holds).select(*names).collect()
+        ranges = [r for r in ranges if r["_distinct"] <= most] + cut
+    upto = F.expr("_before + sum(n) over (partition by variable, _low order by value rows unbounded preceding)")
+    ranked = inside(ranges).withColumn("_upto", upto)
     aggs, out = [], []
     for i, p in enumerate(probs):
         at = f"((known - 1) * {float(p)}D)"
         aggs += [F.expr(f"min(if(_upto > {edge}{at}, value, null)) as _{edge}{i}") for edge in ("floor", "ceil")]
         out.append(F.expr(f"_floor{i} + ({at} - floor{at}) * (_ceil{i} - _floor{i})").alias(f"p{round(100 * p)}"))
-    return inside.groupBy("variable").agg(F.max("known").alias("known"), *aggs).select("variable", "known", *out)
+    return ranked.groupBy("variable").agg(F.max("known").alias("known"), *aggs).select("variable", "known", *out)
 
 
-def _ranges(counts: DataFrame, buckets: int) -> DataFrame:
-    """Ranges ``_low < value <= _high`` of each variable with the rows held and the rows before."""
+def _cut(counts: DataFrame, buckets: int) -> DataFrame:
+    """Each range of (variable, _low) cut by approximate quantiles of its values, with rows held, rows before, and distinct values."""
+    own = ["variable", "_low"]
     cuts = [i / buckets for i in range(1, buckets)]
-    # The sum makes this branch need the same columns as the others, so that all share one exchange of the counts.
-    edges = counts.groupBy("variable").agg(F.percentile_approx("value", cuts, 100 * buckets).alias("_edges"), F.sum("n").alias("known"))
-    # One row per variable.
-    placed = counts.join(F.broadcast(edges), "variable").withColumn("_range", F.expr("size(filter(_edges, e -> e < value))"))
-    held = placed.groupBy("variable", "_range").agg(
-        F.expr("any_value(if(_range > 0, get(_edges, _range - 1), null)) as _low"),
-        F.expr("any_value(get(_edges, _range)) as _high"),
-        F.expr("any_value(known) as known"),
+    edges = counts.groupBy(*own).agg(F.percentile_approx("value", cuts, 100 * buckets).alias("_edges"))
+    # A row for each range that is cut.
+    placed = counts.join(F.broadcast(edges), own).withColumn("_range", F.expr("size(filter(_edges, e -> e < value))"))
+    held = placed.groupBy(*own, "_range").agg(
+        F.min("value").alias("_first"),
+        F.max("value").alias("_last"),
+        F.any_value("known").alias("known"),
+        F.any_value("_before").alias("_earlier"),
         F.sum("n").alias("_held"),
+        F.count(F.lit(1)).alias("_distinct"),
     )
-    # At most as many rows per variable as there are ranges.
-    return held.withColumn("_before", F.expr("sum(_held) over (partition by variable order by _range) - _held"))
+    # At most `buckets` rows for each range.
+    before = F.expr("_earlier + sum(_held) over (partition by variable, _low order by _range) - _held")
+    return held.withColumn("_before", before).select("variable", F.col("_first").alias("_low"), F.col("_last").alias("_high"), "known", "_before", "_held", "_distinct")
+
+
+def first_missing(df: DataFrame, columns: Sequence[str]) -> Column:
+    """The first of the columns that is null (or NaN) in a row; null for a row that has them all."""
+    kinds = dict(df.dtypes)
+    unknown = {c: F.col(c).isNull() | F.isnan(c) if kinds[c] in ("double", "float") else F.col(c).isNull() for c in columns}
+    return F.coalesce(*[F.when(test, F.lit(c)) for c, test in unknown.items()])
+
+
+def complete_rows(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, Observation]:
+    """The rows that have every column, and what is counted as they are made, in the same pass.
+
+    The observation holds ``kept``, and for each column the rows that it was the first to be missing in. It is filled by
+    the first action on the rows.
+    """
+    columns = list(columns or df.columns)
+    cause, seen = first_missing(df, columns), Observation()
+    marked = df.withColumn("_cause", cause)
+    counts = [F.count_if(F.col("_cause") == c).alias(c) for c in columns]
+    return marked.observe(seen, F.count_if(F.col("_cause").isNull()).alias("kept"), *counts).where("_cause is null").drop("_cause"), seen
+
+
+def missing_causes(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """variable, n: the rows that each column was the first to be missing in, and '(complete)' for those with all. One pass."""
+    columns = list(columns or df.columns)
+    counted = df.select(first_missing(df, columns).alias("_cause")).agg(
+        F.count_if(F.col("_cause").isNull()).alias("_complete"), *[F.count_if(F.col("_cause") == c).alias(f"_{i}") for i, c in enumerate(columns)]
+    )
+    return _rows(counted, [[F.lit(COMPLETE), F.col("_complete")], *[[F.lit(c), F.col(f"_{i}")] for i, c in enumerate(columns)]], ["variable", "n"])
 
 
 def prefix_stats(df: DataFrame, prefix: str, digits: int = 2) -> DataFrame:
@@ -218,21 +270,39 @@ def stratum_sizes(df: DataFrame, strata: Sequence[str]) -> DataFrame:
     return _strata(df, strata, []).groupBy("stratum", "level").agg(F.count(F.lit(1)).alias("n"))
 
 
+def found_levels(table: DataFrame, listed: Mapping[str, Sequence[str]], most: int = MOST_LEVELS) -> list[tuple[str, str]]:
+    """(stratum, level) of the blocks of a merged table: the listed levels in their order, then all others found.
+
+    ``listed`` maps each stratum to its levels; of a stratum without any, all are found. What is unknown comes last in
+    each. The levels of a stratified table come to the driver, as they become columns; a stratum with more than
+    ``most`` of them is none and fails.
+    """
+    seen: dict[str, set[str]] = {}
+    for r in table.select("stratum", "level").distinct().limit(most * (len(listed) + 1) + 1).collect():
+        seen.setdefault(r["stratum"], set()).add(r["level"])
+    if wide := [s for s, levels in seen.items() if len(levels) > most]:
+        raise ValueError(f"more than {most} levels: {', '.join(sorted(wide))}")
+    blocks = []
+    for s in [*listed, *sorted(set(seen) - set(listed))]:
+        own = list(listed.get(s, []))
+        others = sorted(seen.get(s, set()) - {*own, MISSING_LEVEL})
+        unknown = [MISSING_LEVEL] if MISSING_LEVEL in (seen.get(s, set()) | set(own)) else []
+        blocks += [(s, lv) for lv in [*[x for x in own if x != MISSING_LEVEL], *others, *unknown]]
+    return blocks
+
+
 def side_by_side(table: DataFrame, columns: Sequence[tuple[str, str]], values: Sequence[str] = ("known", "mean", "sd")) -> DataFrame:
-    """A stratified table with one row per variable and a block of columns per (stratum, level).
+    """A stratified table with one row per variable and a block of columns per (stratum, level), see ``found_levels``.
 
-    A level that nobody has shows 0 known and no mean.
+    A level that nobody has shows 0 known and no mean. One with the value ``text`` shows 'mean (sd)'.
     """
 
     def pick(s: str, lv: str, v: str) -> Column:
-        found = F.max(F.when((F.col("stratum") == s) & (F.col("level") == lv), F.col(v)))
+        shown = mean_sd_text("mean", "sd") if v == "text" else F.col(v)
+        found = F.max(F.when((F.col("stratum") == s) & (F.col("level") == lv), shown))
         return F.coalesce(found, F.lit(0)) if v == "known" else found
 
-    picks = [
-        pick(s, lv, v).alias(f"{s}: {lv}: {v}")
-        for s, lv in columns
-        for v in values
-    ]
+    picks = [pick(s, lv, v).alias(f"{s}: {lv}: {v}") for s, lv in columns for v in values]
     return table.groupBy("variable", "label").agg(*picks)
 
 
@@ -261,20 +331,25 @@ def dictionary(df: DataFrame) -> DataFrame:
     return df.sparkSession.range(1).select(F.inline(F.array(*entries)))
 
 
+def _rounded_text(value: Column, digits: int) -> Column:
+    """A number as text with so many decimals, halves away from zero; rounded in decimals, not in binary fractions."""
+    exact = value.cast("double").cast("decimal(38,10)")
+    return F.round(exact, digits).cast(f"decimal(38,{digits})").cast("string")
+
+
 def mean_sd_text(mean: Column | str, sd: Column | str, digits: int = 2) -> Column:
     """'mean (sd)', the sd of a single row shown as NA."""
     mean, sd = col(mean), col(sd)
-    form = f"%.{digits}f"
-    spread = F.when(sd.isNull(), "NA").otherwise(F.format_string(form, sd))
-    return F.when(mean.isNotNull(), F.concat(F.format_string(form, mean), F.lit(" ("), spread, F.lit(")")))
+    spread = F.when(sd.isNull(), "NA").otherwise(_rounded_text(sd, digits))
+    return F.when(mean.isNotNull(), F.concat(_rounded_text(mean, digits), F.lit(" ("), spread, F.lit(")")))
 
 
 def percent_text(share: Column | str) -> Column:
     """'p%': whole numbers from 10 percent on, one decimal below, '<0.1%' for less than that."""
     p = col(share) * 100
     return (
-        F.when(p >= 10, F.format_string("%.0f%%", p))
-        .when(p >= 0.1, F.format_string("%.1f%%", p))
+        F.when(p >= 10, F.concat(_rounded_text(p, 0), F.lit("%")))
+        .when(p >= 0.1, F.concat(_rounded_text(p, 1), F.lit("%")))
         .when(p > 0, "<0.1%")
         .when(p == 0, "0%")
     )
@@ -283,3 +358,16 @@ def percent_text(share: Column | str) -> Column:
 def strip_suffix(c: Column | str, suffix: str) -> Column:
     """Remove the first occurrence of a text."""
     return F.regexp_replace(col(c), f"^(.*?)\\Q{suffix}\\E", "$1")
+
+
+def in_words(table: DataFrame) -> DataFrame:
+    """A score, condition or activity table as it is printed: variable, known, and its statistic as text.
+
+    A row with a mean shows 'mean (sd)', one with a share 'p%'. Of names that end in a mark of how a column was
+    made, the mark goes.
+    """
+    has = lambda c: F.col(c) if c in table.columns else F.lit(None)
+    name, known = next(c for c in ("variable", "category") if c in table.columns), next(c for c in ("known", "total_n") if c in table.columns)
+    shown = F.coalesce(mean_sd_text(has("mean"), has("sd")), percent_text(has("percent")))
+    plain = reduce(strip_suffix, MARKS, F.col(name))
+    return table.select(plain.alias("variable"), F.col(known).alias("known"), shown.alias("shown"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spinewise.functions.dates import parse_date
@@ -68,3 +68,8 @@ def final_set(
         }
     )
     return home_level, banded
+
+
+def final_checks() -> dict[str, Column]:
+    """Aggregates over the final set: people linked to the survey, to the regulator's table, and with a home at all."""
+    return {"n_survey": F.count("RecordedDate_WF"), "n_regulator": F.count("Publication_Date_CQC"), "n_home": F.count(ENTITY)}

@@ -157,6 +157,18 @@ def link_people(
     return area_fifth(linked, areas, "LSOA_PDS", "LSOA_IMD", "IMD_decile")
 
 
+def care_home_checks() -> dict[str, Column]:
+    """Aggregates over the care-home records: residents of each provider with a record of each wave."""
+    of = {"wave1": F.col("residentid"), "wave2": F.col("lengthofstay_w2")}
+    return {f"n_{p}_{w}": F.count_if((F.col("Provider") == p) & c.isNotNull()) for p in ("N", "P") for w, c in of.items()}
+
+
+def linked_checks() -> dict[str, Column]:
+    """Aggregates over the linked set: people whom each source is known for."""
+    known = {"hospital": "adm_em_12h", "social_care": "Service_Type_ASC", "demographics": "index_date", "residency": "Der_Start_Date_CHR", "area": "IMD_decile"}
+    return {f"n_{n}": F.count(c) for n, c in known.items()}
+
+
 def ethnicity_columns() -> dict[str, Column]:
     return {
         "ethnicity_sus": recode("ethnicity_sus", HOSPITAL_ETHNICITY, MISSING),

@@ -18,6 +18,7 @@ from spinewise.operators.report import (
     condition_table,
     event_counts_by,
     event_share,
+    found_levels,
     in_level_order,
     level_table,
     prefix_stats,
@@ -28,6 +29,7 @@ from spinewise.operators.report import (
     stratified_table,
     stratum_sizes,
 )
+from spinewise.operators.varlist import VariableList
 from spinewise.plans.study import Study
 
 # The variables of each table.
@@ -65,24 +67,19 @@ CARE_HOME_SCORES = [
     "ascot_mascore_p",
 ]
 IDS = ["pseudonhsno", "pseudocqcid", "ClientID_N", "ClientID_P", "ClientID_PCS", "clientid", "clientid_w2", "hashedid", "residentid"]
-STRATA = ["sex_final", "age_cat", "nur_res", "dementia_combo", "IMD_quintile"]
 DEMENTIA_SOURCES = ["f_dementia_h36", "c_dementia_h36", "dementia"]
 NURSING_LEVELS = ["Nursing", "Residential"]
 LEVEL_ORDER = {"age_cat": AGE_LEVELS, "IMD_quintile": DEPRIVATION_FIFTHS}
 
-#: Blocks of the merged table: every level of every stratum, what is unknown, and all together.
-STRATA_LEVELS = [
-    (s, lv)
-    for s, levels in (
-        ("sex_final", SEX_LEVELS),
-        ("age_cat", [*AGE_LEVELS, MISSING_LEVEL]),
-        ("nur_res", [*NURSING_LEVELS, MISSING_LEVEL]),
-        ("dementia_combo", ["0", "1", MISSING_LEVEL]),
-        ("IMD_quintile", [*DEPRIVATION_FIFTHS, MISSING_LEVEL]),
-        (OVERALL, [OVERALL]),
-    )
-    for lv in levels
-]
+#: Levels of the merged table that have a block even if nobody has them, in their order; others follow as they are found.
+STRATA_LEVELS = {
+    "sex_final": SEX_LEVELS,
+    "age_cat": [*AGE_LEVELS, MISSING_LEVEL],
+    "nur_res": [*NURSING_LEVELS, MISSING_LEVEL],
+    "dementia_combo": ["0", "1", MISSING_LEVEL],
+    "IMD_quintile": [*DEPRIVATION_FIFTHS, MISSING_LEVEL],
+    OVERALL: [OVERALL],
+}
 
 
 def reporting_frame(final: DataFrame, study: Study = Study()) -> DataFrame:
@@ -147,14 +144,33 @@ def stratified_frame(final: DataFrame) -> DataFrame:
     return age_band(born, "_born", "index_date").drop("_born")
 
 
-def stratified_tables(frame: DataFrame, outcomes: Mapping[str, str], only: Sequence[str] | None = None) -> dict[str, DataFrame]:
-    """Mean and sd of the outcomes by stratum, the size of each stratum, and people with events."""
-    order = [x for c in STRATA for x in LEVEL_ORDER.get(c, [])]
+def stratified_tables(
+    frame: DataFrame,
+    outcomes: Mapping[str, str] | VariableList,
+    only: Sequence[str] | None = None,
+    levels: Mapping[str, Sequence[str]] = STRATA_LEVELS,
+) -> dict[str, DataFrame]:
+    """Mean and sd of the outcomes by stratum, the size of each stratum, people with events, and blocks side by side.
+
+    The outcomes are labels by name, or a variable list, which is first checked against the frame. However many there
+    are, they are one grouping of the frame. The merged tables (``merged`` numbers, ``printed`` text) have a block for every
+    level found: their first pass makes the stratified table, which is small, and the second only turns it.
+    """
+    if isinstance(outcomes, VariableList):
+        outcomes = outcomes.checked(frame, numeric=True).outcomes()
+    strata = [s for s in levels if s != OVERALL]
+    order = [x for c in strata for x in LEVEL_ORDER.get(c, [])]
     counts = [c for c in outcomes if c.startswith("n_")]
+
+    def turned(values: Sequence[str]) -> DataFrame:
+        table = stratified_table(frame, outcomes, strata).persist()  # a row for each outcome and level
+        return side_by_side(table, found_levels(table, levels), values)
+
     tables = {
-        "means": lambda: in_level_order(stratified_table(frame, outcomes, STRATA), "level", order),
-        "sizes": lambda: in_level_order(stratum_sizes(frame, STRATA), "level", order),
+        "means": lambda: in_level_order(stratified_table(frame, outcomes, strata), "level", order),
+        "sizes": lambda: in_level_order(stratum_sizes(frame, strata), "level", order),
         "event_counts": lambda: event_counts_by(frame, counts, "IMD_quintile"),
-        "merged": lambda: side_by_side(stratified_table(frame, outcomes, STRATA), STRATA_LEVELS),
+        "merged": lambda: turned(("known", "mean", "sd")),
+        "printed": lambda: turned(("known", "text")),
     }
-    return {n: tables[n]() for n in (tables if only is None else only)}
+    return {n: tables[n]() for n in (["means", "sizes", "event_counts", "merged"] if only is None else only)}
