@@ -5,6 +5,11 @@ rows to the merge table on the pair, finds every word's leftmost pair of the lea
 row of the right half becomes the merged token, the row of the left half goes, later positions move up and the
 row before learns its new neighbour. A word with no pair left is at its fixpoint. Only distinct words of a
 task are encoded; decoding joins ids to the vocabulary and joins the pieces in order.
+
+A long word is contracted in overlapping windows, which are words of the same query, and put together where the
+tokens of two windows end at one place. That is exact: if the two tokens beside the place, contracted alone, are
+left as they are, then no contraction of the whole word goes over it, as the first that did would also be one of the
+two alone; and beside every other place in a window the tokens have been contracted together already.
 """
 
 from __future__ import annotations
@@ -23,8 +28,10 @@ from pyspark.sql import functions as F
 from spinewise.llm.common import per_process, slices
 from spinewise.llm.tokens import WordEncoder, gathered
 
-#: Bytes from which a word is contracted in place instead of as one more generation of rows.
-LONG_WORD = 1000
+#: Bytes from which a word is contracted in windows; bytes from one window's begin to the next, half of a window.
+LONG_WORD, STRIDE = 1000, 64
+#: Common places of two windows that are tried at once.
+TRIED = 4
 #: Words of one query.
 WORDS = 12_000
 #: A text may be cut before any blank, as no match spans that place, but for one inside a run of white space.
@@ -89,6 +96,9 @@ class BytePairs(WordEncoder):
         self.ranks = load_ranks(rank_file)
         self.findall = regex.compile(pattern).findall
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        self.pieces = {rank: piece for piece, rank in self.ranks.items()}
+        self.sizes_of = np.zeros(max(self.pieces) + 1, np.int64)
+        self.sizes_of[list(self.pieces)] = [len(p) for p in self.pieces.values()]
         pairs = [
             (left << 16 | right, rank)
             for piece, rank in self.ranks.items()
@@ -112,25 +122,97 @@ class BytePairs(WordEncoder):
         length = np.array([len(r) for r in raw], np.int64)
         short, long = np.flatnonzero((whole < 0) & (length < LONG_WORD)), np.flatnonzero((whole < 0) & (length >= LONG_WORD))
         ids, sizes, order = [whole[whole >= 0]], [np.ones((whole >= 0).sum(), np.int64)], [np.flatnonzero(whole >= 0)]
-        parts = [(short[at : at + WORDS], _GENERATIONS) for at in range(0, len(short), WORDS)] + [(long[i : i + 1], _IN_PLACE) for i in range(len(long))]
-        for part, query in parts:
-            data = np.frombuffer(b"".join([raw[i] for i in part]), np.uint8)
-            ends = np.cumsum(length[part])
-            token = self.single[data]
-            following = np.append(token[1:], -1).astype(np.int32)
-            following[ends - 1] = -1
-            word = np.repeat(np.arange(len(part), dtype=np.int32), length[part])
-            place = (np.arange(len(data)) - np.repeat(ends - length[part], length[part])).astype(np.int32)
-            self.con.register("symbols", pa.table({"w": word, "p": place, "t": token, "n": following}))
-            found = self.con.sql(query).to_arrow_table().column("ids").combine_chunks()
-            ids.append(np.asarray(found.flatten()))
-            sizes.append(np.diff(np.asarray(found.offsets)))
+        for part in [short[at : at + WORDS] for at in range(0, len(short), WORDS)]:
+            found, n = self._contracted([raw[i] for i in part], _GENERATIONS)
+            ids.append(found)
+            sizes.append(n)
             order.append(part)
+        for i in long:
+            ids.append(self._windowed(raw[i]))
+            sizes.append(np.array([len(ids[-1])]))
+            order.append(np.array([i]))
         back = np.empty(len(words), np.int64)
         back[np.concatenate(order)] = np.arange(len(words))
         sizes = np.concatenate(sizes).astype(np.int64)
         return gathered(np.concatenate(ids).astype(self.dtype), sizes, back)[0], sizes[back]
 
+    def _contracted(self, raw: list[bytes], query: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids at the fixpoint of all words, end to end, and how many each has."""
+        length = np.array([len(r) for r in raw], np.int64)
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        ends = np.cumsum(length)
+        token = self.single[data]
+        following = np.append(token[1:], -1).astype(np.int32)
+        following[ends - 1] = -1
+        word = np.repeat(np.arange(len(raw), dtype=np.int32), length)
+        place = (np.arange(len(data)) - np.repeat(ends - length, length)).astype(np.int32)
+        self.con.register("symbols", pa.table({"w": word, "p": place, "t": token, "n": following}))
+        found = self.con.sql(query).to_arrow_table().column("ids").combine_chunks()
+        return np.asarray(found.flatten()), np.diff(np.asarray(found.offsets))
+
+    def _window_ids(self, windows: list[bytes], known: dict[bytes, np.ndarray]) -> None:
+        """Contracts the windows that are not known yet."""
+        new = [w for w in dict.fromkeys(windows) if w not in known]
+        for at in range(0, len(new), WORDS):
+            part = new[at : at + WORDS]
+            ids, sizes = self._contracted(part, _GENERATIONS)
+            known.update(zip(part, np.split(ids, np.cumsum(sizes)[:-1]), strict=True))
+
+    def _windowed(self, raw: bytes) -> np.ndarray:
+        """The ids of a long word, from those of windows; by the whole word at once if windows cannot be put together."""
+        known: dict[bytes, np.ndarray] = {}
+        window = lambda at: raw[at : at + 2 * STRIDE]
+        starts = range(0, max(1, len(raw) - STRIDE), STRIDE)
+        self._window_ids([window(at) for at in starts], known)
+
+        def ends(at: int) -> np.ndarray:
+            return at + np.cumsum(self.sizes_of[known[window(at)]])
+
+        def joints(left: int, right: int) -> list[tuple[int, int, int]]:
+            """(place, tokens of the left window before it, of the right one) where both have an end, those in the middle first."""
+            one, other = ends(left), np.concatenate([[right], ends(right)[:-1]])
+            place, i, j = np.intersect1d(one, other, return_indices=True)
+            near = np.argsort(np.abs(place - (right + min(left + 2 * STRIDE, len(raw))) // 2), kind="stable")
+            return [(int(place[x]), int(i[x]) + 1, int(j[x])) for x in near if place[x] < len(raw)]
+
+        def beside(left: int, right: int, joint: tuple[int, int, int]) -> tuple[int, int]:
+            return int(known[window(left)][joint[1] - 1]), int(known[window(right)][joint[2]])
+
+        def pair(two: tuple[int, int]) -> bytes:
+            return self.pieces[two[0]] + self.pieces[two[1]]
+
+        def apart(two: tuple[int, int]) -> bool:
+            return known[pair(two)].tolist() == list(two)
+
+        # All neighbouring windows at once.
+        tried = {at: joints(at, at + STRIDE)[:TRIED] for at in list(starts)[:-1]}
+        self._window_ids([pair(beside(at, at + STRIDE, x)) for at, some in tried.items() for x in some], known)
+        good = {at: next((x for x in some if apart(beside(at, at + STRIDE, x))), None) for at, some in tried.items()}
+
+        out, at, first = [], 0, 0
+        while at + 2 * STRIDE < len(raw):
+            found, right = None, at + STRIDE
+            if at in good and good[at] is not None and good[at][1] > first:
+                found = good[at]
+            if found is None:
+                # On with a window that begins where a token of this one ends, or with the next of the others.
+                some = [int(p) for p in ends(at)[first:-1] if p > at]
+                for right in [(at // STRIDE + 1) * STRIDE, *some[len(some) // 2 :: -1], *some[len(some) // 2 + 1 :]]:
+                    if right not in starts and right not in some or right >= len(raw) or right <= at:
+                        continue
+                    self._window_ids([window(right)], known)
+                    options = [x for x in joints(at, right) if x[1] > first]
+                    self._window_ids([pair(beside(at, right, x)) for x in options[:TRIED]], known)
+                    found = next((x for x in options[:TRIED] if apart(beside(at, right, x))), None)
+                    if found:
+                        break
+            if found is None:
+                return self._contracted([raw], _IN_PLACE)[0]
+            out.append(known[window(at)][first : found[1]])
+            at, first = right, found[2]
+        out.append(known[window(at)][first:])
+        return np.concatenate(out)
+
     def split(self, chunk: str) -> list[str]:
         return self.findall(chunk)
 

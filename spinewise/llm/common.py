@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 import sys
 import tempfile
 import types
@@ -27,9 +28,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where none is named (tests)."""
+    """The folder that the cluster names in spark.checkpoint.dir; with a master of one machine (tests) a temporary one where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='stage-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")

@@ -101,7 +101,7 @@ SENTENCES = [
     ("lgpl", "free software", r"this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license"),
     ("agpl", "free software", r"this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license"),
     ("bsd", "redistribution and use", r"redistribution and use in source and binary forms with or without modification are permitted"),
-    ("bsd-3-clause", "endorse or promote", r"neither the name of .{1,80}? may be used to endorse or promote products derived from this software"),
+    ("bsd-3-clause", "endorse or promote", r"neither the name of .{1,800}? may be used to endorse or promote products derived from this software"),
     ("bsd-4-clause", "advertising materials", r"all advertising materials mentioning features or use of this software must display the following"),
     ("zlib", "as is", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
     ("unlicense", "public domain", r"this is free and unencumbered software released into the public domain"),
@@ -110,7 +110,7 @@ SENTENCES = [
     ("cc0-1.0", "cc0", r"creative commons (?:legal code )?cc0 1 0 universal"),
     ("mpl-2.0", "mozilla", r"this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("public-domain", "public domain", r"(?:has been |is |are )?(?:placed|dedicated|released) (?:in|to|into) the public domain"),
-    ("proprietary", "all rights reserved", r"copyright .{0,60}?all rights reserved"),
+    ("proprietary", "all rights reserved", r"copyright .{0,800}?all rights reserved"),
 ]
 
 

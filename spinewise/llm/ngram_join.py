@@ -128,16 +128,16 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def nodes(rows: DataFrame, n: int) -> DataFrame:
-    """(doc_id, node, n_shingles) of every row."""
+    """(doc_id, node, n_shingles, print) of every row; print is a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
                 sets = shingle_sets(part.column(1).to_pylist(), n)
                 columns = [part.column(0), pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n_shingles"])
+                yield pa.RecordBatch.from_arrays([*columns, part.column(2)], names=["doc_id", "node", "n_shingles", "print"])
 
-    return rows.mapInArrow(run, "doc_id long, node long, n_shingles long")
+    return rows.select("doc_id", "text", F.xxhash64("text").alias("print")).mapInArrow(run, "doc_id long, node long, n_shingles long, print long")
 
 
 def _stars(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -472,6 +472,13 @@ def _candidates(rows: DataFrame, known: DataFrame, n: int, levels: Levels) -> Da
     return staged(found.join(large, "root", "left_anti").select("node", "size", "class", "root").union(finer), "candidates")
 
 
+def _linked_nodes(docs: DataFrame, n: int, num: int, den: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The rows' nodes, see ``nodes``, and (node, root) of those that have a link."""
+    rows, levels = _rows(docs, key, text), Levels(num, den)
+    known = staged(nodes(rows, n), "set-nodes")
+    return known, components(_set_links(rows, _candidates(rows, known, n, levels), n, num, den))
+
+
 def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): every row with its set size and the smallest doc_id it is connected to.
 
@@ -484,24 +491,29 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     apart by 64-bit hashes. A repeated row is one more member; null ids are no component's id, and a
     row with one gets the id of its component, or null; other columns of the input are left out.
     """
-    rows, levels = _rows(docs, key, text), Levels(num, den)
-    known = staged(nodes(rows, n), "set-nodes")
-    linked = components(_set_links(rows, _candidates(rows, known, n, levels), n, num, den))
+    known, rooted = _linked_nodes(docs, n, num, den, key, text)
     firsts = known.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
-    firsts = firsts.join(linked, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    firsts = firsts.join(rooted, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     least = firsts.groupBy("root").agg(F.min("first").alias("component_id"))
     of_node = firsts.join(least, "root").select("node", "component_id")
     found = known.join(of_node, "node", "left")
     return found.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def one_of_each(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay when one document of each component does, the one of smallest id; all columns as they came.
 
-    Of repeated rows of one id and text one stays; rows with a null id stay, as nothing names them.
+    A row without an id stays only where all of its component are without one; of several texts under the id that stays,
+    the one of the smallest hash does. Of repeated rows of one id and text one stays, of texts without a word (null,
+    empty, blank) each that is not repeated. An empty table gives an empty one.
     """
-    found = jaccard_components(docs, key=key, text=text, **options)
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
-    whole = docs.where(F.col(key).isNotNull()).join(stay, key, "left_semi")
-    whole = whole.withColumn("_hash", F.xxhash64(text)).dropDuplicates([key, "_hash"]).drop("_hash")
-    return whole.select(*docs.columns).union(docs.where(F.col(key).isNull()))
+    known, linked = _linked_nodes(docs, n, num, den, key, text)
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "print")
+    worded = known.where("n_shingles > 0").groupBy("node").agg(F.min(order).alias("first")).join(linked, "node", "left")
+    least = worded.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first")).select("first.doc_id", "first.print")
+    stay = least.union(known.where("n_shingles = 0").select("doc_id", "print")).distinct()
+    stay = stay.select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"))
+    held = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("print"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    # Null-safe, in a form that Spark joins by hash: rows without an id meet under a key of their own.
+    same = (F.coalesce("id", F.lit(0)) == F.coalesce("_id", F.lit(0))) & (F.col("id").isNull() == F.col("_id").isNull()) & (F.col("print") == F.col("_print"))
+    return held.join(stay, same, "left_semi").dropDuplicates(["id", "print"]).select("row.*")

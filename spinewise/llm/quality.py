@@ -107,24 +107,25 @@ def smooth(counts: np.ndarray) -> np.ndarray:
 
 
 def held_out_scores(sample: DataFrame, target: np.ndarray, raw: np.ndarray) -> DataFrame:
-    """(score, good) of the labelled documents, those that are good without their own counts in the target model."""
+    """(score, good) of each labelled id, those that are good without their own counts in the target model; the mean over the rows of an id."""
     logs = smooth(raw)
     model = smooth(target) - logs if target.sum() else np.zeros(len(raw))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 0):
-                texts, good = part.column(0).to_pylist(), np.asarray(part.column(1), bool)
+                texts, good = part.column(0).to_pylist(), np.asarray(part.column(2), bool)
                 n, mean = mean_ratio(texts, model)
                 for i in np.flatnonzero(good & (n > 0)):
                     own = ngrams([texts[i]], len(raw))[1]
                     bucket, times = np.unique(own, return_counts=True)
                     left = target.sum() - len(own) + 0.5 * len(target)
                     mean[i] = (times * (np.log((target[bucket] - times + 0.5) / left) - logs[bucket])).sum() / len(own)
-                yield pa.RecordBatch.from_arrays([pa.array(mean), pa.array(good)], names=["score", "good"])
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(mean), pa.array(good)], names=["doc_id", "score", "good"])
         release()
 
-    return sample.select("text", (F.col("good") == 1).alias("good")).mapInArrow(score, "score double, good boolean")
+    scored = sample.select("text", "doc_id", (F.col("good") == 1).alias("good")).mapInArrow(score, "doc_id long, score double, good boolean")
+    return scored.groupBy("doc_id", "good").agg(F.avg("score").alias("score")).select("score", "good")
 
 
 def kth_largest(frame: DataFrame, column: str, k: int) -> float:
@@ -178,7 +179,7 @@ def fit(
     raw = bucket_counts(rows, "text", buckets)
     target = bucket_counts(sample.where("good = 1"), "text", buckets)
     ratio = smooth(target) - smooth(raw) if target.sum() else np.zeros(buckets)
-    known = held_out_scores(sample, target, raw).collect()
+    known = held_out_scores(sample, target, raw).collect()  # a row for each of the labelled ids
     scores, is_good = np.array([r["score"] for r in known]), np.array([r["good"] for r in known], bool)
     cut = best_cut(scores, is_good)
     held = float((scores[is_good] >= cut).mean()) if is_good.any() else 0.0
@@ -218,7 +219,10 @@ def resample(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def keep_chosen(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of the documents chosen, all columns as they came: scores are made again where the rows are, not joined."""
+    """The rows of the documents chosen, all columns as they came: scores are made again where the rows are, not joined.
+
+    Null and empty texts score 0, repeated rows go or stay together, null ids share one draw; an empty table stays empty.
+    """
     model, _ = fit(docs, labels, key, text, **options)
     at, body = docs.columns.index(key), docs.columns.index(text)
 

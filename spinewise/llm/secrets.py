@@ -34,7 +34,7 @@ GATES = {
     "assign": r"""(?i)(password|passwd|secret|token|api_?key)["']? *[:=]""",
     "access": r"AKIA[A-Z0-9]{16}",
     "hex": r"[0-9a-f]{24}",
-    "novel": r"(?i)(passw|passphrase|secret|token|api.?key|access.?key|private.?key|signing.?key|bearer|credential|authorization|client.?id|connection.?string|webhook)",
+    "novel": r"(?i)(passw|passphrase|secret|token|api.?key|access.?key|private.?key|signing.?key|bearer|credential|authorization|client.?id|connection.?string|webhook|kennwort|geheim|zugangs|schl(ü|ue)ssel|mot de passe|motdepasse|jeton|cl(é|e) (secr|priv|d.acc)|identifiant|contrase(ñ|n)a|clave|credencial|segreto|senha|chave)",
 }
 # Identifiers and words of code with which the compressor is primed.
 IDENTIFIERS = """
@@ -226,7 +226,8 @@ def secret_digest(docs: DataFrame) -> DataFrame:
 
     return found.select(
         "doc_id",
-        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in KINDS],
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in KINDS if kind != "novel"],
         F.sha2(written(F.filter("spans", lambda s: s["kind"] != "novel")), 256).alias("base_sha256"),
         written(F.col("spans")).alias("spans"),
+        F.size(of("novel")).cast("long").alias("n_novel"),
     )

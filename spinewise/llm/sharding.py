@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spinewise.llm.common import new_path, running_offsets
+from spinewise.llm.common import new_path, running_offsets, staged
 
 
 def _swapped(items: Column, i: Column, j: Column) -> Column:
@@ -35,6 +35,20 @@ def permutation(size: Column, bucket: Column, seed: int) -> Column:
     return F.when(size < 2, identity).otherwise(F.aggregate(F.sequence(F.lit(2), size), identity, step))
 
 
+def _spread_repeats(named: DataFrame, seed: int, most: int) -> DataFrame:
+    """Rows (h, item), those of which more than `most` share h hashed anew with a number of their own.
+
+    A repeated row is no other than its copies, so it is counted, and its copies are made again with numbers from 0 on:
+    which of them has which number is nothing that a task that runs twice could change.
+    """
+    many = staged(named.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("h"), "repeats")
+    if not many.limit(1).count():
+        return named
+    alike = named.join(many, "h", "left_semi").groupBy("h", "item").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    copies = alike.select("h", "item", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy"))
+    return named.join(many, "h", "left_anti").union(copies.select(F.xxhash64(F.lit(seed), "h", "item", "copy").alias("h"), "item"))
+
+
 def external_shuffle(
     docs: DataFrame,
     n_shards: int,
@@ -50,19 +64,19 @@ def external_shuffle(
     rows and bytes, so that one fits in memory. Pass two orders each bucket by Fisher-Yates. A bucket's place
     in the whole is the sum of the sizes before it, hence `shard` (int) and `slot` (long, gapless from 0).
 
-    Null keys and texts are hashed like values; equal rows are kept, each with a place of its own; an empty
-    table gives an empty one. Input columns named shard or slot are replaced.
+    Null keys and texts are hashed like values; equal rows are kept, each with a place of its own, and where they are more than
+    a bucket holds they are spread over all buckets; an empty table gives an empty one. No bucket is longer than chance makes it, so
+    ordering one is bounded work. Input columns named shard or slot are replaced.
     """
     spark = docs.sparkSession
     docs = docs.drop("shard", "slot")
+    columns = docs.columns
     sizes = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("b")).first()
     n, total = sizes["n"], sizes["b"] or 0
     buckets = max(1, -(-n // bucket_rows), -(-total // bucket_bytes))
-    record = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    scattered = docs.select(
-        F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col(text)), F.lit(buckets)).alias("bucket"),
-        F.struct(F.col(key).alias("k"), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("c"), record.alias("r")).alias("item"),
-    )
+    record = F.struct(*[F.col(f"`{c}`") for c in columns])
+    named = docs.select(F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("h"), F.struct(F.col(key).alias("k"), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("c"), record.alias("r")).alias("item"))
+    scattered = _spread_repeats(named, seed, bucket_rows).select(F.pmod("h", F.lit(buckets)).alias("bucket"), "item")
     counts = scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     offsets = running_offsets(counts, "bucket", "size", "before")
     tasks = min(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))

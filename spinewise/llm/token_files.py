@@ -121,24 +121,39 @@ class ShardIndex:
         return np.repeat(known, times), np.repeat(self.arrays["heads"][slot[known]].astype(np.int64), times) + nth
 
 
+# Names that Spark's file systems have for stores, and those of pyarrow.
+SCHEMES = {"s3a://": "s3://", "s3n://": "s3://", "dbfs:/": "/dbfs/", "file:///": "/", "file:/": "/"}
+
+
+def store_of(path: str):
+    """The file system of a path and the path in it. Other stores than pyarrow knows must be mounted as folders on all machines."""
+    from pyarrow.fs import FileSystem
+
+    for name, own in SCHEMES.items():
+        if path.startswith(name):
+            return FileSystem.from_uri(own + path[len(name) :])
+    return FileSystem.from_uri(path)
+
+
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Writes the files under `path`, shards in ascending key order; returns (shard, doc_id, n), read from a table.
 
     The key range of a shard is found by Spark; rows of one key that are too many for a shard are told apart
-    by a hash of their text. A task writes under a name of its own and then renames, so a task that runs twice
+    by a hash of their text, and equal ones by their place. `path` may name any store that pyarrow has a file system for; the names that
+    Spark has for some of them are understood too, see ``store_of``. A task writes under a name of its own and then renames, so a task that runs twice
     leaves one file. Null keys come first; null texts are the end id alone; an empty table has no file.
     Keys are longs; the smallest long stands for null and is no key of its own.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = max(-(-total // SHARD_BYTES), min(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    order = [F.col("doc_id"), F.xxhash64("text")]
+    # Equal rows are told apart by their place, so that a key with a third of all rows is many shards.
+    rows = rows.withColumn("place", F.monotonically_increasing_id())
+    order = [F.col("doc_id"), F.xxhash64("text"), F.col("place")]
     rows = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow.fs import FileSystem
-
-        store, folder = FileSystem.from_uri(path)
+        store, folder = store_of(path)
         task = TaskContext.get()
         shard, own = task.partitionId(), f"{folder}/_part-{task.taskAttemptId()}"
         encoder, keys, counts, ids_file = per_process(("encoder", tokenizer), lambda: FileEncoder(tokenizer)), [], [], None
@@ -173,10 +188,8 @@ def read_token_files(wanted: DataFrame, path: str) -> DataFrame:
     """
 
     def read(table: pa.Table) -> pa.Table:
-        from pyarrow.fs import FileSystem
-
         shard = table.column(0)[0].as_py()
-        store, folder = FileSystem.from_uri(path)
+        store, folder = store_of(path)
         with store.open_input_file(f"{folder}/shard-{shard:06d}.idx") as f:
             index = ShardIndex.from_bytes(f.read())
         doc_ids = table.column(1).combine_chunks()

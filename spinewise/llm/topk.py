@@ -24,14 +24,15 @@ def quantised(frame: DataFrame, scale: int, key: str, vector: str) -> DataFrame:
 class BallTree:
     """Nodes in preorder over reordered vectors: each has a centre, a radius and a range of rows."""
 
-    def __init__(self, x: np.ndarray, ids: np.ndarray):
+    def __init__(self, x: np.ndarray, ids: np.ndarray, rows: np.ndarray | None = None):
         self.nodes: list[tuple[np.ndarray, float, int, int, int, int]] = []
         order = np.argsort(ids, kind="stable")
         order = order[np.concatenate(self._split(x, order))] if len(order) else order
         self.x, self.ids = x[order], ids[order]
+        self.rows = order if rows is None else rows[order]
         # Of equal scores the smaller id counts more: places by descending id.
         self.less = np.empty(len(ids), np.int64)
-        self.less[np.argsort(-self.ids, kind="stable")] = np.arange(len(ids))
+        self.less[np.argsort(self.ids, kind="stable")[::-1]] = np.arange(len(ids))
 
     def _split(self, x: np.ndarray, order: np.ndarray) -> list[np.ndarray]:
         leaves: list[np.ndarray] = []
@@ -66,8 +67,10 @@ class BallTree:
         kth = floor.astype(float).copy()
 
         def bound(node: int, q: np.ndarray) -> np.ndarray:
+            # What rounding may have taken from the product, the centre or the radius is put on top, whatever the sign.
             centre, radius = self.nodes[node][:2]
-            return (queries[q] @ centre + lengths[q] * radius) * (1 + 1e-12) + 1e-6
+            spare = lengths[q] * (float(np.sqrt((centre**2).sum())) + radius) * 1e-12 + 1e-6
+            return queries[q] @ centre + lengths[q] * radius + spare
 
         def visit(node: int, q: np.ndarray, upper: np.ndarray) -> None:
             q = q[upper >= kth[q]]
@@ -111,27 +114,27 @@ class BallTree:
 
 
 def _searched(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(query_id, id, score) of each task's k best: one task for a shard of candidates and a block of queries."""
+    """(query, row, id, score) of each task's k best: one task for a shard of candidates and a block of queries."""
+    schema = "query long, row long, id long, score double"
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         if left.empty or right.empty:
-            return empty
-        tree = BallTree(np.stack(left["v"].to_numpy()), left["id"].to_numpy())
-        ids = right["id"].to_numpy()
+            return pd.DataFrame({c.split()[0]: pd.Series(dtype="float64" if c.endswith("double") else "int64") for c in schema.split(", ")})
+        left = left.sort_values(["id", "row"])
+        tree = BallTree(np.stack(left["v"].to_numpy()), left["id"].to_numpy(), left["row"].to_numpy())
         floor = right["floor"].to_numpy(dtype=float, na_value=-np.inf)
-        query, row, score = tree.search(np.stack(right["v"].to_numpy()), ids, np.where(np.isnan(floor), -np.inf, floor), k)
-        return pd.DataFrame({"query_id": ids[query], "id": tree.ids[row], "score": score})
+        query, row, score = tree.search(np.stack(right["v"].to_numpy()), right["id"].to_numpy(), np.where(np.isnan(floor), -np.inf, floor), k)
+        return pd.DataFrame({"query": right["query"].to_numpy()[query], "row": tree.rows[row], "id": tree.ids[row], "score": score})
 
     # Little data and much work: as many tasks as there may be, not as many as the bytes call for.
     keys, tasks = ["dim", "shard", "block"], int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = [F.col(c).alias(c) for c in queries.columns]  # columns of their own, apart from the candidates'
     candidates, queries = candidates.repartition(tasks, *keys), queries.select(*own).repartition(tasks, *keys)
-    return candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(search, "query_id long, id long, score double")
+    return candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(search, schema)
 
 
-def _best(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
+def _best(found: DataFrame, k: int, by: str) -> DataFrame:
+    order = Window.partitionBy(by).orderBy(F.desc("score"), F.asc("id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -147,29 +150,36 @@ def exact_top_k(
 ) -> DataFrame:
     """The k highest integer inner products of every query (ids divisible by `query_step`) with all other rows.
 
-    Rows go to shards by a hash of their id; a shard's ball tree is searched for a block of queries at once,
-    the child of the higher bound first, and a node is left out for queries whose k-th score is above its bound.
-    The first round searches one shard for each query. Its k-th scores are the floors from which the second
-    round searches all others, so most of their results end below the floor and never leave the task.
+    Rows are numbered once and go to shards by a hash of their number, so that the rows of one id are spread; a
+    shard's ball tree is searched for a block of queries at once, the child of the higher bound first, and a node is
+    left out for queries whose k-th score is above its bound. The first round searches one shard for each query. Its
+    k-th scores are the floors from which the second round searches all others, so most of their results end below
+    the floor and never leave the task.
 
     Bounds are rounded upward; products are exact while they stay below 2^53. Ties go to the smaller id.
     Ids null, vectors null, empty or with a null or non-finite component take no part; vectors of different
-    lengths do not meet. Rows of one id are each a candidate. Fewer than k candidates give all of them.
+    lengths do not meet. Rows of one id are each a candidate, with a rank each. A query id with several different vectors asks
+    with all of them: a candidate row counts once, by its best score. Fewer than k candidates give all of them.
     An empty table gives an empty result; other columns of the input are left out.
     """
-    whole = quantised(vectors, scale, key, vector)
-    shards = max(1, -(-vectors.count() // shard_rows))
-    placed = whole.withColumn("shard", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(shards)))
-    asked = placed.where(F.col("id") % query_step == 0).dropDuplicates(["id", "dim"])
+    whole = staged(quantised(vectors, scale, key, vector).withColumn("row", F.monotonically_increasing_id()), "top-k-rows")
+    shards = max(1, -(-whole.count() // shard_rows))
+    placed = whole.withColumn("shard", F.pmod(F.xxhash64("row", F.lit(5)), F.lit(shards)))
+    distinct = whole.where(F.col("id") % query_step == 0).select("id", "dim", "v").distinct()
+    asked = staged(distinct.withColumn("query", F.monotonically_increasing_id()), "top-k-queries")
     blocks = max(1, -(-asked.count() // query_block))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(blocks)))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query", F.lit(7)), F.lit(blocks)))
+    asked = asked.withColumn("shard", F.pmod(F.xxhash64("query", F.lit(5)), F.lit(shards)))
     candidates = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
     first = staged(_searched(candidates, asked.withColumn("floor", F.lit(None).cast("double")), k), "top-k-home")
     if shards > 1:
-        floors = _best(first, k).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+        floors = _best(first, k, "query").where(F.col("rank") == k).select("query", F.col("score").alias("floor"))
         others = asked.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<long>")))
         others = others.where(F.col("n") != F.col("shard")).drop("shard").withColumnRenamed("n", "shard")
-        found = first.union(_searched(candidates, others.join(floors, "id", "left"), k))
+        found = first.union(_searched(candidates, others.join(floors, "query", "left"), k))
     else:
         found = first
-    return _best(found, k).select("query_id", "rank", F.col("id").alias("vec_id"), F.col("score").cast("long").alias("score"))
+    named = found.join(asked.select("query", F.col("id").alias("query_id")), "query")
+    # The k best rows of an id are among the k best of its vectors.
+    once = named.groupBy("query_id", "row", "id").agg(F.max("score").alias("score"))
+    return _best(once, k, "query_id").select("query_id", "rank", F.col("id").alias("vec_id"), F.col("score").cast("long").alias("score"))

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from llm.cases import ODD, collected, documents, no_documents, odd_documents
 
 from spinewise.llm import ngram_join
@@ -94,6 +95,16 @@ def test_one_of_each_group_stays_with_all_columns(spark):
     assert one_of_each(no_documents(spark)).count() == 0
 
 
+def test_one_of_each_group_stays_where_ids_are_missing_or_repeated(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (None, a), (None, b + " b"), (None, c), (None, c), (9, None), (9, None), (8, ""), (None, None), (3, b)]
+    df = documents(spark, rows).withColumns({x: F.lit("x") for x in ("_hash", "id", "print", "row", "_id", "_print", "root", "first")})
+    kept = one_of_each(df)
+    assert kept.columns == df.columns
+    want = [(1, a), (2, b), (None, c), (9, None), (8, ""), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("num,den", [(85, 100), (80, 100), (1, 2)])
 def test_linked_sets_share_a_signature(num, den):
     rng, levels = np.random.default_rng(7), Levels(num, den)

@@ -69,6 +69,12 @@ def all_detections(text):
         ("BSD 3-Clause License and then the Mozilla Public License 2.0", "bsd-3-clause,mpl-2.0"),
         ("my driving license expired and the license plate is old", ""),
         ("a permit for the general public", ""),
+        (
+            "Neither the name of the University of California, Lawrence Berkeley National Laboratory, U.S. Dept. of Energy nor the names of its contributors "
+            "may be used to endorse or promote products derived from this software without specific prior written permission.",
+            "bsd-3-clause",
+        ),
+        ("Copyright (c) 1999 A. Person, 2001-2004 Another Person and Others, 2007 A Company Limited, and all of its subsidiaries. All rights reserved.", "proprietary"),
     ],
 )
 def test_rules_and_suppression(spark, text, labels):
@@ -163,6 +169,9 @@ KEY = "aB3dE6gH9jK2mN5pQ8sTuV1wXy7Z"
     [
         (f"token:\n  {KEY}\nand more", [KEY]),
         (f"{KEY} is what the token is", [KEY]),
+        (f"das Passwort lautet {KEY}", [KEY]),
+        (f"le mot de passe: {KEY}", [KEY]),
+        (f"la contraseña es {KEY}", [KEY]),
         (f"the token is written below{'.' * 9} as it was sent to all of us in the last week of the month:\n\n{KEY}", [KEY]),
         (f"token {KEY}, {KEY[::-1]}, {KEY.swapcase()}", [KEY, KEY[::-1], KEY.swapcase()]),
         (f"{KEY} {'is a value that nothing names ' * 20} token", []),

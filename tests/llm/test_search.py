@@ -63,6 +63,44 @@ def test_repeated_rows_and_empty_tables(spark):
     assert nearest(vectors(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("shard_rows", [4096, 300])
+def test_ties_of_negative_scores_go_to_the_smaller_ids(spark, shard_rows):
+    """Equal vectors over many leaves, all scoring -2,000,000; a bound rounded towards zero would lose the first ids."""
+    rows = [(0, [1000.0 / 64, 0.0])] + [(i, [-2000.0 / 64, float(i % 3 == 0)]) for i in [*range(101, 1601), *range(3001, 4501)] if i % 20]
+    got = by_query(exact_top_k(vectors(spark, rows), 20, 20, shard_rows=shard_rows))
+    assert got == exact(rows, 20, 20, 64)
+    assert got[0][0] == (101, -2_000_000)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bounds_are_never_below_a_score(seed):
+    rng = np.random.default_rng(seed)
+    x = np.floor(rng.normal(size=(2000, 6)) * 10 ** rng.integers(0, 7) - 10 ** rng.integers(0, 7))
+    q = np.floor(rng.normal(size=(5, 6)) * 10 ** rng.integers(0, 5))
+    tree = BallTree(x, np.arange(len(x)))
+    query, row, score = tree.search(q, np.full(5, -1), np.full(5, -np.inf), 30)
+    for i in range(5):
+        want = sorted(range(len(x)), key=lambda j: (-(q[i] @ x[j]), j))[:30]
+        assert sorted(tree.ids[row[query == i]], key=lambda j: (-(q[i] @ x[j]), j)) == want
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_a_query_id_with_several_vectors_asks_with_all_of_them(spark, parts):
+    rng = np.random.default_rng(9)
+    rows = rows_of(rng.normal(size=(80, 4)).round(1)) + [(20, [2.0, 0.0, 0.0, 0.0]), (20, [0.0, 3.0, 0.0, 0.0]), (20, [0.0, 3.0, 0.0, 0.0]), (7, [1.0, 1.0, 1.0, 1.0])]
+    got = by_query(exact_top_k(vectors(spark, rows).repartition(parts), 9, 20, shard_rows=25))
+    x = [(i, np.floor(np.array(v, np.float32).astype(float) * 64)) for i, v in rows]
+    for q in {i for i, _ in rows if i % 20 == 0}:
+        best = sorted((-max(float(v @ w) for i, v in x if i == q), j) for j, w in x if j != q)
+        assert got[q] == [(j, -s) for s, j in best[:9]]
+
+
+def test_an_id_with_a_third_of_all_rows_is_spread_over_the_shards(spark):
+    rng = np.random.default_rng(10)
+    rows = rows_of(rng.normal(size=(300, 4)).round(1)) + [(7, [0.5, 0.5, 0.5, 0.5])] * 150
+    assert by_query(exact_top_k(vectors(spark, rows), 5, 20, shard_rows=30)) == exact(rows, 5, 20, 64)
+
+
 def test_a_ball_tree_leaves_nodes_out():
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.normal(size=(500, 4)) * 0.1 + 5, rng.normal(size=(3000, 4)) * 0.1 - 5])

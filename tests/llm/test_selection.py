@@ -60,6 +60,23 @@ def test_shards_of_odd_rows(spark):
     assert set(whole.columns) == set(odd_documents(spark).columns)
 
 
+def test_rows_of_which_a_third_are_equal_are_spread_over_the_buckets(spark):
+    from spinewise.llm import sharding
+
+    rows = [(i, f"text {i}") for i in range(600)] + [(7, "the same text")] * 300 + [(None, None)] * 40
+    df = documents(spark, rows)
+    named = df.select(F.xxhash64("doc_id", "text").alias("h"), F.struct("doc_id", "text", "lang").alias("item"))
+    spread = sharding._spread_repeats(named, 3, 20)
+    assert spread.count() == len(rows) and spread.groupBy(F.pmod("h", F.lit(30)).alias("b")).count().agg(F.max("count")).first()[0] < 60
+    one = sorted(((r.doc_id, r.text, r.shard, r.slot) for r in external_shuffle(df, 5, bucket_rows=16).collect()), key=str)
+    other = sorted(((r.doc_id, r.text, r.shard, r.slot) for r in external_shuffle(df.repartition(7), 5, bucket_rows=16).collect()), key=str)
+    assert one == other and sorted((d, t) for d, t, _, _ in one if d is not None) == sorted(r for r in rows if r[0] is not None)
+    by = {s: sorted(x[3] for x in one if x[2] == s) for s in range(5)}
+    assert all(v == list(range(188)) for v in by.values())
+    hot = [s for d, t, s, _ in one if d == 7 and t == "the same text"]
+    assert all(hot.count(s) > 30 for s in range(5))
+
+
 def test_running_offsets_in_two_levels(spark):
     df = spark.createDataFrame([(i, (i * 7) % 5) for i in range(100) if i % 3], "k long, v long")
     got = dict(collected(running_offsets(df, "k", "v", "o", block=8)))
@@ -172,6 +189,20 @@ def test_resampling_of_odd_rows(spark):
     assert resample(no_documents(spark), known).count() == 0 and keep_chosen(no_documents(spark), known).count() == 0
 
 
+def test_a_labelled_id_with_very_many_rows_is_one_row_on_the_driver(spark):
+    from spinewise.llm import quality
+
+    rows = [(1, f"good words number {i}") for i in range(300)] + [(i, f"bad stuff {i}") for i in range(2, 40)] + [(1, "good words")] * 100
+    sample = documents(spark, rows, extra=False).withColumn("good", (F.col("doc_id") == 1).cast("int"))
+    counts = quality.bucket_counts(sample, "text", 500)
+    target = quality.bucket_counts(sample.where("good = 1"), "text", 500)
+    known = quality.held_out_scores(sample, target, counts).collect()
+    assert len(known) == 39 and [r["good"] for r in known].count(True) == 1
+    labels = spark.createDataFrame([(i, int(i == 1), 0) for i in range(1, 40)], "doc_id long, quality int, toxic int")
+    kept = keep_chosen(documents(spark, rows), labels)
+    assert kept.where("doc_id = 1").count() == 400
+
+
 def test_the_pipeline_stage_by_stage(spark, tmp_path):
     """Every stage works on all that the one before kept, and its decisions take effect."""
     from llm.test_jaccard import brute
@@ -216,4 +247,4 @@ def test_every_operator_has_one_query():
     from __spark_entry__ import queries
 
     names = [n for n in queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in queries()

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -10,8 +11,10 @@ import pyarrow as pa
 import pytest
 import tiktoken
 from llm.cases import LONG, ODD, collected, no_documents, odd_documents
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from spinewise.llm import bpe
 from spinewise.llm.bpe import BytePairs, bpe_decode, bpe_digest, bpe_encode, load_ranks
 from spinewise.llm.packing import pack, piece_digest, sequences
 from spinewise.llm.token_files import PerfectHash, ShardIndex, token_file_digest
@@ -54,6 +57,36 @@ def test_long_words_are_contracted_in_place(reference, word):
     assert numbers(BytePairs(RANKS, P.PATTERN).encode(pa.array([word]))) == [reference.encode_ordinary(word)]
 
 
+@pytest.mark.parametrize("kind", ["letters", "one letter", "two letters", "words", "digits and signs", "bytes", "runs"])
+def test_very_long_words_take_seconds(reference, kind):
+    rng = random.Random(2)
+    n = 200_000
+    word = {
+        "letters": lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n)),
+        "one letter": lambda: "a" * n,
+        "two letters": lambda: "ab" * (n // 2),
+        "words": lambda: "".join(rng.choices(["the", "ing", "tion", "there", "on", "ed", "he", "int"], k=n // 3)),
+        "digits and signs": lambda: "".join(rng.choices("-=*#", k=n)),
+        "bytes": lambda: "".join(rng.choices("éÉß字语ñ", k=n // 3)),
+        "runs": lambda: "".join(c * rng.randrange(1, 300) for c in rng.choices("aehx", k=n // 150)),
+    }[kind]()
+    pairs = BytePairs(RANKS, P.PATTERN)
+    began = time.monotonic()
+    got = pairs._windowed(word.encode())
+    assert time.monotonic() - began < 60
+    assert got.tolist() == reference._encode_single_piece(word.encode())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_windows_are_put_together_as_the_whole_word_is_contracted(reference, seed, monkeypatch):
+    monkeypatch.setattr(bpe, "STRIDE", 16)
+    rng = random.Random(seed)
+    pairs = BytePairs(RANKS, P.PATTERN)
+    for letters in ("ab", "aeinost", "the ", "01-", "aaab"):
+        word = "".join(rng.choices(letters, k=rng.randrange(1000, 3000))).encode()
+        assert pairs._windowed(word).tolist() == reference._encode_single_piece(word)
+
+
 def test_the_store_of_words_may_be_emptied(reference):
     pairs = BytePairs(RANKS, P.PATTERN, limit=3)
     for text in ("one two three four", "five six", "one two six"):
@@ -129,5 +162,35 @@ def test_pieces_fill_the_sequences(spark, words, length):
     assert piece_digest(pieces).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
+def test_a_key_with_a_third_of_all_rows_is_many_shards(spark, words, monkeypatch):
+    from spinewise.llm import token_files
+
+    monkeypatch.setattr(token_files, "SHARD_BYTES", 2000)
+    rows = [(i, f"text number {i}") for i in range(200)] + [(50, "one text that is always the same")] * 120
+    df = odd_documents(spark).select("doc_id", "text").limit(0).union(spark.createDataFrame(rows, "doc_id long, text string"))
+    path = token_files.new_path(spark, "hot-files")
+    manifest = token_files.write_token_files(df, path, WORDS)
+    shards = {r["shard"]: r["n"] for r in manifest.where("doc_id = 50").groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert sum(shards.values()) == 121 and len(shards) > 2 and max(shards.values()) < 121
+    got = sorted(collected(token_file_digest(df, WORDS)), key=lambda r: r[1])
+    start = 0
+    for doc_id, at, n, _ in got:
+        assert at == start
+        start += n
+    assert [r[0] for r in got] == sorted(d for d, _ in rows)
+    coded = {t: np.array([*words(t), 2], "<u4") for _, t in rows}
+    assert sorted((d, n, c) for d, _, n, c in got) == sorted((d, len(coded[t]), zlib.crc32(coded[t].tobytes())) for d, t in rows)
+
+
+def test_names_of_stores():
+    from spinewise.llm.token_files import store_of
+
+    assert store_of("file:///tmp/x")[1] == "/tmp/x" and store_of("file:/tmp/x")[1] == "/tmp/x" and store_of("dbfs:/x/y")[1] == "/dbfs/x/y"
+    try:
+        assert store_of("s3a://bucket/x")[1] == "bucket/x"
+    except OSError:
+        pass  # no network to ask for the bucket's region
+
+
 def test_nothing_is_packed_of_nothing(spark):
     assert pack(no_documents(spark), WORDS).count() == 0
