@@ -10,11 +10,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from spinewise.llm.common import staged
 
-#: Rows of a curve that one task scores at once, and rows of a curve whose queries it scores them for.
+#: Rows of a curve that are scored together, and rows of a curve whose queries they are scored for.
 BLOCK, GROUP = 4096, 81_920
 #: Vectors from which the scale of the projections is fitted.
 SAMPLE = 2048
@@ -83,8 +82,9 @@ class Curves:
         return out
 
 
-def _usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    kept = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where(F.col("id").isNotNull())
+def _usable(rows: DataFrame) -> DataFrame:
+    """Rows (row, id, v) that take part, v in doubles, with the length of v."""
+    kept = rows.select("row", "id", F.col("v").cast("array<double>").alias("v")).where(F.col("id").isNotNull())
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return kept.where(finite & F.exists("v", lambda x: x != 0)).withColumn("dim", F.size("v"))
 
@@ -93,10 +93,10 @@ def nearest(
     vectors: DataFrame,
     k: int = 20,
     query_step: int = 20,
-    curves: int = 8,
-    columns: int = 8,
-    bits: int = 7,
-    share: float = 0.12,
+    curves: int = 64,
+    columns: int = 16,
+    bits: int = 3,
+    share: float = 0.0035,
     least: int = 100,
     seed: int = 11,
     key: str = "vec_id",
@@ -105,11 +105,11 @@ def nearest(
     """The k largest inner products of every query (ids divisible by `query_step`) among rows near it on a curve.
 
     Each curve projects vectors at random to `columns` dimensions, shifts them and orders them by their place
-    on a Hilbert curve; Spark sorts every ordering by ranges. A query is compared, in double precision, with the
-    rows at most max(`least`, `share` of all rows) places away on any curve, and the best are kept. Random
-    directions in 64 dimensions leave neighbours far apart on a curve, so the share sets the recall.
-    A query is scored in the block of each curve where it stands first; the k-th score found there is the
-    floor below which the other blocks of its windows send nothing.
+    on a Hilbert curve; Spark sorts every ordering by ranges. A query meets the rows at most max(`least`, `share` of
+    all rows) places away on any curve. Many curves with narrow windows find more than few with wide ones: the nearer
+    a cell, the more of what is in it is near. On the curves vectors travel as bytes, with the bound of what that
+    takes from a product; whatever the bounds leave among the k best is compared again, in double precision, by the
+    vectors themselves, so that the bytes decide nothing. A row that is near on several curves is compared again once.
 
     Vectors need not have one norm: a component is added under which nearness orders inner products.
     The scale of the grid is fitted on a sample of 2,048 rows; every row is indexed and can be found.
@@ -117,13 +117,13 @@ def nearest(
     Ids null, vectors null, zero or with null or non-finite components take no part; vectors of different
     lengths do not meet; ties go to the smaller id; rows of the query's id are not its neighbours. Rows with the
     same id and vector are one row from the start; an id's different vectors have places on the curves each, and
-    the best for a query takes one of its k places. An empty table gives an empty result; other columns are left out.
+    the best for a query takes one of its k places; a query id with several vectors asks with all of them. An empty
+    table gives an empty result; other columns are left out.
     """
     spark = vectors.sparkSession
-    # What was a float stays one on its way, and is a double again when products are made.
-    kind = "<f4" if isinstance(vectors.schema[vector].dataType.elementType, T.FloatType) else "<f8"
-    rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).distinct()
-    usable = _usable(staged(rows, "vectors"), "id", "v")
+    distinct = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).distinct()
+    kept = staged(distinct.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    usable = _usable(kept)
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     stats = {r["dim"]: r for r in usable.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("norm")).collect()}
     sample = usable.orderBy(F.xxhash64("id")).limit(SAMPLE).collect()
@@ -137,15 +137,18 @@ def nearest(
         for batch in batches:
             for dim, rows in batch.groupby("dim"):
                 x, ids, own = np.stack(rows["v"].to_numpy()), rows["id"].to_numpy(), fitted[dim]
-                asked = ids % query_step == 0
-                for role, some, at in ((0, np.ones(len(ids), bool), own.candidates(x)), (1, asked, own.queries(x[asked]))):
-                    raw = [v.tobytes() for v in np.ascontiguousarray(x[some], kind)]
+                number, asked = rows["row"].to_numpy(), ids % query_step == 0
+                steps = np.abs(x).max(1) / 127
+                small = np.rint(x / steps[:, None]).astype(np.int8)
+                # A query travels whole, in doubles.
+                for role, some, at, raw in ((0, np.ones(len(ids), bool), own.candidates(x), small), (1, asked, own.queries(x[asked]), x[asked].astype("<f8"))):
+                    raw = [v.tobytes() for v in np.ascontiguousarray(raw)]
                     for curve, keys in enumerate(own.keys(at)):
-                        yield pd.DataFrame({"dim": dim, "curve": curve, "key": keys, "role": role, "id": ids[some], "v": raw})
+                        yield pd.DataFrame({"dim": dim, "curve": curve, "key": keys, "role": role, "id": ids[some], "row": number[some], "step": steps[some], "v": raw})
 
-    order = ["dim", "curve", "key", "role", "id"]
+    order = ["dim", "curve", "key", "role", "row"]
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = usable.mapInPandas(place, "dim int, curve int, key long, role int, id long, v binary")
+    placed = usable.mapInPandas(place, "dim int, curve int, key long, role int, id long, row long, step double, v binary")
     placed = placed.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,78 +165,93 @@ def nearest(
             local = count - own - np.repeat(reset, np.diff(np.append(heads, len(curve))))
             if len(curve):
                 last, before = curve[-1], int(local[-1] + own[-1])
-            columns = [batch.column(c) for c in (0, 1, 3, 4, 5)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([task] * len(curve), pa.int32()), pa.array(local, pa.int64())], names=["dim", "curve", "role", "id", "v", "task", "local"])
+            columns = [batch.column(c) for c in (0, 1, 3, 4, 5, 6, 7)]
+            names = ["dim", "curve", "role", "id", "row", "step", "v", "task", "local"]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([task] * len(curve), pa.int32()), pa.array(local, pa.int64())], names=names)
 
-    rows = staged(placed.mapInArrow(number, "dim int, curve int, role int, id long, v binary, task int, local long"), "curves")
+    rows = staged(placed.mapInArrow(number, "dim int, curve int, role int, id long, row long, step double, v binary, task int, local long"), "curves")
     earlier = Window.partitionBy("dim", "curve").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy("dim", "curve", "task").agg(F.sum(1 - F.col("role")).alias("n"))
     counts = counts.select("dim", "curve", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     reach = F.create_map(*[F.lit(v) for d, r in radius.items() for v in (d, r)]) if radius else F.create_map(F.lit(0), F.lit(0))
     rows = rows.join(counts, ["dim", "curve", "task"]).withColumn("pos", F.col("base") + F.col("local")).withColumn("r", reach[F.col("dim")].cast("long"))
-    rows = rows.withColumn("block", F.expr(f"pos div {BLOCK}")).withColumn("grp", F.expr(f"pos div {GROUP}"))
-    groups = F.expr(f"sequence(greatest(block * {BLOCK} - r, 0L) div {GROUP}, ((block + 1) * {BLOCK} + r) div {GROUP})")
+    rows = rows.withColumn("grp", F.expr(f"pos div {GROUP}"))
     blocks = F.expr(f"sequence(greatest(pos - r, 0L) div {BLOCK}, (pos + r) div {BLOCK})")
-    candidates = rows.where("role = 0").withColumn("grp", F.explode(groups))
-    queries = rows.where("role = 1").withColumn("home", F.col("block"))
-    first = staged(_scored(candidates, queries.withColumn("floor", F.lit(None).cast("double")), k, tasks, kind), "curve-homes")
-    floors = _best(first, k).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
-    others = queries.withColumn("block", F.explode(blocks)).where("block <> home").join(floors, "id", "left")
-    found = first.union(_scored(candidates, others, k, tasks, kind))
-    return _best(found, k).select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+    if max(radius.values(), default=0) <= BLOCK // 4:
+        # Narrow windows: a query goes to its own block alone, and rows near a block's ends go to the next one too.
+        candidates = rows.where("role = 0").withColumn("grp", F.lit(0).cast("long")).withColumn("block", F.explode(blocks))
+        queries = rows.where("role = 1").withColumn("grp", F.lit(0).cast("long")).withColumn("block", F.expr(f"pos div {BLOCK}"))
+    else:
+        # Wide ones: a row is in one block, a query goes to all its window touches; blocks are scored for some of them at a time.
+        groups = F.expr(f"sequence(greatest(block * {BLOCK} - r, 0L) div {GROUP}, ((block + 1) * {BLOCK} + r) div {GROUP})")
+        candidates = rows.where("role = 0").withColumn("block", F.expr(f"pos div {BLOCK}")).withColumn("grp", F.explode(groups))
+        queries = rows.where("role = 1").withColumn("block", F.explode(blocks))
+    return _reranked(_near(candidates, queries, k, tasks), usable, k)
 
 
-def _scored(candidates: DataFrame, queries: DataFrame, k: int, tasks: int, kind: str) -> DataFrame:
-    """(query_id, id, score): of each block and group, a query's k best ids that reach its floor."""
+def scored_pairs(pos: np.ndarray, at: np.ndarray, r: int) -> Iterator[tuple[slice, slice]]:
+    """(queries, candidates) to score at once, both in the order of their places: windows of queries close together."""
+    begin = 0
+    while begin < len(pos):
+        end = max(begin + 1, int(np.searchsorted(pos, pos[begin] + r // 8, side="right")))
+        end = min(end, begin + 512)
+        yield slice(begin, end), slice(int(np.searchsorted(at, pos[begin] - r)), int(np.searchsorted(at, pos[end - 1] + r, side="right")))
+        begin = end
+
+
+def _near(candidates: DataFrame, queries: DataFrame, k: int, tasks: int) -> DataFrame:
+    """(query_id, asked, id, row, low, high): of each block, what may be among a query's k best ids there, between bounds."""
+    schema = "query_id long, asked long, id long, row long, low double, high double"
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
+        out = [pd.DataFrame({c.split()[0]: pd.Series(dtype="float64" if c.endswith("double") else "int64") for c in schema.split(", ")})]
         if left.empty or right.empty:
-            return empty
-        x, q = (np.frombuffer(b"".join(f["v"]), kind).astype(float).reshape(len(f), -1) for f in (left, right))
-        ids, asked, at, centre, r = left["id"].to_numpy(), right["id"].to_numpy(), left["pos"].to_numpy(), right["pos"].to_numpy(), right["r"].to_numpy()
-        floor = right["floor"].to_numpy(dtype=float, na_value=-np.inf)
-        floor = np.where(np.isnan(floor), -np.inf, floor)
-        by_id = np.argsort(ids, kind="stable")
-        heads = np.flatnonzero(np.diff(ids[by_id], prepend=ids[by_id[0]] - 1))
-        repeated = len(heads) < len(ids)
-        if repeated:
-            x, ids, at = x[by_id], ids[by_id], at[by_id]
-        out = [empty]
-        for b in range(0, len(q), 512):
-            some = slice(b, b + 512)
-            products = q[some] @ x.T
-            away = np.abs(centre[some, None] - at) > r[some, None]
-            products[away | (asked[some, None] == ids)] = -np.inf
-            best = products
-            # Margins keep what rounding could put on either side of an id's best row and of the k-th id.
-            if repeated:
-                best = np.maximum.reduceat(products, heads, axis=1)
-                products[products < np.repeat(best - 1e-9 * np.abs(best), np.diff(heads, append=len(ids)), axis=1)] = -np.inf
-            kth = np.partition(best, -k, axis=1)[:, -k] if len(heads) > k else np.full(len(products), -np.inf)
-            kth = np.maximum(kth, floor[some])
-            i, j = np.nonzero((products >= np.where(kth > -np.inf, kth - 1e-9 * np.abs(kth), kth)[:, None]) & (products > -np.inf))
-            exact = (q[some][i] * x[j]).sum(1)
-            if repeated and len(i):
-                order = np.lexsort((-exact, ids[j], i))
-                i, j, exact = i[order], j[order], exact[order]
-                first = np.concatenate([[True], (i[1:] != i[:-1]) | (ids[j[1:]] != ids[j[:-1]])])
-                i, j, exact = i[first], j[first], exact[first]
-            order = np.lexsort((ids[j], -exact, i))
-            i, j, exact = i[order], j[order], exact[order]
-            before = np.searchsorted(i, i)  # of equal scores the smaller ids, k of a query
-            top = np.arange(len(i)) - before < k
-            out.append(pd.DataFrame({"query_id": asked[some][i[top]], "id": ids[j[top]], "score": exact[top]}))
+            return out[0]
+        left, right = left.sort_values(["pos", "row"]), right.sort_values(["pos", "row"])
+        q = np.frombuffer(b"".join(right["v"]), "<f8").reshape(len(right), -1)
+        x = np.frombuffer(b"".join(left["v"]), np.int8).reshape(len(left), -1).astype(np.float32).astype(float)
+        x *= left["step"].to_numpy()[:, None]
+        half = left["step"].to_numpy() * 0.5000001
+        ids, rows, at = left["id"].to_numpy(), left["row"].to_numpy(), left["pos"].to_numpy()
+        asked, number, pos, r = right["id"].to_numpy(), right["row"].to_numpy(), right["pos"].to_numpy(), int(right["r"].iloc[0])
+        length = np.abs(q).sum(1)
+        repeated = len(np.unique(ids)) < len(ids)
+        for some, window in scored_pairs(pos, at, r):
+            if window.start >= window.stop:
+                continue
+            products = q[some] @ x[window].T
+            spare = length[some, None] * half[window] + 1e-12 * length[some, None]
+            out_of = (np.abs(pos[some, None] - at[window]) > r) | (asked[some, None] == ids[window])
+            low = np.where(out_of, -np.inf, products - spare)
+            best = low
+            if repeated:  # an id counts once, by its best row
+                by_id = np.argsort(ids[window], kind="stable")
+                heads = np.flatnonzero(np.diff(ids[window][by_id], prepend=ids[window][by_id[0]] - 1))
+                best = np.maximum.reduceat(low[:, by_id], heads, axis=1)
+            kth = np.partition(best, -k, axis=1)[:, -k] if best.shape[1] > k else np.full(len(best), -np.inf)
+            i, j = np.nonzero((low + 2 * spare >= kth[:, None]) & ~out_of)
+            names = ["query_id", "asked", "id", "row", "low", "high"]
+            values = [asked[some][i], number[some][i], ids[window][j], rows[window][j], low[i, j], (low + 2 * spare)[i, j]]
+            out.append(pd.DataFrame(dict(zip(names, values, strict=True))))
         return pd.concat(out)
 
     keys = ["dim", "curve", "block", "grp"]
     own = [F.col(c).alias(c) for c in queries.columns]  # columns of their own, apart from the candidates'
     candidates, queries = candidates.repartition(tasks, *keys), queries.select(*own).repartition(tasks, *keys)
-    return candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(score, "query_id long, id long, score double")
+    return candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(score, schema)
 
 
-def _best(found: DataFrame, k: int) -> DataFrame:
-    """The k best of each query; a row found on several curves counts once."""
-    once = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
+def _reranked(near: DataFrame, usable: DataFrame, k: int) -> DataFrame:
+    """The k best of each query by its exact scores; a row found on several curves counts once."""
+    once = staged(near.groupBy("query_id", "asked", "id", "row").agg(F.max("low").alias("low"), F.max("high").alias("high")), "near-rows")
+    per_id = once.groupBy("query_id", "id").agg(F.max("low").alias("low"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("low"))
+    kth = per_id.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select("query_id", F.col("low").alias("least"))
+    left = once.join(kth, "query_id", "left").where(F.col("least").isNull() | (F.col("high") >= F.col("least")))
+    asked = usable.select(F.col("row").alias("asked"), F.col("v").alias("q"))
+    both = left.select("query_id", "asked", "id", "row").join(asked, "asked").join(usable.select("row", "v"), "row")
+    score = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
+    best = both.select("query_id", "id", score.alias("score")).groupBy("query_id", "id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
-    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", F.col("id").alias("vec_id"), "score")

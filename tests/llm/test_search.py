@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from llm.cases import collected, vectors
 
-from spinewise.llm.curves import hilbert_keys, nearest
+from spinewise.llm.curves import hilbert_keys, nearest, scored_pairs
 from spinewise.llm.topk import BallTree, exact_top_k
 
 NAN, INF = float("nan"), float("inf")
@@ -136,6 +136,46 @@ def test_recall_and_scores_of_the_curves(spark):
     assert all(abs(score - y[q] @ y[i]) < 1e-9 for q in got for i, score in got[q])
 
 
+def test_narrow_windows_find_more_than_random_ones_and_score_less_than_half(spark):
+    """Neighbours as near as those of large tables: windows of one percent of the rows on many curves."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(60, 32))
+    x = centres[rng.integers(0, 60, 6000)] + 1.2 * rng.normal(size=(6000, 32))
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    rows = rows_of(x)
+    got, want = by_query(nearest(vectors(spark, rows), query_step=100, curves=24, share=0.005, least=10)), exact(rows, 20, 100)
+    hits = np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want])
+    scored, random = 24 * 2 * 0.005, 1 - (1 - 2 * 0.005) ** 24
+    assert scored < 0.25 and hits > 0.6 > 2 * random
+
+
+@pytest.mark.parametrize("r,n", [(5, 300), (40, 300), (1000, 300)])
+def test_what_is_scored_is_little_more_than_the_windows(r, n):
+    at = np.arange(n)
+    pos = np.arange(0, n, 7)
+    seen = np.zeros((len(pos), n), bool)
+    for some, window in scored_pairs(pos, at, r):
+        assert not seen[some, window].any()
+        seen[some, window] = True
+    inside = np.abs(pos[:, None] - at) <= r
+    assert seen[inside].all() and seen.sum() <= inside.sum() * 1.15 + len(pos)
+
+
+def test_wide_windows_over_many_blocks(spark, monkeypatch):
+    from spinewise.llm import curves
+
+    monkeypatch.setattr(curves, "BLOCK", 64)
+    monkeypatch.setattr(curves, "GROUP", 200)
+    rng = np.random.default_rng(12)
+    rows = rows_of(rng.normal(size=(900, 8)))
+    for share in (0.01, 1.0):
+        got = by_query(nearest(vectors(spark, rows), query_step=50, curves=3, columns=4, share=share, least=5))
+        if share == 1.0:
+            assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in exact(rows, 20, 50).items()}
+        else:
+            assert set(got) == set(exact(rows, 20, 50))
+
+
 def exact_by_id(rows, k, step):
     """Brute force, an id counted once by its best row."""
     x = [(i, np.array(v, np.float32).astype(float)) for i, v in rows]
