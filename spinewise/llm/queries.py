@@ -183,5 +183,60 @@ _VARIANTS = f"""
     select f.word, f.form, r.here as root, f.n, cast(f.n_near as bigint) as n_near, cast(f.form_n as bigint) as form_n
     from forms f join follow r on f.word = r.word and r.up is null"""
 
-#: The other operators give ids of tokenizers, places in a hash order, hashes that SQL lacks, or samples; tests hold them against brute force.
-CHECKS: dict[str, str] = {"op2_exact_top_k": _TOP_K, "op3_ngram_jaccard": _JACCARD, "op11_prefix_trie": _TRIE, "op13_spelling_variants": _VARIANTS}
+# The multipliers of XXH64.
+_PRIMES = [11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261]
+
+
+def _xxh64(hexed: str, seed: int) -> str:
+    """XXH64 of the bytes given as hexadecimal text. Values are 128 bits wide, so that products fit, and cut to 64."""
+    p1, p2, p3, p4, p5 = _PRIMES
+    wide = lambda x: f"{x % (1 << 64)}::uhugeint"
+    cut = lambda x: f"(({x}) & {wide(-1)})"
+    times = lambda x, p: cut(f"({x}) * {wide(p)}")
+    turned = lambda x, r: f"({cut(f'({x}) * {wide(1 << r)}')} + (({x}) >> {wide(64 - r)}))"
+    let = lambda value, name, body: f"list_transform([{value}], lambda {name}: {body})[1]"
+    folded = lambda first, items, body: f"list_reduce(list_prepend({first}, {items}), lambda h, x: {body})"
+    n = f"(length({hexed}) // 2)"
+    byte = lambda at: f"('0x' || substr({hexed}, 2 * ({at}) + 1, 2))::bigint::uhugeint"
+    little = lambda at, size: " + ".join(f"{byte(f'({at}) + {k}')} * {wide(1 << 8 * k)}" for k in range(size))
+    lanes = lambda low, high, at, size: f"list_transform(range({low}, {high}), lambda i: {little(at, size)})"
+    mixed = lambda h, x: let(cut(f"({h}) + {times(x, p2)}"), "z", times(turned("z", 31), p1))
+    starts = [seed + p1 + p2, seed + p2, seed, seed - p1]
+    four = ", ".join(folded(wide(first), lanes(0, f"{n} // 32", f"i * 32 + {8 * j}", 8), mixed("h", "x")) for j, first in enumerate(starts))
+    joined = cut(" + ".join(turned(f"a[{j + 1}]", r) for j, r in enumerate((1, 7, 12, 18))))
+    merged = let(f"[{four}]", "a", folded(joined, "a", cut(f"{times(f'xor(h, {mixed(wide(0), "x")})', p1)} + {wide(p4)}")))
+    h = cut(f"(case when {n} >= 32 then {merged} else {wide(seed + p5)} end) + {n}::uhugeint")
+    h = folded(h, lanes(f"{n} // 32 * 4", f"{n} // 8", "i * 8", 8), let(f"xor(h, {mixed(wide(0), 'x')})", "y", cut(f"{times(turned('y', 27), p1)} + {wide(p4)}")))
+    h = folded(h, lanes(f"{n} // 8 * 2", f"{n} // 4", "i * 4", 4), let(f"xor(h, {times('x', p1)})", "y", cut(f"{times(turned('y', 23), p2)} + {wide(p3)}")))
+    h = folded(h, lanes(f"{n} // 4 * 4", n, "i", 1), let(f"xor(h, {times('x', p5)})", "y", times(turned("y", 11), p1)))
+    for shift, p in ((33, p2), (29, p3)):
+        h = let(h, "h", times(f"xor(h, h >> {wide(shift)})", p))
+    return let(h, "h", f"xor(h, h >> {wide(32)})")
+
+
+_SIMHASH = f"""
+    with recursive worded as (
+        select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+        from documents),
+    grams as (
+        select r, unnest(case when len(w) >= 3 then list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
+                              when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as gram from worded),
+    counted as (select r, gram, count(*) as n from grams group by all),
+    hashed as (select r, n, cast({_xxh64("hexed", 42)} as ubigint) as h from (select r, n, hex(gram) as hexed from counted)),
+    bits as (select r, {" + ".join(f"(case when 2 * sum(n * cast((h >> {b}) & 1 as bigint)) > sum(n) then {1 << b}::ubigint else 0::ubigint end)" for b in range(64))} as fp
+             from hashed group by r),
+    prints as (select w.doc_id, coalesce(b.fp, 0::ubigint) as fp from worded w left join bits b on w.r = b.r),
+    nodes as (select distinct fp from prints),
+    links as (select a.fp as a, b.fp as b from nodes a join nodes b on bit_count(xor(a.fp, b.fp)::bit) <= 2 and a.fp <> b.fp),
+    reach(a, b) as (select fp, fp from nodes union select r.a, l.b from reach r join links l on r.b = l.a),
+    least as (select r.a as fp, min(p.doc_id) as component_id from reach r join prints p on r.b = p.fp group by r.a)
+    select doc_id, lower(lpad(hex(p.fp), 16, '0')) as fingerprint, component_id from prints p join least l on p.fp = l.fp"""
+
+#: The other operators give ids of tokenizers, places in a hash order, or samples; tests hold them against brute force.
+CHECKS: dict[str, str] = {
+    "op2_exact_top_k": _TOP_K,
+    "op3_ngram_jaccard": _JACCARD,
+    "op11_prefix_trie": _TRIE,
+    "op12_simhash": _SIMHASH,
+    "op13_spelling_variants": _VARIANTS,
+}
