@@ -54,6 +54,14 @@ def csv_bad_records(spark, d):
     return tables.count_bad_records(read, "_bad", ["kind", "flag"])
 
 
+def csv_misfits(spark, d):
+    """Values of an untyped file that their types would lose."""
+    path = stages.new_path(spark, "text-csv")
+    activity = frame(spark, d, "activity").select("event_id", "priority", F.coalesce(F.substring("priority", 1, 1), F.col("status")).alias("rank"))
+    tables.write_csv(activity, path)
+    return tables.misfits(tables.read_csv(spark, path), {"event_id": "long", "priority": "int", "rank": "int"})
+
+
 def frame_round_trip(spark, d):
     path = stages.new_path(spark, "community")
     tables.write_frame(frame(spark, d, "community"), path, partition_by=["AttendanceStatus"])
@@ -90,6 +98,7 @@ QUERIES = {
     "csv_blanks_kept": csv_blanks_kept,
     "csv_plain": csv_plain,
     "csv_bad_records": csv_bad_records,
+    "csv_misfits": csv_misfits,
     "frame_round_trip": frame_round_trip,
     "lookup_from_file": lookup_from_file,
     "column_dictionary": column_dictionary,
@@ -106,6 +115,10 @@ CHECKS = {
     "csv_bad_records": f"""{with_frames('activity')}
         select coalesce(substr(priority, 1, 1), '0') as kind, case when priority = '1-URGENT' then null else 'F' end as flag,
                count(*) as rows, count(*) filter (where substr(priority, 1, 1) in ('1', '2')) as bad from activity group by 1, 2""",
+    "csv_misfits": f"""{with_frames('activity')}
+        select 'event_id' as variable, count(*) as known, 0 as misfits from activity union all
+        select 'priority', count(priority), count(priority) from activity union all
+        select 'rank', count(*), count(*) filter (where priority is null) from activity""",
     "frame_round_trip": f"{with_frames('community')} select Der_Pseudo_NHS_Number, Contact_Date, AttendanceStatus, Referral_TeamType from community",
     "lookup_from_file": f"""{with_frames('spine', 'areas')}
         select person_id, cast(area as varchar) as area, IMD_decile from spine left join areas on cast(area as varchar) = LSOA_IMD""",

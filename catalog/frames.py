@@ -186,7 +186,8 @@ FRAMES = {
         from {{events}}""",
     "social_care": f"""
         select {_person('o_custkey')} as Der_Pseudo_NHS_Number, {_ymd('o_orderdate')} as Event_Start_Date,
-               cast(o_orderkey as string) as Event_End_Date, o_orderstatus as Accommodation_Status,
+               case when o_orderkey % 5 <> 0 then {_ymd('cast(o_orderdate as date) + cast(o_orderkey % 90 as int)')} end as Event_End_Date,
+               o_orderstatus as Accommodation_Status,
                nullif(o_orderpriority, '5-LOW') as Client_Funding_Status,
                substr(o_orderpriority, 3) as Service_Component, concat(o_orderstatus, o_orderpriority) as Service_Type
         from {{orders}}""",

@@ -345,7 +345,8 @@ BODIES = {
     "social_care_record": f"""select {ALT}, Accommodation_Status as Accommodation_Status_ASC, Client_Funding_Status as Client_Funding_Status_ASC,
         Service_Component as Service_Component_ASC, Service_Type as Service_Type_ASC
         from social_care join residents on {ALT} = {PERSON} where cast(Event_Start_Date as date) <= index_wave1
-        qualify row_number() over (partition by {ALT} order by cast(Event_Start_Date as date) desc, Event_End_Date) = 1""",
+        qualify row_number() over (partition by {ALT} order by cast(Event_Start_Date as date) desc, cast(Event_End_Date as date) nulls last,
+            Accommodation_Status nulls first, Client_Funding_Status nulls first, Service_Component nulls first, Service_Type nulls first) = 1""",
     "demographic_record": f"""select {PERSON}, index_date, Der_Practice_Code as practice_code_PDS, Der_CCGofResidence as CCG_residence_PDS, Gender as gender_PDS,
         DateOfDeath as date_of_death_PDS, Der_Postcode_LSOA_Code as LSOA_PDS, Der_DOBYearMth as DOB_yr_mth_PDS
         from demographics where Change_Time_Stamp <= index_date

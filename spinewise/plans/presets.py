@@ -168,10 +168,11 @@ def ambulance_features(events: DataFrame, residents: DataFrame, study: Study = S
 
 
 def social_care_record(history: DataFrame, residents: DataFrame, tiebreak=("Event_End_Date",)) -> DataFrame:
-    """The social-care record covering the index date."""
+    """The social-care record covering the index date; of several with one start the one that ends first, an open end last."""
     columns = ["Accommodation_Status", "Client_Funding_Status", "Service_Component", "Service_Type"]
+    dated = _dated(history, "Event_Start_Date", "ymd")
     found = asof_record(
-        _dated(history, "Event_Start_Date", "ymd"),
+        _dated(dated, "Event_End_Date", "ymd") if "Event_End_Date" in dated.columns else dated,
         residents,
         PERSON_ALT,
         "Event_Start_Date",

@@ -186,7 +186,7 @@ def test_residency_record_and_newest_per_home(spark):
 
 
 def test_social_care_record(spark, residents):
-    data = [("a", "2023-02-28", "z", "Own", "Full", "c", "t"), ("a", "2023-02-28", "y", "Tied", "Full", "c", "t"), ("a", "2023-03-02", "x", "After", "", "c", "t")]
+    data = [("a", "2023-02-28", "2023-10-01", "Own", "Full", "c", "t"), ("a", "2023-02-28", "2023-9-30", "Tied", "Full", "c", "t"), ("a", "2023-02-28", None, "Open", "", "c", "t"), ("a", "2023-03-02", "2023-03-03", "After", "", "c", "t")]
     history = spark.createDataFrame(data, "Der_Pseudo_NHS_Number string, Event_Start_Date string, Event_End_Date string, Accommodation_Status string, Client_Funding_Status string, Service_Component string, Service_Type string")
     assert rows(presets.social_care_record(history, residents)) == [("a", "Tied", "Full", "c", "t")]
 

@@ -5,11 +5,11 @@ import re
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from catalog import features, linkage, people, summaries
+from catalog import features, files, linkage, people, summaries
 from catalog.check import compare
 
 SMALL = "/root/testdata/sf0.001"
-NAMES = [n for part in (features, linkage, summaries, people) for n in part.QUERIES]
+NAMES = [n for part in (features, linkage, summaries, people, files) for n in part.QUERIES]
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -37,7 +37,7 @@ def test_entry(spark):
     assert df.columns[:2] == ["person_id", "segment"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", [n for n in NAMES if not n.startswith(("sources_", "report_", "strata_"))])
+@pytest.mark.parametrize("name", NAMES)
 def test_plans_have_no_python_and_no_cross_join(spark, name):
     plan = plan_of(queries()[name](spark, SMALL))
     assert not re.search("PythonUDF|EvalPython|InPandas|CartesianProduct|BroadcastNestedLoopJoin", plan)
@@ -92,11 +92,24 @@ def test_reports_share_one_scan(spark):
         assert plan.count("documents.parquet") == 1
 
 
-def test_quantiles_share_one_count_of_the_values(spark):
-    df = queries()["quantiles"](spark, SMALL)
-    df._jdf.queryExecution().toRdd().count()
-    plan = plan_of(df).split("== Initial Plan ==")[0]
-    assert len(re.findall(r"FileScan.*orders\.parquet", plan)) == 1 and "ReusedExchange" in plan
+def test_quantiles_rank_from_stored_counts(spark):
+    """The source is read once, when its values are counted; what is ranked meets ranges that are broadcast."""
+    plan = plan_of(queries()["quantiles"](spark, SMALL))
+    assert "orders.parquet" not in plan and plan.count("FileScan parquet") == 1 and "value-counts" in plan
+    assert "BroadcastHashJoin" in plan
+
+
+def test_the_link_over_stored_stages_exchanges_no_source(spark):
+    store = people.stored(spark, SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        linked = people.linked_from(store, people.frame(spark, SMALL, "areas"))
+        keys = exchanges_of(plan_of(linked))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert keys and all(k in (["LSOA_PDS"], ["_key"], ["LSOA_IMD"]) for k in keys)
+    plan = plan_of(queries()["report_scores"](spark, SMALL))
+    assert "FileScan" in plan and not [e for e in exchanges_of(plan) if "pseudonhsno" in e]
 
 
 @pytest.fixture
