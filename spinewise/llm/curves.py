@@ -94,10 +94,10 @@ def nearest(
     k: int = 20,
     query_step: int = 20,
     curves: int = 64,
-    columns: int = 16,
+    columns: int = 20,
     bits: int = 3,
-    share: float = 0.0035,
-    least: int = 100,
+    share: float = 0.0038,
+    least: int = 60,
     seed: int = 11,
     key: str = "vec_id",
     vector: str = "embedding",
