@@ -11,7 +11,6 @@ from spinewise.functions.dates import age_years, days_apart, within_lookback
 from spinewise.functions.missing import if_else, round_even
 from spinewise.functions.recode import (
     MISSING,
-    NURSING_TYPE,
     age_group,
     availability,
     decile_to_fifth,
