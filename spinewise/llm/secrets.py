@@ -9,7 +9,6 @@ as it has. Lines of a block are also priced in the surroundings of the block, wh
 
 from __future__ import annotations
 
-import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Iterator

@@ -6,7 +6,7 @@
    the bits under it.
 3. A key that too many fingerprints share is split by the same rule over the bits that its mask leaves free:
    what agrees under the mask differs in the free bits only. Each split leaves fewer free bits, and f of
-   them have 2^f values at most, so every key ends small enough, and nothing is dropped on the way.
+   them have 2^f values at most, so every key ends small enough and nothing is dropped on the way.
 4. Fingerprints under one key are compared; the links found are the components.
 """
 
