@@ -512,8 +512,10 @@ def one_of_each(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, key:
     worded = known.where("n_shingles > 0").groupBy("node").agg(F.min(order).alias("first")).join(linked, "node", "left")
     least = worded.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first")).select("first.doc_id", "first.print")
     stay = least.union(known.where("n_shingles = 0").select("doc_id", "print")).distinct()
-    stay = stay.select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"))
-    held = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("print"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    # Null-safe, in a form that Spark joins by hash: rows without an id meet under a key of their own.
-    same = (F.coalesce("id", F.lit(0)) == F.coalesce("_id", F.lit(0))) & (F.col("id").isNull() == F.col("_id").isNull()) & (F.col("print") == F.col("_print"))
-    return held.join(stay, same, "left_semi").dropDuplicates(["id", "print"]).select("row.*")
+    # Null-safe by columns that are never null, so that one exchange by them serves the join and the repeats.
+    names = lambda key, mark: [F.coalesce(key, F.lit(0)).alias("named"), key.isNull().alias("unnamed"), mark.alias("print")]
+    stay = stay.select(*names(F.col("doc_id"), F.col("print")))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    held = docs.select(*names(F.col(key).cast("long"), F.xxhash64(text)), row)
+    by = ["named", "unnamed", "print"]
+    return held.join(stay, by, "left_semi").dropDuplicates(by).select("row.*")
