@@ -21,14 +21,14 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id",
         encoder, before, task = per_process(("encoder", tokenizer), lambda: FileEncoder(tokenizer)), 0, TaskContext.get().partitionId()
         last = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
-            for part in slices(batch, 1, 4096, 6 << 20):
+            for part in slices(batch, 1, 2048, 3 << 20):
                 ids = [b + last for b in encoder.encode(part.column(1))]
                 counts = np.array([len(b) // encoder.dtype.itemsize for b in ids], np.int64)
                 ends = before + np.cumsum(counts)
                 columns = [part.column(0), pa.array([task] * len(ids), pa.int32()), pa.array(ends - counts), pa.array(counts), pa.array(ids, pa.binary())]
                 before = int(ends[-1])
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "task", "before", "n", "ids"])
-        release()
+            release()
 
     schema = "doc_id long, task int, before long, n long, ids binary"
     return staged(docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(encode, schema), "packed-ids")
