@@ -191,6 +191,15 @@ def test_sketches_are_near_whatever_the_number_of_values(spark, collapse):
     assert found["b"]["about"] == found["b"]["exact"]
 
 
+@pytest.mark.parametrize("collapse", [True, False])
+def test_sketches_beside_distinct_values_found_in_one_of_the_windows_only(spark, collapse):
+    data = [("a", date(2023, 2, 1), 1, "u"), ("a", date(2023, 4, 1), 1, "v"), ("a", date(2023, 4, 2), 1, None)]
+    ends = [windowed.fixed_period("2023-02-01", "2023-02-28", "_feb"), windowed.fixed_period("2023-04-01", "2023-04-30", "_apr"), windowed.fixed_period("2023-02-01", "2023-04-30", "_all")]
+    both = [windowed.distinct_values("exact", "code"), windowed.about_distinct("about", "code")]
+    got = windowed.window_features(events(spark, data), spine(spark), "who", "day", ends, both, collapse=collapse)
+    assert [(r["exact_feb"], r["about_feb"], r["exact_apr"], r["about_apr"], r["exact_all"], r["about_all"]) for r in got.collect()] == [(1, 1, 2, 2, 3, 3)]
+
+
 # --- reports -----------------------------------------------------------------------------------------
 
 
