@@ -211,3 +211,16 @@ def test_column_names(spark):
     assert names.present(df, ["zz", "nc"]) == ["nc"]
     assert names.add_suffix(df, "_w2", keep=["nc"]).columns == ["c_a_w2", "C_b_w2", "nc", "x_sum_w2"]
     assert names.lead_with(df, "nc").columns == ["nc", "c_a", "C_b", "x_sum"]
+
+
+@pytest.mark.parametrize("text", ["29/02/2023", "29/02/2024", "00/01/2020", "01/13/2020", "01/01/0000", "01/01/0001", "01/02/2020\n", "1/2/2020"])
+def test_usual_dates_are_parsed_as_by_their_layout(spark, text):
+    df = spark.createDataFrame([(text,)], "t string")
+    plain = df.select(dates.parse_date_as("t", "dd/MM/yyyy").cast("string").alias("v"), F.try_to_date("t", "dd/MM/yyyy").cast("string").alias("w")).collect()[0]
+    assert plain["v"] == plain["w"]
+
+
+def test_usual_timestamps_are_parsed_as_by_their_layout(spark):
+    texts = ["2020-02-29 23:59:59", "2020-02-30 00:00:00", "2020-01-01 24:00:00", "2020-01-01 23:59:60", "2020-01-01 10:00:00\n", "2020-1-1 1:2:3"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", dates.parse_timestamp("t").cast("string").alias("v")).collect()
+    assert {r.t: r.v for r in got} == dict.fromkeys(texts) | {texts[0]: texts[0], texts[5]: "2020-01-01 01:02:03"}

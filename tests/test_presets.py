@@ -349,3 +349,15 @@ def test_a_second_demographic_record_fails_the_link(spark, residents):
 def test_study_defaults():
     study = Study()
     assert (study.period_start, study.period_end, study.after_end) == ("2023-06-01", "2023-10-31", "2023-11-01")
+
+
+def test_a_text_date_is_parsed_once_a_row(spark):
+    """The filters by window and the sums read the parsed date; none of them parses it again."""
+    events = spark.createDataFrame([("a", "01/02/2023", 1, 0, 0, 0, 0)], "pseudonhsno string, activity_date string, adm_el int, adm_em int, adm_avoid int, bedsore int, death_hosp int")
+    people = spark.createDataFrame(
+        [("a", date(2023, 1, 1), date(2023, 6, 1), 1, 1)], "pseudonhsno string, index_wave1 date, index_wave2 date, ascotwave1 int, ascotwave2 int"
+    )
+    made = presets.inpatient_features(events, people, keep="any")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("dd/MM/yyyy") == 1
+    assert [r.n_admissions_wave for r in made.collect()] == [1]
