@@ -384,3 +384,12 @@ def test_texts(spark):
 def test_dictionary(spark):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     assert rows(report.dictionary(df)) == [("a", "int"), ("b", "string")]
+
+
+def test_assemble_sorts_nothing_before_its_exchange(spark):
+    """A person's rows stand in different tables, so a combine before the exchange would find nothing to combine."""
+    frames = {"one": spark.sql("select 1 as who, 'x' as a"), "two": spark.sql("select 1 as who, 2 as b")}
+    made = link.assemble(frames, "who")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan[plan.rindex("Exchange hashpartitioning") :]
+    assert rows(made) == [(1, "x", 2)]
