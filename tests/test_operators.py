@@ -393,3 +393,29 @@ def test_assemble_sorts_nothing_before_its_exchange(spark):
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert "Aggregate" not in plan[plan.rindex("Exchange hashpartitioning") :]
     assert rows(made) == [(1, "x", 2)]
+
+
+def widest_aggregate(df):
+    """The most columns that one aggregate of the plan has."""
+
+    def walk(node):
+        own = node.aggregateExpressions().size() if node.nodeName() == "Aggregate" else 0
+        return max([own, *[walk(node.children().apply(i)) for i in range(node.children().size())]])
+
+    return walk(df._jdf.queryExecution().optimizedPlan())
+
+
+def many_counts(spark):
+    names = [f"n_{i}" for i in range(2 * report.BLOCK + 3)]
+    rows = [(i, *[None if (i + j) % 5 == 0 else i * j for j in range(len(names))]) for i in range(4)]
+    return names, spark.createDataFrame(rows, "id long, " + ", ".join(f"{n} int" for n in names))
+
+
+def test_activity_of_many_counts_is_a_narrow_aggregate(spark):
+    names, people = many_counts(spark)
+    for df in (people, people.where("id < 0")):
+        table, found = report.activity_table(df, names), df.collect()
+        assert widest_aggregate(table) <= 4 * report.BLOCK + 3
+        sums = [sum(r[n] or 0 for r in found) for n in names]
+        expected = [(n, len(found), v, v / len(found)) if found else (n, 0, None, None) for n, v in zip(names, sums, strict=True)]
+        assert [(r.variable, r.known, r.total_activity, r.mean) for r in table.collect()] == expected
