@@ -419,3 +419,13 @@ def test_activity_of_many_counts_is_a_narrow_aggregate(spark):
         sums = [sum(r[n] or 0 for r in found) for n in names]
         expected = [(n, len(found), v, v / len(found)) if found else (n, 0, None, None) for n, v in zip(names, sums, strict=True)]
         assert [(r.variable, r.known, r.total_activity, r.mean) for r in table.collect()] == expected
+
+
+def test_event_shares_of_many_counts_are_a_narrow_aggregate(spark):
+    names, people = many_counts(spark)
+    for df in (people, people.where("id < 0")):
+        table, found = report.event_share(df, names), df.collect()
+        assert widest_aggregate(table) <= 2 * report.BLOCK + 3
+        happened = [sum((r[n] or 0) >= 1 for r in found) for n in names]
+        expected = [(f"{n}_binary", len(found), k, k / len(found) if found else None) for n, k in zip(names, happened, strict=True)]
+        assert [tuple(r) for r in table.collect()] == expected
