@@ -429,3 +429,16 @@ def test_event_shares_of_many_counts_are_a_narrow_aggregate(spark):
         happened = [sum((r[n] or 0) >= 1 for r in found) for n in names]
         expected = [(f"{n}_binary", len(found), k, k / len(found) if found else None) for n, k in zip(names, happened, strict=True)]
         assert [tuple(r) for r in table.collect()] == expected
+
+
+def test_strata_of_many_outcomes_are_a_narrow_aggregate(spark):
+    names, people = many_counts(spark)
+    table = report.stratified_table(people, {n: n.upper() for n in names}, ["id"])
+    assert widest_aggregate(table) <= 3 * report.BLOCK + 3
+    found, expected = people.collect(), set()
+    for level, some in [("Overall", found), *[(str(r.id), [r]) for r in found]]:
+        for n in names:
+            known = [r[n] for r in some if r[n] is not None]
+            expected.add((n, n.upper(), level, len(known), sum(known) / len(known) if known else None))
+    assert {(r.variable, r.label, r.level, r.known, r.mean) for r in table.collect()} == expected
+    assert report.stratified_table(people.where("id < 0"), dict.fromkeys(names, "x"), ["id"]).collect() == []
