@@ -34,8 +34,10 @@ BLOCK_SETS, BLOCK_ELEMENTS = 1024, 2_000_000
 SKETCH_LEAF = 64
 #: Sets of a block when only bitmaps are compared, and bits of a bitmap for each element, a power of two at least.
 SKETCH_SETS, SKETCH_BITS = 4096, 2
-#: Signatures that a task gathers before it sends them on.
+#: Links that a task gathers before it makes a forest of them; nodes that it keeps in mind.
 FLUSH = 1_000_000
+#: Signatures that a task gathers before it sends them on, as one batch, which Python and the JVM each hold as a whole.
+SENT = 250_000
 #: Bits of the filter that keeps sets out that have no candidate; when it is full it only filters less.
 FILTER_BITS = 1 << 24
 
@@ -151,6 +153,34 @@ def _stars(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return order[head], node[apart], first[apart]
 
 
+def signature_rows(found: Iterator[tuple[np.ndarray, int]], most: int = SENT) -> Iterator[pa.RecordBatch]:
+    """(sig, a, x) of sets given as (signatures, node), a batch for each `most` signatures gathered.
+
+    One row for each signature, with x 0; the links among the nodes of a batch are rows under a hash of a, x being the other node xored.
+    """
+    held: list[tuple[np.ndarray, int]] = []
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        sig = np.concatenate([h[0] for h in held]).view(np.int64) if held else np.zeros(0, np.int64)
+        node = np.repeat(np.array([h[1] for h in held], np.int64), [len(h[0]) for h in held])
+        held.clear()
+        heads, a, b = _stars(sig, node)
+        heads.sort()  # rows of one node together, which the shuffle's compression likes
+        a, b = forest(a, b)
+        spread = mix(a.view(np.uint64)).view(np.int64)
+        columns = [np.concatenate([sig[heads], spread]), np.concatenate([node[heads], a]), np.concatenate([np.zeros(len(heads), np.int64), b ^ a])]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["sig", "a", "x"])
+
+    for one in found:
+        held.append(one)
+        size += len(one[0])
+        if size >= most:
+            yield flush()
+            size = 0
+    yield flush()
+
+
 def candidate_links(rows: DataFrame, n: int, levels: Levels) -> DataFrame:
     """(a, b) such that nodes with a common signature are connected.
 
@@ -160,34 +190,20 @@ def candidate_links(rows: DataFrame, n: int, levels: Levels) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        held: list[tuple[np.ndarray, int]] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            sig = np.concatenate([h[0] for h in held]).view(np.int64) if held else np.zeros(0, np.int64)
-            node = np.repeat(np.array([h[1] for h in held], np.int64), [len(h[0]) for h in held])
-            heads, a, b = _stars(sig, node)
-            heads.sort()  # rows of one node together, which the shuffle's compression likes
-            a, b = forest(a, b)
-            spread = mix(a.view(np.uint64)).view(np.int64)
-            columns = [np.concatenate([sig[heads], spread]), np.concatenate([node[heads], a]), np.concatenate([np.zeros(len(heads), np.int64), b ^ a])]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["sig", "a", "x"])
 
-        for batch in batches:
-            for part in slices(batch, 0):
-                for own in shingle_sets(part.column(0).to_pylist(), n):
-                    node = node_of(own) if len(own) else None
-                    if node is None or node in seen:
-                        continue
-                    seen.add(node)
-                    held.append((levels.signatures(own), node))
-                    size += len(held[-1][0])
-                    if size >= FLUSH:
-                        yield flush()
-                        held, size = [], 0
-                if len(seen) > FLUSH:
-                    seen.clear()
-        yield flush()
+        def new_sets() -> Iterator[tuple[np.ndarray, int]]:
+            for batch in batches:
+                for part in slices(batch, 0):
+                    for own in shingle_sets(part.column(0).to_pylist(), n):
+                        node = node_of(own) if len(own) else None
+                        if node is None or node in seen:
+                            continue
+                        seen.add(node)
+                        yield levels.signatures(own), node
+                    if len(seen) > FLUSH:
+                        seen.clear()
+
+        yield from signature_rows(new_sets())
         release()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -416,12 +432,13 @@ def _tree_links(keyed: DataFrame, tree) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(p, pa.int64()) for p in pairs], names=["a", "b"])
 
         for batch in batches:
-            for key, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if key != last:
-                    if len(held) > 1:
-                        yield settle()
-                    held, last = [], key
-                held.append(tuple(row))
+            for part in slices(batch, batch.num_columns - 1):
+                for key, *row in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                    if key != last:
+                        if len(held) > 1:
+                            yield settle()
+                        held, last = [], key
+                    held.append(tuple(row))
         if len(held) > 1:
             yield settle()
         release()

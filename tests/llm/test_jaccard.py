@@ -195,3 +195,15 @@ def test_components_of_links(spark, seed):
     links = spark.createDataFrame(list(zip(a.tolist(), b.tolist(), strict=True)), "a long, b long")
     assert dict(collected(components(links))) == {n: label[n] for n in linked}
     assert components(links.limit(0)).count() == 0
+
+
+def test_signatures_are_sent_in_small_batches():
+    levels = ngram_join.Levels(80, 100)
+    hashes = np.unique(ngram_join.mix(np.arange(1, 2 * ngram_join.SENT, dtype=np.uint64)))
+    sets = [hashes[i : i + 4000] for i in range(0, len(hashes) - 4000, 3999)] * 4
+    found = [(levels.signatures(s), ngram_join.node_of(s)) for s in sets]
+    whole, parts = ([*ngram_join.signature_rows(iter(found), most)] for most in (1 << 40, ngram_join.SENT))
+    assert len(whole) == 1 and sum(len(f[0]) for f in found) > ngram_join.SENT
+    assert max(b.num_rows for b in parts) <= ngram_join.SENT + 2 * max(len(f[0]) for f in found)
+    pairs = lambda batches: {(s, a) for b in batches for s, a, x in zip(*b.to_pydict().values(), strict=True) if x == 0}
+    assert pairs(parts) == pairs(whole)
